@@ -33,6 +33,14 @@ def split(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     return parts.withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
 
 
+def numbers(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The chunk numbers of each file, from its length alone."""
+    keep = [c for c in files.columns if c != "data"]
+    count = F.ceil(F.length("data") / chunk_bytes).cast("bigint")
+    sized = files.select(*keep, count.alias("n")).where(F.col("n") > 0)
+    return sized.select(*keep, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("chunk_no"))
+
+
 def slice_checksums(data: Column, slice_bytes: int = SLICE_BYTES) -> Column:
     """SHA-1 of every slice, in slice order; the last slice is hashed at its real length."""
     return F.transform(pieces(data, slice_bytes), lambda piece: F.sha1(piece))

@@ -42,9 +42,16 @@ def data_shards(chunks: DataFrame) -> DataFrame:
     )
 
 
+def _portions(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches cut to a few megabytes of full-size chunks, to bound the working arrays."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Parity for each chunk; chunks of one shard size are multiplied together."""
-    for batch in batches:
+    for batch in _portions(batches):
         frames, steps = batch.column("frame"), batch.column("step").to_numpy()
         parity: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
         for step in np.unique(steps):
@@ -76,7 +83,7 @@ def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     Chunks with the same shards present and the same shard size share one matrix inverse.
     """
-    for batch in batches:
+    for batch in _portions(batches):
         rows = batch.column("shards").to_pylist()
         groups: dict[tuple, list[int]] = {}
         picked: list[list[bytes]] = []

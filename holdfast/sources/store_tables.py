@@ -57,7 +57,7 @@ def _spread(chunk_rows: DataFrame, first: int, last: int, name: str, n: Column)
 
 def replica_list(spark: SparkSession, sf: str) -> DataFrame:
     """Which node should hold which replica; no bytes."""
-    keys = file_chunks(spark, sf).select("filename", "doc_id", "chunk_no")
+    keys = chunks.numbers(files(spark, sf), CHUNK_BYTES)
     return _spread(keys, 0, COPIES - 1, "rank", node_count(spark, sf)).select("filename", "chunk_no", "rank", "node")
 
 
@@ -78,8 +78,9 @@ def replica_store(spark: SparkSession, sf: str) -> DataFrame:
 
 def shard_list(spark: SparkSession, sf: str) -> DataFrame:
     """Which node should hold which of the nine shards of a chunk; no bytes."""
-    keys = file_chunks(spark, sf).select("filename", "doc_id", "chunk_no")
-    return _spread(keys, 1, erasure.TOTAL_SHARDS, "shard_no", node_count(spark, sf))
+    keys = chunks.numbers(files(spark, sf), CHUNK_BYTES)
+    spread = _spread(keys, 1, erasure.TOTAL_SHARDS, "shard_no", node_count(spark, sf))
+    return spread.select("filename", "doc_id", "chunk_no", "shard_no", "node")
 
 
 def lost_shard() -> Column:
