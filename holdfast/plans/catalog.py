@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from holdfast.plans import delay_queries, store_queries  # noqa: F401
+from holdfast.plans import delay_queries, ring_queries, store_queries, stream_queries  # noqa: F401
 from holdfast.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
