@@ -31,8 +31,13 @@ def _col(c: Column | str) -> Column:
 
 
 def minutes(c: Column | str) -> Column:
-    """Delay minutes, null when missing; zero and negative values are kept."""
-    return _col(c).try_cast("double")
+    """Delay minutes, null when missing; zero and negative values are kept.
+
+    The usual missing tokens are sorted out by comparison, because a failed cast of text to a
+    number costs far more than a successful one.
+    """
+    raw = _col(c)
+    return F.when((raw != "NA") & (raw != ""), raw.try_cast("double"))
 
 
 def minutes_or_zero(c: Column | str) -> Column:
@@ -47,25 +52,30 @@ def present(c: Column | str) -> Column:
 def hour_of(c: Column | str) -> Column:
     """Hour of an ``HHmm`` time written without leading zeros; null unless it is a valid time."""
     raw = _col(c)
-    valid = raw.rlike("^[0-9]{1,4}$")
-    number = F.when(valid, raw.try_cast("int"))
-    hour = F.floor(number / 100)
-    return F.when((hour < 24) & (number % 100 < 60), hour.cast("int"))
+    digit_ends = F.left(raw, F.lit(1)).between("0", "9") & F.right(raw, F.lit(1)).between("0", "9")
+    number = F.when((F.length(raw) <= 4) & digit_ends, raw.try_cast("int"))
+    return F.when((number < 2400) & (number % 100 < 60), (number / 100).cast("int"))
+
+
+def whole_within(c: Column | str, last: int) -> Column:
+    """The whole number 1..``last`` in a text field; null when out of range."""
+    number = _col(c).try_cast("int")
+    return F.when(number.between(1, last), number)
 
 
-def _name_at(number: Column, names: list[str]) -> Column:
-    lookup = F.array(*[F.lit(n) for n in names])
-    return F.when(number.between(1, len(names)), F.element_at(lookup, number))
+def name_at(number: Column, names: list[str]) -> Column:
+    """Name of a number from 1; null for null."""
+    return F.get(F.array(*[F.lit(n) for n in names]), number - 1)
 
 
 def day_name(c: Column | str) -> Column:
     """Weekday name of 1..7 (1 is Monday); null when out of range."""
-    return _name_at(_col(c).try_cast("int"), DAY_NAMES)
+    return name_at(whole_within(c, len(DAY_NAMES)), DAY_NAMES)
 
 
 def month_name(c: Column | str) -> Column:
     """Month name of 1..12; null when out of range."""
-    return _name_at(_col(c).try_cast("int"), MONTH_NAMES)
+    return name_at(whole_within(c, len(MONTH_NAMES)), MONTH_NAMES)
 
 
 def coast_of(c: Column | str) -> Column:
@@ -95,11 +105,8 @@ def payload_value(payload: Column | str, key: str) -> Column:
 
     A part counts only when it is exactly one key and one value; the last such part wins.
     """
-    parts = F.filter(
-        F.transform(F.split(_col(payload), ","), lambda p: F.split(p, ":")),
-        lambda kv: (F.size(kv) == 2) & (kv[0] == key) & (F.length(kv[1]) > 0),
-    )
-    return F.when(F.size(parts) > 0, F.element_at(parts, -1)[1])
+    found = F.regexp_extract(_col(payload), f"^(?:.*,)?{key}:([^:,]+)(?:,.*)?$", 1)
+    return F.nullif(found, F.lit(""))
 
 
 def hex_to_int(c: Column | str) -> Column:

@@ -20,20 +20,20 @@ def mean_delay_by_time(flights: DataFrame) -> DataFrame:
     """
     cells = (
         flights.select(
-            fx.hour_of("crs_dep_time").cast("string").alias("hour"),
-            fx.day_name("day_of_week").alias("day"),
-            fx.month_name("month").alias("month_name"),
+            fx.hour_of("crs_dep_time").alias("hour"),
+            fx.whole_within("day_of_week", 7).alias("day"),
+            fx.whole_within("month", 12).alias("month"),
             (fx.minutes_or_zero("arr_delay") + fx.minutes_or_zero("dep_delay")).alias("delay"),
         )
-        .groupBy("hour", "day", "month_name")
+        .groupBy("hour", "day", "month")
         .agg(F.sum("delay").alias("cell_delay"), F.count("*").alias("cell_flights"))
     )
     headed = cells.select(
         F.stack(
             F.lit(3),
-            F.lit("HOUR"), F.col("hour"),
-            F.lit("DAY"), F.col("day"),
-            F.lit("MONTH"), F.col("month_name"),
+            F.lit("HOUR"), F.col("hour").cast("string"),
+            F.lit("DAY"), fx.name_at(F.col("day"), fx.DAY_NAMES),
+            F.lit("MONTH"), fx.name_at(F.col("month"), fx.MONTH_NAMES),
         ).alias("kind", "grp"),
         "cell_delay",
         "cell_flights",

@@ -16,7 +16,7 @@ number of events is therefore folded in pieces on many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -29,53 +29,65 @@ from holdfast.operators.running import BLOCK_ROWS, block_of
 _ALWAYS, _OTHERS, _NAMED = 1, 2, 2
 
 
-def summarise(events: Iterator[tuple[int, str, list[int]]]) -> dict:
-    """Summary of a run of events given in arrival order."""
-    start = None
-    index: dict[int, int] = {}
-    rule: list[int] = []
-    removed: list[tuple[int, int] | None] = []
-    added: list[int | None] = []
-
-    def slot(node: int) -> int:
-        if node not in index:
-            # up to now this node was one of the others
-            index[node], itself = len(rule), 1 << (len(rule) + _NAMED)
-            for j, bits in enumerate(rule):
-                rule[j] = bits | itself if bits & _OTHERS else bits
-                if removed[j] and removed[j][1] & _OTHERS:
-                    removed[j] = (removed[j][0], removed[j][1] | itself)
-            rule.append(itself)
-            removed.append(None)
-            added.append(None)
-        return index[node]
-
-    for seq, kind, nodes in events:
+class Run:
+    """Summary of consecutive events on one chunk, added in arrival order."""
+
+    def __init__(self) -> None:
+        self.start: list[tuple[int, int, int]] | None = None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[int, int] = {}
+        self.rule: list[int] = []
+        self.removed: list[tuple[int, int] | None] = []
+        self.added: list[int | None] = []
+
+    def _slot(self, node: int) -> int:
+        if node in self.index:
+            return self.index[node]
+        at = self.index[node] = len(self.rule)
+        itself = 1 << (at + _NAMED)
+        # up to now this node was one of the others
+        for j, bits in enumerate(self.rule):
+            if bits & _OTHERS:
+                self.rule[j] = bits | itself
+            gone = self.removed[j]
+            if gone and gone[1] & _OTHERS:
+                self.removed[j] = (gone[0], gone[1] | itself)
+        self.rule.append(itself)
+        self.removed.append(None)
+        self.added.append(None)
+        return at
+
+    def add(self, seq: int, kind: str, nodes: list[int]) -> None:
         if kind == "store":
-            start = [(seq, at, node) for at, node in enumerate(nodes)]
-            index.clear(), rule.clear(), removed.clear(), added.clear()
-            continue
-        i = slot(nodes[0])
+            self.start = [(seq, at, node) for at, node in enumerate(nodes)]
+            self._clear()
+            return
+        i = self._slot(nodes[0])
         if kind == "fixed":
-            rule[i] = _ALWAYS
-            if added[i] is None:
-                added[i] = seq
-            continue
+            self.rule[i] = _ALWAYS
+            if self.added[i] is None:
+                self.added[i] = seq
+            return
         back = 0
         if kind == "deleted":
             back = _OTHERS
-            for j, other in enumerate(rule):
+            for j, other in enumerate(self.rule):
                 if j != i:
                     back |= other
-        rule[i] = back
-        removed[i] = (seq, back)
-        added[i] = None
-    return {
-        "start": start,
-        "nodes": [
-            (node, rule[i], removed[i], added[i]) for node, i in index.items()
-        ],
-    }
+        self.rule[i], self.removed[i], self.added[i] = back, (seq, back), None
+
+    def summary(self) -> dict:
+        named = [(node, self.rule[i], self.removed[i], self.added[i]) for node, i in self.index.items()]
+        return {"start": self.start, "nodes": named}
+
+
+def summarise(events: Iterable[tuple[int, str, list[int]]]) -> dict:
+    run = Run()
+    for seq, kind, nodes in events:
+        run.add(seq, kind, nodes)
+    return run.summary()
 
 
 def apply(listed: dict[int, tuple[int, int]], summary: dict) -> dict[int, tuple[int, int]]:
@@ -145,17 +157,38 @@ _SUMMARY = (
 )
 
 
-def _summarise_block(run: pd.DataFrame) -> pd.DataFrame:
-    run = run.sort_values("seq")
-    packed = _pack(summarise(zip(run["seq"], run["kind"], (list(n) for n in run["nodes"]))))
-    return pd.DataFrame([{"chunk": run["chunk"].iat[0], "block": run["block"].iat[0], **packed}])
-
-
-def _fold_blocks(summaries: pd.DataFrame) -> pd.DataFrame:
-    listed: dict[int, tuple[int, int]] = {}
-    for row in summaries.sort_values("block").itertuples():
-        listed = apply(listed, _unpack(row))
-    return pd.DataFrame([{"chunk": summaries["chunk"].iat[0], "nodes": ordered(listed)}])
+def _summarise_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Summaries of the runs of one task, whose rows come sorted by chunk, block and arrival."""
+    here, run = None, Run()
+    for batch in batches:
+        out = []
+        for chunk, block, seq, kind, nodes in zip(*(batch[c] for c in ("chunk", "block", "seq", "kind", "nodes"))):
+            if (chunk, block) != here:
+                if here:
+                    out.append({"chunk": here[0], "block": here[1], **_pack(run.summary())})
+                here, run = (chunk, block), Run()
+            run.add(seq, kind, [int(n) for n in nodes])
+        if out:
+            yield pd.DataFrame(out)
+    if here:
+        yield pd.DataFrame([{"chunk": here[0], "block": here[1], **_pack(run.summary())}])
+
+
+def _fold_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Final lists of the chunks of one task, whose summaries come sorted by chunk and block."""
+    here, listed = None, {}
+    for batch in batches:
+        out = []
+        for row in batch.itertuples(index=False):
+            if row.chunk != here:
+                if here is not None:
+                    out.append({"chunk": here, "nodes": ordered(listed)})
+                here, listed = row.chunk, {}
+            listed = apply(listed, _unpack(row))
+        if out:
+            yield pd.DataFrame(out)
+    if here is not None:
+        yield pd.DataFrame([{"chunk": here, "nodes": ordered(listed)}])
 
 
 def spread_deaths(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -193,5 +226,7 @@ def replica_map(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     folded from its summaries, of which it has at most one per block.
     """
     blocked = spread_deaths(events, block_rows).withColumn("block", block_of("seq", block_rows))
-    summaries = blocked.groupBy("chunk", "block").applyInPandas(_summarise_block, _SUMMARY)
-    return summaries.groupBy("chunk").applyInPandas(_fold_blocks, "chunk bigint, nodes array<bigint>")
+    runs = blocked.repartition("chunk", "block").sortWithinPartitions("chunk", "block", "seq")
+    summaries = runs.select("chunk", "block", "seq", "kind", "nodes").mapInPandas(_summarise_runs, _SUMMARY)
+    together = summaries.repartition("chunk").sortWithinPartitions("chunk", "block")
+    return together.mapInPandas(_fold_runs, "chunk bigint, nodes array<bigint>")

@@ -179,10 +179,13 @@ def prj_kv_parse(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("NUMFLIGHTS:"),
         F.when(F.col("l_partkey") % 7 == 0, "").otherwise(F.col("l_suppkey").cast("string")),
     )
-    return rows.withColumn("payload", payload).select(
+    parsed = rows.withColumn("payload", payload).select(
         *_keys(),
-        fx.minutes(fx.payload_value("payload", "DELAYTOTAL")).alias("delay_total"),
-        fx.payload_value("payload", "NUMFLIGHTS").try_cast("bigint").alias("num_flights"),
+        fx.payload_value("payload", "DELAYTOTAL").alias("total"),
+        fx.payload_value("payload", "NUMFLIGHTS").alias("flights"),
+    )
+    return parsed.select(
+        *KEYS, fx.minutes("total").alias("delay_total"), F.col("flights").try_cast("bigint").alias("num_flights")
     )
 
 
