@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.session import staged
+
 CHUNK_BYTES = 65_536
 SLICE_BYTES = 8_192
 
@@ -99,8 +101,9 @@ def missing_replicas(replicas: DataFrame, store: DataFrame) -> DataFrame:
 def repair(scrubbed: DataFrame, store: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Rebuild each corrupt or missing replica from its good slices and the first healthy replica.
 
-    Chunks without a healthy replica yield nothing. The donor is found on digest rows; bytes are
-    fetched afterwards for the damaged replicas and their donors only.
+    Chunks without a healthy replica yield nothing. The plan is made from digest rows and written
+    down first. While damage is rare the written plan is small, is broadcast, and the stored bytes
+    are only scanned; when it is not, they are shuffled once for each side.
     """
     of_chunk = Window.partitionBy(*CHUNK_KEY)
     donor = F.min(F.when(F.col("status") == "healthy", F.struct("rank", "node"))).over(of_chunk)
@@ -109,6 +112,7 @@ def repair(scrubbed: DataFrame, store: DataFrame, slice_bytes: int = SLICE_BYTES
         .where((F.col("status") != "healthy") & F.col("donor").isNotNull())
         .select(*CHUNK_KEY, "rank", "node", "version", "n_bytes", "status", "bad", "donor")
     )
+    plan = staged(plan, "repair-plan")
     local = store.select(*CHUNK_KEY, "node", F.col("data").alias("local_data"))
     source = store.select(*CHUNK_KEY, F.col("node").alias("donor"), F.col("data").alias("donor_data"))
     joined = plan.join(source, [*CHUNK_KEY, "donor"]).join(local, [*CHUNK_KEY, "node"], "left")
@@ -147,7 +151,8 @@ def reassemble(chunks: DataFrame, totals: DataFrame, chunks_per_part: int = 4_09
     have = chunks.groupBy("filename").agg(F.count("*").alias("received"))
     done = have.join(totals, "filename").where(F.col("received") == F.col("total_chunks"))
     numbered = chunks.withColumn("part_no", F.floor(F.col("chunk_no") / chunks_per_part).cast("bigint"))
-    kept = numbered.join(done.select("filename"), "filename", "left_semi")
+    parts = numbered.select("filename", "part_no").distinct().join(done.select("filename"), "filename")
+    kept = numbered.join(parts, ["filename", "part_no"], "left_semi")
     return kept.groupBy("filename", "part_no").agg(
         F.expr("listagg(data) WITHIN GROUP (ORDER BY chunk_no)").alias("data"), F.count("*").alias("n_chunks")
     )

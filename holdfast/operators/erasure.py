@@ -30,18 +30,27 @@ def framed(data: Column) -> Column:
     return F.concat(F.unhex(F.lpad(F.hex(size), 8, "0")), data, F.unhex(F.repeat(F.lit("00"), pad)))
 
 
-def data_shards(chunks: DataFrame) -> DataFrame:
-    """Shards 1 to 6 of every chunk, built from native expressions."""
+def _framed_chunks(chunks: DataFrame) -> DataFrame:
     step = shard_bytes(F.length("data")).cast("int")
-    cut = chunks.select(*CHUNK_KEY, framed(F.col("data")).alias("frame"), step.alias("step"))
-    parts = F.transform(
-        F.sequence(F.lit(0), F.lit(DATA_SHARDS - 1)), lambda i: F.col("frame").substr(i * F.col("step") + 1, F.col("step"))
-    )
-    return cut.select(*CHUNK_KEY, F.posexplode(parts).alias("pos", "data")).select(
+    return chunks.select(*CHUNK_KEY, framed(F.col("data")).alias("frame"), step.alias("step"))
+
+
+def _cut() -> Column:
+    numbers = F.sequence(F.lit(0), F.lit(DATA_SHARDS - 1))
+    return F.transform(numbers, lambda i: F.col("frame").substr(i * F.col("step") + 1, F.col("step")))
+
+
+def _numbered(shards: DataFrame, parts: Column) -> DataFrame:
+    return shards.select(*CHUNK_KEY, F.posexplode(parts).alias("pos", "data")).select(
         *CHUNK_KEY, (F.col("pos") + 1).cast("bigint").alias("shard_no"), "data"
     )
 
 
+def data_shards(chunks: DataFrame) -> DataFrame:
+    """Shards 1 to 6 of every chunk, built from native expressions."""
+    return _numbered(_framed_chunks(chunks), _cut())
+
+
 def _portions(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Batches cut to a few megabytes of full-size chunks, to bound the working arrays."""
     for batch in batches:
@@ -61,21 +70,18 @@ def _encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             out = galois.multiply(galois.coding_matrix()[DATA_SHARDS:], stacked).reshape(PARITY_SHARDS, len(rows), step)
             for at, row in enumerate(rows):
                 parity[row] = [out[p, at].tobytes() for p in range(PARITY_SHARDS)]
+        kept = ["filename", "chunk_no", "frame", "step"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("filename"), batch.column("chunk_no"), pa.array(parity, pa.list_(pa.binary()))],
-            names=["filename", "chunk_no", "parity"],
+            [*(batch.column(c) for c in kept), pa.array(parity, pa.list_(pa.binary()))], names=[*kept, "parity"]
         )
 
 
 def encode(chunks: DataFrame) -> DataFrame:
-    """All nine shards of every chunk; needs no shuffle."""
-    step = shard_bytes(F.length("data")).cast("bigint")
-    frames = chunks.select(*CHUNK_KEY, framed(F.col("data")).alias("frame"), step.alias("step"))
-    parity = frames.mapInArrow(_encode_batches, "filename string, chunk_no bigint, parity array<binary>")
-    extra = parity.select(*CHUNK_KEY, F.posexplode("parity").alias("pos", "data")).select(
-        *CHUNK_KEY, (F.col("pos") + DATA_SHARDS + 1).cast("bigint").alias("shard_no"), "data"
+    """All nine shards of every chunk in one pass over the chunks and without a shuffle."""
+    coded = _framed_chunks(chunks).mapInArrow(
+        _encode_batches, "filename string, chunk_no bigint, frame binary, step int, parity array<binary>"
     )
-    return data_shards(chunks).unionByName(extra)
+    return _numbered(coded, F.concat(_cut(), F.col("parity")))
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,9 +94,8 @@ def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         groups: dict[tuple, list[int]] = {}
         picked: list[list[bytes]] = []
         for at, shards in enumerate(rows):
-            chosen = sorted(shards, key=lambda s: s["shard_no"])[:DATA_SHARDS]
-            picked.append([s["data"] for s in chosen])
-            shape = (tuple(s["shard_no"] - 1 for s in chosen), len(chosen[0]["data"]))
+            picked.append([s["data"] for s in shards])
+            shape = (tuple(s["shard_no"] - 1 for s in shards), len(shards[0]["data"]))
             groups.setdefault(shape, []).append(at)
         data: list[bytes] = [b""] * len(rows)
         for (present, step), members in groups.items():
@@ -121,6 +126,7 @@ def decode(shards: DataFrame) -> DataFrame:
         shards.groupBy(*CHUNK_KEY)
         .agg(F.collect_list(F.struct("shard_no", "data")).alias("shards"))
         .where(F.size("shards") >= DATA_SHARDS)
+        .withColumn("shards", F.slice(F.array_sort("shards"), 1, DATA_SHARDS))
     )
     return grouped.mapInArrow(_decode_batches, "filename string, chunk_no bigint, data binary")
 

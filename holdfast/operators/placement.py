@@ -85,7 +85,7 @@ def rereplicate(replicas: DataFrame, nodes: DataFrame, dead: DataFrame) -> DataF
         .agg(F.array_sort(F.collect_list(F.struct("rank", "node", F.coalesce(gone, F.lit(False)).alias("gone")))).alias("holders"))
         .where(F.exists("holders", lambda h: h["gone"]))
     )
-    longest = replicas.groupBy(*CHUNK_KEY).agg(F.count("*").alias("n")).agg(F.max("n")).scalar()
+    longest = lists.agg(F.max(F.size("holders"))).scalar()
     live = nodes.join(dead.select("node"), "node", "left_anti")
     best = live.withColumn("place", F.row_number().over(Window.orderBy(F.desc("free_space"), F.asc("node"))))
     targets = best.where(F.col("place") <= 2 * longest).agg(F.array_sort(F.collect_list(F.struct("place", "node")))).scalar()

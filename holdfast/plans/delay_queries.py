@@ -11,7 +11,7 @@ from holdfast.plans.delay_sql import (
     AIRPORTS, CARRIER_TOTALS, CARRIERS, COASTS, ENDS, FLIGHTS, LATE, LISTINGS, TIMES, _EAST, _WEST, stmt,
 )
 from holdfast.plans.registry import query
-from holdfast.session import fresh_path
+from holdfast.session import fresh_path, staged
 from holdfast.sources import csv_files
 from holdfast.sources import tables as src
 
@@ -289,7 +289,8 @@ def join_left_airport(spark: SparkSession, sf: str) -> DataFrame:
 SELECT {KEY_SQL}, unique_carrier, description FROM flights LEFT JOIN carriers ON unique_carrier = code"""))
 def join_left_carrier(spark: SparkSession, sf: str) -> DataFrame:
     rows = src.flight_records(spark, sf, keys=True).select(*_keys(), "unique_carrier")
-    names = places.carriers(src.carrier_listings(spark, sf)).withColumnRenamed("code", "unique_carrier")
+    # every record meets the names, so their real size decides how
+    names = staged(places.carriers(src.carrier_listings(spark, sf)), "carriers").withColumnRenamed("code", "unique_carrier")
     return rows.join(names, "unique_carrier", "left").select(*KEYS, "unique_carrier", "description")
 
 

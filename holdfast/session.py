@@ -50,3 +50,14 @@ def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Materialise ``df`` with a reliable checkpoint so a lost executor cannot lose it."""
     shared_root(spark)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    The reader knows the real size of the table, so the planner broadcasts it when it is small
+    enough and shuffles it when it is not.
+    """
+    path = fresh_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -25,12 +25,18 @@ def lines(files: DataFrame) -> DataFrame:
 def write_chunk_table(chunks: DataFrame, manifest: DataFrame, path: str, buckets: int = 16) -> None:
     """Chunk bytes and their manifest as two tables, laid out by a hash of the file name and chunk.
 
-    Hashing the chunk number too spreads one huge file over all buckets.
+    Hashing the chunk number too spreads one huge file over all buckets. The session's shuffle
+    partitions are shared out over the buckets, so each task writes one file of one bucket.
     """
-    bucket = F.pmod(F.xxhash64("filename", "chunk_no"), F.lit(buckets)).cast("int")
+    tasks = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writers = max(1, -(-tasks // buckets))
+    digest = F.xxhash64("filename", "chunk_no")
+    bucket = F.pmod(digest, F.lit(buckets)).cast("int")
+    writer = F.pmod(F.shiftright(digest, 20), F.lit(writers)).cast("int")
     data = chunks.select("filename", "chunk_no", "data")
     for name, df in (("data", data), ("meta", manifest)):
-        df.withColumn("bucket", bucket).repartition(buckets, "bucket").write.partitionBy("bucket").parquet(f"{path}/{name}")
+        placed = df.withColumn("bucket", bucket).repartition(buckets * writers, "bucket", writer)
+        placed.write.partitionBy("bucket").parquet(f"{path}/{name}")
 
 
 def read_chunk_table(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
