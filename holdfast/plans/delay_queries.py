@@ -230,8 +230,6 @@ def _complete(spark: SparkSession, sf: str) -> DataFrame:
     return places.complete(src.airports(spark, sf))
 
 
-_BUSY = [F.desc, "movements"]
-
 
 @query("q03_year_airport_counts", stmt(FLIGHTS, AIRPORTS, ENDS, body="SELECT year, iata, movements FROM moves"))
 def q03_year_airport_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -421,40 +419,123 @@ def q07_worst_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- report lines -------------------------------------------------------------------------------
 
-_TIME_REPORT = """
-lines AS (
-  SELECT CAST(CASE kind WHEN 'HOUR' THEN 1 WHEN 'DAY' THEN 2 ELSE 3 END AS BIGINT) AS section,
-    row_number() OVER (PARTITION BY kind ORDER BY mean_delay, grp) AS rank,
-    CASE WHEN kind = 'HOUR' THEN 'HOUR ' || grp ELSE grp END || E'\\tDELAY:\\t' || CAST(mean_delay AS VARCHAR) AS line
-  FROM means)
-SELECT * FROM lines UNION ALL SELECT * FROM (VALUES
-  (CAST(0 AS BIGINT), CAST(0 AS BIGINT), 'QUESTION 1: What is the best time-of-the-day/day-of-week/time-of-year to fly to minimize delays?'),
-  (1, -1, ''), (1, 0, 'Time-of-the-day (ordered from best to worst):'),
-  (2, -1, ''), (2, 0, 'Day-of-week (ordered from best to worst):'),
-  (3, -1, ''), (3, 0, 'Time-of-year (ordered from best to worst):'))"""
+def _report(*ctes: str, parts: list[str], fixed: list[tuple[int, int, str]]) -> str:
+    """SQL twin of a report: line selects and fixed lines."""
+    values = ", ".join(f"(CAST({s} AS BIGINT), CAST({r} AS BIGINT), E'{t}')" for s, r, t in fixed)
+    return stmt(*ctes, body="\nUNION ALL ".join([*parts, f"SELECT * FROM (VALUES {values}) AS f(section, rank, line)"]))
+
+
+def _line(measures: list[tuple[str, str]], code: str = "iata", label: str = "label", number: bool = True) -> str:
+    lead = "CAST(rank AS VARCHAR) || ': " if number else "'"
+    tail = " || ".join(f"E'\\t{title}:\\t' || CAST({name} AS VARCHAR)" for title, name in measures)
+    return f"{lead}(' || {code} || ') ' || coalesce({label}, 'null') || {tail}"
 
 
-@query("report_q01_lines", stmt(FLIGHTS, TIMES, _TIME_REPORT.split("SELECT * FROM lines")[0], body="SELECT * FROM lines" + _TIME_REPORT.split("SELECT * FROM lines")[1]))
+@query("report_q01_lines", _report(FLIGHTS, TIMES, parts=["""
+SELECT CAST(CASE kind WHEN 'HOUR' THEN 1 WHEN 'DAY' THEN 2 ELSE 3 END AS BIGINT) AS section,
+  row_number() OVER (PARTITION BY kind ORDER BY mean_delay, grp) AS rank,
+  CASE WHEN kind = 'HOUR' THEN 'HOUR ' || grp ELSE grp || E'\t' END || E'\tDELAY:\t' || CAST(mean_delay AS VARCHAR) AS line FROM means"""], fixed=[
+    (0, 0, "QUESTION 1: \\tWhat is the best time-of-the-day/day-of-week/time-of-year to fly to minimize delays?"),
+    (1, -1, "\\t"), (1, 0, "Time-of-the-day\\t(ordered from best to worst):"),
+    (2, -1, "\\t"), (2, 0, "Day-of-week\\t(ordered from best to worst):"),
+    (3, -1, "\\t"), (3, 0, "Time-of-year\\t(ordered from best to worst):")]))
 def report_q01_lines(spark: SparkSession, sf: str) -> DataFrame:
     return reports.time_report(q01_ranked(spark, sf))
 
 
-@query("report_q03_lines", stmt(FLIGHTS, AIRPORTS, ENDS, """
-per_year AS (
-  SELECT year AS section, rank, CAST(rank AS VARCHAR) || ': (' || iata || ') ' || coalesce(label, 'null')
-    || E'\\tNumber of Flights:\\t' || CAST(movements AS VARCHAR) AS line
-  FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY movements DESC, iata) AS rank FROM moves)
-  LEFT JOIN continental USING (iata) WHERE rank <= 10),
-overall AS (
-  SELECT CAST(9999 AS BIGINT) AS section, row_number() OVER (ORDER BY movements DESC, iata) AS rank, iata, label, movements FROM totals)""", body="""
-SELECT * FROM per_year
-UNION ALL SELECT DISTINCT section, CAST(-1 AS BIGINT), '' FROM per_year
-UNION ALL SELECT DISTINCT section, CAST(0 AS BIGINT), 'Year: ' || CAST(section AS VARCHAR) FROM per_year
-UNION ALL SELECT section, rank, CAST(rank AS VARCHAR) || ': (' || iata || ') ' || label
-  || E'\\tNumber of Flights:\\t' || CAST(movements AS VARCHAR) FROM overall WHERE rank <= 10
-UNION ALL SELECT * FROM (VALUES
-  (CAST(0 AS BIGINT), CAST(0 AS BIGINT), 'QUESTION 3: What are the major hubs (busiest airports) in continental U.S.? Has there been a change over the 21-year period covered by this dataset?'),
-  (9999, -1, ''),
-  (9999, 0, 'QUESTION 3 (continued): What are the major hubs (busiest airports) in continental U.S.? Please list the top 10.'))"""))
+@query("report_q03_lines", _report(FLIGHTS, AIRPORTS, ENDS, """
+tops AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY movements DESC, iata) AS rank FROM moves),
+years AS (SELECT DISTINCT year FROM tops),
+overall AS (SELECT *, row_number() OVER (ORDER BY movements DESC, iata) AS rank FROM totals)""", parts=[
+    f"SELECT year AS section, rank, {_line([('Number of Flights', 'movements')])} AS line FROM tops LEFT JOIN continental USING (iata) WHERE rank <= 10",
+    "SELECT year, CAST(-1 AS BIGINT), E'\\t' FROM years",
+    "SELECT year, CAST(0 AS BIGINT), E'Year: \\t' || CAST(year AS VARCHAR) FROM years",
+    f"SELECT CAST(9998 AS BIGINT), rank, {_line([('Number of Flights', 'movements')])} FROM overall WHERE rank <= 10"], fixed=[
+    (0, 0, "QUESTION 3: \\tWhat are the major hubs (busiest airports) in continental U.S.? Has there been a change over the 21-year period covered by this dataset?"),
+    (9998, -1, "\\t"),
+    (9998, 0, "QUESTION 3 (continued): \\tWhat are the major hubs (busiest airports) in continental U.S.? Please list the top 10.")]))
 def report_q03_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.movement_report(q03_top10_per_year(spark, sf), q03_top10_overall(spark, sf))
+    # one pass over the records feeds both parts
+    by_year = staged(_movements(spark, sf), "movements")
+    continental = _continental(spark, sf)
+    top = ranking.top_k_per_group(by_year, "year", 10, F.desc("movements"), F.asc("iata")).join(continental, "iata", "left")
+    overall = ranking.top_k(delays.movements_total(by_year, continental), 10, F.desc("movements"), F.asc("iata"))
+    return reports.movement_report(top, overall)
+
+
+@query("report_q04_lines", _report(FLIGHTS, AIRPORTS, ENDS, """
+tops AS (SELECT *, row_number() OVER (ORDER BY delays DESC, iata) AS rank FROM weather)""", parts=[
+    "SELECT CAST(1 AS BIGINT) AS section, rank, " + _line([
+        ("Total Number of Weather Delays", "delays"), ("Total Number of Minutes of Lost to Weather Delays", "minutes")])
+    + " AS line FROM tops LEFT JOIN complete USING (iata) WHERE rank <= 10"], fixed=[
+    (0, 0, "QUESTION 4: \\tWhich cities experience the most weather related delays? Please list the top 10.")]))
+def report_q04_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.weather_report(q04_top10_weather(spark, sf))
+
+
+_CARRIER_MEASURES = [
+    ("Total Number of Carrier Delays", "delays"), ("Total Number of Minutes that were Lost to Delays", "minutes"),
+    ("Average Number of Minutes that were Lost to Delays", "mean_minutes")]
+
+
+@query("report_q05_lines", _report(FLIGHTS, CARRIERS, CARRIER_TOTALS, """
+tops AS (SELECT *, row_number() OVER (ORDER BY delays DESC, code) AS rank FROM ct LEFT JOIN carriers USING (code)),
+worst AS (SELECT * FROM tops ORDER BY mean_minutes DESC, code LIMIT 1)""", parts=[
+    f"SELECT CAST(1 AS BIGINT) AS section, rank, {_line(_CARRIER_MEASURES, 'code', 'description')} AS line FROM tops WHERE rank <= 10",
+    f"SELECT CAST(2 AS BIGINT), CAST(1 AS BIGINT), {_line(_CARRIER_MEASURES, 'code', 'description', number=False)} FROM worst"], fixed=[
+    (0, 0, "QUESTION 5: \\tWhich carriers have the most delays?"), (2, 0, "Which carrier has the highest average delay?\\t")]))
+def report_q05_lines(spark: SparkSession, sf: str) -> DataFrame:
+    named = staged(q05_carrier_delay(spark, sf), "carrier-delays").join(places.carriers(src.carrier_listings(spark, sf)), "code", "left")
+    top = ranking.top_k(named, 10, F.desc("delays"), F.asc("code"))
+    return reports.carrier_report(top, named.orderBy(F.desc("mean_minutes"), F.asc("code")).limit(1))
+
+
+@query("report_q06_lines", _report(FLIGHTS, AIRPORTS, COASTS, """
+ct AS (SELECT coast, sum(delays) AS delays, sum(minutes) AS minutes FROM coast GROUP BY coast),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY coast ORDER BY delays DESC, iata) AS rank FROM coast JOIN complete USING (iata)),
+sides AS (SELECT coalesce(max(delays) FILTER (coast = 'EAST'), 0) AS e, coalesce(max(delays) FILTER (coast = 'WEST'), 0) AS w FROM ct)""", parts=[
+    "SELECT CAST(CASE WHEN coast = 'EAST' THEN 2 ELSE 4 END AS BIGINT) AS section, rank, " + _line([
+        ("Total Number of Delays", "delays"), ("Total Number of Minutes that were Lost to Delays", "minutes")]) + " AS line FROM ranked",
+    """SELECT CASE WHEN coast = 'EAST' THEN 1 ELSE 3 END, 1, upper(coast[1]) || lower(coast[2:])
+  || E' Coast Airports:\\tTotal Number of Minutes Lost to Delays: ' || CAST(minutes AS VARCHAR) FROM ct""",
+    """SELECT CASE WHEN coast = 'EAST' THEN 1 ELSE 3 END, 2, upper(coast[1]) || lower(coast[2:])
+  || E' Coast Airports:\\tTotal Number of Delays: ' || CAST(CAST(delays AS BIGINT) AS VARCHAR) FROM ct""",
+    """SELECT 5, 1, CASE WHEN e > w THEN 'East' ELSE 'West' END || E' Coast airports have more Delays.\\tTotal number of delayed flights: '
+  || CAST(CAST(CASE WHEN e > w THEN e ELSE w END AS BIGINT) AS VARCHAR) FROM sides"""], fixed=[
+    (0, 0, "QUESTION 6: \\tDo East or West coast airports have more delays?"), *((s, -1, "\\t") for s in range(1, 6))]))
+def report_q06_lines(spark: SparkSession, sf: str) -> DataFrame:
+    by_airport = staged(q06_coast_airports(spark, sf), "coast-airports")
+    ranked = ranking.ranked_within(by_airport.join(_complete(spark, sf), "iata"), "coast", F.desc("delays"), F.asc("iata"))
+    return reports.coast_report(delays.coast_totals(by_airport), ranked, delays.coast_winner(by_airport))
+
+
+_LATE_MEASURES = [
+    ("Total Number of Late Aircrafts", "delays"), ("Total Number of Minutes that were Lost to Late Aircrafts", "minutes"),
+    ("Average Number of Minutes that were Lost to Late Aircrafts", "mean_minutes")]
+
+
+@query("report_q07_lines", _report(FLIGHTS, AIRPORTS, LATE, """
+tops AS (
+  SELECT year, iata, label, CAST(delays AS BIGINT) AS delays, minutes, minutes / delays AS mean_minutes,
+    row_number() OVER (PARTITION BY year ORDER BY delays DESC, iata) AS rank FROM late JOIN complete USING (iata)),
+years AS (SELECT DISTINCT year FROM tops),
+overall AS (
+  SELECT iata, label, CAST(delays AS BIGINT) AS delays, minutes, mean_minutes, row_number() OVER (ORDER BY delays DESC, iata) AS rank FROM late_total),
+worst AS (SELECT * FROM overall ORDER BY mean_minutes DESC, iata LIMIT 1)""", parts=[
+    f"SELECT year AS section, rank, {_line(_LATE_MEASURES)} AS line FROM tops WHERE rank <= 10",
+    "SELECT year, CAST(-1 AS BIGINT), E'\\t' FROM years",
+    "SELECT year, CAST(0 AS BIGINT), E'Year: \\t' || CAST(year AS VARCHAR) FROM years",
+    f"SELECT CAST(9998 AS BIGINT), rank, {_line(_LATE_MEASURES)} FROM overall WHERE rank <= 10",
+    f"SELECT CAST(9999 AS BIGINT), CAST(1 AS BIGINT), {_line(_LATE_MEASURES, number=False)} FROM worst"], fixed=[
+    (0, 0, "QUESTION 7: \\tWhat are the aspects that you can infer from the LateAircraftDelay field?"),
+    (0, 1, "QUESTION 7: \\tWhat are the airports with the most delays due to Late Aircrafts? Has there been a change over the 21-year period covered by this dataset?"),
+    (9998, -1, "\\t"), (9998, 0, "Which airlines experience the most late aircraft related delays? \\tPlease list the top 10."),
+    (9999, -1, "\\t"), (9999, 0, "Which city has the highest average late aircraft delay across all data?\\t")]))
+def report_q07_lines(spark: SparkSession, sf: str) -> DataFrame:
+    # one pass over the records feeds all three parts
+    late = staged(_late(spark, sf).join(_complete(spark, sf), "iata"), "late-aircraft")
+    top = ranking.top_k_per_group(late, "year", 10, F.desc("delays"), F.asc("iata"))
+    totals = delays.with_mean(late.groupBy("iata", "label").agg(F.sum("delays").alias("delays"), F.sum("minutes").alias("minutes")))
+    overall = ranking.top_k(totals, 10, F.desc("delays"), F.asc("iata"))
+    worst = totals.orderBy(F.desc("mean_minutes"), F.asc("iata")).limit(1)
+    return reports.late_aircraft_report(delays.with_mean(top), overall, worst)

@@ -250,7 +250,27 @@ def ec_data_shards(spark: SparkSession, sf: str) -> DataFrame:
     return _digest(erasure.data_shards(st.file_chunks(spark, sf)), "filename", "chunk_no", "shard_no")
 
 
-@query("ec_encode")
+_PARITY = """
+coefficients AS (
+  SELECT * FROM (VALUES (7,1,7),(7,2,6),(7,3,5),(7,4,4),(7,5,3),(7,6,2), (8,1,6),(8,2,7),(8,3,4),(8,4,5),(8,5,2),(8,6,3),
+    (9,1,160),(9,2,223),(9,3,223),(9,4,183),(9,5,254),(9,6,232)) AS t(parity, shard_no, c)),
+doubled(parity, shard_no, k, v) AS (
+  SELECT parity, shard_no, 0, c FROM coefficients
+  UNION ALL SELECT parity, shard_no, k + 1, xor(v*2, CASE WHEN v >= 128 THEN 285 ELSE 0 END) FROM doubled WHERE k < 7),
+products AS (
+  SELECT parity, shard_no, CAST(b AS INT) AS b, bit_xor(CASE WHEN (b >> k) & 1 = 1 THEN v ELSE 0 END) AS v
+  FROM doubled, unnest(range(0, 256)) AS t(b) GROUP BY 1, 2, 3),
+texts AS (SELECT filename, chunk_no, shard_no, hex(data) AS h FROM shards),
+bytes AS (
+  SELECT filename, chunk_no, shard_no, i, CAST('0x' || substr(h, 2*i + 1, 2) AS INT) AS b FROM texts, unnest(range(0, length(h) // 2)) AS t(i)),
+summed AS (SELECT filename, chunk_no, parity, i, bit_xor(v) AS v FROM bytes JOIN products USING (shard_no, b) GROUP BY ALL),
+parities AS (SELECT filename, chunk_no, parity AS shard_no, unhex(string_agg(printf('%02X', v), '' ORDER BY i)) AS data FROM summed GROUP BY ALL)"""
+
+
+@query("ec_encode", stmt(FILES, SHARDS, _PARITY, body="""
+SELECT filename, chunk_no, CAST(shard_no AS BIGINT) AS shard_no, CAST(octet_length(data) AS BIGINT) AS n_bytes, sha1(data) AS sha1
+FROM (SELECT filename, chunk_no, shard_no, data FROM shards UNION ALL SELECT filename, chunk_no, shard_no, data FROM parities)
+""").replace("WITH ", "WITH RECURSIVE ", 1))
 def ec_encode(spark: SparkSession, sf: str) -> DataFrame:
     return _digest(erasure.encode(st.file_chunks(spark, sf)), "filename", "chunk_no", "shard_no")
 

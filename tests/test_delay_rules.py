@@ -154,4 +154,4 @@ def test_report_is_written_in_order(spark, tmp_path):
     text = [r.value for r in spark.read.text(str(tmp_path / "report")).collect()]
     in_order = [r.line for r in lines.orderBy("section", "rank").collect()]
     assert sorted(text) == sorted(in_order)
-    assert in_order[1:4] == ["", "Year: 2001", "1: (ATL) null\tNumber of Flights:\t7"]
+    assert in_order[1:4] == ["\t", "Year: \t2001", "1: (ATL) null\tNumber of Flights:\t7"]
