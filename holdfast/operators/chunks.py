@@ -131,14 +131,19 @@ def repair(scrubbed: DataFrame, store: DataFrame, slice_bytes: int = SLICE_BYTES
     )
 
 
-def read_plan(replicas: DataFrame) -> DataFrame:
+def read_plan(replicas: DataFrame, chunks_per_block: int = 1_000_000) -> DataFrame:
     """The first listed replica of each chunk and the number of chunks of its file.
 
-    Chunk counts are reduced per file and joined back, so a huge file never fills one window.
+    A file's total is summed over blocks of its chunk numbers and joined back by block, so a huge
+    file never meets itself in one task.
     """
-    first = replicas.groupBy(*CHUNK_KEY).agg(F.min_by("node", "rank").alias("node"))
-    totals = first.groupBy("filename").agg(F.count("*").alias("total_chunks"))
-    return first.join(totals, "filename").select(*CHUNK_KEY, "node", "total_chunks")
+    block = F.floor(F.col("chunk_no") / chunks_per_block).alias("block")
+    first = replicas.groupBy(*CHUNK_KEY).agg(F.min_by("node", "rank").alias("node")).select("*", block)
+    total = F.sum("n").over(Window.partitionBy("filename"))
+    totals = first.groupBy("filename", "block").agg(F.count("*").alias("n")).select(
+        "filename", "block", total.alias("total_chunks")
+    )
+    return first.join(totals, ["filename", "block"]).select(*CHUNK_KEY, "node", "total_chunks")
 
 
 def reassemble(chunks: DataFrame, totals: DataFrame, chunks_per_part: int = 4_096) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from holdfast.operators.chunks import CHUNK_KEY
 from holdfast.operators.running import BLOCK_ROWS, block_of
+from holdfast.session import staged
 
 _CARRIED, _REPORT, _REQUEST = 0, 1, 2
 
@@ -74,21 +75,25 @@ def rereplicate(replicas: DataFrame, nodes: DataFrame, dead: DataFrame) -> DataF
     """For each replica lost with a dead node: a live donor and the node to copy it to.
 
     The target is the node with most free space that does not hold the chunk yet; a second loss
-    of the same chunk takes the next one. Replicas without donor or target yield nothing. At most
-    one list length of nodes can be taken already and at most one more list length is asked for,
-    so twice the longest list of best nodes is all that can ever be needed.
+    of the same chunk takes the next one. Replicas without donor or target yield nothing.
+
+    The affected lists are written down first. No chunk can rule out or ask for more nodes than
+    its list is long, so twice the longest of those lists is all of the node table that can ever
+    be needed; it is found by a distributed top-k.
     """
-    gone = F.col("is_dead")
+    gone = F.coalesce(F.col("is_dead"), F.lit(False)).alias("gone")
     marked = replicas.join(dead.select("node", F.lit(True).alias("is_dead")), "node", "left")
     lists = (
         marked.groupBy(*CHUNK_KEY)
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "node", F.coalesce(gone, F.lit(False)).alias("gone")))).alias("holders"))
+        .agg(F.array_sort(F.collect_list(F.struct("rank", "node", gone))).alias("holders"))
         .where(F.exists("holders", lambda h: h["gone"]))
     )
-    longest = lists.agg(F.max(F.size("holders"))).scalar()
-    live = nodes.join(dead.select("node"), "node", "left_anti")
-    best = live.withColumn("place", F.row_number().over(Window.orderBy(F.desc("free_space"), F.asc("node"))))
-    targets = best.where(F.col("place") <= 2 * longest).agg(F.array_sort(F.collect_list(F.struct("place", "node")))).scalar()
+    lists = staged(lists, "affected-lists")
+    longest = lists.agg(F.max(F.size("holders"))).first()[0] or 1
+    best_first = [F.desc("free_space"), F.asc("node")]
+    live = nodes.join(dead.select("node"), "node", "left_anti").orderBy(*best_first).limit(2 * longest)
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("free_space")).alias("order"), "node")))
+    targets = live.agg(ordered).scalar()
     names = lambda holders, gone_wanted: F.transform(
         F.filter(holders, lambda h: h["gone"] == gone_wanted), lambda h: h["node"]
     )

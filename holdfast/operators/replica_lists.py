@@ -195,28 +195,31 @@ def spread_deaths(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Give each death to the chunks it can matter to, as an event on that chunk.
 
     Removing a node that is not listed changes nothing, so between two events that name a node on
-    a chunk only the first death of that node counts. Each (chunk, node) event therefore finds the
-    next death of its node: first within its own block of arrival numbers, else the first death of
-    a later block. Both look-ups are equi-joins on (node, block).
+    a chunk only the first death of that node counts. Each (chunk, node) event therefore looks for
+    the next death of its node: in its own block of arrival numbers, else in a later block. A
+    window never spans more than one block of a node, or the blocks of a node.
     """
-    named = events.where(F.col("kind") != "dead").select(
-        "chunk", "seq", F.explode(F.array_distinct("nodes")).alias("node"), block_of("seq", block_rows).alias("block")
-    )
+    on_chunk = events.where(F.col("kind") != "dead").select("chunk", "seq", "kind", "nodes")
+    none = F.lit(None).cast("bigint")
+    named = on_chunk.select("chunk", "seq", F.explode(F.array_distinct("nodes")).alias("node"), none.alias("death"))
     deaths = events.where(F.col("kind") == "dead").select(
-        F.col("seq").alias("death"), F.element_at("nodes", 1).alias("node"), block_of("seq", block_rows).alias("block")
+        none.alias("chunk"), "seq", F.element_at("nodes", 1).alias("node"), F.col("seq").alias("death")
     )
-    by_block = deaths.groupBy("node", "block").agg(F.array_sort(F.collect_list("death")).alias("deaths"))
-    blocks = named.select("node", "block").distinct().join(by_block, ["node", "block"], "full")
-    later = F.first(F.get("deaths", F.lit(0)), ignorenulls=True).over(
-        Window.partitionBy("node").orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    moments = named.unionByName(deaths).withColumn("block", block_of("seq", block_rows))
+    # newest first, so that "next" is a running value over the rows before
+    backwards = Window.partitionBy("node", "block").orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+    here = F.last("death", ignorenulls=True).over(backwards)
+    firsts = moments.groupBy("node", "block").agg(F.min("death").alias("first"))
+    later_blocks = Window.partitionBy("node").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    later = firsts.select("node", "block", F.last("first", ignorenulls=True).over(later_blocks).alias("later"))
+    found = (
+        moments.withColumn("here", here)
+        .where(F.col("chunk").isNotNull())
+        .join(later, ["node", "block"])
+        .select("chunk", F.coalesce("here", "later").alias("seq"), "node")
     )
-    lookup = blocks.select("node", "block", "deaths", later.alias("later"))
-    here = F.array_min(F.filter("deaths", lambda d: d > F.col("seq")))
-    found = named.join(lookup, ["node", "block"]).select("chunk", "node", F.coalesce(here, "later").alias("seq"))
     hits = found.where(F.col("seq").isNotNull()).distinct()
-    return events.where(F.col("kind") != "dead").select("chunk", "seq", "kind", "nodes").unionByName(
-        hits.select("chunk", "seq", F.lit("dead").alias("kind"), F.array("node").alias("nodes"))
-    )
+    return on_chunk.unionByName(hits.select("chunk", "seq", F.lit("dead").alias("kind"), F.array("node").alias("nodes")))
 
 
 def replica_map(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -117,9 +117,9 @@ def entry_peer(requests: DataFrame, peers: DataFrame, name: str) -> DataFrame:
 
 
 def files_per_peer(owned: DataFrame) -> DataFrame:
-    """Files of each peer with the peer's file count; counts are reduced first, then joined."""
+    """Files of each peer with the peer's file count: one count per peer, so at most 65,536."""
     counts = owned.groupBy("owner").agg(F.count("*").alias("files"))
-    return owned.join(counts, "owner")
+    return owned.join(F.broadcast(counts), "owner")
 
 
 def read_hits(requests: DataFrame, stored: DataFrame) -> DataFrame:

@@ -71,8 +71,10 @@ def latest_version(writes: DataFrame, key: str, seq: str, value: str, block_rows
     )
 
 
-def first_per_key(df: DataFrame, key: str, seq: str) -> DataFrame:
+def first_per_key(df: DataFrame, key: str, seq: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Status 1 for the first row of each key and 0 for later ones."""
-    first = df.groupBy(key).agg(F.min(seq).alias("_first"))
+    blocked = df.withColumn("_block", block_of(seq, block_rows))
+    first = F.min("_least").over(Window.partitionBy(key))
+    firsts = blocked.groupBy(key, "_block").agg(F.min(seq).alias("_least")).select(key, "_block", first.alias("_first"))
     status = F.when(F.col(seq) == F.col("_first"), 1).otherwise(0).cast("bigint")
-    return df.join(first, key).withColumn("status", status).drop("_first")
+    return blocked.join(firsts, [key, "_block"]).withColumn("status", status).drop("_first", "_block")

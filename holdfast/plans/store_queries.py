@@ -110,7 +110,7 @@ def dfs_recoverability(spark: SparkSession, sf: str) -> DataFrame:
 SELECT filename, chunk_no, arg_min(node, rank) AS node, count(*) OVER (PARTITION BY filename) AS total_chunks
 FROM copies GROUP BY filename, chunk_no"""))
 def dfs_read_plan(spark: SparkSession, sf: str) -> DataFrame:
-    return chunks.read_plan(st.replica_list(spark, sf))
+    return chunks.read_plan(st.replica_list(spark, sf), chunks_per_block=4)
 
 
 @query("dfs_reassembled", stmt(FILES, """
@@ -203,7 +203,7 @@ def dfs_upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
 @query("dfs_register_status", stmt(TRAFFIC, body="""
 SELECT seq, node, CAST(row_number() OVER (PARTITION BY node ORDER BY seq) = 1 AS BIGINT) AS status FROM hb"""))
 def dfs_register_status(spark: SparkSession, sf: str) -> DataFrame:
-    return running.first_per_key(st.heartbeats(spark, sf).select("seq", "node"), "node", "seq")
+    return running.first_per_key(st.heartbeats(spark, sf).select("seq", "node"), "node", "seq", BLOCK)
 
 
 _MAP = stmt(EVENTS, """

@@ -16,6 +16,7 @@ def build_session(app_name: str = "holdfast", cpus: str = "*", shuffle_partition
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
     )
