@@ -276,9 +276,9 @@ def ec_encode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _surviving_shards(spark: SparkSession, sf: str) -> DataFrame:
-    shards = erasure.encode(st.file_chunks(spark, sf))
-    fate = st.shard_list(spark, sf).where(~st.lost_shard()).select("filename", "chunk_no", "shard_no")
-    return shards.join(fate, ["filename", "chunk_no", "shard_no"], "left_semi")
+    doc_id = F.substring_index("filename", "/", -1).cast("bigint")
+    shards = erasure.encode(st.file_chunks(spark, sf)).withColumn("doc_id", doc_id)
+    return shards.where(~st.lost_shard()).drop("doc_id")
 
 
 @query("ec_decode", stmt(FILES, SHARDS, body="""
