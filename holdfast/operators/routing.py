@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions import ring as rx
 from holdfast.operators.ring import leaf_set
-from holdfast.session import cut_lineage
+from holdfast.session import cut_lineage, staged
 
 MAX_HOPS = 64
+HOPS_PER_CUT = 4
 
 
 def routing_table(peers: DataFrame) -> DataFrame:
@@ -64,25 +67,33 @@ def next_hop(pairs: DataFrame, state: DataFrame) -> DataFrame:
     return pairs.join(state, "peer").select(*pairs.columns, _next(F.col("peer"), F.col("key_int")).alias("next"))
 
 
+def _advance(under_way: DataFrame, state: DataFrame) -> DataFrame:
+    """One hop for every route; a route that has arrived stays where it is."""
+    stepped = next_hop(under_way.drop("arrived"), state)
+    here = F.col("next") == F.col("peer")
+    visited = F.when(here, F.col("visited")).otherwise(F.array_append("visited", F.col("next")))
+    return stepped.select("entry", "key_int", F.col("next").alias("peer"), visited.alias("visited"), here.alias("arrived"))
+
+
 def routes(starts: DataFrame, peers: DataFrame) -> DataFrame:
     """The whole way of each (entry, key): visited peers in order and their number.
 
     A route depends on its entry and key alone, so equal ones are walked once: at most 65,536 keys
     per entry however many files there are. Each hop is one equi-join for all routes still under
-    way; a checkpoint per hop keeps the plan short. Stops when all have arrived.
+    way. A checkpoint every few hops keeps the plan short, and the walk stops when all have
+    arrived.
     """
     spark = starts.sparkSession
-    state = cut_lineage(spark, peer_state(peers))
-    begun = starts.select(F.col("entry"), "key_int").distinct()
+    state = staged(peer_state(peers), "peer-state")
+    begun = starts.select("entry", "key_int").distinct()
     active = begun.select("entry", "key_int", F.col("entry").alias("peer"), F.array("entry").alias("visited"))
-    arrived: DataFrame | None = None
-    for _ in range(MAX_HOPS):
-        stepped = cut_lineage(spark, next_hop(active, state))
-        done = stepped.where(F.col("next") == F.col("peer")).select("entry", "key_int", F.col("peer").alias("owner"), "visited")
-        arrived = done if arrived is None else arrived.unionByName(done)
-        active = stepped.where(F.col("next") != F.col("peer")).select(
-            "entry", "key_int", F.col("next").alias("peer"), F.array_append("visited", F.col("next")).alias("visited")
-        )
+    arrived: list[DataFrame] = []
+    for _ in range(MAX_HOPS // HOPS_PER_CUT):
+        for _ in range(HOPS_PER_CUT):
+            active = _advance(active, state)
+        walked = cut_lineage(spark, active)
+        arrived.append(walked.where("arrived").select("entry", "key_int", F.col("peer").alias("owner"), "visited"))
+        active = walked.where(~F.col("arrived"))
         if active.isEmpty():
-            return arrived
+            return reduce(DataFrame.unionByName, arrived)
     raise RuntimeError(f"routes still under way after {MAX_HOPS} hops")

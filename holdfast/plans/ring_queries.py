@@ -186,22 +186,25 @@ asks AS (
     upper(CASE WHEN doc_id % 5 = 0 THEN reverse(key) ELSE lower(key) END) AS key FROM stored)"""
 
 
-def _asked(spark: SparkSession, sf: str) -> DataFrame:
-    return ring.assign(rt.read_requests(spark, sf), rt.peers(spark, sf)).select("request", "filename", "key", *_hex("owner"))
+def _asked_and_stored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    peers = rt.peers(spark, sf)
+    asked = ring.assign(rt.read_requests(spark, sf), peers).select("request", "filename", "key", *_hex("owner"))
+    stored = ring.assign(rt.stored_files(spark, sf), peers).select("filename", "key", *_hex("owner"))
+    return asked, stored
 
 
 @query("ring_read_hits", stmt(PEERS, FILES, _ASKS, owners("peers", "spots", "(SELECT CAST('0x' || key AS BIGINT) AS k FROM asks)"), body=f"""
 SELECT request, filename, key, {_h('owner')} AS owner FROM asks JOIN spots ON spots.k = CAST('0x' || key AS BIGINT)
 WHERE (filename, key) IN (SELECT (filename, key) FROM stored)"""))
 def ring_read_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return ring.read_hits(_asked(spark, sf), ring_owner(spark, sf))
+    return ring.read_hits(*_asked_and_stored(spark, sf))
 
 
 @query("ring_read_misses", stmt(PEERS, FILES, _ASKS, owners("peers", "spots", "(SELECT CAST('0x' || key AS BIGINT) AS k FROM asks)"), body=f"""
 SELECT request, filename, key, {_h('owner')} AS owner FROM asks JOIN spots ON spots.k = CAST('0x' || key AS BIGINT)
 WHERE (filename, key) NOT IN (SELECT (filename, key) FROM stored)"""))
 def ring_read_misses(spark: SparkSession, sf: str) -> DataFrame:
-    return ring.read_misses(_asked(spark, sf), ring_owner(spark, sf))
+    return ring.read_misses(*_asked_and_stored(spark, sf))
 
 
 @query("ring_entry_peer", stmt(PEERS, FILES, ENTRIES, body="SELECT filename, key, entry FROM starts"))
@@ -209,16 +212,17 @@ def ring_entry_peer(spark: SparkSession, sf: str) -> DataFrame:
     return ring.entry_peer(rt.stored_files(spark, sf), rt.peers(spark, sf), "filename").select("filename", "key", "entry")
 
 
-def _starts(spark: SparkSession, sf: str) -> DataFrame:
-    started = ring_entry_peer(spark, sf)
+def _starts(spark: SparkSession, sf: str, peers: DataFrame) -> DataFrame:
+    started = ring.entry_peer(rt.stored_files(spark, sf), peers, "filename")
     return started.select("filename", "key", rx.to_int(F.col("entry")).alias("entry"), rx.to_int(F.col("key")).alias("key_int"))
 
 
 @query("ring_next_hop", stmt(PEERS, FILES, ENTRIES, LEAVES, CELLS, "firsts AS (SELECT DISTINCT e AS peer, k FROM starts)", hops("firsts"), body=f"""
 SELECT filename, key, entry, {_h('nxt')} AS "next" FROM starts JOIN hop ON hop.peer = e AND hop.k = starts.k"""))
 def ring_next_hop(spark: SparkSession, sf: str) -> DataFrame:
-    asked = _starts(spark, sf).withColumnRenamed("entry", "peer")
-    answered = routing.next_hop(asked, routing.peer_state(rt.peers(spark, sf)))
+    peers = rt.peers(spark, sf)
+    asked = _starts(spark, sf, peers).withColumnRenamed("entry", "peer")
+    answered = routing.next_hop(asked, routing.peer_state(peers))
     return answered.select("filename", "key", rx.to_hex(F.col("peer")).alias("entry"), *_hex("next"))
 
 
@@ -233,8 +237,9 @@ walk(e, k, peer, trace, hops) AS (
 ended AS (SELECT e, k, arg_max(peer, hops) AS owner, arg_max(trace, hops) AS trace, max(hops) AS hops FROM walk GROUP BY e, k)""", body=f"""
 SELECT filename, key, entry, {_h('owner')} AS owner, trace, hops FROM starts JOIN ended USING (e, k)""").replace("WITH ", "WITH RECURSIVE ", 1))
 def ring_routes(spark: SparkSession, sf: str) -> DataFrame:
-    started = _starts(spark, sf)
-    walked = routing.routes(started, rt.peers(spark, sf))
+    peers = rt.peers(spark, sf)
+    started = _starts(spark, sf, peers)
+    walked = routing.routes(started, peers)
     way = F.concat(F.lit("StoreData-"), F.array_join(F.transform("visited", rx.to_hex), "-"))
     return started.join(walked, ["entry", "key_int"]).select(
         "filename", "key", *_hex("entry", "owner"), way.alias("trace"), F.size("visited").cast("bigint").alias("hops")

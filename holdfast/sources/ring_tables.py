@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import ring as rx
 from holdfast.operators import ring
+from holdfast.session import staged
 from holdfast.sources.tables import table
 
 
@@ -23,12 +24,13 @@ def registrations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def peers(spark: SparkSession, sf: str) -> DataFrame:
+    """Registered peers, at most 65,536, written down once because every ring job reads them often."""
     asked = table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("seq"), _peer_id("s_suppkey").alias("id"), F.col("s_name").alias("nickname"),
         F.concat(F.lit("host"), F.col("s_nationkey").cast("string")).alias("host"),
         (5000 + F.col("s_suppkey")).alias("port"),
     )
-    return ring.register(asked)
+    return staged(ring.register(asked), "peers")
 
 
 def newest(peers: DataFrame) -> Column:
