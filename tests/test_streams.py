@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from holdfast.operators import replica_lists
 from holdfast.session import fresh_path
