@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from holdfast.session import fresh_path
 
+SLICE_ROWS = 5_000_000
+
 
 def instant(naive: str) -> Column:
     """A zone-less time as a timestamp, read as UTC whatever the session zone is."""
@@ -18,7 +20,10 @@ def naive(moment: str) -> Column:
 
 
 def write_feed(rows: DataFrame, seq: str, path: str, slices: int = 3) -> None:
-    """Rows as files in arrival order, one append per slice of arrival numbers.
+    """Rows as files in arrival order: one file per slice of arrival numbers, one after the other.
+
+    However files are grouped into batches, a batch then never holds rows older than those of the
+    batch before it. A slice spans at most ``SLICE_ROWS`` arrival numbers, which bounds its file.
 
     The rows are computed once into a staging table; the slices are range scans of it.
     """
@@ -26,10 +31,12 @@ def write_feed(rows: DataFrame, seq: str, path: str, slices: int = 3) -> None:
     rows.write.parquet(staged)
     rows = rows.sparkSession.read.parquet(staged)
     low, high = rows.agg(F.min(seq), F.max(seq)).first()
+    slices = max(slices, -(-(high - low + 1) // SLICE_ROWS))
     step = (high - low) // slices + 1
     for i in range(slices):
         start = low + i * step
-        rows.where((F.col(seq) >= start) & (F.col(seq) < start + step)).write.mode("append").parquet(path)
+        part = rows.where((F.col(seq) >= start) & (F.col(seq) < start + step))
+        part.coalesce(1).write.mode("append").parquet(path)
 
 
 def open_feed(spark: SparkSession, path: str, files_per_batch: int = 8) -> DataFrame:
