@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from holdfast.llm import language, licenses, packing, quality, sharding, simhash, topk  # noqa: F401
+from holdfast.llm import decontaminate, language, licenses, packing, quality, sharding, simhash, substrings, topk  # noqa: F401
 from holdfast.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
