@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from holdfast.llm import decontaminate, language, licenses, packing, quality, sharding, simhash, substrings, topk  # noqa: F401
+import corpus_pipeline  # noqa: F401
+from holdfast.llm import decontaminate, language, licenses, mixing, packing, quality, sharding, simhash, substrings, topk  # noqa: F401
 from holdfast.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

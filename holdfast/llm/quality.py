@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,21 +143,27 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     return fit_in_task(features.limit(4 * sample_rows), fit_nbsvm)
 
 
+def quality_score(spark: SparkSession, model):
+    """A column function from texts to scores; a null text scores like an empty one."""
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        scaled, bias, ratio, slope, offset = sent.value
+        margins = (_margin(scaled, bias, ratio, indicators(utf8(text))) for text in texts)
+        return pd.Series([1 / (1 + math.exp(-min(max(slope * m + offset, -30.0), 30.0))) for m in margins], dtype="float64")
+
+    return score
+
+
 def score_quality(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, score, predicted)`` for every row of ``docs`` from its whole text; no shuffle.
 
     A null text scores like an empty one, by what the model says of no n-grams at all. Repeated rows score alike.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(rows):
-        scaled, bias, ratio, slope, offset = sent.value
-        for doc_id, text in rows:
-            margin = _margin(scaled, bias, ratio, indicators(utf8(text)))
-            score = 1 / (1 + math.exp(-min(max(slope * margin + offset, -30.0), 30.0)))
-            yield doc_id, score, int(score >= threshold)
-
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id bigint, score double, predicted int", run)
+    score = quality_score(docs.sparkSession, model)
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def trained_on_folds(spark: SparkSession, sf_dir: str):

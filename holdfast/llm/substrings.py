@@ -376,7 +376,7 @@ def removed_bytes(found: Anchors, marks: dict, answers: list, shards: int):
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, extra string"
 
 
-def _apply(shards: int, length: int, gram: int, keep: bool):
+def _apply(shards: int, length: int, gram: int, keep: str):
     def run(blocks, marks):
         import numpy as np
         import pandas as pd
@@ -393,20 +393,24 @@ def _apply(shards: int, length: int, gram: int, keep: bool):
                 mine = gone[lo:hi]
                 spans = int(mine[:1].sum()) + int((mine[1:] & ~mine[:-1]).sum())
                 kept = text[lo:hi][~mine].tobytes() if spans else found.text[lo:hi]
-                out.append((doc_id, hi - lo, int(mine.sum()), spans, kept if keep else hashlib.sha256(kept).hexdigest().encode(), more))
+                if keep == "digest":
+                    kept = hashlib.sha256(kept).hexdigest().encode()
+                elif keep == "text":
+                    kept = kept.decode("utf-8", "ignore").encode()
+                out.append((doc_id, hi - lo, int(mine.sum()), spans, kept, more))
         rows = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "extra"])
         return rows.astype({"doc_id": "Int64"})
 
     return run
 
 
-def remove_repeats(docs: DataFrame, extra: str | None = None, keep: bool = True, length: int = LENGTH, block_bytes: int = BLOCK_BYTES,
+def remove_repeats(docs: DataFrame, extra: str | None = None, keep: str = "bytes", length: int = LENGTH, block_bytes: int = BLOCK_BYTES,
                    shard_bytes: int = SHARD_BYTES, least_shards: int = LEAST_SHARDS, chunk: int = CHUNK, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept, extra)`` for every row of ``docs``.
 
     Each byte that lies in a string of ``length`` bytes which also starts in a row with a smaller doc_id is
-    removed; ``kept`` is the rest, as bytes, or with ``keep=False`` the hex digits of its SHA-256. Rows that
-    share a doc_id never remove from each other. A row without doc_id comes after all others. Null and short
+    removed; ``kept`` is the rest: its bytes, with ``keep="text"`` the whole characters among them, with
+    ``keep="digest"`` the hex digits of its SHA-256. Rows that share a doc_id never remove from each other. A row without doc_id comes after all others. Null and short
     texts keep all. ``extra`` names a string column that is handed through. An empty table gives no rows.
 
     ``length`` is at least GRAM + 8. Anchors that more than ``hot_blocks`` blocks have are looked up string by string.
@@ -430,5 +434,5 @@ def remove_repeats(docs: DataFrame, extra: str | None = None, keep: bool = True,
 
 @query("op8_suffix_array_dedup")
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"), keep=False).select(
+    return remove_repeats(table(spark, sf_dir, "documents"), keep="digest").select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").cast("string").alias("kept_sha256"))
