@@ -283,11 +283,30 @@ def _merge_sorted(lists, length: int):
 def earlier_strings(contents: list[bytes], keys, ids, length: int = LENGTH, chunk: int = CHUNK):
     """For each context, a bit for every string of it that another context has under a smaller doc_id.
 
-    Contexts are taken in the order of their keys, in chunks of about ``chunk`` that end where a key ends. A
-    key with more contexts than that has several chunks, whose strings are merged by binary search.
+    Equal contexts count once, by their smallest doc_id; under all others every string is an earlier one.
+    Contexts that are the only one of their key are done with that. The others are taken in the order of their
+    keys, in chunks of about ``chunk`` that end where a key ends. A key with more contexts than that has several
+    chunks, whose strings are merged by binary search.
     """
     import numpy as np
 
+    numbers: dict[bytes, int] = {}
+    same = np.fromiter((numbers.setdefault(c, i) for i, c in enumerate(contents)), dtype=np.int64, count=len(contents))
+    least = np.full(len(contents), LAST_ID, dtype=np.int64)
+    np.minimum.at(least, same, ids)
+    sizes = np.array([len(c) for c in contents], dtype=np.int64)
+    every = (np.uint64(1) << np.maximum(sizes - length + 1, 0).astype(np.uint64)) - np.uint64(1)
+    first = np.flatnonzero(same == np.arange(len(contents)))
+    _, family, many = np.unique(keys[first], return_inverse=True, return_counts=True)
+    first = first[many[family] > 1]
+    bits = np.zeros(len(contents), dtype=np.uint64)
+    bits[first] = _earlier_among([contents[i] for i in first.tolist()], keys[first], least[first], length, chunk)
+    return np.where(ids > least[same], every, bits[same])
+
+
+def _earlier_among(contents: list[bytes], keys, ids, length: int, chunk: int):
+    import numpy as np
+
     order = np.argsort(keys, kind="stable")
     sorted_keys = keys[order]
     bounds = np.append(np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1])), len(order)).tolist()

@@ -54,7 +54,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int, lanes: int =
     """Common prefix of each suffix with the one before it in ``order``, up to ``cap``, by Kasai's walk.
 
     The walk goes through the text and keeps all but one byte of the prefix it had one place before. It runs
-    on many stretches of the text in step; each of them starts without a prefix.
+    on many stretches of the text in step; each of them starts without a prefix. ``order`` may leave suffixes
+    in any order that agree in more than ``cap`` bytes; the prefix is kept only where that did no harm.
     """
     n = len(text)
     prefix = np.zeros(n, dtype=np.int32)
@@ -63,6 +64,9 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int, lanes: int =
     before = np.empty(n, dtype=np.int64)
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
+    place = np.empty(n + 1, dtype=np.int64)
+    place[order] = np.arange(n)
+    place[n] = -1
     padded = np.concatenate([text, np.zeros(cap + 16, np.uint8)])
     eight = np.ndarray((n + cap + 8,), dtype="<u8", buffer=padded.data, strides=(1,))
     stretch = -(-n // min(lanes, n))
@@ -81,7 +85,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int, lanes: int =
             have[going] = h
             going = going[(differ == 0) & (h < cap) & (h < n - np.maximum(p, q))]
         prefix[places] = have
-        have = np.maximum(have - 1, 0)
+        ordered = place[np.maximum(other, 0) + 1] < place[places + 1]
+        have = np.where((other >= 0) & ordered, np.maximum(have - 1, 0), 0)
         places = places + 1
         if places[-1] >= n:
             places, have = places[:-1], have[:-1]
