@@ -22,4 +22,5 @@ def fit_in_task(features: DataFrame, fit: Callable[[list[tuple]], object]) -> ob
     def run(rows):
         yield (pickle.dumps(fit(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1:])))),)
 
-    return pickle.loads(map_rows(features.repartition(1), "model binary", run).first()[0])
+    made = map_rows(features.repartition(1), "model binary", run).first()
+    return pickle.loads(made[0]) if made else fit([])  # Spark may run no task at all over no rows
