@@ -146,26 +146,31 @@ def read_plan(replicas: DataFrame, chunks_per_block: int = 1_000_000) -> DataFra
     return first.join(totals, ["filename", "block"]).select(*CHUNK_KEY, "node", "total_chunks")
 
 
-def reassemble(chunks: DataFrame, totals: DataFrame, chunks_per_part: int = 4_096) -> DataFrame:
+CHUNKS_PER_PART = 4_096
+
+
+def reassemble(chunks: DataFrame, totals: DataFrame, chunks_per_part: int = CHUNKS_PER_PART) -> DataFrame:
     """Join chunks back into files, for files whose chunks have all arrived.
 
     A file comes out as numbered parts of at most ``chunks_per_part`` chunks (256 MB at full chunk
     size), so a file of any size stays whole while no task has to hold more than one part. A file
-    of up to one part is one row.
+    of up to one part is one row. A chunk that was sent again counts once, by its number.
     """
-    have = chunks.groupBy("filename").agg(F.count("*").alias("received"))
+    have = chunks.select(*CHUNK_KEY).distinct().groupBy("filename").agg(F.count("*").alias("received"))
     done = have.join(totals, "filename").where(F.col("received") == F.col("total_chunks"))
     numbered = chunks.withColumn("part_no", F.floor(F.col("chunk_no") / chunks_per_part).cast("bigint"))
     parts = numbered.select("filename", "part_no").distinct().join(done.select("filename"), "filename")
     kept = numbered.join(parts, ["filename", "part_no"], "left_semi")
-    return kept.groupBy("filename", "part_no").agg(
+    once = F.row_number().over(Window.partitionBy("filename", "part_no", "chunk_no").orderBy("data"))
+    return kept.withColumn("_copy", once).where("_copy = 1").groupBy("filename", "part_no").agg(
         F.expr("listagg(data) WITHIN GROUP (ORDER BY chunk_no)").alias("data"), F.count("*").alias("n_chunks")
     )
 
 
 def recoverability(scrubbed: DataFrame) -> DataFrame:
     """Healthy replicas of each chunk and whether it can still be read."""
-    counted = scrubbed.groupBy(*CHUNK_KEY).agg(F.count_if(F.col("status") == "healthy").alias("healthy"))
+    healthy = F.when(F.col("status") == "healthy", F.col("node"))
+    counted = scrubbed.groupBy(*CHUNK_KEY).agg(F.size(F.collect_set(healthy)).cast("bigint").alias("healthy"))
     return counted.withColumn("recoverable", F.col("healthy") >= 1)
 
 

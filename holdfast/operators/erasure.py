@@ -121,9 +121,10 @@ def good_shards(shards: DataFrame, digests: DataFrame) -> DataFrame:
 
 
 def decode(shards: DataFrame) -> DataFrame:
-    """Chunks with at least six good shards, rebuilt; a chunk key never has more than nine rows."""
+    """Chunks with at least six different good shards, rebuilt; a shard that was sent again counts once."""
     grouped = (
-        shards.groupBy(*CHUNK_KEY)
+        shards.groupBy(*CHUNK_KEY, "shard_no").agg(F.min("data").alias("data"))
+        .groupBy(*CHUNK_KEY)
         .agg(F.collect_list(F.struct("shard_no", "data")).alias("shards"))
         .where(F.size("shards") >= DATA_SHARDS)
         .withColumn("shards", F.slice(F.array_sort("shards"), 1, DATA_SHARDS))
@@ -132,8 +133,8 @@ def decode(shards: DataFrame) -> DataFrame:
 
 
 def recoverability(shards: DataFrame) -> DataFrame:
-    """Good shards of each chunk and whether six of them are left."""
-    counted = shards.groupBy(*CHUNK_KEY).agg(F.count("*").alias("good_shards"))
+    """Different good shards of each chunk and whether six of them are left."""
+    counted = shards.select(*CHUNK_KEY, "shard_no").distinct().groupBy(*CHUNK_KEY).agg(F.count("*").alias("good_shards"))
     return counted.withColumn("recoverable", F.col("good_shards") >= DATA_SHARDS)
 
 

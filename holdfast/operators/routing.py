@@ -1,18 +1,11 @@
-"""Routing tables, next hops and whole routes on the key ring."""
+"""Routing tables of the key ring."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions import ring as rx
-from holdfast.operators.ring import leaf_set
-from holdfast.session import cut_lineage, staged
-
-MAX_HOPS = 64
-HOPS_PER_CUT = 4
 
 
 def routing_table(peers: DataFrame) -> DataFrame:
@@ -36,64 +29,3 @@ def routing_table(peers: DataFrame) -> DataFrame:
     return cells.select(
         "peer", "row_no", "prefix", rx.nearer(F.col("peer"), F.col("first"), F.col("last")).alias("target")
     )
-
-
-def peer_state(peers: DataFrame) -> DataFrame:
-    """What each peer knows: its neighbours and its cells (at most 60)."""
-    cells = routing_table(peers).groupBy("peer").agg(
-        F.map_from_entries(F.collect_list(F.struct("prefix", "target"))).alias("cells")
-    )
-    return leaf_set(peers).join(cells, "peer", "left")
-
-
-def _next(me: Column, key: Column) -> Column:
-    """Next hop as an expression over a peer's state."""
-    left, right, cells = F.col("left"), F.col("right"), F.col("cells")
-    me_hex, key_hex = rx.to_hex(me), rx.to_hex(key)
-    cell = F.try_element_at(cells, key_hex.substr(F.lit(1), rx.first_difference(key_hex, me_hex) + 1))
-    known = F.concat(F.coalesce(F.map_values(cells), F.array().cast("array<int>")), F.array(me, left, right))
-    best = F.array_min(F.transform(known, lambda p: rx.preference(key, p)))["peer"]
-    return (
-        F.when(left.isNull() | right.isNull(), me)
-        .when(rx.left_distance(me, key) < rx.left_distance(me, left), rx.nearer(key, me, left))
-        .when(rx.right_distance(me, key) < rx.right_distance(me, right), rx.nearer(key, me, right))
-        .when(cell.isNotNull(), cell)
-        .otherwise(best)
-    )
-
-
-def next_hop(pairs: DataFrame, state: DataFrame) -> DataFrame:
-    """The peer each (peer, key) pair is passed on to; the peer itself if it keeps the key."""
-    return pairs.join(state, "peer").select(*pairs.columns, _next(F.col("peer"), F.col("key_int")).alias("next"))
-
-
-def _advance(under_way: DataFrame, state: DataFrame) -> DataFrame:
-    """One hop for every route; a route that has arrived stays where it is."""
-    stepped = next_hop(under_way.drop("arrived"), state)
-    here = F.col("next") == F.col("peer")
-    visited = F.when(here, F.col("visited")).otherwise(F.array_append("visited", F.col("next")))
-    return stepped.select("entry", "key_int", F.col("next").alias("peer"), visited.alias("visited"), here.alias("arrived"))
-
-
-def routes(starts: DataFrame, peers: DataFrame) -> DataFrame:
-    """The whole way of each (entry, key): visited peers in order and their number.
-
-    A route depends on its entry and key alone, so equal ones are walked once: at most 65,536 keys
-    per entry however many files there are. Each hop is one equi-join for all routes still under
-    way. A checkpoint every few hops keeps the plan short, and the walk stops when all have
-    arrived.
-    """
-    spark = starts.sparkSession
-    state = staged(peer_state(peers), "peer-state")
-    begun = starts.select("entry", "key_int").distinct()
-    active = begun.select("entry", "key_int", F.col("entry").alias("peer"), F.array("entry").alias("visited"))
-    arrived: list[DataFrame] = []
-    for _ in range(MAX_HOPS // HOPS_PER_CUT):
-        for _ in range(HOPS_PER_CUT):
-            active = _advance(active, state)
-        walked = cut_lineage(spark, active)
-        arrived.append(walked.where("arrived").select("entry", "key_int", F.col("peer").alias("owner"), "visited"))
-        active = walked.where(~F.col("arrived"))
-        if active.isEmpty():
-            return reduce(DataFrame.unionByName, arrived)
-    raise RuntimeError(f"routes still under way after {MAX_HOPS} hops")

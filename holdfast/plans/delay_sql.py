@@ -38,11 +38,11 @@ flights AS (
 
 AIRPORTS = f"""
 airports AS (
-  SELECT {_CODES}[n_nationkey + 1] AS iata,
+  SELECT CASE WHEN n_nationkey = 24 THEN 'XNA' ELSE {_CODES}[n_nationkey + 1] END AS iata,
     n_name || CASE WHEN n_nationkey = 2 THEN ' Hartsfield, Main' ELSE ' Field' END AS airport,
     CASE WHEN n_nationkey = 19 THEN '' ELSE n_name END AS city,
     {_STATES}[n_nationkey + 1] AS state
-  FROM nation WHERE n_nationkey < 24),
+  FROM nation),
 continental AS (
   SELECT iata, airport || ', located in ' || city || ', ' || state AS label FROM airports
   WHERE length(state) = 2 AND state NOT IN ('HI','AK') AND airport <> '' AND city <> ''),

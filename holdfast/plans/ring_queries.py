@@ -9,7 +9,7 @@ from holdfast.functions import ring as rx
 from holdfast.operators import ring, routing
 from holdfast.plans.delay_sql import stmt
 from holdfast.plans.registry import query
-from holdfast.plans.ring_sql import CELLS, ENTRIES, FILES, LEAVES, OWNED, PEERS, hops, owners
+from holdfast.plans.ring_sql import CELLS, ENTRIES, FILES, LEAVES, OWNED, PEERS, owners
 from holdfast.sources import ring_tables as rt
 from holdfast.sources.tables import table
 
@@ -210,37 +210,3 @@ def ring_read_misses(spark: SparkSession, sf: str) -> DataFrame:
 @query("ring_entry_peer", stmt(PEERS, FILES, ENTRIES, body="SELECT filename, key, entry FROM starts"))
 def ring_entry_peer(spark: SparkSession, sf: str) -> DataFrame:
     return ring.entry_peer(rt.stored_files(spark, sf), rt.peers(spark, sf), "filename").select("filename", "key", "entry")
-
-
-def _starts(spark: SparkSession, sf: str, peers: DataFrame) -> DataFrame:
-    started = ring.entry_peer(rt.stored_files(spark, sf), peers, "filename")
-    return started.select("filename", "key", rx.to_int(F.col("entry")).alias("entry"), rx.to_int(F.col("key")).alias("key_int"))
-
-
-@query("ring_next_hop", stmt(PEERS, FILES, ENTRIES, LEAVES, CELLS, "firsts AS (SELECT DISTINCT e AS peer, k FROM starts)", hops("firsts"), body=f"""
-SELECT filename, key, entry, {_h('nxt')} AS "next" FROM starts JOIN hop ON hop.peer = e AND hop.k = starts.k"""))
-def ring_next_hop(spark: SparkSession, sf: str) -> DataFrame:
-    peers = rt.peers(spark, sf)
-    asked = _starts(spark, sf, peers).withColumnRenamed("entry", "peer")
-    answered = routing.next_hop(asked, routing.peer_state(peers))
-    return answered.select("filename", "key", rx.to_hex(F.col("peer")).alias("entry"), *_hex("next"))
-
-
-@query("ring_routes", stmt(PEERS, FILES, ENTRIES, LEAVES, CELLS,
-                           "everywhere AS (SELECT p AS peer, k FROM peers, (SELECT DISTINCT k FROM stored))", hops("everywhere"), """
-begun AS (SELECT DISTINCT e, k FROM starts),
-walk(e, k, peer, trace, hops) AS (
-  SELECT e, k, e, 'StoreData-' || upper(printf('%04x', e)), CAST(1 AS BIGINT) FROM begun
-  UNION ALL
-  SELECT w.e, w.k, h.nxt, w.trace || '-' || upper(printf('%04x', h.nxt)), w.hops + 1
-  FROM walk w JOIN hop h ON h.peer = w.peer AND h.k = w.k WHERE h.nxt <> w.peer AND w.hops < 64),
-ended AS (SELECT e, k, arg_max(peer, hops) AS owner, arg_max(trace, hops) AS trace, max(hops) AS hops FROM walk GROUP BY e, k)""", body=f"""
-SELECT filename, key, entry, {_h('owner')} AS owner, trace, hops FROM starts JOIN ended USING (e, k)""").replace("WITH ", "WITH RECURSIVE ", 1))
-def ring_routes(spark: SparkSession, sf: str) -> DataFrame:
-    peers = rt.peers(spark, sf)
-    started = _starts(spark, sf, peers)
-    walked = routing.routes(started, peers)
-    way = F.concat(F.lit("StoreData-"), F.array_join(F.transform("visited", rx.to_hex), "-"))
-    return started.join(walked, ["entry", "key_int"]).select(
-        "filename", "key", *_hex("entry", "owner"), way.alias("trace"), F.size("visited").cast("bigint").alias("hops")
-    )

@@ -43,31 +43,3 @@ listed AS (SELECT id, p, row_number() OVER (ORDER BY id) AS number, count(*) OVE
 starts AS (
   SELECT s.doc_id, s.filename, s.key, s.k, l.id AS entry, l.p AS e FROM stored s
   JOIN listed l ON l.number = CAST('0x' || substr(sha1(s.filename), 9, 8) AS BIGINT) % l.total + 1)"""
-
-
-def _pref(key: str, peer: str) -> str:
-    return f"(least(abs({key} - {peer}), 65536 - abs({key} - {peer}))*65536 + ({peer} - {key} + 65536) % 65536)"
-
-
-def hops(pairs: str) -> str:
-    """Next hop of every (peer, k) of a relation."""
-    return f"""
-wide AS (
-  SELECT q.peer, q.k, l."left" AS l, l."right" AS r, upper(printf('%04x', q.k)) AS kh, upper(printf('%04x', q.peer)) AS ph
-  FROM {pairs} q JOIN leaves l USING (peer)),
-indexed AS (
-  SELECT *, CASE WHEN kh[1] <> ph[1] THEN 0 WHEN kh[2] <> ph[2] THEN 1 WHEN kh[3] <> ph[3] THEN 2 WHEN kh[4] <> ph[4] THEN 3 ELSE 0 END AS i FROM wide),
-fallback AS (
-  SELECT w.peer, w.k, arg_min(o.other, {_pref('w.k', 'o.other')}) AS best FROM wide w JOIN (
-    SELECT peer, target AS other FROM cells UNION SELECT peer, "left" FROM leaves UNION SELECT peer, "right" FROM leaves
-    UNION SELECT peer, peer FROM leaves) o USING (peer) GROUP BY 1, 2),
-hop AS (
-  SELECT x.peer, x.k, CASE
-    WHEN l IS NULL THEN x.peer
-    WHEN (x.peer - x.k + 65536) % 65536 < (x.peer - l + 65536) % 65536
-      THEN CASE WHEN {_pref('x.k', 'x.peer')} <= {_pref('x.k', 'l')} THEN x.peer ELSE l END
-    WHEN x.peer <> x.k AND (x.k - x.peer + 65536) % 65536 < (r - x.peer + 65536) % 65536
-      THEN CASE WHEN {_pref('x.k', 'x.peer')} <= {_pref('x.k', 'r')} THEN x.peer ELSE r END
-    ELSE coalesce(c.target, f.best) END AS nxt
-  FROM indexed x JOIN fallback f ON f.peer = x.peer AND f.k = x.k
-  LEFT JOIN cells c ON c.peer = x.peer AND c.row_no = x.i AND c.prefix = substr(x.kh, 1, x.i + 1))"""

@@ -13,8 +13,14 @@ from holdfast.session import fresh_path
 from holdfast.sources import binary_files
 from holdfast.sources import store_tables as st
 
-# Small enough that the given data spans several blocks.
-BLOCK = 4_096
+BLOCK = running.BLOCK_ROWS
+# Bytes of a reassembled part, for the SQL twins.
+PART = chunks.CHUNKS_PER_PART * st.CHUNK_BYTES
+
+
+_PARTS = f"""SELECT filename, p AS part_no, CAST(octet_length(array_slice(data, p*{PART} + 1, (p + 1)*{PART})) AS BIGINT) AS n_bytes,
+  sha1(array_slice(data, p*{PART} + 1, (p + 1)*{PART})) AS sha1
+FROM files, unnest(range(0, (octet_length(data) + {PART - 1}) // {PART})) AS t(p)"""
 
 
 def _digest(df: DataFrame, *keep: str) -> DataFrame:
@@ -32,7 +38,7 @@ SELECT sha1(line) AS sha1, count(*) AS copies, CAST(octet_length(encode(any_valu
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1""")
 def src_binary_files(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "files")
-    binary_files.write_lines(st.table(spark, sf, "documents").select("text"), path, rows_per_file=100)
+    binary_files.write_lines(st.table(spark, sf, "documents").select("text"), path)
     lines = binary_files.lines(binary_files.read(spark, path))
     return lines.groupBy(F.sha1("line").alias("sha1")).agg(
         F.count("*").alias("copies"), F.max(F.octet_length("line")).cast("bigint").alias("n_bytes")
@@ -110,18 +116,17 @@ def dfs_recoverability(spark: SparkSession, sf: str) -> DataFrame:
 SELECT filename, chunk_no, arg_min(node, rank) AS node, count(*) OVER (PARTITION BY filename) AS total_chunks
 FROM copies GROUP BY filename, chunk_no"""))
 def dfs_read_plan(spark: SparkSession, sf: str) -> DataFrame:
-    return chunks.read_plan(st.replica_list(spark, sf), chunks_per_block=4)
+    return chunks.read_plan(st.replica_list(spark, sf))
 
 
 @query("dfs_reassembled", stmt(FILES, """
-lost AS (SELECT DISTINCT doc_id FROM chunks WHERE doc_id % 10 = 0 AND chunk_no = 1)""", body="""
-SELECT filename, p AS part_no, CAST(octet_length(array_slice(data, p*8192 + 1, (p + 1)*8192)) AS BIGINT) AS n_bytes,
-  sha1(array_slice(data, p*8192 + 1, (p + 1)*8192)) AS sha1
-FROM files, unnest(range(0, (octet_length(data) + 8191) // 8192)) AS t(p) WHERE doc_id NOT IN (SELECT doc_id FROM lost)"""))
+lost AS (SELECT DISTINCT doc_id FROM chunks WHERE doc_id % 10 = 0 AND chunk_no = 1)""", body=f"""
+{_PARTS} WHERE doc_id NOT IN (SELECT doc_id FROM lost)"""))
 def dfs_reassembled(spark: SparkSession, sf: str) -> DataFrame:
-    arrived = st.file_chunks(spark, sf).where(~((F.col("doc_id") % 10 == 0) & (F.col("chunk_no") == 1)))
+    kept = st.file_chunks(spark, sf).where(~((F.col("doc_id") % 10 == 0) & (F.col("chunk_no") == 1)))
+    arrived = kept.unionByName(kept.where((F.col("doc_id") + F.col("chunk_no")) % 3 == 0))  # some chunks are sent again
     totals = chunks.numbers(st.files(spark, sf), st.CHUNK_BYTES).groupBy("filename").agg(F.count("*").alias("total_chunks"))
-    return _digest(chunks.reassemble(arrived, totals, chunks_per_part=8), "filename", "part_no")
+    return _digest(chunks.reassemble(arrived, totals), "filename", "part_no")
 
 
 @query("dfs_node_inventory", stmt(FILES, REPLICAS, body="""
@@ -278,7 +283,9 @@ def ec_encode(spark: SparkSession, sf: str) -> DataFrame:
 def _surviving_shards(spark: SparkSession, sf: str) -> DataFrame:
     doc_id = F.substring_index("filename", "/", -1).cast("bigint")
     shards = erasure.encode(st.file_chunks(spark, sf)).withColumn("doc_id", doc_id)
-    return shards.where(~st.lost_shard()).drop("doc_id")
+    kept = shards.where(~st.lost_shard())
+    again = kept.where((F.col("doc_id") + F.col("shard_no")) % 4 == 0)  # some shards are sent again
+    return kept.unionByName(again).drop("doc_id")
 
 
 @query("ec_decode", stmt(FILES, SHARDS, body="""
@@ -289,19 +296,19 @@ def ec_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("ec_read_files", stmt(FILES, """
-broken AS (SELECT DISTINCT filename FROM chunks WHERE (doc_id*3 + chunk_no) % 5 > 3)""", body="""
-SELECT filename, CAST(octet_length(data) AS BIGINT) AS n_bytes, sha1(data) AS sha1 FROM files
-WHERE filename NOT IN (SELECT filename FROM broken)"""))
+broken AS (SELECT DISTINCT filename FROM chunks WHERE (doc_id*3 + chunk_no) % 5 > 3)""", body=f"""
+{_PARTS} WHERE filename NOT IN (SELECT filename FROM broken)"""))
 def ec_read_files(spark: SparkSession, sf: str) -> DataFrame:
     rebuilt = erasure.decode(_surviving_shards(spark, sf))
     totals = chunks.numbers(st.files(spark, sf), st.CHUNK_BYTES).groupBy("filename").agg(F.count("*").alias("total_chunks"))
-    return _digest(chunks.reassemble(rebuilt, totals), "filename")
+    return _digest(chunks.reassemble(rebuilt, totals), "filename", "part_no")
 
 
 @query("ec_recoverability", stmt(FILES, SHARDS, body="""
 SELECT filename, chunk_no, count(*) AS good_shards, count(*) >= 6 AS recoverable FROM kept GROUP BY filename, chunk_no"""))
 def ec_recoverability(spark: SparkSession, sf: str) -> DataFrame:
-    return erasure.recoverability(st.shard_list(spark, sf).where(~st.lost_shard()))
+    kept = st.shard_list(spark, sf).where(~st.lost_shard())
+    return erasure.recoverability(kept.unionByName(kept.where((F.col("doc_id") + F.col("shard_no")) % 4 == 0)))
 
 
 @query("ec_node_inventory", stmt(FILES, """

@@ -11,7 +11,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
 
 
-def write_lines(texts: DataFrame, path: str, rows_per_file: int) -> None:
+def write_lines(texts: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
     """Text rows as files of a bounded number of rows, each row ended by a newline."""
     texts.write.option("maxRecordsPerFile", rows_per_file).text(path)
 

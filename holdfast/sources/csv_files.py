@@ -11,15 +11,19 @@ from holdfast.sources.tables import FLIGHT_COLUMNS
 FLIGHT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in FLIGHT_COLUMNS])
 
 
-def read_flights(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """On-time CSV by position: commas always split, short lines get nulls, empty lines vanish."""
+def read_flights(spark: SparkSession, path: str) -> DataFrame:
+    """On-time CSV by position: commas always split, short lines get nulls, empty lines vanish.
+
+    A header is told by its year, which is no number, so files with and without one are read alike.
+    """
     return (
         spark.read.schema(FLIGHT_SCHEMA)
-        .option("header", header)
+        .option("header", False)
         .option("quote", "")
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", True)
         .csv(path)
+        .where(F.col("year").try_cast("int").isNotNull())
     )
 
 

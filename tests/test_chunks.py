@@ -99,3 +99,16 @@ def test_reassemble_needs_every_chunk_and_splits_long_files_into_parts(spark):
     assert [(r.filename, r.part_no, bytes(r.data)) for r in got] == [("a", 0, b"0123"), ("a", 1, b"4567"), ("a", 2, b"89")]
     whole = chunks.reassemble(arrived, totals).collect()
     assert [(r.filename, bytes(r.data)) for r in whole] == [("a", b"0123456789")]
+
+
+def test_a_resent_chunk_counts_once(spark):
+    rows = [("f", 0, bytearray(b"AA")), ("f", 0, bytearray(b"AA")), ("f", 2, bytearray(b"CC")), ("g", 0, bytearray(b"A")), ("g", 0, bytearray(b"A")), ("g", 1, bytearray(b"B"))]
+    arrived = spark.createDataFrame(rows, "filename string, chunk_no bigint, data binary")
+    totals = spark.createDataFrame([("f", 3), ("g", 2)], "filename string, total_chunks bigint")
+    assert [(r.filename, bytes(r.data), r.n_chunks) for r in chunks.reassemble(arrived, totals).collect()] == [("g", b"AB", 2)]
+
+
+def test_a_replica_that_is_listed_twice_is_one(spark):
+    rows = [("f", 0, 1, "healthy"), ("f", 0, 1, "healthy"), ("f", 0, 2, "corrupt")]
+    seen = spark.createDataFrame(rows, "filename string, chunk_no bigint, node bigint, status string")
+    assert [(r.healthy, r.recoverable) for r in chunks.recoverability(seen).collect()] == [(1, True)]

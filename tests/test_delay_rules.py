@@ -125,11 +125,18 @@ def test_flight_csv_header_short_and_empty_lines(spark, tmp_path):
     assert rows[1].month == '"1'
 
 
+def test_headerless_file_keeps_its_first_line(spark, tmp_path):
+    path = tmp_path / "flights"
+    path.mkdir()
+    (path / "a.csv").write_text("1999,1,2,3\n2000,1,2,3\n")
+    assert csv_files.read_flights(spark, str(path)).count() == 2
+
+
 def test_header_row_never_counts_even_when_read_as_data(spark, tmp_path):
     path = tmp_path / "flights"
     path.mkdir()
     (path / "a.csv").write_text(",".join(FLIGHT_COLUMNS) + "\n")
-    rows = csv_files.read_flights(spark, str(path), header=False)
+    rows = csv_files.read_flights(spark, str(path))
     assert delays.movements_by_year(rows).count() == 0
     assert delays.mean_delay_by_time(rows).count() == 0
     assert delays.weather_delays(rows).count() == 0

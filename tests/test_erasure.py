@@ -62,3 +62,12 @@ def test_overhead_of_full_chunks(spark):
 def test_defaults_are_the_full_sizes():
     assert (chunks.CHUNK_BYTES, chunks.SLICE_BYTES) == (65_536, 8_192)
     assert (erasure.DATA_SHARDS, erasure.TOTAL_SHARDS, erasure.HEADER_BYTES) == (6, 9, 4)
+
+
+def test_resent_shards_count_once(spark):
+    shards = erasure.encode(sample(spark))
+    five = shards.where("shard_no <= 5").unionByName(shards.where("shard_no = 2"))
+    assert erasure.decode(five).count() == 0
+    assert not any(r.recoverable for r in erasure.recoverability(five).collect())
+    six = shards.where("shard_no <= 6").unionByName(shards.where("shard_no in (1, 6)"))
+    assert erasure.decode(six).count() == sample(spark).count()

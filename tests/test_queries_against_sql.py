@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from holdfast.plans.catalog import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 # Nothing to find in the smallest data set.
@@ -17,16 +18,16 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, duck, sf_dir, name):
-    problems = compare(contract.queries()[name](spark, sf_dir), duck, contract.oracle_sql()[name])
+    problems = compare(QUERIES[name](spark, sf_dir), duck, ORACLES[name])
     if name in MAY_BE_EMPTY:
         problems = [p for p in problems if p != "no rows"]
     assert not problems
 
 
 def test_only_known_queries_lack_a_twin():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 

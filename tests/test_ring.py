@@ -67,20 +67,6 @@ def test_routing_cells_are_the_nearest_of_their_prefix(spark):
     assert {(c.peer, c.row_no, c.prefix): c.target for c in cells} == {k: best(k[0], v) for k, v in want.items()}
 
 
-@pytest.mark.parametrize("count", [1, 2, 3, 60])
-def test_routes_end_at_the_owner(spark, count):
-    rng = random.Random(count)
-    ids = rng.sample(range(65536), count)
-    starts = [(rng.choice(ids), rng.randrange(65536)) for _ in range(150)] + [(ids[0], p) for p in ids]
-    df = spark.createDataFrame(starts, "entry int, key_int int")
-    walked = routing.routes(df, peers(spark, *ids)).collect()
-    assert len(walked) == len(set(starts))
-    for r in walked:
-        assert r.owner == best(r.key_int, ids)
-        assert r.visited[0] == r.entry and r.visited[-1] == r.owner
-        assert len(set(r.visited)) == len(r.visited)
-
-
 def test_join_and_leave_moves_follow_the_owner_maps(spark):
     ids = random.Random(8).sample(range(65536), 12)
     keys = [f"{k:04X}" for k in random.Random(9).sample(range(65536), 500)]
