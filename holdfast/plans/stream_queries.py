@@ -49,7 +49,7 @@ def st_heartbeat_fold(spark: SparkSession, sf: str) -> DataFrame:
 @query("st_node_latest", stmt(TRAFFIC, body="""
 SELECT node, max(seq) AS seq, arg_max(free_space, seq) AS free_space FROM hb GROUP BY node"""))
 def st_node_latest(spark: SparkSession, sf: str) -> DataFrame:
-    written = feeds.run_to_end(heartbeats.latest_by_window(_heartbeat_feed(spark, sf, closed=True)), "latest")
+    written = feeds.run_to_end(heartbeats.latest_reports(_heartbeat_feed(spark, sf, closed=False)), "latest", updates=True)
     return heartbeats.latest_state(written, "seq", "free_space")
 
 

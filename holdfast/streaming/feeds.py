@@ -39,19 +39,30 @@ def write_feed(rows: DataFrame, seq: str, path: str, slices: int = 3) -> None:
         part.coalesce(1).write.mode("append").parquet(path)
 
 
-def open_feed(spark: SparkSession, path: str, files_per_batch: int = 8) -> DataFrame:
+def open_feed(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
     schema = spark.read.parquet(path).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def run_to_end(stream: DataFrame, name: str) -> DataFrame:
+def run_to_end(stream: DataFrame, name: str, updates: bool = False) -> DataFrame:
     """Process everything available into a file sink and return what was written.
 
     The file sink commits each batch exactly once, so a restart after a lost executor neither
-    repeats nor loses rows.
+    repeats nor loses rows. ``updates`` is for streams that send changed rows again: each batch has a
+    folder of its own, which a repeated batch replaces.
     """
     spark = stream.sparkSession
     out = fresh_path(spark, f"{name}-out")
+    if updates:
+        running = (
+            stream.writeStream.outputMode("update")
+            .foreachBatch(lambda rows, batch: rows.write.mode("overwrite").parquet(f"{out}/batch={batch}"))
+            .option("checkpointLocation", fresh_path(spark, f"{name}-state"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        running.awaitTermination()
+        return spark.read.schema(stream.schema).parquet(out).select(stream.columns)
     running = (
         stream.writeStream.format("parquet")
         .outputMode("append")

@@ -1,7 +1,7 @@
 """Node heartbeats as a stream: state per node and live intervals.
 
-A heartbeat row has ``node, seq, ts, kind, entry, free_space``; ``ts`` is the event time. Rows
-later than the watermark allows are dropped from the windowed jobs.
+A heartbeat row has ``node, seq, ts, kind, entry, free_space``; ``ts`` is the event time. Only the
+live intervals have a watermark; rows later than it allows are dropped there.
 """
 
 from __future__ import annotations
@@ -43,12 +43,12 @@ def fold_reports(heartbeats: DataFrame) -> DataFrame:
     )
 
 
-def latest_by_window(heartbeats: DataFrame, width: str = "6 hours") -> DataFrame:
-    """The last report of each node in each window, once the window has closed."""
-    timed = heartbeats.withWatermark("ts", LATENESS)
-    return timed.groupBy(F.window("ts", width), "node").agg(
-        F.max("seq").alias("seq"), F.max_by("free_space", "seq").alias("free_space")
-    ).select("node", "seq", "free_space")
+def latest_reports(heartbeats: DataFrame) -> DataFrame:
+    """The last report of each node so far, for an update stream; no report is too late to count.
+
+    State is one row per node, and tasks reduce what they read before it is sent on.
+    """
+    return heartbeats.groupBy("node").agg(F.max("seq").alias("seq"), F.max_by("free_space", "seq").alias("free_space"))
 
 
 def live_intervals(heartbeats: DataFrame, timeout: str) -> DataFrame:

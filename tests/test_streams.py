@@ -46,14 +46,13 @@ def test_liveness_intervals_close_after_the_timeout(spark):
     assert got == {(1, at(0), at(50), 2), (2, at(30), at(60), 1), (1, at(120), at(150), 1)}
 
 
-def test_rows_behind_the_watermark_are_dropped(spark):
+def test_a_late_report_is_the_current_one(spark):
     rows = beats(spark, [(1, 1000, "minor", 5), (2, 1001, "minor", 5), (1, 0, "minor", 9)])
     path = fresh_path(spark, "feed")
     feeds.write_feed(rows, "seq", path, 3)
-    heartbeats.closing_tick(rows, "3 DAYS").write.mode("append").parquet(path)
-    written = feeds.run_to_end(heartbeats.latest_by_window(feeds.open_feed(spark, path, 1)), "latest")
+    written = feeds.run_to_end(heartbeats.latest_reports(feeds.open_feed(spark, path, 1)), "latest", updates=True)
     got = {(r.node, r.free_space) for r in heartbeats.latest_state(written, "seq", "free_space").collect()}
-    assert got == {(1, 5), (2, 5)}
+    assert got == {(1, 9), (2, 5)}
 
 
 @pytest.mark.parametrize("slices", [1, 4])
