@@ -21,8 +21,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group; rows without doc_id stay."""
-    found = simhash.near_duplicates(docs)
+    """The document with the smallest doc_id of each near-duplicate group; rows without doc_id stay.
+
+    Near duplicates here have five-word shingles of similarity 0.8 or more, or fingerprints of them within two bits.
+    """
+    found = simhash.similar_documents(docs)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(
         docs.where("doc_id is null"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.common import map_rows, query, table, utf8
 from holdfast.llm.components import connected
+from holdfast.llm.shingles import similar_links
 from holdfast.session import staged
 
 BITS = 64
@@ -29,23 +30,27 @@ def _byte_counts():
     return np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def fingerprint(data: bytes, width: int, ones=None) -> int:
-    """SimHash of the word shingles of ``data`` (lower-cased here), as an unsigned integer."""
+def shingle_hashes(data: bytes, width: int):
+    """XXH64 of every word shingle of ``data`` (lower-cased here), repeats included; fewer words are one shingle."""
     import numpy as np
     import xxhash
 
-    ones = _byte_counts() if ones is None else ones
     words = data.lower().split()
-    if not words:
-        return 0
     joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
     if len(words) <= width:
-        return digest(joined, SEED)
+        return np.array([digest(joined, SEED)] if words else [], dtype="<u8")
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     starts = np.cumsum(sizes + 1) - sizes - 1
     ends = (starts + sizes)[width - 1:].tolist()
-    hashes = np.array([digest(joined[s:e], SEED) for s, e in zip(starts.tolist(), ends)], dtype="<u8")
+    return np.array([digest(joined[s:e], SEED) for s, e in zip(starts.tolist(), ends)], dtype="<u8")
+
+
+def majority_bits(hashes, ones=None) -> int:
+    """The bits that are set in over half of ``hashes``, as an unsigned integer; none for no hashes."""
+    import numpy as np
+
+    ones = _byte_counts() if ones is None else ones
     lanes = hashes.view(np.uint8).reshape(-1, 8)
     total = 0
     for lane in range(8):
@@ -56,6 +61,11 @@ def fingerprint(data: bytes, width: int, ones=None) -> int:
     return total
 
 
+def fingerprint(data: bytes, width: int, ones=None) -> int:
+    """SimHash of the word shingles of ``data``, as an unsigned integer."""
+    return majority_bits(shingle_hashes(data, width), ones)
+
+
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """``(doc_id, fp)`` for every row; ``fp`` holds the 64 bits as a signed long. No words: zero."""
 
@@ -138,6 +148,44 @@ def near_duplicates(docs: DataFrame, width: int = 3, budget: int = BUDGET, segme
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``(doc_id, fp, hashes, digest)``: fingerprint, sorted set of shingle hashes, and the set's own digest."""
+
+    def run(rows):
+        import numpy as np
+        import xxhash
+
+        ones = _byte_counts()
+        for doc_id, text in rows:
+            hashes = shingle_hashes(utf8(text), width)
+            value = majority_bits(hashes, ones)
+            members = np.unique(hashes).tobytes()
+            yield doc_id, value - (1 << 64) if value >> 63 else value, members, xxhash.xxh3_128_digest(members)
+
+    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id bigint, fp bigint, hashes binary, digest binary", run)
+
+
+def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``(doc_id, component_id)``: documents linked by fingerprints within two bits or by similar shingle sets.
+
+    Fingerprints and pigeonring chains find the close copies, whatever the size of their groups. Sets of similarity
+    0.8 differ in ten bits of 64, where no chain is a usable key; ``similar_links`` finds what the chains left apart.
+    Documents with the same set count once, by their smallest doc_id. Null and empty texts have the empty set in
+    common. Rows without a doc_id get a component but name none. Repeated rows stay. An empty table gives no rows.
+    """
+    marked = staged(shingle_sets(docs, width), "shingle-sets")
+    classes = staged(marked.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
+    sets = staged(
+        marked.join(classes.where("rep is not null"), (marked.digest == classes.digest) & (marked.doc_id == classes.rep), "inner")
+        .select("rep", "fp", "hashes", marked.digest).dropDuplicates(["rep", "digest"]).drop("digest"), "class-sets")
+    prints = staged(sets.groupBy("fp").agg(F.min("rep").alias("first")), "prints")
+    same = sets.join(prints, "fp").where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b"))
+    close = links(prints.select("fp", F.col("first").alias("rep"))).unionByName(same)
+    parts = connected(similar_links(sets, close, similarity), "a", "b")
+    named = classes.join(parts, classes.rep == parts.node, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    return marked.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
+
+
 @query("op2_simhash_near_dedup")
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
