@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.blocks import squeeze, unsqueeze
-from holdfast.llm.common import map_rows
+from holdfast.llm.common import map_rows, utf8
 from holdfast.llm.components import connected
 from holdfast.session import staged
 
+SEED = 42
 SLOT_BITS = 21
 PIECE_BITS = 17
 FAN_IN = 64
@@ -24,6 +25,29 @@ CROWD = 8
 ROUNDS = 4
 
 
+def shingle_hashes(data: bytes, width: int):
+    """XXH64 of every word shingle of ``data`` (lower-cased here), repeats included; fewer words are one shingle."""
+    import numpy as np
+    import xxhash
+
+    words = data.lower().split()
+    joined = b" ".join(words)
+    digest = xxhash.xxh64_intdigest
+    if len(words) <= width:
+        return np.array([digest(joined, SEED)] if words else [], dtype="<u8")
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    ends = (starts + sizes)[width - 1:].tolist()
+    return np.array([digest(joined[s:e], SEED) for s, e in zip(starts.tolist(), ends)], dtype="<u8")
+
+
+def shingle_set(text: str | None, width: int):
+    """The different hashes, sorted."""
+    import numpy as np
+
+    return np.unique(shingle_hashes(utf8(text), width))
+
+
 def _slots(hashes):
     import numpy as np
 
@@ -40,7 +64,7 @@ def _add_up(rows):
     return pd.DataFrame({"piece": [int(rows.piece.iloc[0])], "part": [int(rows.part.iloc[0])], "body": [squeeze(total)]})
 
 
-def slot_counts(sets: DataFrame):
+def slot_counts(texts: DataFrame, width: int):
     """How many sets have a member in each of ``2**SLOT_BITS`` slots: counted by task, added up in a tree."""
     import numpy as np
 
@@ -48,14 +72,14 @@ def slot_counts(sets: DataFrame):
         from pyspark import TaskContext
 
         counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
-        for (data,) in rows:
-            np.add.at(counts, _slots(np.frombuffer(data, dtype="<u8")), 1)
+        for (text,) in rows:
+            np.add.at(counts, _slots(shingle_set(text, width)), 1)
         for piece, part in enumerate(counts.reshape(-1, 1 << PIECE_BITS)):
             if part.any():
                 yield piece, TaskContext.get().partitionId(), squeeze(part)
 
     schema = "piece int, part int, body binary"
-    state = staged(map_rows(sets.select("hashes"), schema, run), "slots")
+    state = staged(map_rows(texts.select("text"), schema, run), "slots")
     top = state.agg(F.max("part")).first()[0]
     while top:
         top //= FAN_IN
@@ -67,28 +91,35 @@ def slot_counts(sets: DataFrame):
     return counts.reshape(-1)
 
 
-def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """``(key, rep, n)``: the rarest members of each set, as many as one of which a similar set must share."""
+def prefixes(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``(key, rep, part, n)``: the rarest members of each set, as many as one of which a similar set must share."""
     import numpy as np
 
-    counts = sets.sparkSession.sparkContext.broadcast(np.minimum(slot_counts(sets), (1 << 32) - 1).astype(np.uint32))
+    rare = np.minimum(slot_counts(texts, width), (1 << 32) - 1).astype(np.uint32)
+    counts = texts.sparkSession.sparkContext.broadcast(rare)
 
     def run(rows):
-        for rep, data in rows:
-            hashes = np.frombuffer(data, dtype="<u8")
+        for rep, part, text in rows:
+            hashes = shingle_set(text, width)
             n = len(hashes)
             if n:
                 first = np.lexsort((hashes, counts.value[_slots(hashes)]))[: n - math.ceil(similarity * n - 1e-9) + 1]
-                yield from ((key, rep, n) for key in hashes[first].view("<i8").tolist())
+                yield from ((key, rep, part, n) for key in hashes[first].view("<i8").tolist())
 
-    return map_rows(sets.select("rep", "hashes"), "key bigint, rep bigint, n bigint", run, chunk=20_000)
+    return map_rows(texts.select("rep", "part", "text"), "key bigint, rep bigint, part bigint, n int", run, chunk=20_000)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets have the similarity."""
+def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets have the similarity; only texts of some pair are hashed."""
     import numpy as np
 
-    held = sets.select("rep", "hashes")
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+
+    def hashed(rows):
+        for rep, text in rows:
+            yield rep, shingle_set(text, width).tobytes()
+
+    held = staged(map_rows(texts.join(wanted, "rep", "left_semi").select("rep", "text"), "rep bigint, hashes binary", hashed), "compared")
     both = (
         pairs.join(held.select(F.col("rep").alias("a"), F.col("hashes").alias("one")), "a")
         .join(held.select(F.col("rep").alias("b"), F.col("hashes").alias("other")), "b")
@@ -105,36 +136,38 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return map_rows(both, "a bigint, b bigint", run)
 
 
-def similar_links(sets: DataFrame, known: DataFrame, similarity: float, crowd: int = CROWD, rounds: int = ROUNDS) -> DataFrame:
+def similar_links(texts: DataFrame, known: DataFrame, width: int, similarity: float, crowd: int = CROWD, rounds: int = ROUNDS) -> DataFrame:
     """Links ``(a, b)`` that, with those ``known``, join exactly what pairs of this similarity would join.
 
-    ``sets`` has ``(rep, hashes)``, sorted and without repeats. Members with at most ``crowd`` sets compare those
-    of different components with each other. Larger groups compare all with one set of theirs a round, another
-    one each round. Copies are one component after that; what is still apart after ``rounds`` is compared in full.
+    ``texts`` has ``(rep, part, text)``; ``part`` is the component of ``rep`` by the known links. Members with at
+    most ``crowd`` texts compare those of different components with each other. Larger groups compare all with one
+    text of theirs a round, another one each round. Copies are one component after that; what is still apart
+    after ``rounds`` is compared in full.
     """
-    index = staged(prefixes(sets, similarity), "prefixes")
-    links = staged(known.select("a", "b"), "links")
+    index = staged(prefixes(texts, width, similarity), "prefixes")
+    links = known.select("a", "b")
     for turn in range(rounds + 1):
-        parts = staged(connected(links, "a", "b"), "parts")
-        placed = index.join(parts, index.rep == parts.node, "left").select(
-            "key", "rep", "n", F.coalesce("component", "rep").alias("part"))
-        groups = placed.groupBy("key").agg(
-            F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"),
-            F.min_by(F.struct("rep", "n", "part"), F.struct(F.xxhash64(F.lit(turn), "rep"), "rep")).alias("hub"),
-        ).where("low < high").select("key", "size", "hub")
-        index = staged(placed.join(groups, "key").select("key", "rep", "n", "part", "size", "hub"), "open")
-        small = index.where(F.col("size") <= (crowd if turn < rounds else 1 << 62))
+        apart = staged(index.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key"), "apart")
+        index = staged(index.join(apart, "key"), "open")
+        groups = index.groupBy("key").agg(
+            F.count("*").alias("size"), F.min_by(F.struct("rep", "n", "part"), F.struct(F.xxhash64(F.lit(turn), "rep"), "rep")).alias("hub"))
+        grouped = staged(index.join(groups, "key"), "groups")
+        crowded = grouped.where(F.col("size") > crowd)
+        small = grouped.where(F.col("size") <= crowd) if turn < rounds else grouped
         a, b = small.alias("a"), small.alias("b")
-        fits = F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n") - 1e-9
-        pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.part") != F.col("b.part")) & fits).select(
-            F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
-        crowded = index.where(F.col("size") > crowd)
+        pairs = a.join(
+            b,
+            (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.part") != F.col("b.part"))
+            & (F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n") - 1e-9),
+        ).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
         if turn < rounds:
             spokes = crowded.where((F.col("part") != F.col("hub.part")) & (F.least("n", "hub.n") >= similarity * F.greatest("n", "hub.n") - 1e-9))
             pairs = pairs.unionByName(spokes.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")))
-        found = staged(verified(pairs.distinct(), sets, similarity), "found")
+        found = staged(verified(staged(pairs.distinct(), "pairs"), texts, width, similarity), "found")
         links = links.unionByName(found)
         if turn == rounds or crowded.isEmpty():
             break
-        index = staged(crowded.select("key", "rep", "n"), "prefixes")
+        parts = staged(connected(links, "a", "b"), "parts")
+        left = crowded.select("key", "rep", "n").join(parts, F.col("rep") == F.col("node"), "left")
+        index = staged(left.select("key", "rep", F.coalesce("component", "rep").alias("part"), "n"), "crowded")
     return links

@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.common import map_rows, query, table, utf8
 from holdfast.llm.components import connected
-from holdfast.llm.shingles import similar_links
+from holdfast.llm.shingles import shingle_hashes, similar_links
 from holdfast.session import staged
 
 BITS = 64
-SEED = 42
 SEGMENTS = 16
 BUDGET = 2
 DENSE = 512
@@ -30,22 +29,6 @@ def _byte_counts():
     return np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def shingle_hashes(data: bytes, width: int):
-    """XXH64 of every word shingle of ``data`` (lower-cased here), repeats included; fewer words are one shingle."""
-    import numpy as np
-    import xxhash
-
-    words = data.lower().split()
-    joined = b" ".join(words)
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= width:
-        return np.array([digest(joined, SEED)] if words else [], dtype="<u8")
-    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    starts = np.cumsum(sizes + 1) - sizes - 1
-    ends = (starts + sizes)[width - 1:].tolist()
-    return np.array([digest(joined[s:e], SEED) for s, e in zip(starts.tolist(), ends)], dtype="<u8")
-
-
 def majority_bits(hashes, ones=None) -> int:
     """The bits that are set in over half of ``hashes``, as an unsigned integer; none for no hashes."""
     import numpy as np
@@ -148,8 +131,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, budget: int = BUDGET, segme
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, fp, hashes, digest)``: fingerprint, sorted set of shingle hashes, and the set's own digest."""
+def set_digests(docs: DataFrame, width: int) -> DataFrame:
+    """``(doc_id, fp, digest)``: the fingerprint, and a digest that is equal where the shingle sets are."""
 
     def run(rows):
         import numpy as np
@@ -159,10 +142,9 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
         for doc_id, text in rows:
             hashes = shingle_hashes(utf8(text), width)
             value = majority_bits(hashes, ones)
-            members = np.unique(hashes).tobytes()
-            yield doc_id, value - (1 << 64) if value >> 63 else value, members, xxhash.xxh3_128_digest(members)
+            yield doc_id, value - (1 << 64) if value >> 63 else value, xxhash.xxh3_128_digest(np.unique(hashes).tobytes())
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id bigint, fp bigint, hashes binary, digest binary", run)
+    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id bigint, fp bigint, digest binary", run)
 
 
 def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -173,17 +155,19 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8)
     Documents with the same set count once, by their smallest doc_id. Null and empty texts have the empty set in
     common. Rows without a doc_id get a component but name none. Repeated rows stay. An empty table gives no rows.
     """
-    marked = staged(shingle_sets(docs, width), "shingle-sets")
-    classes = staged(marked.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    sets = staged(
-        marked.join(classes.where("rep is not null"), (marked.digest == classes.digest) & (marked.doc_id == classes.rep), "inner")
-        .select("rep", "fp", "hashes", marked.digest).dropDuplicates(["rep", "digest"]).drop("digest"), "class-sets")
-    prints = staged(sets.groupBy("fp").agg(F.min("rep").alias("first")), "prints")
-    same = sets.join(prints, "fp").where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b"))
-    close = links(prints.select("fp", F.col("first").alias("rep"))).unionByName(same)
-    parts = connected(similar_links(sets, close, similarity), "a", "b")
-    named = classes.join(parts, classes.rep == parts.node, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    return marked.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
+    marked = staged(set_digests(docs, width), "digests")
+    classes = staged(marked.groupBy("digest", "fp").agg(F.min("doc_id").alias("rep")), "classes")
+    known = classes.where("rep is not null")
+    prints = staged(known.groupBy("fp").agg(F.min("rep").alias("first")), "prints")
+    same = known.join(prints, "fp").where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b"))
+    close = staged(links(prints.select("fp", F.col("first").alias("rep"))).unionByName(same), "close")
+    parts = connected(close, "a", "b")
+    reps = staged(known.select("rep").distinct().join(parts, F.col("rep") == F.col("node"), "left").select(
+        "rep", F.coalesce("component", "rep").alias("part")), "parts")
+    texts = staged(docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(reps, "rep").select("rep", "part", "text"), "class-texts")
+    parts = connected(similar_links(texts, close, width, similarity), "a", "b")
+    named = classes.join(parts, classes.rep == parts.node, "left").select("digest", "fp", F.coalesce("component", "rep").alias("component_id"))
+    return marked.join(named, ["digest", "fp"]).select("doc_id", "component_id")
 
 
 @query("op2_simhash_near_dedup")

@@ -63,9 +63,9 @@ def test_no_link_is_lost_without_fingerprints(spark, crowd, rounds):
 
     texts = {i: t for i, t in edited_texts().items() if t}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    sets = simhash.shingle_sets(docs, 5).selectExpr("doc_id as rep", "hashes")
+    texts_ = docs.selectExpr("doc_id as rep", "doc_id as part", "text")
     none = spark.createDataFrame([], "a long, b long")
-    parts = {r.node: r.component for r in connected(similar_links(sets, none, 0.8, crowd, rounds), "a", "b").collect()}
+    parts = {r.node: r.component for r in connected(similar_links(texts_, none, 5, 0.8, crowd, rounds), "a", "b").collect()}
     assert {i: parts.get(i, i) for i in texts} == groups_by_brute_force(texts)
 
 
