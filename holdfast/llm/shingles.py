@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.blocks import squeeze, unsqueeze
@@ -92,7 +92,10 @@ def slot_counts(texts: DataFrame, width: int):
 
 
 def prefixes(texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """``(key, rep, part, n)``: the rarest members of each set, as many as one of which a similar set must share."""
+    """``(key, rep, part, n, pos)``: the rarest members of each set, as many as one of which a similar set must share.
+
+    ``pos`` is the member's place in the order, from 0, and ``n`` the size of the set.
+    """
     import numpy as np
 
     rare = np.minimum(slot_counts(texts, width), (1 << 32) - 1).astype(np.uint32)
@@ -104,9 +107,9 @@ def prefixes(texts: DataFrame, width: int, similarity: float) -> DataFrame:
             n = len(hashes)
             if n:
                 first = np.lexsort((hashes, counts.value[_slots(hashes)]))[: n - math.ceil(similarity * n - 1e-9) + 1]
-                yield from ((key, rep, part, n) for key in hashes[first].view("<i8").tolist())
+                yield from ((key, rep, part, n, pos) for pos, key in enumerate(hashes[first].view("<i8").tolist()))
 
-    return map_rows(texts.select("rep", "part", "text"), "key bigint, rep bigint, part bigint, n int", run, chunk=20_000)
+    return map_rows(texts.select("rep", "part", "text"), "key bigint, rep bigint, part bigint, n int, pos int", run, chunk=20_000)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -136,21 +139,32 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
     return map_rows(both, "a bigint, b bigint", run)
 
 
+def _may_be_first(n: Column, pos: Column, n_: Column, pos_: Column, similarity: float) -> Column:
+    """Whether two similar sets may have their first common member at these places: enough is left in both."""
+    return F.least(n - pos, n_ - pos_) >= similarity / (1 + similarity) * (n + n_) - 1e-9
+
+
 def similar_links(texts: DataFrame, known: DataFrame, width: int, similarity: float, crowd: int = CROWD, rounds: int = ROUNDS) -> DataFrame:
     """Links ``(a, b)`` that, with those ``known``, join exactly what pairs of this similarity would join.
 
     ``texts`` has ``(rep, part, text)``; ``part`` is the component of ``rep`` by the known links. Members with at
     most ``crowd`` texts compare those of different components with each other. Larger groups compare all with one
     text of theirs a round, another one each round. Copies are one component after that; what is still apart
-    after ``rounds`` is compared in full.
+    after ``rounds`` is compared in full. Pairs meet at their first common member: it must leave enough of both
+    sets, which texts that share one common passage fail. A member past that place in a text needs a smaller partner.
     """
+    share = similarity / (1 + similarity)
+    lesser = F.col("n") - F.col("pos") >= 2 * share * F.col("n") - 1e-9
     index = staged(prefixes(texts, width, similarity), "prefixes")
     links = known.select("a", "b")
     for turn in range(rounds + 1):
-        apart = staged(index.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key"), "apart")
-        index = staged(index.join(apart, "key"), "open")
+        apart = staged(index.groupBy("key").agg(
+            F.min("part").alias("low"), F.max("part").alias("high"), F.min(F.when(lesser, F.col("n"))).alias("least_n"),
+        ).where("low < high").select("key", "least_n"), "apart")
+        partner = (F.col("n") - F.col("pos")) / share - F.col("n") + 1e-9
+        index = staged(index.join(apart, "key").where(lesser | (F.col("least_n") <= partner)).drop("least_n"), "open")
         groups = index.groupBy("key").agg(
-            F.count("*").alias("size"), F.min_by(F.struct("rep", "n", "part"), F.struct(F.xxhash64(F.lit(turn), "rep"), "rep")).alias("hub"))
+            F.count("*").alias("size"), F.min_by(F.struct("rep", "n", "pos", "part"), F.struct(F.xxhash64(F.lit(turn), "rep"), "rep")).alias("hub"))
         grouped = staged(index.join(groups, "key"), "groups")
         crowded = grouped.where(F.col("size") > crowd)
         small = grouped.where(F.col("size") <= crowd) if turn < rounds else grouped
@@ -158,16 +172,16 @@ def similar_links(texts: DataFrame, known: DataFrame, width: int, similarity: fl
         pairs = a.join(
             b,
             (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.part") != F.col("b.part"))
-            & (F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n") - 1e-9),
+            & _may_be_first(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), similarity),
         ).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
         if turn < rounds:
-            spokes = crowded.where((F.col("part") != F.col("hub.part")) & (F.least("n", "hub.n") >= similarity * F.greatest("n", "hub.n") - 1e-9))
+            spokes = crowded.where((F.col("part") != F.col("hub.part")) & _may_be_first(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), similarity))
             pairs = pairs.unionByName(spokes.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")))
         found = staged(verified(staged(pairs.distinct(), "pairs"), texts, width, similarity), "found")
         links = links.unionByName(found)
         if turn == rounds or crowded.isEmpty():
             break
         parts = staged(connected(links, "a", "b"), "parts")
-        left = crowded.select("key", "rep", "n").join(parts, F.col("rep") == F.col("node"), "left")
-        index = staged(left.select("key", "rep", F.coalesce("component", "rep").alias("part"), "n"), "crowded")
+        left = crowded.select("key", "rep", "n", "pos").join(parts, F.col("rep") == F.col("node"), "left")
+        index = staged(left.select("key", "rep", F.coalesce("component", "rep").alias("part"), "n", "pos"), "crowded")
     return links
