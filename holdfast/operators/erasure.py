@@ -120,6 +120,18 @@ def good_shards(shards: DataFrame, digests: DataFrame) -> DataFrame:
     return checked.where(F.col("found") == F.col("sha1")).select(*key, "data")
 
 
+def scrub(digests: DataFrame, stored: DataFrame) -> DataFrame:
+    """Each shard of ``digests`` as healthy, corrupt or missing, by the digest of the bytes that are stored.
+
+    A shard that is stored more than once is healthy if one copy is. Only digests are shuffled.
+    """
+    key = [*CHUNK_KEY, "shard_no"]
+    found = stored.select(*key, F.sha1("data").alias("found"))
+    sound = F.coalesce(F.bool_or(F.col("found") == F.col("sha1")), F.lit(False))
+    status = F.when(sound, "healthy").when(F.count("found") > 0, "corrupt").otherwise("missing")
+    return digests.select(*key, "sha1").join(found, key, "left").groupBy(*key).agg(status.alias("status"))
+
+
 def decode(shards: DataFrame) -> DataFrame:
     """Chunks with at least six different good shards, rebuilt; a shard that was sent again counts once."""
     grouped = (

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.operators.chunks import CHUNK_KEY
+from holdfast.operators.ranking import top_k_per_group
 from holdfast.operators.running import BLOCK_ROWS, block_of
 from holdfast.session import staged
 
@@ -37,25 +38,47 @@ def _placer(k: int):
     return place
 
 
+# Aligned spans of blocks: number ``span`` of ``level`` holds the blocks ``span * 2**level`` up to the next one.
+# Of each level, the first and the last span inside ``lo .. hi`` count where the span twice as long reaches out.
+_SPANS = """
+flatten(transform(sequence(0, CAST(floor(log2(hi - lo + 1)) AS INT) + 1), l -> filter(
+  array_distinct(array(
+    named_struct('level', l, 'span', shiftright(lo + shiftleft(1L, l) - 1, l)),
+    named_struct('level', l, 'span', shiftright(hi + 1, l) - 1))),
+  s -> shiftleft(s.span, l) >= lo AND shiftleft(s.span + 1, l) <= hi + 1
+    AND NOT (shiftleft(shiftright(s.span, 1), l + 1) >= lo AND shiftleft(shiftright(s.span, 1) + 1, l + 1) <= hi + 1))))"""
+
+
+def quiet_spans(held: DataFrame) -> DataFrame:
+    """Rows with ``lo`` and ``hi``, once for each of the few aligned spans that make up that range of blocks."""
+    return held.where("lo <= hi").withColumn("_s", F.explode(F.expr(_SPANS))).select(
+        F.col("_s.level").alias("level"), F.col("_s.span").alias("span"), *[c for c in held.columns if c not in ("lo", "hi")])
+
+
 def place(requests: DataFrame, reports: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The ``k`` nodes with most free space as last reported before each request, ranked.
 
     Requests that arrive before ``k`` nodes have reported get no rows. Arrival numbers are shared
-    by requests and reports and cut the history into blocks of bounded size; each block starts
-    from the last report of every node before it, so blocks are independent.
+    by requests and reports and cut the history into blocks of bounded size; blocks are independent.
+    A block starts from what was last reported by the nodes that report in it, and from the best
+    ``k`` of the others: the blocks a node is quiet for are cut into aligned spans, each span keeps
+    its best ``k``, and a block looks into the one span of each length that it lies in.
     """
     seen = reports.select(block_of("seq", block_rows).alias("block"), "seq", "node", "free_space")
     last = seen.groupBy("node", "block").agg(F.max_by("free_space", "seq").alias("free_space"))
     asked = requests.select(block_of("seq", block_rows).alias("block"), "seq")
     end = asked.agg(F.max("block")).scalar()
     following = F.lead("block").over(Window.partitionBy("node").orderBy("block"))
-    until = F.least(F.coalesce(following, end), end)
-    carried = (
-        last.withColumn("until", until)
-        .where(F.col("until") > F.col("block"))
-        .select(F.explode(F.sequence(F.col("block") + 1, F.col("until"))).alias("block"), "node", "free_space")
-        .select("block", F.lit(_CARRIED).alias("kind"), F.lit(-1).cast("bigint").alias("seq"), "node", "free_space")
-    )
+    held = last.withColumn("following", following)
+    again = held.where("following is not null").select(F.col("following").alias("block"), "node", "free_space")
+    quiet = held.select(
+        (F.col("block") + 1).alias("lo"), F.least(F.col("following") - 1, end).alias("hi"), "node", "free_space")
+    best = top_k_per_group(quiet_spans(quiet), ["level", "span"], k, F.desc("free_space"), F.asc("node"))
+    levels = F.sequence(F.lit(0), F.floor(F.log2(end + 1)).cast("int") + 1)
+    inside = asked.select("block").distinct().withColumn("level", F.explode(levels)).withColumn("span", F.expr("shiftright(block, level)"))
+    idle = inside.join(best, ["level", "span"]).select("block", "node", "free_space")
+    carried = again.unionByName(idle).select(
+        "block", F.lit(_CARRIED).alias("kind"), F.lit(-1).cast("bigint").alias("seq"), "node", "free_space")
     none = F.lit(0).cast("bigint")
     steps = carried.unionByName(seen.withColumn("kind", F.lit(_REPORT))).unionByName(
         asked.select("block", "seq", F.lit(_REQUEST).alias("kind"), none.alias("node"), none.alias("free_space"))
@@ -77,17 +100,15 @@ def rereplicate(replicas: DataFrame, nodes: DataFrame, dead: DataFrame) -> DataF
     The target is the node with most free space that does not hold the chunk yet; a second loss
     of the same chunk takes the next one. Replicas without donor or target yield nothing.
 
-    The affected lists are written down first. No chunk can rule out or ask for more nodes than
+    Only chunks with a replica on a dead node are grouped. Their lists are written down first. No chunk can rule out or ask for more nodes than
     its list is long, so twice the longest of those lists is all of the node table that can ever
     be needed; it is found by a distributed top-k.
     """
     gone = F.coalesce(F.col("is_dead"), F.lit(False)).alias("gone")
-    marked = replicas.join(dead.select("node", F.lit(True).alias("is_dead")), "node", "left")
-    lists = (
-        marked.groupBy(*CHUNK_KEY)
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "node", gone))).alias("holders"))
-        .where(F.exists("holders", lambda h: h["gone"]))
-    )
+    fallen = dead.select("node").distinct()
+    affected = staged(replicas.join(fallen, "node", "left_semi").select(*CHUNK_KEY).distinct(), "affected-chunks")
+    marked = replicas.join(affected, CHUNK_KEY, "left_semi").join(fallen.withColumn("is_dead", F.lit(True)), "node", "left")
+    lists = marked.groupBy(*CHUNK_KEY).agg(F.array_sort(F.collect_list(F.struct("rank", "node", gone))).alias("holders"))
     lists = staged(lists, "affected-lists")
     longest = lists.agg(F.max(F.size("holders"))).first()[0] or 1
     best_first = [F.desc("free_space"), F.asc("node")]

@@ -12,7 +12,7 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return first.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
-def top_k_per_group(df: DataFrame, group: str, k: int, *order: Column) -> DataFrame:
+def top_k_per_group(df: DataFrame, group: str | list[str], k: int, *order: Column) -> DataFrame:
     """The first ``k`` rows of each group; Spark prunes to ``k`` per task before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return df.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= k)

@@ -16,7 +16,7 @@ from holdfast.operators.running import first_per_key
 
 def register(requests: DataFrame, seq: str = "seq") -> DataFrame:
     """The first request for an identifier gets it."""
-    return first_per_key(requests, "id", seq).where(F.col("status") == 1).drop("status")
+    return requests.groupBy("id").agg(F.min_by(F.struct(*requests.columns), seq).alias("first")).select("first.*")
 
 
 def conflicts(requests: DataFrame, seq: str = "seq") -> DataFrame:

@@ -71,10 +71,10 @@ def latest_version(writes: DataFrame, key: str, seq: str, value: str, block_rows
     )
 
 
-def first_per_key(df: DataFrame, key: str, seq: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Status 1 for the first row of each key and 0 for later ones."""
-    blocked = df.withColumn("_block", block_of(seq, block_rows))
-    first = F.min("_least").over(Window.partitionBy(key))
-    firsts = blocked.groupBy(key, "_block").agg(F.min(seq).alias("_least")).select(key, "_block", first.alias("_first"))
-    status = F.when(F.col(seq) == F.col("_first"), 1).otherwise(0).cast("bigint")
-    return blocked.join(firsts, [key, "_block"]).withColumn("status", status).drop("_first", "_block")
+def first_per_key(df: DataFrame, key: str, seq: str) -> DataFrame:
+    """Status 1 for the first row of each key and 0 for later ones.
+
+    The keys are reduced map-side; the first rows are then found by their unique arrival number, so no key fills a task.
+    """
+    firsts = df.groupBy(key).agg(F.min(seq).alias(seq)).select(seq, F.lit(1).cast("bigint").alias("_first"))
+    return df.join(firsts, seq, "left").select(*df.columns, F.coalesce("_first", F.lit(0).cast("bigint")).alias("status"))

@@ -10,7 +10,7 @@ from holdfast.operators import delays, places, ranking, reports
 from holdfast.plans.delay_sql import (
     AIRPORTS, CARRIER_TOTALS, CARRIERS, COASTS, ENDS, FLIGHTS, LATE, LISTINGS, TIMES, _EAST, _WEST, stmt,
 )
-from holdfast.plans.registry import query
+from holdfast.plans.registry import ORACLES, query
 from holdfast.session import fresh_path, staged
 from holdfast.sources import csv_files
 from holdfast.sources import tables as src
@@ -539,3 +539,11 @@ def report_q07_lines(spark: SparkSession, sf: str) -> DataFrame:
     overall = ranking.top_k(totals, 10, F.desc("delays"), F.asc("iata"))
     worst = totals.orderBy(F.desc("mean_minutes"), F.asc("iata")).limit(1)
     return reports.late_aircraft_report(delays.with_mean(top), overall, worst)
+
+
+@query("sink_report_text", f"SELECT line, count(*) AS copies FROM ({ORACLES['report_q03_lines']}) GROUP BY line")
+def sink_report_text(spark: SparkSession, sf: str) -> DataFrame:
+    """A finished report written as text and read back."""
+    path = fresh_path(spark, "report")
+    csv_files.write_report(report_q03_lines(spark, sf), path)
+    return csv_files.read_lines(spark, path).groupBy("line").agg(F.count("*").alias("copies"))

@@ -159,11 +159,16 @@ def dfs_shard_placement(spark: SparkSession, sf: str) -> DataFrame:
     return placed.withColumnRenamed("rank", "shard_no")
 
 
-@query("dfs_placement_rejects", stmt(TRAFFIC, body="""
-SELECT r.seq, CASE WHEN (SELECT count(DISTINCT node) FROM hb WHERE hb.seq < r.seq) >= 9 THEN 'placed' ELSE 'rejected' END AS status
-FROM req r"""))
+@query("dfs_placement_rejects", stmt(TRAFFIC, """
+known AS (SELECT r.seq, (SELECT count(DISTINCT node) FROM hb WHERE hb.seq < r.seq) AS nodes FROM req r)""", body="""
+SELECT seq, CAST(copies AS BIGINT) AS copies, CASE WHEN nodes >= copies THEN 'placed' ELSE 'rejected' END AS status
+FROM known, unnest([3, 9]) AS t(copies)"""))
 def dfs_placement_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    return placement.place_rejections(st.placement_requests(spark, sf), st.heartbeats(spark, sf), erasure.TOTAL_SHARDS)
+    """Both schemes: three replicas, and the nine shards of erasure coding."""
+    asked, reports = st.placement_requests(spark, sf), st.heartbeats(spark, sf)
+    chunks_, shards = (placement.place_rejections(asked, reports, k).select("seq", F.lit(k).cast("bigint").alias("copies"), "status")
+                       for k in (st.COPIES, erasure.TOTAL_SHARDS))
+    return chunks_.unionByName(shards)
 
 
 @query("dfs_rereplicate_plan", stmt(FILES, REPLICAS, """
@@ -208,7 +213,7 @@ def dfs_upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
 @query("dfs_register_status", stmt(TRAFFIC, body="""
 SELECT seq, node, CAST(row_number() OVER (PARTITION BY node ORDER BY seq) = 1 AS BIGINT) AS status FROM hb"""))
 def dfs_register_status(spark: SparkSession, sf: str) -> DataFrame:
-    return running.first_per_key(st.heartbeats(spark, sf).select("seq", "node"), "node", "seq", BLOCK)
+    return running.first_per_key(st.heartbeats(spark, sf).select("seq", "node"), "node", "seq")
 
 
 _MAP = stmt(EVENTS, """
@@ -311,6 +316,16 @@ def ec_recoverability(spark: SparkSession, sf: str) -> DataFrame:
     return erasure.recoverability(kept.unionByName(kept.where((F.col("doc_id") + F.col("shard_no")) % 4 == 0)))
 
 
+@query("ec_scrub_status", stmt(FILES, body="""
+SELECT filename, chunk_no, s AS shard_no, CASE
+    WHEN (s + doc_id + chunk_no) % 9 < (doc_id*3 + chunk_no) % 5 THEN 'missing'
+    WHEN (doc_id*5 + chunk_no + s) % 14 = 7 THEN 'corrupt' ELSE 'healthy' END AS status
+FROM chunks, unnest(range(1, 10)) AS t(s)"""))
+def ec_scrub_status(spark: SparkSession, sf: str) -> DataFrame:
+    digests = erasure.encode(st.file_chunks(spark, sf)).select("filename", "chunk_no", "shard_no", F.sha1("data").alias("sha1"))
+    return erasure.scrub(digests, st.shard_store(spark, sf))
+
+
 @query("ec_node_inventory", stmt(FILES, """
 held AS (
   SELECT (doc_id*7 + chunk_no*3 + s) % n AS node, octet_length(data) AS size FROM chunks, n, unnest(range(1, 10)) AS t(s))""", body="""

@@ -89,6 +89,19 @@ def lost_shard() -> Column:
     return turn < (F.col("doc_id") * 3 + F.col("chunk_no")) % 5
 
 
+def shard_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The shard bytes that are really held: some lost, some with other bytes, some held twice."""
+    named = erasure.encode(file_chunks(spark, sf)).withColumn("doc_id", F.substring_index("filename", "/", -1).cast("bigint"))
+    kept = named.where(~lost_shard())
+    turn = F.col("doc_id") * 5 + F.col("chunk_no") + F.col("shard_no")
+    size = F.length("data")
+    altered = F.concat(F.unhex(F.lpad(F.hex(255 - F.conv(F.hex(F.substring("data", 1, 1)), 16, 10).cast("int")), 2, "0")),
+                       F.col("data").substr(F.lit(2), size))
+    held = kept.withColumn("data", F.when(turn % 7 == 0, altered).otherwise(F.col("data")))
+    again = kept.where(turn % 14 == 0)  # a sound copy beside the altered one
+    return held.unionByName(again).drop("doc_id")
+
+
 def heartbeats(spark: SparkSession, sf: str) -> DataFrame:
     """Reports of every node in arrival order ``seq``; placement requests are left out."""
     ev = table(spark, sf, "events")

@@ -70,6 +70,32 @@ def test_too_few_nodes_reject_everything(spark):
     assert {r.status for r in placement.place_rejections(req, hb, 3).collect()} == {"rejected"}
 
 
+def test_idle_nodes_are_carried_over_few_spans(spark):
+    nodes, blocks, k = 300, 500, 3
+    reports = [(n, n, n % 17) for n in range(nodes)] + [(2_000 + 7 * i, i % 5, i % 23) for i in range(200)]
+    asked = [(nodes + 11 * i,) for i in range(300)]
+    known, want = {}, []
+    for seq, node, free in sorted([*reports, *[(s, None, None) for s, in asked if s not in {r[0] for r in reports}]]):
+        if node is not None:
+            known[node] = free
+            continue
+        want += [(seq, rank + 1, n) for rank, n in enumerate(sorted(known, key=lambda n: (-known[n], n))[:k])]
+    taken = {r[0] for r in reports}
+    req = spark.createDataFrame([a for a in asked if a[0] not in taken], "seq bigint")
+    hb = spark.createDataFrame(reports, "seq bigint, node bigint, free_space bigint")
+    assert {tuple(r) for r in placement.place(req, hb, k, 7).collect()} == set(want)
+    held = spark.createDataFrame([(n % 5, blocks - n % 3) for n in range(nodes)], "lo bigint, hi bigint")
+    assert placement.quiet_spans(held).count() <= nodes * 2 * blocks.bit_length()
+
+
+def test_spans_cover_a_range_once(spark):
+    held = spark.createDataFrame([(a * 100 + b, a, b) for a in range(20) for b in range(a, 40)], "id bigint, lo bigint, hi bigint")
+    covered = {}
+    for r in placement.quiet_spans(held).collect():
+        covered.setdefault(r.id, []).extend(range(r.span << r.level, (r.span + 1) << r.level))
+    assert {i: sorted(c) for i, c in covered.items()} == {a * 100 + b: list(range(a, b + 1)) for a in range(20) for b in range(a, 40)}
+
+
 def test_rereplication(spark):
     replicas = spark.createDataFrame(
         [("f", 0, 0, 1), ("f", 0, 1, 2), ("f", 0, 2, 3), ("g", 0, 0, 1), ("h", 0, 0, 2), ("h", 0, 1, 1)],
