@@ -2,13 +2,14 @@
 
 Numbers, names and units become typed placeholders, so a question asked again with other values has the
 template of the first. Windows of five template words are hash-joined with the benchmark. A document is
-contaminated by an item if it has most of the item's windows and the values in their slots are consistent:
-the same value of the item always became the same value of the document.
+contaminated by an item if it has most of the item's windows and the values in its slots are consistent:
+the same value of the item always became the same value of the document. Only placeholders are compared, each
+place of the item once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import query, table
@@ -44,19 +45,22 @@ def template_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.regexp_replace(measured, TRAILING, "")), SPACES), lambda w: w != "")
 
 
-def windows(df: DataFrame, keys: list[str], width: int = WIDTH, least_literals: int = 0) -> DataFrame:
+def windows(df: DataFrame, keys: list[str], width: int = WIDTH, least_literals: int = 0, values_only: bool = False) -> DataFrame:
     """``keys`` and ``at, h, slots`` for each window; ``slots`` are its words if any is a placeholder, else null.
 
-    Windows with fewer than ``least_literals`` words that are no placeholder are left out.
+    Windows with fewer than ``least_literals`` words that are no placeholder are left out. With ``values_only``
+    the words of ``slots`` that are no placeholder are null.
     """
     words = df.select(*keys, template_words(F.col("text")).alias("_t"), raw_words(F.col("text")).alias("_r")).where(
         F.size("_t") >= width)
 
     def one(i: Column) -> Column:
-        part = F.slice("_t", i, width)
+        part, raw = F.slice("_t", i, width), F.slice("_r", i, width)
+        if values_only:
+            raw = F.zip_with(part, raw, lambda t, r: F.when(t.startswith("#"), r))
         return F.struct(
             i.alias("at"), F.xxhash64(part).alias("h"),
-            F.when(F.exists(part, lambda w: w.startswith("#")), F.slice("_r", i, width)).alias("slots"))
+            F.when(F.exists(part, lambda w: w.startswith("#")), raw).alias("slots"))
 
     starts = F.sequence(F.lit(1), F.size("_t") - width + 1)
     if least_literals:
@@ -67,14 +71,16 @@ def windows(df: DataFrame, keys: list[str], width: int = WIDTH, least_literals:
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``(h, item_id, item_slots, n_windows)``: each item's different windows, at their first place.
+    """``(h, item_id, item_at, item_slots, n_windows)``: each item's different windows, at their first place.
 
-    Windows with fewer than LITERALS words that are no placeholder say nothing and are left out.
+    ``item_slots`` has the words that are placeholders in the template, and null for the others. Windows with
+    fewer than LITERALS words that are no placeholder say nothing and are left out.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null and item_id is not null")
-    first = windows(items, ["item_id"], width, LITERALS).groupBy("item_id", "h").agg(F.min_by("slots", "at").alias("item_slots"))
+    first = windows(items, ["item_id"], width, LITERALS, values_only=True).groupBy("item_id", "h").agg(
+        F.min("at").alias("item_at"), F.min_by("slots", "at").alias("item_slots"))
     counts = first.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    return first.join(counts, "item_id").select("h", "item_id", "item_slots", "n_windows")
+    return first.join(counts, "item_id").select("h", "item_id", "item_at", "item_slots", "n_windows")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: float = COVERAGE,
@@ -87,6 +93,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, cove
 
     The benchmark's windows are broadcast while there are at most ``broadcast_rows`` of them; beyond that
     Spark chooses how to join.
+
+    ``n_slots`` counts the item's places with a placeholder that were found, and ``consistency`` is that of its worst
+    value: the share of the value's places where it became what it most often became. Where several places of
+    the document match one of the item, the one counts whose shift against the item most windows have. Copies that
+    have enough windows under one shift are judged on their own as well, and the most consistent one counts.
     """
     known = staged(benchmark_windows(benchmark, width), "benchmark-windows")
     if known.count() <= broadcast_rows:
@@ -94,23 +105,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, cove
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null and doc_id is not null")
     hits = windows(texts.withColumn("copy", F.xxhash64("text")), ["doc_id", "copy"], width).join(known, "h")
     pair = ["doc_id", "copy", "item_id"]
-    once = hits.groupBy(*pair, "h").agg(
-        F.first("n_windows").alias("n_windows"), F.min(F.struct("at", "slots", "item_slots")).alias("s"))
+    hits = staged(hits.select(*pair, "at", "slots", "item_at", "item_slots", "n_windows"), "benchmark-hits")
     kept = staged(
-        once.groupBy(*pair).agg(
-            F.count("*").alias("n_found"), F.first("n_windows").alias("n_windows"),
-            F.flatten(F.collect_list(F.coalesce(F.arrays_zip("s.slots", "s.item_slots"), F.array().cast("array<struct<slots:string,item_slots:string>>")))).alias("slots"),
-        ).where(F.col("n_found") >= coverage * F.col("n_windows")), "contaminated")
-    values = kept.select(*pair, F.explode("slots").alias("v")).groupBy(*pair, F.lower("v.item_slots").alias("old"), F.lower("v.slots").alias("new")).count()
-    agreed = values.groupBy(*pair, "old").agg(
+        hits.groupBy(*pair).agg(F.count_distinct("item_at").alias("n_found"), F.first("n_windows").alias("n_windows")).where(
+            F.col("n_found") >= coverage * F.col("n_windows")), "contaminated")
+    shift = F.col("at") - F.col("item_at")
+    like = F.size(F.collect_set("item_at").over(Window.partitionBy(*pair, shift)))
+    whole = F.when(F.col("like") >= coverage * F.col("n_windows"), F.array(shift, F.lit(None))).otherwise(F.array(F.lit(None).cast("int")))
+    words = hits.join(kept.select(*pair), pair).withColumn("like", like).where("item_slots is not null").select(
+        *pair, "like", "at", "item_at", "slots", "item_slots", F.explode(whole).alias("shift")).select(
+        "*", F.posexplode("item_slots").alias("i", "old")).where("old is not null")
+    one = [*pair, "shift"]
+    places = words.groupBy(*one, (F.col("item_at") + F.col("i")).alias("place")).agg(F.max(F.struct(
+        "like", -F.col("at"), F.lower("old").alias("old"), F.lower(F.get("slots", F.col("i"))).alias("new"))).alias("v"))
+    values = places.groupBy(*one, F.col("v.old").alias("old"), F.col("v.new").alias("new")).count()
+    agreed = values.groupBy(*one, "old").agg(
         F.max("count").alias("most"), F.sum("count").alias("n"),
         F.max(F.when(F.col("old") == F.col("new"), 0).otherwise(1)).alias("changed"))
-    judged = agreed.groupBy(*pair).agg(
-        F.sum("n").alias("n_slots"), (F.sum("most") / F.sum("n")).alias("consistency"), F.max("changed").alias("changed"))
-    return kept.drop("slots").join(judged, pair, "left").select(
+    judged = agreed.groupBy(*one).agg(
+        F.min(F.col("most") / F.col("n")).alias("consistency"), (1 - F.max("changed")).alias("same"), F.sum("n").alias("n_slots"))
+    best = judged.groupBy(*pair).agg(F.max(F.struct("consistency", "same", "n_slots")).alias("b")).select(*pair, "b.*")
+    return kept.join(best, pair, "left").select(
         "doc_id", "item_id", "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("coverage"),
         F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
-        F.when(F.coalesce("changed", F.lit(0)) == 1, "reworked").otherwise("verbatim").alias("kind"),
+        F.when(F.coalesce("same", F.lit(1)) == 0, "reworked").otherwise("verbatim").alias("kind"),
     ).where(F.col("consistency") >= consistency)
 
 

@@ -29,6 +29,16 @@ def test_slots_must_agree(spark):
     assert strict.count() == 0
 
 
+def test_contradicting_values_are_no_copy_at_the_default(spark):
+    pens = "Find the total cost when 12 pens are bought for 12 dollars and then 12 more pens are bought by the same man"
+    item = spark.createDataFrame([(1, QUESTION), (2, pens)], "item_id long, text string")
+    mixed = QUESTION.replace("9:30 and", "4:45 and").replace("9:30 at", "1:05 at")
+    other = pens.replace("12 pens", "7 pens").replace("12 dollars", "9 dollars").replace("12 more", "4 more")
+    docs = [(1, mixed), (2, other), (3, pens.replace("12", "8")), (4, f"{other} and so on {pens.replace('12', '8')}"), (5, QUESTION.replace("9:30", "4:45"))]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), item).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(3, 2), (4, 2), (5, 1)}
+
+
 def test_odd_input_and_plain_join(spark, odd_docs, no_docs, sf_dir):
     benchmark = common.table(spark, sf_dir, "benchmark")
     assert decontaminate.contaminated(odd_docs, benchmark).count() == 0
