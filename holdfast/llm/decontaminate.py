@@ -1,7 +1,10 @@
 """Benchmark decontamination by template windows, with DataFrame operations only.
 
 Numbers, names and units become typed placeholders, so a question asked again with other values has the
-template of the first. Windows of five template words are hash-joined with the benchmark. A document is
+template of the first. Words are typed one by one, whatever white space is between them: every word that begins with
+a capital may be a name, also at the start of a sentence. An item's window is looked up with each of its possible
+names as a placeholder and as the lower-case word, a document's with all as placeholders and with all as words,
+so a verbatim passage is found however it is spelt or broken into lines. Windows of five words are hash-joined. A document is
 contaminated by an item if it has most of the item's windows and the values in its slots are consistent:
 the same value of the item always became the same value of the document. Only placeholders are compared, each
 place of the item once.
@@ -27,60 +30,71 @@ UNITS = (
     "seconds?|s|days?|weeks?|months?|years?|usd|eur|dollars?|euros?|cents?|percent|degrees?|mph|kmh|watts?|volts?"
 )
 NUMBER = r"(?<![\p{L}\p{N}])[0-9]+(?:[.,:/][0-9]+)*"
-NAME = r"(?<=[\p{Ll}\p{N},;:] )\p{Lu}[\p{L}'-]*"
+NAME = r"(?<![\p{L}\p{N}#])\p{Lu}[\p{L}'-]*"
 TRAILING = r"(?<=[\p{L}\p{N}])[.,;:!?]+(?=\s|$)"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def raw_words(text: Column) -> Column:
-    """The words of a text, without what ends a sentence or a clause behind them."""
-    return F.filter(F.split(F.regexp_replace(text, TRAILING, ""), SPACES), lambda w: w != "")
+def _split(text: Column) -> Column:
+    return F.array_remove(F.split(text, SPACES), "")
 
 
-def template_words(text: Column) -> Column:
-    """The same words with numbers as ``#n``, names inside sentences as ``#p``, units after numbers as ``#u``."""
-    named = F.regexp_replace(text, NAME, "#p")
-    numbered = F.regexp_replace(named, NUMBER, "#n")
-    measured = F.regexp_replace(numbered, rf"(?i)(?<=#n)(\s?)(?:{UNITS})(?![\p{{L}}\p{{N}}])", "$1#u")
-    return F.filter(F.split(F.lower(F.regexp_replace(measured, TRAILING, "")), SPACES), lambda w: w != "")
+def typed_words(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and three lists of the words of ``text``, without what ends a sentence or a clause behind them.
+
+    ``_r`` has them as they are; ``_l`` in lower case, with numbers as ``#n`` and units after numbers as ``#u``; ``_t``
+    has possible names as ``#p`` too.
+    """
+    clean = df.select(*keys, F.regexp_replace("text", TRAILING, "").alias("_c"))
+    numbered = clean.select(*keys, "_c", F.regexp_replace(
+        F.regexp_replace("_c", NUMBER, "#n"), rf"(?i)(?<=#n)(\s*)(?:{UNITS})(?![\p{{L}}\p{{N}}])", "$1#u").alias("_n"))
+    return numbered.select(
+        *keys, _split(F.col("_c")).alias("_r"), _split(F.lower("_n")).alias("_l"),
+        _split(F.lower(F.regexp_replace("_n", NAME, "#p"))).alias("_t"))
+
+
+def _starts(width: int) -> Column:
+    return F.when(F.size("_t") >= width, F.sequence(F.lit(1), F.size("_t") - width + 1)).otherwise(F.array().cast("array<int>"))
 
 
-def windows(df: DataFrame, keys: list[str], width: int = WIDTH, least_literals: int = 0, values_only: bool = False) -> DataFrame:
+def windows(df: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
     """``keys`` and ``at, h, slots`` for each window; ``slots`` are its words if any is a placeholder, else null.
 
-    Windows with fewer than ``least_literals`` words that are no placeholder are left out. With ``values_only``
-    the words of ``slots`` that are no placeholder are null.
+    A window with possible names comes twice, with placeholders for them and with the words.
     """
-    words = df.select(*keys, template_words(F.col("text")).alias("_t"), raw_words(F.col("text")).alias("_r")).where(
-        F.size("_t") >= width)
 
     def one(i: Column) -> Column:
-        part, raw = F.slice("_t", i, width), F.slice("_r", i, width)
-        if values_only:
-            raw = F.zip_with(part, raw, lambda t, r: F.when(t.startswith("#"), r))
-        return F.struct(
-            i.alias("at"), F.xxhash64(part).alias("h"),
-            F.when(F.exists(part, lambda w: w.startswith("#")), raw).alias("slots"))
+        part, plain = F.slice("_t", i, width), F.slice("_l", i, width)
+        slots = F.when(F.exists(part, lambda w: w.startswith("#")), F.slice("_r", i, width)).alias("slots")
+        row = lambda words: F.struct(i.alias("at"), F.xxhash64(words).alias("h"), slots)
+        return F.when(part == plain, F.array(row(part))).otherwise(F.array(row(part), row(plain)))
 
-    starts = F.sequence(F.lit(1), F.size("_t") - width + 1)
-    if least_literals:
-        literal = lambda i: F.size(F.filter(F.slice("_t", i, width), lambda w: ~w.startswith("#"))) >= least_literals
-        starts = F.filter(starts, literal)
-    made = F.transform(starts, one)
-    return words.select(*keys, F.inline(made))
+    return typed_words(df, keys).select(*keys, F.inline(F.flatten(F.transform(_starts(width), one))))
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``(h, item_id, item_at, item_slots, n_windows)``: each item's different windows, at their first place.
+    """``(h, item_id, window, item_at, item_slots, n_windows)``: each item's different windows, at their first place.
 
-    ``item_slots`` has the words that are placeholders in the template, and null for the others. Windows with
-    fewer than LITERALS words that are no placeholder say nothing and are left out.
+    ``window`` is the first place with the same template. ``h`` is the hash of one spelling: each possible name as a
+    placeholder or as the word. Spellings with fewer than LITERALS words that are no placeholder say nothing and
+    are left out. ``item_slots`` has the words that are placeholders in the template, and null for the others.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null and item_id is not null")
-    first = windows(items, ["item_id"], width, LITERALS, values_only=True).groupBy("item_id", "h").agg(
-        F.min("at").alias("item_at"), F.min_by("slots", "at").alias("item_slots"))
-    counts = first.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    return first.join(counts, "item_id").select("h", "item_id", "item_at", "item_slots", "n_windows")
+    placed = typed_words(items, ["item_id"]).select("item_id", "_t", "_l", "_r", F.explode(_starts(width)).alias("at")).select(
+        "item_id", "at", *[F.slice(c, F.col("at"), width).alias(c) for c in ("_t", "_l", "_r")])
+    spelt = placed.withColumn("s", F.array(F.array().cast("array<string>")))
+    for j in range(width):  # after each word, all different spellings so far
+        both = F.array_distinct(F.array(F.col("_t")[j], F.col("_l")[j]))
+        spelt = spelt.select("item_id", "at", "_t", "_l", "_r", F.explode("s").alias("p"), both.alias("b")).select(
+            "item_id", "at", "_t", "_l", "_r", F.transform("b", lambda w: F.concat("p", F.array(w))).alias("s"))
+    literals = F.size(F.filter("p", lambda w: ~w.startswith("#")))
+    rows = spelt.select("item_id", "at", "_t", "_r", F.explode("s").alias("p")).where(literals >= LITERALS).select(
+        "item_id", "at", F.xxhash64("p").alias("h"), F.xxhash64("_t").alias("t"),
+        F.when(F.exists("_t", lambda w: w.startswith("#")), F.zip_with("_t", "_r", lambda t, r: F.when(t.startswith("#"), r))).alias("slots"))
+    first = rows.withColumn("window", F.min("at").over(Window.partitionBy("item_id", "t"))).groupBy("item_id", "h").agg(
+        F.min_by("window", "at").alias("window"), F.min("at").alias("item_at"), F.min_by("slots", "at").alias("item_slots"))
+    counts = first.groupBy("item_id").agg(F.count_distinct("window").alias("n_windows"))
+    return first.join(counts, "item_id").select("h", "item_id", "window", "item_at", "item_slots", "n_windows")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: float = COVERAGE,
@@ -105,19 +119,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, cove
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null and doc_id is not null")
     hits = windows(texts.withColumn("copy", F.xxhash64("text")), ["doc_id", "copy"], width).join(known, "h")
     pair = ["doc_id", "copy", "item_id"]
-    hits = staged(hits.select(*pair, "at", "slots", "item_at", "item_slots", "n_windows"), "benchmark-hits")
+    hits = staged(hits.select(*pair, "at", "slots", "window", "item_at", "item_slots", "n_windows"), "benchmark-hits")
     kept = staged(
-        hits.groupBy(*pair).agg(F.count_distinct("item_at").alias("n_found"), F.first("n_windows").alias("n_windows")).where(
+        hits.groupBy(*pair).agg(F.count_distinct("window").alias("n_found"), F.first("n_windows").alias("n_windows")).where(
             F.col("n_found") >= coverage * F.col("n_windows")), "contaminated")
     shift = F.col("at") - F.col("item_at")
-    like = F.size(F.collect_set("item_at").over(Window.partitionBy(*pair, shift)))
+    like = F.size(F.collect_set("window").over(Window.partitionBy(*pair, shift)))
     whole = F.when(F.col("like") >= coverage * F.col("n_windows"), F.array(shift, F.lit(None))).otherwise(F.array(F.lit(None).cast("int")))
     words = hits.join(kept.select(*pair), pair).withColumn("like", like).where("item_slots is not null").select(
         *pair, "like", "at", "item_at", "slots", "item_slots", F.explode(whole).alias("shift")).select(
         "*", F.posexplode("item_slots").alias("i", "old")).where("old is not null")
     one = [*pair, "shift"]
     places = words.groupBy(*one, (F.col("item_at") + F.col("i")).alias("place")).agg(F.max(F.struct(
-        "like", -F.col("at"), F.lower("old").alias("old"), F.lower(F.get("slots", F.col("i"))).alias("new"))).alias("v"))
+        "like", -F.col("at"), F.lower("old").alias("old"), F.lower(F.coalesce(F.get("slots", F.col("i")), "old")).alias("new"))).alias("v"))
     values = places.groupBy(*one, F.col("v.old").alias("old"), F.col("v.new").alias("new")).count()
     agreed = values.groupBy(*one, "old").agg(
         F.max("count").alias("most"), F.sum("count").alias("n"),

@@ -39,6 +39,17 @@ def test_contradicting_values_are_no_copy_at_the_default(spark):
     assert {(r.doc_id, r.item_id) for r in got} == {(3, 2), (4, 2), (5, 1)}
 
 
+def test_names_begin_sentences_and_spelling_does_not_matter(spark):
+    tom = "Tom has 5 red apples in a basket. Tom gives 2 of them to Anna. How many apples does Tom have left?"
+    leeds = "We asked Anna Smith and Peter Brown in the town of Leeds where Mary Jones and Paul Green had met John White"
+    item = spark.createDataFrame([(1, tom), (2, leeds)], "item_id long, text string")
+    ben = tom.replace("Tom", "Ben").replace("5", "7").replace("2", "3")
+    docs = [(1, ben), (2, ben.replace("does Ben", "does Max")), (3, f"so: {ben.replace('How many', 'how many')} yes")]
+    docs += [(20 + i, f(leeds)) for i, f in enumerate([str, str.lower, str.upper, str.title, lambda t: t.replace(" ", "\n"), lambda t: t.replace(" ", "\t "), lambda t: t.replace(" ", "  ")])]
+    got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), item).collect()}
+    assert got == {(1, 1): "reworked", (3, 1): "reworked"} | {(20 + i, 2): "verbatim" for i in range(7)}
+
+
 def test_odd_input_and_plain_join(spark, odd_docs, no_docs, sf_dir):
     benchmark = common.table(spark, sf_dir, "benchmark")
     assert decontaminate.contaminated(odd_docs, benchmark).count() == 0
