@@ -24,6 +24,7 @@ SHARD_BYTES = 16 << 20
 LEAST_SHARDS = 64
 CHUNK = 65_536
 HOT_BLOCKS = 4_096
+HOT_CONTEXTS = CHUNK
 LAST_ID = (1 << 63) - 1
 
 
@@ -79,6 +80,35 @@ class Anchors:
         np.maximum.at(high, inverse, self.ids[self.owner])
         return low < high
 
+    def contexts_of(self, chosen):
+        """First and last place, exclusive, of what strings that hold these anchors can reach in their documents."""
+        import numpy as np
+
+        reach = self.length - GRAM if self.length > GRAM else 0
+        owner = self.owner[chosen]
+        return np.maximum(self.places[chosen] - reach, self.starts[owner]), np.minimum(self.places[chosen] + self.length, self.ends[owner])
+
+    def different_contexts(self, n: int, inverse):
+        """How many different contexts each of the different hashes has in this block."""
+        import numpy as np
+
+        counts = np.bincount(inverse, minlength=n)
+        again = np.flatnonzero(counts[inverse] > 1)
+        if len(again):
+            lows, highs = self.contexts_of(again)
+            powers = np.full(len(self.text), 0x9E3779B97F4A7C15, dtype=np.uint64)
+            np.cumprod(powers, out=powers)
+            until = np.zeros(len(self.text) + 1, dtype=np.uint64)
+            np.cumsum((np.frombuffer(self.text, dtype=np.uint8).astype(np.uint64) + np.uint64(1)) * powers, out=until[1:])
+            last = powers[-1]
+            sums = (until[highs] - until[lows]) * powers[len(powers) - 1 - lows]  # equal texts agree wherever they lie
+            mixed = (sums ^ (sums >> np.uint64(31))) * last + (highs - lows).astype(np.uint64)
+            order = np.lexsort((mixed, inverse[again]))
+            of, content = inverse[again][order], mixed[order]
+            new = np.append(True, (of[1:] != of[:-1]) | (content[1:] != content[:-1]))
+            counts = np.where(counts > 1, np.bincount(of[new], minlength=n), counts)
+        return counts
+
 
 def _gram_hashes(text: bytes, gram: int):
     import numpy as np
@@ -126,24 +156,29 @@ def _by_shard(distinct, shards: int):
 
 def _count_anchors(blocks: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
     def run(rows):
+        import numpy as np
+
         for block, body in rows:
             ids, texts, _ = unsqueeze(body)
             found = Anchors(ids, texts, length, gram)
             distinct, inverse = found.distinct()
             here = found.shared_here(len(distinct), inverse)
+            contexts = found.different_contexts(len(distinct), inverse).astype(np.uint32)
             order, cuts = _by_shard(distinct, shards)
             for shard in range(shards):
                 part = order[cuts[shard]: cuts[shard + 1]]
                 if len(part):
-                    import numpy as np
+                    more = np.flatnonzero(contexts[part] > 1).astype(np.uint32)  # the others have one
+                    yield shard, block, _five(_short(distinct[part])), np.packbits(here[part]).tobytes(), squeeze((more, contexts[part][more]))
 
-                    yield shard, block, _five(_short(distinct[part])), np.packbits(here[part]).tobytes()
+    return map_rows(blocks.select("block", "body"), "shard int, block bigint, hashes binary, shared binary, contexts binary", run)
 
-    return map_rows(blocks.select("block", "body"), "shard int, block bigint, hashes binary, shared binary", run)
 
+def _shared_anchors(hot_blocks: int, hot_contexts: int):
+    """For each block, which of its hashes in this shard several documents have (1) and which are hot (2).
 
-def _shared_anchors(hot_blocks: int):
-    """For each block, which of its hashes in this shard several documents have (1) and which are hot (2)."""
+    Hot are those that many blocks have, and those whose different contexts, added up over the blocks, are many.
+    """
 
     def run(rows):
         import numpy as np
@@ -154,8 +189,13 @@ def _shared_anchors(hot_blocks: int):
         values = np.concatenate(lists)
         here = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=len(x)) for s, x in zip(rows["shared"], lists, strict=True)])
         _, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
+        contexts = counts.copy()
+        for lo, packed in zip(where, rows.contexts):
+            more, times = unsqueeze(packed)
+            np.add.at(contexts, inverse[lo + more.astype(np.int64)], times.astype(np.int64) - 1)
         many = counts[inverse]
-        mark = ((many > 1) | (here > 0)).astype(np.uint8) + (many > hot_blocks)
+        shared = (many > 1) | (here > 0)
+        mark = shared.astype(np.uint8) + (shared & ((many > hot_blocks) | (contexts[inverse] > hot_contexts)))
         return pd.DataFrame({
             "shard": rows.shard, "block": rows.block,
             "marks": [squeeze(mark[a:b]) for a, b in zip(where, where[1:])]})
@@ -182,12 +222,10 @@ def entries(found: Anchors, marks: dict[int, object], shards: int):
     places: list[int] = []
     which: list[int] = []
     text, length = found.text, found.length
-    reach = length - GRAM if length > GRAM else 0
     state = mark[inverse]
     chosen = np.flatnonzero(state)
-    lows = np.maximum(found.places[chosen] - reach, found.starts[found.owner[chosen]]).tolist()
-    highs = np.minimum(found.places[chosen] + length, found.ends[found.owner[chosen]]).tolist()
-    for lo, hi, key, hot in zip(lows, highs, found.hashes[chosen].tolist(), (state[chosen] > 1).tolist(), strict=True):
+    lows, highs = found.contexts_of(chosen)
+    for lo, hi, key, hot in zip(lows.tolist(), highs.tolist(), found.hashes[chosen].tolist(), (state[chosen] > 1).tolist(), strict=True):
         spans = [(at, at + length) for at in range(lo, hi - length + 1)] if hot else [(lo, hi)]
         for a, b in spans:
             content = text[a:b]
@@ -424,7 +462,8 @@ def _apply(shards: int, length: int, gram: int, keep: str):
 
 
 def remove_repeats(docs: DataFrame, extra: str | None = None, keep: str = "bytes", length: int = LENGTH, block_bytes: int = BLOCK_BYTES,
-                   shard_bytes: int = SHARD_BYTES, least_shards: int = LEAST_SHARDS, chunk: int = CHUNK, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, least_shards: int = LEAST_SHARDS, chunk: int = CHUNK, hot_blocks: int = HOT_BLOCKS,
+                   hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept, extra)`` for every row of ``docs``.
 
     Each byte that lies in a string of ``length`` bytes which also starts in a row with a smaller doc_id is
@@ -432,7 +471,8 @@ def remove_repeats(docs: DataFrame, extra: str | None = None, keep: str = "bytes
     ``keep="digest"`` the hex digits of its SHA-256. Rows that share a doc_id never remove from each other. A row without doc_id comes after all others. Null and short
     texts keep all. ``extra`` names a string column that is handed through. An empty table gives no rows.
 
-    ``length`` is at least GRAM + 8. Anchors that more than ``hot_blocks`` blocks have are looked up string by string.
+    ``length`` is at least GRAM + 8. Anchors that more than ``hot_blocks`` blocks have, or that have more than
+    ``hot_contexts`` different contexts, are looked up string by string.
     """
     spark, gram = docs.sparkSession, GRAM
     blocks = write_blocks(docs, block_bytes, extra)
@@ -440,7 +480,7 @@ def remove_repeats(docs: DataFrame, extra: str | None = None, keep: str = "bytes
     shards = max(least_shards, -(-total // shard_bytes))
     counted = _count_anchors(blocks, shards, length, gram)
     marks_path, found_path = fresh_path(spark, "marks"), fresh_path(spark, "found")
-    counted.groupBy("shard").applyInPandas(_shared_anchors(hot_blocks), "shard int, block long, marks binary").write.parquet(marks_path)
+    counted.groupBy("shard").applyInPandas(_shared_anchors(hot_blocks, hot_contexts), "shard int, block long, marks binary").write.parquet(marks_path)
     marks = spark.read.schema("shard int, block long, marks binary").parquet(marks_path)
     sent = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(
         _send_contexts(shards, length, gram), "shard int, block long, contexts binary")

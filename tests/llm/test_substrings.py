@@ -8,7 +8,8 @@ import random
 import numpy as np
 import pytest
 
-from holdfast.llm import suffixes
+from holdfast.llm import substrings, suffixes
+from holdfast.llm.blocks import write_blocks
 from holdfast.llm.substrings import remove_repeats
 
 
@@ -56,6 +57,32 @@ def test_windows(spark, rows, sizes):
     assert fast(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), **sizes) == slow(rows)
 
 
+def test_a_phrase_with_many_surroundings_is_spread(spark):
+    rng = random.Random(8)
+    phrase = "please accept our cookies to go on reading"
+    letters = [chr(c) for c in range(97, 123)]
+    rows = [(i, "".join(rng.choices(letters, k=60)) + phrase + "".join(rng.choices(letters, k=60))) for i in range(40)]
+    rows += [(i, "x" + rows[i % 3][1]) for i in range(40, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert fast(df, hot_contexts=10) == slow(rows) == fast(df)
+
+    largest = {}
+    for bound in (10, 1_000):
+        shards = 2
+        blocks = write_blocks(df, 1_000)
+        counted = substrings._count_anchors(blocks, shards, 50, 24).toPandas()
+        marks = [substrings._shared_anchors(4_096, bound)(part) for _, part in counted.groupby("shard")]
+        held = {}
+        for row in blocks.collect():
+            ids, texts, _ = substrings.unsqueeze(row.body)
+            mine = {int(s): substrings.unsqueeze(m) for t in marks for s, b, m in t.itertuples(index=False) if b == row.block}
+            contents, keys, _, _ = substrings.entries(substrings.Anchors(ids, texts), mine, shards)
+            for content, key in zip(contents, keys.tolist(), strict=True):
+                held.setdefault(key, set()).add(content)
+        largest[bound] = max(map(len, held.values()))
+    assert largest[10] <= 10 < 40 <= largest[1_000]
+
+
 def test_odd_texts(odd_docs, no_docs):
     assert fast(odd_docs) == slow([(r.doc_id, r.text) for r in odd_docs.collect()])
     assert remove_repeats(no_docs).count() == 0
