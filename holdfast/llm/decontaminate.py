@@ -57,19 +57,19 @@ def _starts(width: int) -> Column:
     return F.when(F.size("_t") >= width, F.sequence(F.lit(1), F.size("_t") - width + 1)).otherwise(F.array().cast("array<int>"))
 
 
-def windows(df: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
-    """``keys`` and ``at, h, slots`` for each window; ``slots`` are its words if any is a placeholder, else null.
+def _hash(words: str, at: Column, width: int) -> Column:
+    return F.xxhash64(*[F.get(words, at + (j - 1)) for j in range(width)])
 
-    A window with possible names comes twice, with placeholders for them and with the words.
-    """
 
-    def one(i: Column) -> Column:
-        part, plain = F.slice("_t", i, width), F.slice("_l", i, width)
-        slots = F.when(F.exists(part, lambda w: w.startswith("#")), F.slice("_r", i, width)).alias("slots")
-        row = lambda words: F.struct(i.alias("at"), F.xxhash64(words).alias("h"), slots)
-        return F.when(part == plain, F.array(row(part))).otherwise(F.array(row(part), row(plain)))
+def windows(df: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
+    """``keys`` and ``at, h`` for each window, twice if it has possible names: as placeholders and as the words.
 
-    return typed_words(df, keys).select(*keys, F.inline(F.flatten(F.transform(_starts(width), one))))
+    Generators without a lambda keep this in compiled code up to the join; outer ones add no filter that would
+    type the words again.
+    """
+    placed = typed_words(df, keys).select(*keys, "_t", "_l", F.explode_outer(_starts(width)).alias("at")).where("at is not null")
+    both = F.array_distinct(F.array(_hash("_t", F.col("at"), width), _hash("_l", F.col("at"), width)))
+    return placed.select(*keys, "at", F.explode_outer(both).alias("h"))
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -89,7 +89,7 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
             "item_id", "at", "_t", "_l", "_r", F.transform("b", lambda w: F.concat("p", F.array(w))).alias("s"))
     literals = F.size(F.filter("p", lambda w: ~w.startswith("#")))
     rows = spelt.select("item_id", "at", "_t", "_r", F.explode("s").alias("p")).where(literals >= LITERALS).select(
-        "item_id", "at", F.xxhash64("p").alias("h"), F.xxhash64("_t").alias("t"),
+        "item_id", "at", _hash("p", F.lit(1), width).alias("h"), F.xxhash64("_t").alias("t"),
         F.when(F.exists("_t", lambda w: w.startswith("#")), F.zip_with("_t", "_r", lambda t, r: F.when(t.startswith("#"), r))).alias("slots"))
     first = rows.withColumn("window", F.min("at").over(Window.partitionBy("item_id", "t"))).groupBy("item_id", "h").agg(
         F.min_by("window", "at").alias("window"), F.min("at").alias("item_at"), F.min_by("slots", "at").alias("item_slots"))
@@ -119,19 +119,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, cove
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null and doc_id is not null")
     hits = windows(texts.withColumn("copy", F.xxhash64("text")), ["doc_id", "copy"], width).join(known, "h")
     pair = ["doc_id", "copy", "item_id"]
-    hits = staged(hits.select(*pair, "at", "slots", "window", "item_at", "item_slots", "n_windows"), "benchmark-hits")
+    hits = staged(hits.select(*pair, "at", "window", "item_at", "item_slots", "n_windows"), "benchmark-hits")
     kept = staged(
         hits.groupBy(*pair).agg(F.count_distinct("window").alias("n_found"), F.first("n_windows").alias("n_windows")).where(
             F.col("n_found") >= coverage * F.col("n_windows")), "contaminated")
     shift = F.col("at") - F.col("item_at")
     like = F.size(F.collect_set("window").over(Window.partitionBy(*pair, shift)))
     whole = F.when(F.col("like") >= coverage * F.col("n_windows"), F.array(shift, F.lit(None))).otherwise(F.array(F.lit(None).cast("int")))
-    words = hits.join(kept.select(*pair), pair).withColumn("like", like).where("item_slots is not null").select(
-        *pair, "like", "at", "item_at", "slots", "item_slots", F.explode(whole).alias("shift")).select(
+    held = texts.withColumn("copy", F.xxhash64("text")).join(kept.select(*pair[:2]).distinct(), pair[:2], "left_semi").dropDuplicates(pair[:2])
+    raw = typed_words(held, pair[:2]).select(*pair[:2], "_r")
+    lined = hits.join(kept.select(*pair), pair).withColumn("like", like).where("item_slots is not null").join(raw, pair[:2]).select(
+        *pair, "like", "at", "n_windows", "item_at", "item_slots", F.slice("_r", F.col("at"), width).alias("slots"))
+    words = lined.select(*pair, "like", "at", "item_at", "slots", "item_slots", F.explode(whole).alias("shift")).select(
         "*", F.posexplode("item_slots").alias("i", "old")).where("old is not null")
     one = [*pair, "shift"]
     places = words.groupBy(*one, (F.col("item_at") + F.col("i")).alias("place")).agg(F.max(F.struct(
-        "like", -F.col("at"), F.lower("old").alias("old"), F.lower(F.coalesce(F.get("slots", F.col("i")), "old")).alias("new"))).alias("v"))
+        "like", -F.col("at"), F.lower("old").alias("old"), F.lower(F.get("slots", F.col("i"))).alias("new"))).alias("v"))
     values = places.groupBy(*one, F.col("v.old").alias("old"), F.col("v.new").alias("new")).count()
     agreed = values.groupBy(*one, "old").agg(
         F.max("count").alias("most"), F.sum("count").alias("n"),
