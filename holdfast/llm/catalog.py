@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline  # noqa: F401
-from holdfast.llm import decontaminate, language, licenses, mixing, packing, quality, sharding, simhash, substrings, topk  # noqa: F401
+from holdfast.llm import chat, decontaminate, language, lexical, spelling, licenses, mixing, packing, quality, sharding, simhash, substrings, topk  # noqa: F401
 from holdfast.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
