@@ -149,19 +149,45 @@ def read_plan(replicas: DataFrame, chunks_per_block: int = 1_000_000) -> DataFra
 CHUNKS_PER_PART = 4_096
 
 
-def reassemble(chunks: DataFrame, totals: DataFrame, chunks_per_part: int = CHUNKS_PER_PART) -> DataFrame:
+def digest_of(checksums: Column) -> Column:
+    """One digest for a chunk, from its slice checksums."""
+    return F.sha1(F.array_join(checksums, ""))
+
+
+def reassemble(
+    chunks: DataFrame, totals: DataFrame, chunks_per_part: int = CHUNKS_PER_PART,
+    manifest: DataFrame | None = None, slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """Join chunks back into files, for files whose chunks have all arrived.
 
     A file comes out as numbered parts of at most ``chunks_per_part`` chunks (256 MB at full chunk
     size), so a file of any size stays whole while no task has to hold more than one part. A file
-    of up to one part is one row. A chunk that was sent again counts once, by its number.
+    of up to one part is one row. A chunk that was sent again counts once, by its number. With a
+    ``manifest`` (``filename, chunk_no, stored``) only copies whose slices have the recorded checksums
+    count, so an altered copy neither stands in for a sound one nor completes a file.
+
+    Completeness is decided on keys and digests; bytes are shuffled once, beside the digests they are held against.
     """
-    have = chunks.select(*CHUNK_KEY).distinct().groupBy("filename").agg(F.count("*").alias("received"))
+    numbered = chunks.withColumn("part_no", F.floor(F.col("chunk_no") / chunks_per_part).cast("bigint")).select(
+        "filename", "part_no", "chunk_no", "data")
+    if manifest is not None:
+        known = manifest.select(*CHUNK_KEY, digest_of(F.col("stored")).alias("stored"))
+        numbered = numbered.withColumn("found", digest_of(slice_checksums(F.col("data"), slice_bytes)))
+        keys = numbered.select(*CHUNK_KEY, F.col("found").alias("stored")).distinct().join(known, [*CHUNK_KEY, "stored"], "left_semi")
+    else:
+        keys = numbered
+    have = keys.select(*CHUNK_KEY).distinct().groupBy("filename").agg(F.count("*").alias("received"))
     done = have.join(totals, "filename").where(F.col("received") == F.col("total_chunks"))
-    numbered = chunks.withColumn("part_no", F.floor(F.col("chunk_no") / chunks_per_part).cast("bigint"))
     parts = numbered.select("filename", "part_no").distinct().join(done.select("filename"), "filename")
+    if manifest is not None:
+        told = known.select("filename", F.floor(F.col("chunk_no") / chunks_per_part).cast("bigint").alias("part_no"), "chunk_no",
+                            F.lit(None).cast("binary").alias("data"), F.lit(None).cast("string").alias("found"), "stored")
+        numbered = numbered.withColumn("stored", F.lit(None).cast("string")).unionByName(told)
     kept = numbered.join(parts, ["filename", "part_no"], "left_semi")
-    once = F.row_number().over(Window.partitionBy("filename", "part_no", "chunk_no").orderBy("data"))
+    of_chunk = Window.partitionBy("filename", "part_no", "chunk_no")
+    if manifest is not None:
+        kept = kept.withColumn("stored", F.max("stored").over(of_chunk)).where("found = stored")
+    once = F.row_number().over(of_chunk.orderBy("data"))
     return kept.withColumn("_copy", once).where("_copy = 1").groupBy("filename", "part_no").agg(
         F.expr("listagg(data) WITHIN GROUP (ORDER BY chunk_no)").alias("data"), F.count("*").alias("n_chunks")
     )

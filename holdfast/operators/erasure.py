@@ -84,33 +84,80 @@ def encode(chunks: DataFrame) -> DataFrame:
     return _numbered(coded, F.concat(_cut(), F.col("parity")))
 
 
-def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rebuild the data shards of each chunk from six good ones.
+def _agreeing(matrix: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Data rebuilt from the first six rows of ``block``, and where the other rows are what that data gives.
+
+    ``block`` is (shards, members, bytes) and ``matrix`` has the coding row of each shard.
+    """
+    n, members, step = block.shape
+    first = galois.multiply(galois.invert(matrix[:DATA_SHARDS]), block[:DATA_SHARDS].reshape(DATA_SHARDS, -1))
+    spare = galois.multiply(matrix[DATA_SHARDS:], first).reshape(n - DATA_SHARDS, members, step)
+    return first.reshape(DATA_SHARDS, members, step), (spare == block[DATA_SHARDS:]).all(axis=(0, 2))
+
+
+def _settle(numbers: tuple[int, ...], proven: int, block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, str, int | None]]:
+    """``(members, data, proof, wrong shard)`` for chunks that hold the same shards, the ``proven`` ones first.
 
-    Chunks with the same shards present and the same shard size share one matrix inverse.
+    Nine shards of which six are data have distance four: seven shards show that one is wrong, eight or nine
+    also show which. Members that cannot be settled are not given.
     """
+    matrix = galois.coding_matrix()[[n - 1 for n in numbers]]
+    everyone = np.arange(block.shape[1])
+    if proven >= DATA_SHARDS:
+        yield everyone, _agreeing(matrix[:DATA_SHARDS], block[:DATA_SHARDS])[0], "digest", None
+        return
+    data, agree = _agreeing(matrix, block)
+    agree &= _plausible(data)
+    if agree.any():
+        yield everyone[agree], data[:, agree], "spare" if len(numbers) > DATA_SHARDS else "none", None
+    open_ = everyone[~agree]
+    for suspect in range(proven, len(numbers)) if len(numbers) >= DATA_SHARDS + 2 else []:
+        if not len(open_):
+            break
+        rest = [i for i in range(len(numbers)) if i != suspect]
+        data, agree = _agreeing(matrix[rest], block[rest][:, open_])
+        agree &= _plausible(data)
+        if agree.any():
+            yield open_[agree], data[:, agree], "located", numbers[suspect]
+            open_ = open_[~agree]
+
+
+def _plausible(data: np.ndarray) -> np.ndarray:
+    """Frames whose length header fits the shard size and whose padding is zero."""
+    _, members, step = data.shape
+    frames = data.transpose(1, 0, 2).reshape(members, -1)
+    size = frames[:, :HEADER_BYTES].astype(np.int64) @ (1 << np.arange(24, -1, -8))
+    fits = -(-(size + HEADER_BYTES) // DATA_SHARDS) == step
+    tail = np.arange(frames.shape[1])[None, -DATA_SHARDS:] >= HEADER_BYTES + size[:, None]
+    return fits & ~((frames[:, -DATA_SHARDS:] != 0) & tail).any(axis=1)
+
+
+def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rebuild chunks from the shards that are left; chunks with the same shards and sizes are worked on together."""
     for batch in _portions(batches):
-        rows = batch.column("shards").to_pylist()
-        groups: dict[tuple, list[int]] = {}
-        picked: list[list[bytes]] = []
-        for at, shards in enumerate(rows):
-            picked.append([s["data"] for s in shards])
-            shape = (tuple(s["shard_no"] - 1 for s in shards), len(shards[0]["data"]))
-            groups.setdefault(shape, []).append(at)
-        data: list[bytes] = [b""] * len(rows)
-        for (present, step), members in groups.items():
-            block = np.stack([np.stack([np.frombuffer(s, np.uint8) for s in picked[m]]) for m in members])
-            stacked = block.transpose(1, 0, 2).reshape(DATA_SHARDS, -1)
-            inverse = galois.invert(galois.coding_matrix()[list(present)])
-            whole = galois.multiply(inverse, stacked).reshape(DATA_SHARDS, len(members), step)
-            for at, member in enumerate(members):
-                frame = whole[:, at].tobytes()
-                size = int.from_bytes(frame[:HEADER_BYTES], "big")
-                data[member] = frame[HEADER_BYTES : HEADER_BYTES + size]
+        groups: dict[tuple, list[tuple[int, list[bytes]]]] = {}
+        for at, shards in enumerate(batch.column("shards").to_pylist()):
+            sizes = [len(s["data"]) for s in shards]
+            proven = [len(s["data"]) for s in shards if not s["unproven"]]
+            step = proven[0] if proven else max(set(sizes), key=lambda size: (sizes.count(size), size))
+            used = [s for s in shards if len(s["data"]) == step]
+            if len(used) >= DATA_SHARDS and step:
+                shape = (tuple(s["shard_no"] for s in used), sum(not s["unproven"] for s in used), step)
+                groups.setdefault(shape, []).append((at, [s["data"] for s in used]))
+        rows, out, proofs, wrong = [], [], [], []
+        for (numbers, proven, _), members in groups.items():
+            block = np.stack([np.stack([np.frombuffer(d, np.uint8) for d in held]) for _, held in members]).transpose(1, 0, 2)
+            for settled, data, proof, suspect in _settle(numbers, proven, block):
+                for i, member in enumerate(settled):
+                    frame = data[:, i].tobytes()
+                    rows.append(members[member][0])
+                    out.append(frame[HEADER_BYTES:HEADER_BYTES + int.from_bytes(frame[:HEADER_BYTES], "big")])
+                    proofs.append(proof)
+                    wrong.append(suspect)
+        taken = batch.select(CHUNK_KEY).take(pa.array(rows, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("filename"), batch.column("chunk_no"), pa.array(data, pa.binary())],
-            names=["filename", "chunk_no", "data"],
-        )
+            [*taken.columns, pa.array(out, pa.binary()), pa.array(proofs, pa.string()), pa.array(wrong, pa.int64())],
+            names=[*CHUNK_KEY, "data", "proof", "wrong_shard"])
 
 
 def good_shards(shards: DataFrame, digests: DataFrame) -> DataFrame:
@@ -132,16 +179,45 @@ def scrub(digests: DataFrame, stored: DataFrame) -> DataFrame:
     return digests.select(*key, "sha1").join(found, key, "left").groupBy(*key).agg(status.alias("status"))
 
 
-def decode(shards: DataFrame) -> DataFrame:
-    """Chunks with at least six different good shards, rebuilt; a shard that was sent again counts once."""
-    grouped = (
-        shards.groupBy(*CHUNK_KEY, "shard_no").agg(F.min("data").alias("data"))
-        .groupBy(*CHUNK_KEY)
-        .agg(F.collect_list(F.struct("shard_no", "data")).alias("shards"))
-        .where(F.size("shards") >= DATA_SHARDS)
-        .withColumn("shards", F.slice(F.array_sort("shards"), 1, DATA_SHARDS))
-    )
-    return grouped.mapInArrow(_decode_batches, "filename string, chunk_no bigint, data binary")
+def _usable_shards(shards: DataFrame, digests: DataFrame | None) -> DataFrame:
+    """One version of each shard, per chunk: ``(filename, chunk_no, shards)``, those with a proof first.
+
+    A shard whose digest is recorded counts only with that digest. One without counts if all its copies agree.
+    Equal copies are reduced to one in each task before bytes are shuffled; a wrong copy never outlives its chunk's list of digests.
+    """
+    versions = shards.groupBy(*CHUNK_KEY, "shard_no", F.sha1("data").alias("found")).agg(F.min("data").alias("data"))
+    pair = F.struct(F.col("shard_no").cast("bigint").alias("shard_no"), F.col("found").alias("sha1"))
+    if digests is None:
+        judged = versions.withColumn("unproven", F.lit(True))
+    else:
+        listed = digests.groupBy(*CHUNK_KEY).agg(F.collect_set(F.struct(F.col("shard_no").cast("bigint").alias("shard_no"), "sha1")).alias("known"))
+        joined = versions.join(listed, CHUNK_KEY, "left")
+        no_digest = F.coalesce(~F.exists("known", lambda k: k["shard_no"] == F.col("shard_no")), F.lit(True))
+        sound = F.coalesce(F.array_contains("known", pair), F.lit(False))
+        judged = joined.where(sound | no_digest).select(*CHUNK_KEY, "shard_no", "data", (~sound).alias("unproven"))
+    once = judged.groupBy(*CHUNK_KEY, "shard_no").agg(
+        F.min("data").alias("data"), F.bool_or("unproven").alias("unproven"), F.count("*").alias("versions"))
+    agreed = once.where((F.col("versions") == 1) | ~F.col("unproven"))
+    row = F.struct("unproven", F.col("shard_no").cast("bigint").alias("shard_no"), "data")
+    return agreed.groupBy(*CHUNK_KEY).agg(F.array_sort(F.collect_list(row)).alias("shards")).where(F.size("shards") >= DATA_SHARDS)
+
+
+def decode(shards: DataFrame, digests: DataFrame | None = None) -> DataFrame:
+    """Chunks rebuilt from six or more different shards: ``filename, chunk_no, data, proof, wrong_shard``.
+
+    ``digests`` (``filename, chunk_no, shard_no, sha1``) is what was recorded when the shards were written. A
+    shard that differs from its digest is not used. Where digests are missing, spare shards tell: ``proof`` is
+
+    * ``digest``: six shards have their recorded digest;
+    * ``spare``: seven or more shards agree;
+    * ``located``: one of eight or nine shards disagrees, is named in ``wrong_shard`` and was left out;
+    * ``none``: exactly six shards and no digest for all of them, so nothing speaks for the bytes.
+
+    Chunks with fewer usable shards, and those whose shards contradict each other in any other way, give no row.
+    A shard that was sent again counts once; copies that differ, without a digest to choose by, count as lost.
+    """
+    return _usable_shards(shards, digests).mapInArrow(
+        _decode_batches, "filename string, chunk_no bigint, data binary, proof string, wrong_shard bigint")
 
 
 def recoverability(shards: DataFrame) -> DataFrame:
@@ -150,6 +226,12 @@ def recoverability(shards: DataFrame) -> DataFrame:
     return counted.withColumn("recoverable", F.col("good_shards") >= DATA_SHARDS)
 
 
+def scrubbed_recoverability(scrubbed: DataFrame) -> DataFrame:
+    """Shards of each chunk that still have their recorded digest, and whether six are left; chunks with none are listed too."""
+    counted = scrubbed.groupBy(*CHUNK_KEY).agg(F.count_if(F.col("status") == "healthy").alias("good_shards"))
+    return counted.withColumn("recoverable", F.col("good_shards") >= DATA_SHARDS)
+
+
 def storage_overhead(chunks: DataFrame, copies: int) -> DataFrame:
     """Bytes stored per byte of payload under replication and under erasure coding."""
     size = F.length("data").cast("bigint")

@@ -120,13 +120,19 @@ def dfs_read_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("dfs_reassembled", stmt(FILES, """
-lost AS (SELECT DISTINCT doc_id FROM chunks WHERE doc_id % 10 = 0 AND chunk_no = 1)""", body=f"""
+lost AS (SELECT DISTINCT doc_id FROM chunks WHERE doc_id % 10 = 0 AND chunk_no = 1 OR doc_id % 17 = 3 AND chunk_no = 0)""", body=f"""
 {_PARTS} WHERE doc_id NOT IN (SELECT doc_id FROM lost)"""))
 def dfs_reassembled(spark: SparkSession, sf: str) -> DataFrame:
-    kept = st.file_chunks(spark, sf).where(~((F.col("doc_id") % 10 == 0) & (F.col("chunk_no") == 1)))
-    arrived = kept.unionByName(kept.where((F.col("doc_id") + F.col("chunk_no")) % 3 == 0))  # some chunks are sent again
+    """Some chunks never arrive, some arrive twice, some of those altered, and some arrive only altered."""
+    stored = st.file_chunks(spark, sf)
+    kept = stored.where(~((F.col("doc_id") % 10 == 0) & (F.col("chunk_no") == 1)))
+    turn = F.col("doc_id") + F.col("chunk_no")
+    altered = F.concat(F.lit(b"\x00"), F.col("data").substr(F.lit(2), F.length("data")))
+    first = kept.withColumn("data", F.when((F.col("doc_id") % 17 == 3) & (F.col("chunk_no") == 0), altered).otherwise(F.col("data")))
+    again = first.where(turn % 3 == 0).withColumn("data", F.when(turn % 6 == 0, altered).otherwise(F.col("data")))
     totals = chunks.numbers(st.files(spark, sf), st.CHUNK_BYTES).groupBy("filename").agg(F.count("*").alias("total_chunks"))
-    return _digest(chunks.reassemble(arrived, totals), "filename", "part_no")
+    whole = chunks.reassemble(first.unionByName(again), totals, manifest=st.manifest(spark, sf), slice_bytes=st.SLICE_BYTES)
+    return _digest(whole, "filename", "part_no")
 
 
 @query("dfs_node_inventory", stmt(FILES, REPLICAS, body="""
@@ -285,35 +291,46 @@ def ec_encode(spark: SparkSession, sf: str) -> DataFrame:
     return _digest(erasure.encode(st.file_chunks(spark, sf)), "filename", "chunk_no", "shard_no")
 
 
-def _surviving_shards(spark: SparkSession, sf: str) -> DataFrame:
-    doc_id = F.substring_index("filename", "/", -1).cast("bigint")
-    shards = erasure.encode(st.file_chunks(spark, sf)).withColumn("doc_id", doc_id)
-    kept = shards.where(~st.lost_shard())
-    again = kept.where((F.col("doc_id") + F.col("shard_no")) % 4 == 0)  # some shards are sent again
-    return kept.unionByName(again).drop("doc_id")
+def _shard_digests(spark: SparkSession, sf: str) -> DataFrame:
+    """What was recorded when the shards were written."""
+    return erasure.encode(st.file_chunks(spark, sf)).select("filename", "chunk_no", "shard_no", F.sha1("data").alias("sha1"))
 
 
-@query("ec_decode", stmt(FILES, SHARDS, body="""
-SELECT filename, chunk_no, CAST(octet_length(data) AS BIGINT) AS n_bytes, sha1(data) AS sha1 FROM chunks
-WHERE (doc_id*3 + chunk_no) % 5 <= 3"""))
+# Shards of the store by what is left of them: sound (a sound copy at least), single (all copies agree), wrong (altered, no other copy).
+_HELD = """
+held AS (
+  SELECT filename, chunk_no, doc_id, any_value(data) AS data, count(*) FILTER (t <> 7) AS sound,
+    count(*) FILTER (t NOT IN (0, 7)) AS single, count(*) FILTER (t = 7) AS wrong, max(s) FILTER (t = 7) AS wrong_shard
+  FROM (SELECT *, (doc_id*5 + chunk_no + s) % 14 AS t FROM chunks, unnest(range(1, 10)) AS t(s)
+        WHERE (s + doc_id + chunk_no) % 9 >= (doc_id*3 + chunk_no) % 5) GROUP BY filename, chunk_no, doc_id)"""
+
+
+@query("ec_decode", stmt(FILES, _HELD, body="""
+SELECT filename, chunk_no, CAST(octet_length(data) AS BIGINT) AS n_bytes, sha1(data) AS sha1,
+  CASE WHEN doc_id % 3 <> 0 THEN 'digest' WHEN wrong = 0 THEN 'spare' ELSE 'located' END AS proof,
+  CASE WHEN doc_id % 3 = 0 THEN wrong_shard END AS wrong_shard
+FROM held WHERE CASE WHEN doc_id % 3 <> 0 THEN sound >= 6 WHEN wrong = 0 THEN single >= 7 ELSE single >= 7 END"""))
 def ec_decode(spark: SparkSession, sf: str) -> DataFrame:
-    return _digest(erasure.decode(_surviving_shards(spark, sf)), "filename", "chunk_no")
+    """Altered, lost and doubled shards; every third file's digests were never recorded. Unproven bytes are left out."""
+    known = _shard_digests(spark, sf).where(F.substring_index("filename", "/", -1).cast("bigint") % 3 != 0)
+    rebuilt = erasure.decode(st.shard_store(spark, sf), known).where("proof <> 'none'")
+    return _digest(rebuilt, "filename", "chunk_no", "proof", "wrong_shard")
 
 
-@query("ec_read_files", stmt(FILES, """
-broken AS (SELECT DISTINCT filename FROM chunks WHERE (doc_id*3 + chunk_no) % 5 > 3)""", body=f"""
+@query("ec_read_files", stmt(FILES, _HELD, """
+broken AS (SELECT filename FROM chunks LEFT JOIN held USING (filename, chunk_no) WHERE coalesce(sound, 0) < 6)""", body=f"""
 {_PARTS} WHERE filename NOT IN (SELECT filename FROM broken)"""))
 def ec_read_files(spark: SparkSession, sf: str) -> DataFrame:
-    rebuilt = erasure.decode(_surviving_shards(spark, sf))
+    rebuilt = erasure.decode(st.shard_store(spark, sf), _shard_digests(spark, sf))
     totals = chunks.numbers(st.files(spark, sf), st.CHUNK_BYTES).groupBy("filename").agg(F.count("*").alias("total_chunks"))
     return _digest(chunks.reassemble(rebuilt, totals), "filename", "part_no")
 
 
-@query("ec_recoverability", stmt(FILES, SHARDS, body="""
-SELECT filename, chunk_no, count(*) AS good_shards, count(*) >= 6 AS recoverable FROM kept GROUP BY filename, chunk_no"""))
+@query("ec_recoverability", stmt(FILES, _HELD, body="""
+SELECT c.filename, c.chunk_no, coalesce(sound, 0) AS good_shards, coalesce(sound, 0) >= 6 AS recoverable
+FROM chunks c LEFT JOIN held h ON h.filename = c.filename AND h.chunk_no = c.chunk_no"""))
 def ec_recoverability(spark: SparkSession, sf: str) -> DataFrame:
-    kept = st.shard_list(spark, sf).where(~st.lost_shard())
-    return erasure.recoverability(kept.unionByName(kept.where((F.col("doc_id") + F.col("shard_no")) % 4 == 0)))
+    return erasure.scrubbed_recoverability(erasure.scrub(_shard_digests(spark, sf), st.shard_store(spark, sf)))
 
 
 @query("ec_scrub_status", stmt(FILES, body="""
@@ -322,8 +339,7 @@ SELECT filename, chunk_no, s AS shard_no, CASE
     WHEN (doc_id*5 + chunk_no + s) % 14 = 7 THEN 'corrupt' ELSE 'healthy' END AS status
 FROM chunks, unnest(range(1, 10)) AS t(s)"""))
 def ec_scrub_status(spark: SparkSession, sf: str) -> DataFrame:
-    digests = erasure.encode(st.file_chunks(spark, sf)).select("filename", "chunk_no", "shard_no", F.sha1("data").alias("sha1"))
-    return erasure.scrub(digests, st.shard_store(spark, sf))
+    return erasure.scrub(_shard_digests(spark, sf), st.shard_store(spark, sf))
 
 
 @query("ec_node_inventory", stmt(FILES, """

@@ -112,3 +112,13 @@ def test_a_replica_that_is_listed_twice_is_one(spark):
     rows = [("f", 0, 1, "healthy"), ("f", 0, 1, "healthy"), ("f", 0, 2, "corrupt")]
     seen = spark.createDataFrame(rows, "filename string, chunk_no bigint, node bigint, status string")
     assert [(r.healthy, r.recoverable) for r in chunks.recoverability(seen).collect()] == [(1, True)]
+
+
+def test_only_copies_with_the_recorded_checksums_count(spark):
+    rows = [("f", 0, b"\x00" * 8 + b"bbbb"), ("f", 0, b"aaaaaaaabbbb"), ("f", 0, b"aaaaaaaabbbb"), ("f", 1, b"tail"), ("g", 0, b"x" * 12), ("g", 1, b"wrong")]
+    arrived = spark.createDataFrame(rows, "filename string, chunk_no bigint, data binary")
+    sound = spark.createDataFrame([("f", 0, b"aaaaaaaabbbb"), ("f", 1, b"tail"), ("g", 0, b"x" * 12), ("g", 1, b"right")], "filename string, chunk_no bigint, data binary")
+    manifest = sound.select("filename", "chunk_no", chunks.slice_checksums(F.col("data"), 8).alias("stored"))
+    totals = spark.createDataFrame([("f", 2), ("g", 2)], "filename string, total_chunks bigint")
+    got = chunks.reassemble(arrived, totals, manifest=manifest, slice_bytes=8).collect()
+    assert [(r.filename, bytes(r.data), r.n_chunks) for r in got] == [("f", b"aaaaaaaabbbbtail", 2)]

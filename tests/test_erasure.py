@@ -71,3 +71,67 @@ def test_resent_shards_count_once(spark):
     assert not any(r.recoverable for r in erasure.recoverability(five).collect())
     six = shards.where("shard_no <= 6").unionByName(shards.where("shard_no in (1, 6)"))
     assert erasure.decode(six).count() == sample(spark).count()
+
+
+def broken(shards, wrong, how="flip"):
+    """The shards with those numbered in ``wrong`` altered."""
+    size = F.length("data")
+    flipped = {"flip": F.concat(F.when(F.substring("data", 1, 1) == F.lit(b"\x07"), F.lit(b"\x08")).otherwise(F.lit(b"\x07")), F.col("data").substr(F.lit(2), size)),
+               "short": F.lit(b"ab")}[how]
+    return shards.withColumn("data", F.when(F.col("shard_no").isin(*wrong), flipped).otherwise(F.col("data")))
+
+
+def test_without_digests_spare_shards_locate_one_wrong_shard(spark):
+    data = sample(spark)
+    want = {r.chunk_no: bytes(r.data) for r in data.collect()}
+    shards = erasure.encode(data).cache()
+    for wrong in range(1, 10):
+        for lost in ([], [wrong % 9 + 1]):
+            got = erasure.decode(broken(shards, [wrong]).where(~F.col("shard_no").isin(*lost, 0))).collect()
+            assert {r.chunk_no: (bytes(r.data), r.proof, r.wrong_shard) for r in got} == {c: (d, "located", wrong) for c, d in want.items()}
+
+
+def test_seven_shards_show_a_wrong_one_but_not_which(spark):
+    shards = erasure.encode(sample(spark)).cache()
+    assert {r.proof for r in erasure.decode(shards.where("shard_no > 2")).collect()} == {"spare"}
+    assert erasure.decode(broken(shards, [5]).where("shard_no > 2")).count() == 0
+    assert {r.proof for r in erasure.decode(shards.where("shard_no > 3")).collect()} == {"none"}
+
+
+def test_digests_choose_between_copies(spark):
+    data = sample(spark)
+    want = {r.chunk_no: bytes(r.data) for r in data.collect()}
+    shards = erasure.encode(data).cache()
+    digests = shards.select("filename", "chunk_no", "shard_no", F.sha1("data").alias("sha1"))
+    both = shards.unionByName(broken(shards, range(1, 10)))
+    got = erasure.decode(both.unionByName(both), digests).collect()
+    assert {r.chunk_no: (bytes(r.data), r.proof) for r in got} == {c: (d, "digest") for c, d in want.items()}
+    assert erasure.decode(both).count() == 0  # nothing tells the copies apart
+    assert erasure.decode(broken(shards, [1, 2, 3, 4]), digests).count() == 0
+
+
+def test_digests_known_for_some_shards_only(spark):
+    """Five shards are proven, one of the other four is wrong: the proven ones are never suspected."""
+    data = sample(spark)
+    shards = erasure.encode(data).cache()
+    digests = shards.where("shard_no <= 5").select("filename", "chunk_no", "shard_no", F.sha1("data").alias("sha1"))
+    got = erasure.decode(broken(shards, [8]), digests).collect()
+    assert {(r.chunk_no, r.proof, r.wrong_shard) for r in got} == {(c, "located", 8) for c in range(6)}
+    cut = erasure.decode(broken(shards, [7], "short").where("chunk_no > 2"), digests).collect()
+    assert {(r.chunk_no, r.proof) for r in cut} == {(c, "spare") for c in range(3, 6)}
+
+
+def test_two_wrong_shards_are_never_served(spark):
+    data = sample(spark).where("chunk_no > 2")
+    shards = erasure.encode(data).cache()
+    for wrong in [(1, 2), (6, 7), (8, 9)]:
+        assert erasure.decode(broken(shards, wrong)).count() == 0
+
+
+def test_scrubbed_recoverability_lists_every_chunk(spark):
+    shards = erasure.encode(sample(spark)).cache()
+    digests = shards.select("filename", "chunk_no", "shard_no", F.sha1("data").alias("sha1"))
+    held = broken(shards, [1, 2, 3]).where("chunk_no <> 4")
+    got = {r.chunk_no: (r.good_shards, r.recoverable) for r in erasure.scrubbed_recoverability(erasure.scrub(digests, held)).collect()}
+    assert got == {c: (6, True) for c in (0, 1, 2, 3, 5)} | {4: (0, False)}
+    assert erasure.decode(shards.where("false")).count() == 0
