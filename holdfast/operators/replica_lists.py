@@ -8,187 +8,251 @@ Events on a chunk, in arrival order:
   being sent the chunk again;
 * ``fixed`` puts the node at the end unless it is listed.
 
-Whether a node is listed after a run of events depends on the nodes listed before it only through
-"is one of these listed?" questions, so a run can be summarised without knowing the list it will
-meet, and summaries of consecutive runs can be applied one after the other. A chunk with any
-number of events is therefore folded in pieces on many tasks.
+A run of events is summarised without knowing the list it will meet, and two neighbouring summaries
+compose into one, so a chunk with any number of events is folded in pieces, in a tree of tasks.
+
+A summary stays as small as the nodes it names. After a ``store`` everything is known. Before one, the only
+thing a run cannot know is which nodes were listed, and it needs that for one kind of question: "was a node
+listed that the run had not yet named?" Number the nodes as the run first names them; the question asked
+when ``t`` nodes had been named is "was any listed node not among the first t?", so the number ``t`` says it
+all, and the answer for every ``t`` follows from the largest number among the listed nodes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.operators.running import BLOCK_ROWS, block_of
 
-# A presence rule is an integer bit set: bit 0 always holds, bit 1 holds if a node not named in the
-# run is listed, bit i + 2 holds if the i-th node named in the run was listed before it.
-_ALWAYS, _OTHERS, _NAMED = 1, 2, 2
+#: Summaries that one task composes at each level of the tree.
+FAN = 16
+
+# Whether a named node is listed after the run: never, always, or if the run's open question is answered yes.
+NEVER, ALWAYS, ASKED = 0, 1, 2
+# When its first place counts and not its second: always, if it was listed before (its place then), or a question's t.
+ANYWAY, AS_BEFORE = -1, -2
+_UNNAMED = 1 << 62
 
 
 class Run:
-    """Summary of consecutive events on one chunk, added in arrival order."""
+    """Summary of consecutive events on one chunk, added in arrival order.
 
-    def __init__(self) -> None:
-        self.start: list[tuple[int, int, int]] | None = None
-        self._clear()
+    ``start`` is the list itself, node to place, once a ``store`` was seen; else ``index`` numbers the named
+    nodes and ``rule`` and ``place`` say what becomes of each. A place is ``(when, first, second)``, in arrival
+    numbers. Nodes that are asked about share one open question, ``asks``.
+    """
 
-    def _clear(self) -> None:
+    def __init__(self) -> None:
+        self.start: dict[int, tuple[int, int]] | None = None
         self.index: dict[int, int] = {}
         self.rule: list[int] = []
-        self.removed: list[tuple[int, int] | None] = []
-        self.added: list[int | None] = []
-
-    def _slot(self, node: int) -> int:
-        if node in self.index:
-            return self.index[node]
-        at = self.index[node] = len(self.rule)
-        itself = 1 << (at + _NAMED)
-        # up to now this node was one of the others
-        for j, bits in enumerate(self.rule):
-            if bits & _OTHERS:
-                self.rule[j] = bits | itself
-            gone = self.removed[j]
-            if gone and gone[1] & _OTHERS:
-                self.removed[j] = (gone[0], gone[1] | itself)
-        self.rule.append(itself)
-        self.removed.append(None)
-        self.added.append(None)
-        return at
+        self.place: list[tuple[int, int, int]] = []
+        self.asks = 0
+        self.count = [0, 0, 0]
 
     def add(self, seq: int, kind: str, nodes: list[int]) -> None:
         if kind == "store":
-            self.start = [(seq, at, node) for at, node in enumerate(nodes)]
-            self._clear()
+            self.__init__()
+            self.start = {node: (seq, at) for at, node in enumerate(nodes)}
             return
-        i = self._slot(nodes[0])
+        node = nodes[0]
+        if self.start is not None:
+            if kind == "fixed":
+                self.start.setdefault(node, (seq, 0))
+                return
+            self.start.pop(node, None)
+            if kind == "deleted" and self.start:
+                self.start[node] = (seq, 0)
+            return
+        i = self.index.get(node)
+        if i is None:
+            i = self.index[node] = len(self.rule)
+            self.rule.append(NEVER)
+            self.place.append((AS_BEFORE, 0, seq))
+            self.count[NEVER] += 1
+            before = None
+        else:
+            before = self.rule[i]
         if kind == "fixed":
-            self.rule[i] = _ALWAYS
-            if self.added[i] is None:
-                self.added[i] = seq
+            if before == NEVER:
+                self.place[i] = (ANYWAY, seq, 0)
+            elif before == ASKED:
+                self.place[i] = (self.asks, self.place[i][1], seq)
+            self._becomes(i, ALWAYS)
             return
-        back = 0
+        self._becomes(i, NEVER)
         if kind == "deleted":
-            back = _OTHERS
-            for j, other in enumerate(self.rule):
-                if j != i:
-                    back |= other
-        self.rule[i], self.removed[i], self.added[i] = back, (seq, back), None
+            if not self.count[ALWAYS] and not self.count[ASKED]:
+                self.asks = len(self.rule)
+            self._becomes(i, ALWAYS if self.count[ALWAYS] else ASKED)
+            self.place[i] = (ANYWAY, seq, 0)
 
-    def summary(self) -> dict:
-        named = [(node, self.rule[i], self.removed[i], self.added[i]) for node, i in self.index.items()]
-        return {"start": self.start, "nodes": named}
+    def _becomes(self, i: int, rule: int) -> None:
+        self.count[self.rule[i]] -= 1
+        self.count[rule] += 1
+        self.rule[i] = rule
 
 
-def summarise(events: Iterable[tuple[int, str, list[int]]]) -> dict:
+def summarise(events: Iterable[tuple[int, str, list[int]]]) -> Run:
     run = Run()
     for seq, kind, nodes in events:
         run.add(seq, kind, nodes)
-    return run.summary()
-
-
-def apply(listed: dict[int, tuple[int, int]], summary: dict) -> dict[int, tuple[int, int]]:
-    """The list after a run. A list maps each node to its position key, (arrival, offset)."""
-    if summary["start"] is not None:
-        listed = {node: (seq, at) for seq, at, node in summary["start"]}
-    named = [node for node, *_ in summary["nodes"]]
-    truth = _ALWAYS | (_OTHERS if set(listed) - set(named) else 0)
-    for i, node in enumerate(named):
-        if node in listed:
-            truth |= 1 << (i + _NAMED)
-    after = {node: at for node, at in listed.items() if node not in set(named)}
-    for node, rule, removed, added in summary["nodes"]:
-        if not rule & truth:
-            continue
-        if removed is None:
-            after[node] = listed.get(node, (added, 0))
-        elif removed[1] & truth:
-            after[node] = (removed[0], 0)
-        else:
-            after[node] = (added, 0)
+    return run
+
+
+def apply(listed: dict[int, tuple[int, int]], run: Run) -> dict[int, tuple[int, int]]:
+    """The list after a run. A list maps each node to its place key, (arrival, offset)."""
+    if run.start is not None:
+        return dict(run.start)
+    highest = max((run.index.get(node, _UNNAMED) for node in listed), default=-1)
+    after = {node: at for node, at in listed.items() if node not in run.index}
+    for node, rule, (when, first, second) in zip(run.index, run.rule, run.place, strict=True):
+        if rule == ALWAYS or rule == ASKED and highest >= run.asks:
+            if when == AS_BEFORE:
+                after[node] = listed.get(node, (second, 0))
+            else:
+                after[node] = (first if when == ANYWAY or highest >= when else second, 0)
     return after
 
 
+def compose(early: Run, late: Run) -> Run:
+    """One run that does what ``early`` and then ``late`` do. Associative, and linear in the nodes they name."""
+    if late.start is not None:
+        return late
+    both = Run()
+    if early.start is not None:
+        both.start = apply(early.start, late)
+        return both
+    # A question of the late run is about the list the early one leaves: its nodes, and listed ones it did not name.
+    reach = {rule: max((late.index.get(n, _UNNAMED) for n, r in zip(early.index, early.rule, strict=True) if r == rule), default=-1) for rule in (ALWAYS, ASKED)}
+    known = len(early.rule)
+    new_before = [0]
+    for node in late.index:
+        new_before.append(new_before[-1] + (node not in early.index))
+
+    def about(t: int) -> int:
+        """The question ``t`` of the late run, asked of the list before both; ``ANYWAY`` if the answer is yes."""
+        if reach[ALWAYS] >= t:
+            return ANYWAY
+        return early.asks if reach[ASKED] >= t else known + new_before[t]
+
+    both.index, both.rule, both.place, both.asks = dict(early.index), list(early.rule), list(early.place), early.asks
+    asks = about(late.asks) if late.count[ASKED] else early.asks
+    for node, rule, (when, first, second) in zip(late.index, late.rule, late.place, strict=True):
+        before = early.index.get(node)
+        if rule == ASKED and asks == ANYWAY:
+            rule = ALWAYS
+        place = (when, first, second)
+        if when >= 0:
+            asked = about(when)
+            place = (ANYWAY, first, 0) if asked == ANYWAY else (asked, first, second)
+        elif when == AS_BEFORE and before is not None:
+            was = early.rule[before]
+            place = early.place[before] if was == ALWAYS else (ANYWAY, second, 0) if was == NEVER else (early.asks, early.place[before][1], second)
+        if before is None:
+            both.index[node] = len(both.rule)
+            both.rule.append(rule)
+            both.place.append(place)
+        else:
+            both.rule[before], both.place[before] = rule, place
+    if asks != ANYWAY:
+        both.asks = asks
+    both.count = [both.rule.count(r) for r in (NEVER, ALWAYS, ASKED)]
+    return both
+
+
 def ordered(listed: dict[int, tuple[int, int]]) -> list[int]:
     return sorted(listed, key=listed.__getitem__)
 
 
-def _pack(summary: dict) -> dict:
-    """A summary as Arrow-friendly columns; rules become bytes, absent numbers -1."""
-    as_bytes = lambda bits: bits.to_bytes((bits.bit_length() + 7) // 8 or 1, "little")
-    return {
-        "has_start": summary["start"] is not None,
-        "start": [{"seq": s, "at": a, "node": n} for s, a, n in summary["start"] or []],
-        "nodes": [
-            {
-                "node": node,
-                "rule": as_bytes(rule),
-                "removed": removed[0] if removed else -1,
-                "back": as_bytes(removed[1] if removed else 0),
-                "added": -1 if added is None else added,
-            }
-            for node, rule, removed, added in summary["nodes"]
-        ],
-    }
-
-
-def _unpack(row) -> dict:
-    bits = lambda raw: int.from_bytes(bytes(raw), "little")
-    return {
-        "start": [(s["seq"], s["at"], s["node"]) for s in row.start] if row.has_start else None,
-        "nodes": [
-            (
-                n["node"],
-                bits(n["rule"]),
-                None if n["removed"] < 0 else (n["removed"], bits(n["back"])),
-                None if n["added"] < 0 else n["added"],
-            )
-            for n in row.nodes
-        ],
-    }
-
-
-_SUMMARY = (
-    "chunk bigint, block bigint, has_start boolean, start array<struct<seq:bigint,at:bigint,node:bigint>>, "
-    "nodes array<struct<node:bigint,rule:binary,removed:bigint,back:binary,added:bigint>>"
-)
-
-
-def _summarise_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Summaries of the runs of one task, whose rows come sorted by chunk, block and arrival."""
-    here, run = None, Run()
+def _pack(run: Run) -> dict:
+    """A run as flat columns; ``body`` holds rows of five numbers, or of three for a known list."""
+    if run.start is not None:
+        rows = [(node, *place) for node, place in run.start.items()]
+    else:
+        rows = [(node, rule, *place) for node, rule, place in zip(run.index, run.rule, run.place, strict=True)]
+    return {"has_start": run.start is not None, "asks": run.asks, "body": np.array(rows, "<i8").tobytes()}
+
+
+def _unpack(row) -> Run:
+    run = Run()
+    rows = np.frombuffer(bytes(row.body), "<i8").reshape(-1, 3 if row.has_start else 5).tolist()
+    if row.has_start:
+        run.start = {node: (seq, at) for node, seq, at in rows}
+        return run
+    run.asks = row.asks
+    run.index = {r[0]: i for i, r in enumerate(rows)}
+    run.rule = [r[1] for r in rows]
+    run.place = [tuple(r[2:]) for r in rows]
+    run.count = [run.rule.count(r) for r in (NEVER, ALWAYS, ASKED)]
+    return run
+
+
+SUMMARY = "chunk bigint, block bigint, has_start boolean, asks bigint, body binary"
+_SUMMARY_ARROW = pa.schema([("chunk", pa.int64()), ("block", pa.int64()), ("has_start", pa.bool_()), ("asks", pa.int64()), ("body", pa.binary())])
+_LIST_ARROW = pa.schema([("chunk", pa.int64()), ("nodes", pa.list_(pa.int64()))])
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        out = []
-        for chunk, block, seq, kind, nodes in zip(*(batch[c] for c in ("chunk", "block", "seq", "kind", "nodes"))):
-            if (chunk, block) != here:
-                if here:
-                    out.append({"chunk": here[0], "block": here[1], **_pack(run.summary())})
-                here, run = (chunk, block), Run()
-            run.add(seq, kind, [int(n) for n in nodes])
-        if out:
-            yield pd.DataFrame(out)
+        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
+def _summary(chunk: int, block: int, run: Run) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([{"chunk": chunk, "block": block, **_pack(run)}], _SUMMARY_ARROW)
+
+
+def summarise_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Summaries of the runs of one task; rows are (chunk, block, seq, kind, nodes), sorted by the first three."""
+    here, run = None, Run()
+    for chunk, block, seq, kind, nodes in _rows(batches):
+        if (chunk, block) != here:
+            if here:
+                yield _summary(*here, run)
+            here, run = (chunk, block), Run()
+        run.add(seq, kind, nodes)
     if here:
-        yield pd.DataFrame([{"chunk": here[0], "block": here[1], **_pack(run.summary())}])
+        yield _summary(*here, run)
 
 
-def _fold_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Final lists of the chunks of one task, whose summaries come sorted by chunk and block."""
-    here, listed = None, {}
+class _Row:
+    def __init__(self, has_start, asks, body):
+        self.has_start, self.asks, self.body = has_start, asks, body
+
+
+def _compose_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One summary for each (chunk, group); rows come sorted by chunk, group and block."""
+    here, run = None, Run()
+    for chunk, group, _, *summary in _rows(batches):
+        if (chunk, group) != here:
+            if here:
+                yield _summary(*here, run)
+            here, run = (chunk, group), Run()
+        run = compose(run, _unpack(_Row(*summary)))
+    if here:
+        yield _summary(*here, run)
+
+
+def _final_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for row in batch.itertuples(index=False):
-            if row.chunk != here:
-                if here is not None:
-                    out.append({"chunk": here, "nodes": ordered(listed)})
-                here, listed = row.chunk, {}
-            listed = apply(listed, _unpack(row))
-        if out:
-            yield pd.DataFrame(out)
-    if here is not None:
-        yield pd.DataFrame([{"chunk": here, "nodes": ordered(listed)}])
+        out = [{"chunk": chunk, "nodes": ordered(apply({}, _unpack(_Row(*summary))))} for chunk, _, *summary in _rows([batch])]
+        yield pa.RecordBatch.from_pylist(out, _LIST_ARROW)
+
+
+def compose_in_tree(summaries: DataFrame, blocks: int, fan: int = FAN) -> DataFrame:
+    """One summary for each chunk, from summaries of blocks 0 to ``blocks`` - 1: ``fan`` neighbours become one, level by level."""
+    while blocks > 1:
+        group = F.floor(F.col("block") / fan).cast("bigint").alias("group")
+        placed = summaries.select("chunk", group, "block", "has_start", "asks", "body")
+        sorted_ = placed.repartition("chunk", "group").sortWithinPartitions("chunk", "group", "block")
+        summaries = sorted_.mapInArrow(_compose_runs, SUMMARY)
+        blocks = -(-blocks // fan)
+    return summaries
 
 
 def spread_deaths(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -222,14 +286,15 @@ def spread_deaths(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return on_chunk.unionByName(hits.select("chunk", "seq", F.lit("dead").alias("kind"), F.array("node").alias("nodes")))
 
 
-def replica_map(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The node list of every chunk after all events.
+def replica_map(events: DataFrame, block_rows: int = BLOCK_ROWS, fan: int = FAN) -> DataFrame:
+    """The node list of every chunk after all events; arrival numbers are not negative.
 
-    Runs of at most ``block_rows`` arrival numbers are summarised in parallel; a chunk is then
-    folded from its summaries, of which it has at most one per block.
+    Runs of at most ``block_rows`` arrival numbers are summarised in parallel and composed in a tree, so no
+    task meets more than ``fan`` summaries of one chunk, however long its history is.
     """
+    newest = events.agg(F.max(block_of("seq", block_rows))).first()[0]
     blocked = spread_deaths(events, block_rows).withColumn("block", block_of("seq", block_rows))
     runs = blocked.repartition("chunk", "block").sortWithinPartitions("chunk", "block", "seq")
-    summaries = runs.select("chunk", "block", "seq", "kind", "nodes").mapInPandas(_summarise_runs, _SUMMARY)
-    together = summaries.repartition("chunk").sortWithinPartitions("chunk", "block")
-    return together.mapInPandas(_fold_runs, "chunk bigint, nodes array<bigint>")
+    summaries = runs.select("chunk", "block", "seq", "kind", "nodes").mapInArrow(summarise_runs, SUMMARY)
+    whole = compose_in_tree(summaries, (newest or 0) + 1, fan)
+    return whole.mapInArrow(_final_lists, "chunk bigint, nodes array<bigint>")

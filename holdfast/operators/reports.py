@@ -15,18 +15,16 @@ BLANK, HEADING = -1, 0
 OVERALL, WORST = 9998, 9999
 
 # The wording of the reports.
-HUBS = "What are the major hubs (busiest airports) in continental U.S.?"
-SPAN = "Has there been a change over the 21-year period covered by this dataset?"
 TITLES = {
     "q01": ("QUESTION 1: ", "What is the best time-of-the-day/day-of-week/time-of-year to fly to minimize delays?"),
-    "q03": ("QUESTION 3: ", f"{HUBS} {SPAN}"),
-    "q03_overall": ("QUESTION 3 (continued): ", f"{HUBS} Please list the top 10."),
+    "q03": ("QUESTION 3: ", "What are the major hubs (busiest airports) in continental U.S.? Has there been a change over the 21-year period covered by this dataset?"),
+    "q03_overall": ("QUESTION 3 (continued): ", "What are the major hubs (busiest airports) in continental U.S.? Please list the top 10."),
     "q04": ("QUESTION 4: ", "Which cities experience the most weather related delays? Please list the top 10."),
     "q05": ("QUESTION 5: ", "Which carriers have the most delays?"),
     "q05_worst": ("Which carrier has the highest average delay?", ""),
     "q06": ("QUESTION 6: ", "Do East or West coast airports have more delays?"),
     "q07_aspects": ("QUESTION 7: ", "What are the aspects that you can infer from the LateAircraftDelay field?"),
-    "q07": ("QUESTION 7: ", f"What are the airports with the most delays due to Late Aircrafts? {SPAN}"),
+    "q07": ("QUESTION 7: ", "What are the airports with the most delays due to Late Aircrafts? Has there been a change over the 21-year period covered by this dataset?"),
     "q07_overall": ("Which airlines experience the most late aircraft related delays? ", "Please list the top 10."),
     "q07_worst": ("Which city has the highest average late aircraft delay across all data?", ""),
 }

@@ -431,6 +431,8 @@ def _line(measures: list[tuple[str, str]], code: str = "iata", label: str = "lab
     return f"{lead}(' || {code} || ') ' || coalesce({label}, 'null') || {tail}"
 
 
+# The titles, headings and measure names below are the wording of the reports.
+
 @query("report_q01_lines", _report(FLIGHTS, TIMES, parts=["""
 SELECT CAST(CASE kind WHEN 'HOUR' THEN 1 WHEN 'DAY' THEN 2 ELSE 3 END AS BIGINT) AS section,
   row_number() OVER (PARTITION BY kind ORDER BY mean_delay, grp) AS rank,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Airport codes of the test rows with their states, and the coast lists.
 _CODES = (
     "['IAD','DCA','ATL','BWI','BOS','JFK','EWR','MIA','LAX','SFO','SEA','PHX','LAS',"
     "'SLC','SAN','ORD','DFW','DEN','IAH','MSP','DTW','ANC','HNL','SJU','ZZZ']"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.operators import replica_lists
 from holdfast.plans.delay_sql import stmt
 from holdfast.plans.registry import query
 from holdfast.plans.store_queries import _MAP, BLOCK, classified_heartbeats
@@ -67,7 +66,8 @@ def st_liveness_sessions(spark: SparkSession, sf: str) -> DataFrame:
 @query("st_replica_map", _MAP)
 def st_replica_map(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "replica-events")
-    feeds.write_feed(replica_lists.spread_deaths(st.replica_events(spark, sf), BLOCK), "seq", path)
-    written = feeds.run_to_end(replica_stream.follow(feeds.open_feed(spark, path)), "replicas")
+    feeds.write_feed(st.replica_events(spark, sf), "seq", path)
+    with replica_stream.map_state(spark):
+        written = feeds.run_to_end(replica_stream.follow(feeds.open_feed(spark, path), BLOCK), "replicas")
     lists = replica_stream.latest_lists(written)
     return lists.select("chunk", F.array_join(F.col("nodes").cast("array<string>"), "-").alias("nodes"))

@@ -143,6 +143,60 @@ def test_runs_can_be_summarised_apart_and_applied_in_order(runs):
     assert replica_lists.ordered(listed) == brute(history)
 
 
+def bracketings(runs):
+    """The composed run for every way to set brackets."""
+    if len(runs) == 1:
+        return [runs[0]]
+    return [replica_lists.compose(a, b) for i in range(1, len(runs)) for a in bracketings(runs[:i]) for b in bracketings(runs[i:])]
+
+
+@settings(max_examples=300, deadline=None)
+@given(hs.lists(hs.integers(0, 6), max_size=4, unique=True), hs.lists(hs.lists(EVENT, max_size=5), min_size=1, max_size=5))
+def test_runs_compose_in_every_bracketing(before, runs):
+    listed = {node: (-1, at) for at, node in enumerate(before)}
+    seq, history, parts = 0, [], []
+    for run in runs:
+        numbered = [(seq + i, kind, nodes) for i, (kind, nodes) in enumerate(run)]
+        seq += len(run)
+        history += numbered
+        parts.append(replica_lists.summarise(numbered))
+    for whole in bracketings(parts):
+        assert replica_lists.ordered(replica_lists.apply(listed, whole)) == brute(history, before)
+
+
+def test_a_run_over_many_nodes_stays_linear():
+    """A million events over a hundred thousand nodes, without any ``store`` to start from."""
+    rng = random.Random(9)
+    kinds = ["corrupt", "fixed", "deleted", "dead"]
+    events = [(seq, rng.choice(kinds), [rng.randrange(100_000)]) for seq in range(1_000_000)]
+    parts = [replica_lists.summarise(events[i:i + 250_000]) for i in range(0, len(events), 250_000)]
+    whole = replica_lists.compose(replica_lists.compose(parts[0], parts[1]), replica_lists.compose(parts[2], parts[3]))
+    assert len(replica_lists._pack(whole)["body"]) <= 100_000 * 5 * 8
+    listed: dict = {node: (-1, node) for node in range(0, 100_000, 7)}
+    want = dict(listed)
+    for seq, kind, (node,) in events:
+        if kind == "fixed":
+            want.setdefault(node, (seq, 0))
+        else:
+            want.pop(node, None)
+            if kind == "deleted" and want:
+                want[node] = (seq, 0)
+    assert replica_lists.ordered(replica_lists.apply(listed, whole)) == replica_lists.ordered(want)
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_replica_map_in_a_deep_tree(spark, fan):
+    rng = random.Random(fan)
+    events = []
+    for seq in range(300):
+        kind = rng.choice(["store", "corrupt", "fixed", "deleted", "fixed"]) if seq else "store"
+        events.append((seq, kind, rng.choice([0, 0, 1]), rng.sample(range(9), 3) if kind == "store" else [rng.randrange(9)]))
+    df = spark.createDataFrame(events, "seq bigint, kind string, chunk bigint, nodes array<bigint>")
+    got = {r.chunk: r.nodes for r in replica_lists.replica_map(df, 4, fan).collect()}
+    assert got == {c: brute([(s, k, n) for s, k, at, n in events if at == c]) for c in (0, 1)}
+    assert replica_lists.replica_map(df.where("false")).count() == 0
+
+
 @pytest.mark.parametrize("block", [5, 50, 10_000])
 def test_replica_map_with_deaths(spark, block):
     rng = random.Random(block)

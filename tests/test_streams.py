@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -60,6 +61,21 @@ def test_replica_stream_equals_batch(spark, slices):
     kinds = ["store", "corrupt", "fixed", "deleted"]
     rows = [(s, kinds[(s * 7 + s // 5) % 4], s % 3, [(s + i) % 5 for i in range(3)] if (s * 7 + s // 5) % 4 == 0 else [s % 5]) for s in range(120)]
     df = spark.createDataFrame(rows, "seq bigint, kind string, chunk bigint, nodes array<bigint>")
-    written = feeds.run_to_end(replica_stream.follow(feed(spark, df, slices)), "replicas")
+    with replica_stream.map_state(spark):
+        written = feeds.run_to_end(replica_stream.follow(feed(spark, df, slices)), "replicas")
+    streamed = {r.chunk: r.nodes for r in replica_stream.latest_lists(written).collect()}
+    assert streamed == {r.chunk: r.nodes for r in replica_lists.replica_map(df, 16).collect()}
+
+
+@pytest.mark.parametrize(("slices", "block", "shares"), [(1, 1_000_000, 1), (4, 16, 3), (5, 5, 2)])
+def test_deaths_are_spread_inside_the_stream(spark, slices, block, shares):
+    rng = random.Random(slices)
+    rows = []
+    for seq in range(240):
+        kind = rng.choice(["store", "corrupt", "fixed", "deleted", "dead"])
+        rows.append((seq, kind, None if kind == "dead" else rng.choice([0, 0, 1, 2]), rng.sample(range(6), 3) if kind == "store" else [rng.randrange(6)]))
+    df = spark.createDataFrame(rows, "seq bigint, kind string, chunk bigint, nodes array<bigint>")
+    with replica_stream.map_state(spark):
+        written = feeds.run_to_end(replica_stream.follow(feed(spark, df, slices), block, shares), "replicas")
     streamed = {r.chunk: r.nodes for r in replica_stream.latest_lists(written).collect()}
     assert streamed == {r.chunk: r.nodes for r in replica_lists.replica_map(df, 16).collect()}
