@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.plans.delay_sql import stmt
-from holdfast.plans.registry import query
+from holdfast.plans.registry import ORACLES, query
 from holdfast.plans.store_queries import _MAP, BLOCK, classified_heartbeats
 from holdfast.plans.store_sql import TRAFFIC
 from holdfast.session import fresh_path
 from holdfast.sources import store_tables as st
-from holdfast.streaming import feeds, heartbeats, replica_stream
+from holdfast.streaming import feeds, heartbeats, registration, replica_stream
 
 TIMEOUT = "6 hours"
 
@@ -63,6 +63,34 @@ def st_liveness_sessions(spark: SparkSession, sf: str) -> DataFrame:
     return written.select("node", feeds.naive("live_from").alias("live_from"), feeds.naive("dead_at").alias("dead_at"), "reports")
 
 
+#: Every fiftieth report arrives after all the others.
+DELAYED = 50
+
+
+@query("st_liveness_late", stmt(TRAFFIC, body=f"""
+SELECT node, seq, ts FROM hb WHERE seq % {DELAYED} = 0
+  AND ts < (SELECT max(ts) FROM hb WHERE seq % {DELAYED} <> 0) - INTERVAL 1 HOUR"""))
+def st_liveness_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The reports that come too late to count for live intervals, kept in a table of their own."""
+    path = fresh_path(spark, "late-feed")
+    rows = st.heartbeats(spark, sf).select("node", "seq", feeds.instant("ts").alias("ts"), "free_space")
+    end = rows.agg(F.max("seq") + 1).scalar()
+    arrival = F.when(F.col("seq") % DELAYED == 0, F.col("seq") + end).otherwise(F.col("seq")).alias("arrival")
+    feeds.write_feed(rows.select("*", arrival), "arrival", path, slices=4)
+    stream, out = feeds.open_feed(spark, path), fresh_path(spark, "late-out")
+    feeds.split_late(stream, "ts", heartbeats.LATENESS, out)
+    late = feeds.read_side(spark, f"{out}/late", stream.schema)
+    return late.select("node", "seq", feeds.naive("ts").alias("ts"))
+
+
+@query("st_register_status", ORACLES["dfs_register_status"])
+def st_register_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers of the registration service over several batches."""
+    path = fresh_path(spark, "requests")
+    feeds.write_feed(st.heartbeats(spark, sf).select("seq", "node"), "seq", path)
+    return feeds.run_to_end(registration.register(feeds.open_feed(spark, path)), "registered")
+
+
 @query("st_replica_map", _MAP)
 def st_replica_map(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "replica-events")

@@ -1,44 +1,88 @@
 """Node heartbeats as a stream: state per node and live intervals.
 
 A heartbeat row has ``node, seq, ts, kind, entry, free_space``; ``ts`` is the event time. Only the
-live intervals have a watermark; rows later than it allows are dropped there.
+live intervals have a watermark; rows later than it allows can be kept apart before (``feeds.split_late``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 LATENESS = "1 hour"
 
-_STATE = "seq bigint, free_space bigint, entries array<bigint>"
+_REDUCED = "node bigint, restart bigint, seqs array<bigint>, entries array<bigint>, free_space bigint"
+_REDUCED_ARROW = pa.schema([("node", pa.int64()), ("restart", pa.int64()), ("seqs", pa.list_(pa.int64())),
+                            ("entries", pa.list_(pa.int64())), ("free_space", pa.int64())])
+_STATE = "restart bigint, seqs array<bigint>, entries array<bigint>, free_space bigint"
 _OUT = "node bigint, seq bigint, free_space bigint, entries array<bigint>"
 
 
+def _since_major(rows: pd.DataFrame) -> pd.DataFrame:
+    """The reports that still count: the last major one of each node and everything after it."""
+    major = rows["seq"].where(rows["kind"] == "major").groupby(rows["node"]).transform("max")
+    return rows[~(rows["seq"] < major)]
+
+
+def _reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each node from all reports of a task; newest report first."""
+    held: pd.DataFrame | None = None
+    for batch in batches:
+        rows = batch.to_pandas()
+        held = _since_major(rows if held is None else pd.concat([held, rows]))
+    if held is None or held.empty:
+        return
+    held = held.sort_values(["node", "seq"], ascending=[True, False])
+    first = ~held["node"].duplicated()
+    ends = np.append(np.flatnonzero(first), len(held)).astype(np.int32)
+    restart = held["seq"].where(held["kind"] == "major", -1).groupby(held["node"], sort=True).max()
+    lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(held[c].astype("int64"))) for c in ("seq", "entry")]
+    heads = held[first]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(heads["node"].astype("int64")), pa.array(restart.astype("int64").to_numpy()), *lists, pa.array(heads["free_space"].astype("int64"))],
+        schema=_REDUCED_ARROW)
+
+
+def merge_summaries(parts: Iterable[tuple]) -> tuple[int, list[int], list[int], int]:
+    """One summary for several of the same node, whatever their order: ``(restart, seqs, entries, free_space)``.
+
+    ``restart`` is the last major report (-1: none); reports from it on are listed newest first, with the newest one's space.
+    """
+    parts = list(parts)
+    restart = max(part[0] for part in parts)
+    kept = sorted({(s, e) for part in parts for s, e in zip(part[1], part[2], strict=True) if s >= restart}, reverse=True)
+    newest = max(parts, key=lambda part: part[1][0])
+    return int(restart), [int(s) for s, _ in kept], [int(e) for _, e in kept], int(newest[3])
+
+
 def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """A major report replaces the node's entries, a minor one puts its entry before them."""
-    rows = pd.concat(list(batches)).sort_values("seq")
-    entries = list(state.get[2]) if state.exists else []
-    for kind, entry in zip(rows["kind"], rows["entry"]):
-        entries = [entry] if kind == "major" else [entry, *entries]
-    seq, free = int(rows["seq"].iat[-1]), int(rows["free_space"].iat[-1])
-    entries = [int(e) for e in entries]
-    state.update((seq, free, entries))
-    yield pd.DataFrame([{"node": int(key[0]), "seq": seq, "free_space": free, "entries": entries}])
+    rows = pd.concat(list(batches))
+    parts = [*rows[["restart", "seqs", "entries", "free_space"]].itertuples(index=False, name=None), *([state.get] if state.exists else [])]
+    merged = merge_summaries(parts)
+    state.update(merged)
+    yield pd.DataFrame([{"node": int(key[0]), "seq": merged[1][0], "free_space": merged[3], "entries": merged[2]}])
+
+
+def reduce_reports(heartbeats: DataFrame) -> DataFrame:
+    """What each task's reports come to, one row for each node and task; tasks hold what still counts of their nodes."""
+    return heartbeats.select("node", "seq", "kind", "entry", "free_space").mapInArrow(_reduce, _REDUCED)
 
 
 def fold_reports(heartbeats: DataFrame) -> DataFrame:
     """The state of each node after each batch that touched it.
 
-    State is one row per node, and its list restarts with every major report. What one node sends
-    within a batch is bounded by the batch size of the feed.
+    Reports are reduced in each task first, so a node with a third of all reports sends one row a task. Summaries
+    merge in any order. State is one row per node, and its list restarts with every major report.
     """
-    return heartbeats.groupBy("node").applyInPandasWithState(
+    return reduce_reports(heartbeats).groupBy("node").applyInPandasWithState(
         _fold, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout
     )
 
@@ -51,9 +95,13 @@ def latest_reports(heartbeats: DataFrame) -> DataFrame:
     return heartbeats.groupBy("node").agg(F.max("seq").alias("seq"), F.max_by("free_space", "seq").alias("free_space"))
 
 
-def live_intervals(heartbeats: DataFrame, timeout: str) -> DataFrame:
-    """Intervals in which a node kept reporting; the end is when it is declared dead."""
-    timed = heartbeats.withWatermark("ts", LATENESS)
+def live_intervals(heartbeats: DataFrame, timeout: str, delay: str = LATENESS) -> DataFrame:
+    """Intervals in which a node kept reporting; the end is when it is declared dead.
+
+    Reports more than ``delay`` behind the newest may be left out; ``feeds.split_late`` with the same delay
+    keeps them in a table of their own, and none of the others is left out then.
+    """
+    timed = heartbeats.withWatermark("ts", delay)
     return timed.groupBy(F.session_window("ts", timeout).alias("live"), "node").agg(
         F.count("*").alias("reports")
     ).select("node", F.col("live.start").alias("live_from"), F.col("live.end").alias("dead_at"), "reports")

@@ -9,7 +9,8 @@ import pytest
 
 from holdfast.operators import replica_lists
 from holdfast.session import fresh_path
-from holdfast.streaming import feeds, heartbeats, replica_stream
+from holdfast.operators import running
+from holdfast.streaming import feeds, heartbeats, registration, replica_stream
 
 
 def beats(spark, rows):
@@ -79,3 +80,75 @@ def test_deaths_are_spread_inside_the_stream(spark, slices, block, shares):
         written = feeds.run_to_end(replica_stream.follow(feed(spark, df, slices), block, shares), "replicas")
     streamed = {r.chunk: r.nodes for r in replica_stream.latest_lists(written).collect()}
     assert streamed == {r.chunk: r.nodes for r in replica_lists.replica_map(df, 16).collect()}
+
+
+def test_a_feed_is_read_slice_by_slice(spark):
+    rows = spark.range(1000).selectExpr("(id * 37) % 1000 AS seq").repartition(8)
+    path = fresh_path(spark, "feed")
+    feeds.write_feed(rows, "seq", path, 5)
+    seen = []
+    running_ = feeds.open_feed(spark, path, 1).writeStream.foreachBatch(
+        lambda df, _: seen.append((df.count(), *df.selectExpr("min(seq)", "max(seq)").first()))).option(
+        "checkpointLocation", fresh_path(spark, "state")).trigger(availableNow=True).start()
+    running_.awaitTermination()
+    assert seen == [(200, 200 * i, 200 * i + 199) for i in range(5)]
+
+
+def test_a_node_sends_one_row_a_task(spark):
+    rows = spark.range(9000).selectExpr("id % 3 AS node", "id AS seq", "IF(id % 30 = 0, 'major', 'minor') AS kind", "id AS entry", "id AS free_space").repartition(4)
+    reduced = heartbeats.reduce_reports(rows)
+    counts = reduced.groupBy("node").count().collect()
+    assert {r["count"] for r in counts} == {4}
+    merged = {}
+    for r in sorted(reduced.collect(), key=lambda r: r.free_space * 7 % 11):  # in any order
+        part = (r.restart, r.seqs, r.entries, r.free_space)
+        merged[r.node] = heartbeats.merge_summaries([merged[r.node], part] if r.node in merged else [part])
+    for node, (restart, seqs, entries, free) in merged.items():
+        last = max((s for s in range(node, 9000, 3) if s % 30 == 0), default=-1)
+        assert restart == last and seqs == entries == [s for s in range(8997 + node, -1, -3) if s >= last] and free == 8997 + node
+
+
+def test_late_reports_are_kept_apart(spark):
+    rows = beats(spark, [(1, 0, "minor", 1), (1, 100, "minor", 1), (2, 200, "minor", 1), (1, 139, "minor", 1), (2, 141, "minor", 1), (1, 300, "minor", 1), (3, 250, "minor", 1), (3, 0, "minor", 1)])
+    path, out = fresh_path(spark, "feed"), fresh_path(spark, "split")
+    feeds.write_feed(rows, "seq", path, 4)
+    stream = feeds.open_feed(spark, path, 1)
+    feeds.split_late(stream, "ts", "1 hour", out)
+    late = {r.seq for r in feeds.read_side(spark, f"{out}/late", stream.schema).collect()}
+    kept = {r.seq for r in feeds.read_side(spark, f"{out}/on-time", stream.schema).collect()}
+    # batches of two rows: (0, 100), (200, 139), (141, 300), (250, 0)
+    assert late == {7} and kept == set(range(7))
+    feeds.split_late(feeds.open_feed(spark, path, 1), "ts", "1 minute", other := fresh_path(spark, "split"))
+    assert {r.seq for r in feeds.read_side(spark, f"{other}/late", stream.schema).collect()} == {4, 6, 7}
+    assert feeds.read_side(spark, f"{other}/nothing", stream.schema).count() == 0
+
+
+def test_on_time_reports_all_count(spark):
+    """Live intervals over the on-time side hold every row of it."""
+    rows = beats(spark, [(s % 3, (s * 13) % 90 + s, "minor", 1) for s in range(60)])
+    path, out = fresh_path(spark, "feed"), fresh_path(spark, "split")
+    feeds.write_feed(rows, "seq", path, 5)
+    stream = feeds.open_feed(spark, path, 1)
+    feeds.split_late(stream, "ts", "20 minutes", out)
+    kept = feeds.read_side(spark, f"{out}/on-time", stream.schema)
+    heartbeats.closing_tick(kept, "1 DAY").select(*stream.columns).write.parquet(f"{out}/on-time/batch=9")
+    side = spark.readStream.schema(stream.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{out}/on-time")
+    written = feeds.run_to_end(heartbeats.live_intervals(side, "30 minutes", "20 minutes"), "live")
+    total = sum(r.reports for r in written.where("node >= 0").collect())
+    assert total == kept.where("node >= 0").count() and 0 < feeds.read_side(spark, f"{out}/late", stream.schema).count()
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+def test_registration_stream_equals_batch(spark, slices):
+    rng = random.Random(slices)
+    rows = spark.createDataFrame([(s, rng.choice([7, 7, 7, 1, 2, 3, 4])) for s in rng.sample(range(1000), 300)], "seq bigint, node bigint").repartition(3)
+    streamed = feeds.run_to_end(registration.register(feed(spark, rows, slices)), "registered")
+    want = {(r.seq, r.node, r.status) for r in running.first_per_key(rows, "node", "seq").collect()}
+    assert sorted(tuple(r) for r in streamed.collect()) == sorted(want)
+
+
+def test_one_task_settles_all_but_one_request_of_a_node(spark):
+    rows = spark.range(1, 5000).selectExpr("id % 5 AS node", "5000 - id AS seq").coalesce(1)
+    marked = rows.mapInArrow(registration._mark, registration._MARKED)
+    assert {(r.node, r.seq) for r in marked.where("candidate").collect()} == {(n, min(5000 - i for i in range(1, 5000) if i % 5 == n)) for n in range(5)}
+    assert marked.count() == 4999
