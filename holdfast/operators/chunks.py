@@ -76,12 +76,15 @@ def _bad_slices(stored: Column, current: Column) -> Column:
 def scrub(manifest: DataFrame, replicas: DataFrame, store: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Every listed replica as healthy, corrupt or missing, with its slices to replace.
 
-    Only digests are shuffled. A chunk key has as many rows as it has replicas.
+    Only digests are shuffled, all by chunk, so tables that are bucketed by chunk need no shuffle at all. A chunk
+    key has as many rows as it has replicas. A node holds a chunk once.
     """
-    found = store.select(*CHUNK_KEY, "node", slice_checksums(F.col("data"), slice_bytes).alias("current"))
+    digests = store.select(*CHUNK_KEY, "node", slice_checksums(F.col("data"), slice_bytes).alias("current"))
+    found = digests.groupBy(*CHUNK_KEY).agg(F.collect_list(F.struct("node", "current")).alias("held"))
     listed = replicas.select(*CHUNK_KEY, "rank", "node")
     known = manifest.select(*CHUNK_KEY, "version", "n_bytes", "stored")
-    checked = listed.join(known, CHUNK_KEY).join(found, [*CHUNK_KEY, "node"], "left")
+    of_node = F.get(F.filter("held", lambda h: h["node"] == F.col("node")), F.lit(0))["current"]
+    checked = listed.join(known, CHUNK_KEY).join(found, CHUNK_KEY, "left").withColumn("current", of_node)
     status = (
         F.when(F.col("current").isNull(), "missing")
         .when(F.col("current") == F.col("stored"), "healthy")
@@ -101,21 +104,22 @@ def missing_replicas(replicas: DataFrame, store: DataFrame) -> DataFrame:
 def repair(scrubbed: DataFrame, store: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Rebuild each corrupt or missing replica from its good slices and the first healthy replica.
 
-    Chunks without a healthy replica yield nothing. The plan is made from digest rows and written
-    down first. While damage is rare the written plan is small, is broadcast, and the stored bytes
-    are only scanned; when it is not, they are shuffled once for each side.
+    Chunks without a healthy replica yield nothing. The plan, one row for each damaged chunk, is made from
+    digest rows and written down first. The stored bytes are then scanned once: while damage is rare the plan
+    is small and is broadcast, and only wanted copies move; when it is not, both sides meet by chunk.
     """
-    of_chunk = Window.partitionBy(*CHUNK_KEY)
-    donor = F.min(F.when(F.col("status") == "healthy", F.struct("rank", "node"))).over(of_chunk)
-    plan = (
-        scrubbed.withColumn("donor", donor["node"])
-        .where((F.col("status") != "healthy") & F.col("donor").isNotNull())
-        .select(*CHUNK_KEY, "rank", "node", "version", "n_bytes", "status", "bad", "donor")
-    )
-    plan = staged(plan, "repair-plan")
-    local = store.select(*CHUNK_KEY, "node", F.col("data").alias("local_data"))
-    source = store.select(*CHUNK_KEY, F.col("node").alias("donor"), F.col("data").alias("donor_data"))
-    joined = plan.join(source, [*CHUNK_KEY, "donor"]).join(local, [*CHUNK_KEY, "node"], "left")
+    place = F.struct("rank", "node")
+    hurt = F.struct("rank", "node", "version", "n_bytes", "status", "bad")
+    chunks = scrubbed.groupBy(*CHUNK_KEY).agg(
+        F.min(F.when(F.col("status") == "healthy", place))["node"].alias("donor"),
+        F.collect_list(F.when(F.col("status") != "healthy", hurt)).alias("hurt"))
+    wanted = F.concat(F.array("donor"), F.filter("hurt.node", lambda n: n.isNotNull()))
+    plan = staged(chunks.where("donor is not null and size(hurt) > 0").select("*", wanted.alias("wanted")), "repair-plan")
+    copies = store.select(*CHUNK_KEY, "node", "data").join(plan.select(*CHUNK_KEY, "wanted"), CHUNK_KEY).where(F.array_contains("wanted", F.col("node")))
+    held = copies.groupBy(*CHUNK_KEY).agg(F.collect_list(F.struct("node", "data")).alias("held"))
+    rows = plan.join(held, CHUNK_KEY).select(*CHUNK_KEY, "donor", "held", F.explode("hurt").alias("hurt")).select(*CHUNK_KEY, "donor", "held", "hurt.*")
+    of = lambda node: F.get(F.filter("held", lambda h: h["node"] == F.col(node)), F.lit(0))["data"]
+    joined = rows.select("*", of("donor").alias("donor_data"), of("node").alias("local_data"))
     count = F.ceil(F.col("n_bytes") / slice_bytes).cast("int")
     rebuilt = F.aggregate(
         F.sequence(F.lit(0), count - 1),
@@ -167,9 +171,11 @@ def reassemble(
     count, so an altered copy neither stands in for a sound one nor completes a file.
 
     Completeness is decided on keys and digests; bytes are shuffled once, beside the digests they are held against.
+    A table that is bucketed by ``filename`` and a ``part_no`` of the same ``chunks_per_part`` is put together where it lies.
     """
-    numbered = chunks.withColumn("part_no", F.floor(F.col("chunk_no") / chunks_per_part).cast("bigint")).select(
-        "filename", "part_no", "chunk_no", "data")
+    if "part_no" not in chunks.columns:
+        chunks = chunks.withColumn("part_no", F.floor(F.col("chunk_no") / chunks_per_part).cast("bigint"))
+    numbered = chunks.select("filename", "part_no", "chunk_no", "data")
     if manifest is not None:
         known = manifest.select(*CHUNK_KEY, digest_of(F.col("stored")).alias("stored"))
         numbered = numbered.withColumn("found", digest_of(slice_checksums(F.col("data"), slice_bytes)))

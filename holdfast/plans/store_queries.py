@@ -10,7 +10,7 @@ from holdfast.plans.delay_sql import stmt
 from holdfast.plans.registry import query
 from holdfast.plans.store_sql import EVENTS, FILES, PLACED, REPLICAS, SHARDS, SLICES, TRAFFIC
 from holdfast.session import fresh_path
-from holdfast.sources import binary_files
+from holdfast.sources import binary_files, byte_ranges
 from holdfast.sources import store_tables as st
 
 BLOCK = running.BLOCK_ROWS
@@ -45,6 +45,29 @@ def src_binary_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Documents in one of the files that are read back by ranges, and the range sizes of that query.
+DOCS_PER_FILE, RANGE_CHUNK, RANGE_BYTES = 250, 4096, 65_536
+
+
+@query("src_binary_chunks", f"""
+WITH files AS (
+  SELECT doc_id // {DOCS_PER_FILE} AS file_no, encode(string_agg(text || chr(10), '' ORDER BY doc_id)) AS data FROM documents GROUP BY 1)
+SELECT file_no, i AS chunk_no, CAST(octet_length(data) AS BIGINT) AS file_bytes,
+  CAST(octet_length(array_slice(data, i*{RANGE_CHUNK} + 1, (i + 1)*{RANGE_CHUNK})) AS BIGINT) AS n_bytes,
+  sha1(array_slice(data, i*{RANGE_CHUNK} + 1, (i + 1)*{RANGE_CHUNK})) AS sha1
+FROM files, unnest(range(0, (octet_length(data) + {RANGE_CHUNK - 1}) // {RANGE_CHUNK})) AS t(i)""")
+def src_binary_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of documents read back as chunks, by byte ranges."""
+    path = fresh_path(spark, "ranged-files")
+    docs = st.table(spark, sf, "documents").select("doc_id", "text")
+    files = docs.agg(F.floor(F.max("doc_id") / DOCS_PER_FILE).cast("int") + 1).first()[0]
+    number = F.floor(F.col("doc_id") / DOCS_PER_FILE).cast("int")
+    docs.repartitionById(files, number).sortWithinPartitions("doc_id").select("text").write.text(path)
+    rows = byte_ranges.read_chunks(spark, path, RANGE_CHUNK, RANGE_BYTES)
+    file_no = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("bigint").alias("file_no")
+    return _digest(rows.select(file_no, "file_bytes", "chunk_no", "data"), "file_no", "file_bytes", "chunk_no")
+
+
 @query("sink_chunk_table", stmt(FILES, body="""
 SELECT filename, chunk_no, filename || '_chunk' || CAST(chunk_no + 1 AS VARCHAR) AS path_name, CAST(1 AS BIGINT) AS version,
   ts, CAST(octet_length(data) AS BIGINT) AS n_bytes, sha1(data) AS sha1 FROM chunks"""))
