@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions import fields as fx
-from holdfast.operators import delays, places, ranking, reports
+from holdfast.operators import delays, places, ranking, reports, user_code
 from holdfast.plans.delay_sql import (
     AIRPORTS, CARRIER_TOTALS, CARRIERS, COASTS, ENDS, FLIGHTS, LATE, LISTINGS, TIMES, _EAST, _WEST, stmt,
 )
@@ -549,3 +550,83 @@ def sink_report_text(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "report")
     csv_files.write_report(report_q03_lines(spark, sf), path)
     return csv_files.read_lines(spark, path).groupBy("line").agg(F.count("*").alias("copies"))
+
+
+# ---- user code and sketches ---------------------------------------------------------------------
+
+class EndpointMapper:
+    """A record's line as (year, airport) pairs, one for each end that is named."""
+
+    def map(self, line):
+        fields = line.split(",")
+        if fields[YEAR].isdigit():
+            for at in (ORIGIN, DEST):
+                if len(fields) > at and fields[at]:
+                    yield int(fields[YEAR]), fields[at]
+
+
+YEAR, ORIGIN, DEST = (src.FLIGHT_COLUMNS.index(c) for c in ("year", "origin", "dest"))
+
+
+class DelayReducer:
+    """Number, minutes and mean of the delays of one key."""
+
+    def __init__(self):
+        self.code, self.delays, self.minutes = None, 0, 0.0
+
+    def reduce(self, row):
+        self.code = row["code"]
+        self.delays += 1
+        self.minutes += row["lost"]
+
+    def finish(self):
+        yield self.code, self.delays, self.minutes, self.minutes / self.delays
+
+
+class DelayState:
+    """The same as a state of two numbers."""
+
+    def zero(self):
+        return 0, 0.0
+
+    def update(self, state, rows):
+        return state[0] + rows.num_rows, state[1] + pc.sum(rows.column("lost")).as_py()
+
+    def merge(self, left, right):
+        return left[0] + right[0], left[1] + right[1]
+
+    def finish(self, state):
+        return state[0], state[1], state[1] / state[0]
+
+
+def _lost_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    lost = src.flight_records(spark, sf).select(F.col("unique_carrier").alias("code"), fx.minutes("carrier_delay").alias("lost"))
+    return lost.where((F.col("lost") > 0) & (F.col("code") != ""))
+
+
+@query("usr_map_lines", ORACLES["q03_year_airport_counts"])
+def usr_map_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """A user's mapper over the lines of the record files."""
+    path = fresh_path(spark, "flights-csv")
+    csv_files.write_flights(src.flight_records(spark, sf), path)
+    pairs = user_code.map_lines(csv_files.read_lines(spark, path), EndpointMapper, "year bigint, iata string")
+    return pairs.groupBy("year", "iata").agg(F.count("*").alias("movements"))
+
+
+@query("usr_reduce_rows", ORACLES["q05_carrier_delay"])
+def usr_reduce_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A user's reducer over the delays of each carrier."""
+    return user_code.reduce_rows(_lost_minutes(spark, sf), "code", DelayReducer, "code string, delays bigint, minutes double, mean_minutes double")
+
+
+@query("usr_aggregate_state", ORACLES["q05_carrier_delay"])
+def usr_aggregate_state(spark: SparkSession, sf: str) -> DataFrame:
+    """A user's aggregate over the delays of each carrier, combined before the shuffle."""
+    return user_code.aggregate(_lost_minutes(spark, sf), "code", DelayState(), "delays bigint, minutes double, mean_minutes double")
+
+
+@query("prof_key_sketch", ORACLES["prof_key_counts"])
+def prof_key_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """The key profile from sketches that are kept for each month and united; few airports are counted exactly."""
+    kept = staged(delays.key_sketches(src.flight_records(spark, sf)), "key-sketches")
+    return _big(delays.profile_of_sketches(kept), "year")
