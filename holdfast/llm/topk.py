@@ -1,8 +1,10 @@
 """Exact top-k by inner product: a ball tree per shard, searched by branch and bound.
 
-A ball with centre c and radius r holds no vector whose inner product with q is above q.c + |q| r. Nodes
-are opened in the order of that bound, and closed once it is below the k-th score a query has so far. That
-score is shared: every query is first searched in one shard, and all others start from what it found.
+A ball with centre c and radius r holds no vector whose inner product with q is above q.c + |q| r. A block of
+queries walks a tree together, depth first and the ball of higher bounds first; a query leaves the block at
+every ball whose bound is below the k-th score it has so far. That score is shared between shards: a block
+meets them in rounds, each with a few times as many shards as all before, and starts a round with the k-th
+scores that the rounds before it found.
 """
 
 from __future__ import annotations
@@ -15,9 +17,11 @@ from pyspark.sql import functions as F
 from holdfast.llm.common import query, table
 from holdfast.session import staged
 
-SHARD_ROWS = 1_024
-QUERY_ROWS = 1_024
-LEAF = 32
+SHARD_ROWS = 8_192
+QUERY_ROWS = 2_048
+LEAF = 256
+#: How many times as many shards a block has met after each round.
+GROWTH = 4
 
 
 class BallTree:
@@ -63,41 +67,49 @@ class BallTree:
         exact = queries @ self.centres.T + lengths[:, None] * self.radii[None, :]
         return exact + 1e-9 * (np.abs(exact) + lengths[:, None] * (1 + np.abs(self.centres).max())) + 1e-6
 
-    def search(self, vector, own: int, ids, bounds, k: int, floor: float):
-        """The best ``k`` rows with a score of at least ``floor``: ``(score, id)``, ties to smaller ids."""
-        import heapq
+    def search(self, queries, own, ids, k: int, floors):
+        """Row numbers of ``queries``, ids and scores of the best ``k`` rows at ``floors`` or above; ties to smaller ids.
 
+        ``own`` are the ids left out for each query, ``ids`` those of the vectors as they were given.
+        """
         import numpy as np
 
-        best: list[tuple[float, int]] = []  # (score, -id), the worst on top
-        frontier = [(-bounds[0], 0)]
-        while frontier:
-            bound, node = heapq.heappop(frontier)
-            if -bound < floor:
-                break
+        bounds = self.bounds(queries)
+        floors = floors.copy()
+        scores = np.full((len(queries), k), -np.inf)
+        names = np.full((len(queries), k), np.iinfo(np.int64).max)
+        waiting = [(0, np.arange(len(queries)))]
+        while waiting:
+            node, asking = waiting.pop()
+            asking = asking[bounds[asking, node] >= floors[asking]]
+            if not len(asking):
+                continue
             if kids := self.children[node]:
-                for kid in kids:
-                    if bounds[kid] >= floor:
-                        heapq.heappush(frontier, (-bounds[kid], kid))
+                waiting += [(kid, asking) for kid in sorted(kids, key=lambda kid: float(bounds[asking, kid].sum()))]
                 continue
             lo, hi = self.spans[node]
-            scores = self.sorted[lo:hi] @ vector
-            names = ids[self.order[lo:hi]]
-            for i in np.flatnonzero((scores >= floor) & (names != own)):
-                entry = (float(scores[i]), -int(names[i]))
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-            if len(best) == k:
-                floor = max(floor, best[0][0])
-        return [(int(score), -name) for score, name in best]
+            found = queries[asking] @ self.sorted[lo:hi].T
+            here = ids[self.order[lo:hi]]
+            hit = (found >= floors[asking, None]) & (here[None, :] != own[asking, None])
+            some = np.flatnonzero(hit.any(axis=1))
+            if not len(some):
+                continue
+            rows = asking[some]
+            both = np.concatenate([scores[rows], np.where(hit[some], found[some], -np.inf)], axis=1)
+            named = np.concatenate([names[rows], np.where(hit[some], here[None, :], np.iinfo(np.int64).max)], axis=1)
+            order = np.lexsort((named, -both), axis=-1)[:, :k]
+            scores[rows], names[rows] = np.take_along_axis(both, order, 1), np.take_along_axis(named, order, 1)
+            floors[rows] = np.maximum(floors[rows], scores[rows, k - 1])
+        kept = np.isfinite(scores)
+        return np.nonzero(kept)[0], names[kept], scores[kept].astype(np.int64)
 
 
 def _matrix(column):
     import numpy as np
 
     width = max((len(v) for v in column), default=0)
+    if all(len(v) == width for v in column):
+        return np.array(column, dtype=np.float64).reshape(len(column), width)
     out = np.zeros((len(column), width))
     for i, v in enumerate(column):
         out[i, : len(v)] = v
@@ -109,18 +121,16 @@ def _searcher(k: int, leaf: int):
         import numpy as np
         import pandas as pd
 
-        found = []
-        if len(queries) and len(rows):
-            rows = rows.sort_values("vec_id", kind="stable")
-            data, asked = _matrix(rows.vec.tolist()), _matrix(queries.vec.tolist())
-            width = max(data.shape[1], asked.shape[1])
-            data, asked = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (data, asked))
-            tree, ids = BallTree(data, leaf), rows.vec_id.to_numpy()
-            bounds = tree.bounds(asked)
-            for i, (own, floor) in enumerate(zip(queries.query_id.tolist(), queries.floor.tolist(), strict=True)):
-                start = -math.inf if floor is None or math.isnan(floor) else floor
-                found += [(own, name, score) for score, name in tree.search(asked[i], own, ids, bounds[i], k, start)]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+        if not len(queries) or not len(rows):
+            return pd.DataFrame({c: np.empty(0, np.int64) for c in ("query_id", "vec_id", "score")})
+        rows = rows.sort_values("vec_id", kind="stable")
+        data, asked = _matrix(rows.vec.tolist()), _matrix(queries.vec.tolist())
+        width = max(data.shape[1], asked.shape[1])
+        data, asked = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (data, asked))
+        own = queries.query_id.to_numpy()
+        floors = queries.floor.astype("float64").fillna(-np.inf).to_numpy()
+        at, names, scores = BallTree(data, leaf).search(asked, own, rows.vec_id.to_numpy(), k, floors)
+        return pd.DataFrame({"query_id": own[at], "vec_id": names, "score": scores})
 
     return run
 
@@ -133,6 +143,16 @@ def whole_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
         F.transform(vector_col, lambda x: F.floor(F.lit(scale) * x.cast("double"))).alias("vec"))
 
 
+def _met_in(first: int, stop: int, shards: int):
+    """Whether a block meets a shard among the first-th to the stop-th of its own, which start at a place of the block's."""
+
+    def met(block, shard):
+        turn = F.pmod(shard - F.pmod(F.xxhash64(F.lit(2), block), F.lit(shards)), F.lit(shards))
+        return (turn >= first) & (turn < stop)
+
+    return met
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS, leaf: int = LEAF) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query's ``k`` best rows of ``vectors``, itself left out.
 
@@ -140,31 +160,34 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int =
     query with fewer rows gets all. Shorter vectors count as filled up with zeros. Rows that repeat a vec_id
     are all candidates; such a query is asked once, with its smallest vector. No queries or no vectors: no rows.
 
-    Shards and query blocks have bounded sizes, and each pair of them is one group. Every query is first
-    searched in one shard; its k-th score there prunes the trees of the others.
+    Shards and query blocks have bounded sizes, and each pair of them is one group in one of the rounds. A block
+    starts with one shard and meets ``GROWTH`` times as many in all with each round, so a query takes about
+    ``GROWTH * k`` candidates from a round, and rounds are as many as the logarithm of the shards.
     """
     vectors = staged(vectors, "vectors")
     queries = staged(queries.groupBy("vec_id").agg(F.min("vec").alias("vec")), "query-vectors")
     shards = max(1, math.ceil(vectors.count() / shard_rows))
     blocks = max(1, math.ceil(queries.count() / query_rows))
     rows = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(shards)).cast("int"))
-    asked = queries.select(F.col("vec_id").alias("query_id"), "vec").withColumns({
-        "block": F.pmod(F.xxhash64(F.lit(1), "query_id"), F.lit(blocks)).cast("int"),
-        "home": F.pmod(F.xxhash64(F.lit(2), "query_id"), F.lit(shards)).cast("int")})
-    out = "query_id long, vec_id long, score long"
-    first = asked.select("query_id", "vec", "home", F.lit(None).cast("double").alias("floor")).groupBy("home").cogroup(
-        rows.groupBy("shard")).applyInPandas(_searcher(k, leaf), out)
-    first = staged(first, "first-shard")
-    floors = first.groupBy("query_id").agg(
-        F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
-    every = F.sequence(F.lit(0), F.lit(shards - 1))
-    rest = asked.join(floors, "query_id", "left").select("query_id", "vec", "floor", "block", "home", F.explode(every).alias("shard"))
-    rest = rest.where("shard <> home").select("query_id", "vec", "floor", "block", "shard")
-    spread = rows.select("vec_id", "vec", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    others = rest.groupBy("block", "shard").cogroup(spread.groupBy("block", "shard")).applyInPandas(_searcher(k, leaf), out)
+    asked = queries.select(F.col("vec_id").alias("query_id"), "vec", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int").alias("block"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return first.unionByName(others).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    found, first, stop = None, 0, 1
+    while first < shards:
+        met = _met_in(first, stop, shards)
+        now = asked.withColumn("floor", F.lit(None).cast("double"))
+        if found is not None:
+            floors = found.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
+            now = asked.join(floors, "query_id", "left")
+        every = F.sequence(F.lit(0), F.lit(shards - 1))
+        sent = now.select("query_id", "vec", "floor", "block", F.explode(F.filter(every, lambda s: met(F.col("block"), s))).alias("shard"))
+        others = F.sequence(F.lit(0), F.lit(blocks - 1))
+        spread = rows.select("vec_id", "vec", "shard", F.explode(F.filter(others, lambda b: met(b, F.col("shard")))).alias("block"))
+        hits = sent.groupBy("block", "shard").cogroup(spread.groupBy("block", "shard")).applyInPandas(
+            _searcher(k, leaf), "query_id long, vec_id long, score long")
+        every_hit = hits if found is None else found.select("query_id", "vec_id", "score").unionByName(hits)
+        found = staged(every_hit.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "top-k")
+        first, stop = stop, stop * GROWTH
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 TOP_K_SQL = """
