@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.blocks import BLOCK_BYTES, squeeze, unsqueeze, write_blocks
 from holdfast.llm.common import map_rows, query, table
-from holdfast.session import fresh_path
+from holdfast.session import drop_path, fresh_path
 
 LENGTH = 50
 GRAM = 24
 SHARD_BYTES = 16 << 20
 LEAST_SHARDS = 64
-CHUNK = 65_536
+CHUNK = 16_384
 HOT_BLOCKS = 4_096
-HOT_CONTEXTS = CHUNK
+HOT_CONTEXTS = 65_536
 LAST_ID = (1 << 63) - 1
 
 
@@ -36,10 +36,10 @@ def _sliding(pick, values, width: int):
     return pick(out[: len(out) - (width - span)], out[width - span:]) if span < width else out
 
 
-class Anchors:
-    """The documents of a block end to end, and the places and hashes of their anchors."""
+class Laid:
+    """The documents of a block end to end."""
 
-    def __init__(self, ids: list, texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
+    def __init__(self, ids: list, texts: list[bytes], length: int = LENGTH):
         import numpy as np
 
         self.length = length
@@ -48,6 +48,15 @@ class Anchors:
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.text = b"".join(texts)
+
+
+class Anchors(Laid):
+    """The documents of a block, and the places and hashes of their anchors."""
+
+    def __init__(self, ids: list, texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
+        import numpy as np
+
+        super().__init__(ids, texts, length)
         n = len(self.text)
         self.places = np.zeros(0, dtype=np.int64)
         self.hashes = np.zeros(0, dtype=np.uint64)
@@ -217,27 +226,28 @@ def entries(found: Anchors, marks: dict[int, object], shards: int):
     mark = np.zeros(len(distinct), dtype=np.uint8)
     for shard, got in marks.items():
         mark[order[cuts[shard]: cuts[shard + 1]]] = got
-    numbers: dict[bytes, int] = {}
-    keys: list[int] = []
-    places: list[int] = []
-    which: list[int] = []
     text, length = found.text, found.length
     state = mark[inverse]
-    chosen = np.flatnonzero(state)
+    numbers: dict[bytes, int] = {}
+
+    def numbered(lows, highs):
+        return np.array([numbers.setdefault(text[lo:hi], len(numbers)) for lo, hi in zip(lows.tolist(), highs.tolist(), strict=True)], dtype=np.int64)
+
+    chosen, hot = np.flatnonzero(state == 1), np.flatnonzero(state > 1)
     lows, highs = found.contexts_of(chosen)
-    for lo, hi, key, hot in zip(lows.tolist(), highs.tolist(), found.hashes[chosen].tolist(), (state[chosen] > 1).tolist(), strict=True):
-        spans = [(at, at + length) for at in range(lo, hi - length + 1)] if hot else [(lo, hi)]
-        for a, b in spans:
-            content = text[a:b]
-            number = numbers.setdefault(content, len(numbers))
-            if number == len(keys):
-                keys.append(xxhash.xxh64_intdigest(content) if hot else key)
-            places.append(a)
-            which.append(number)
-    return list(numbers), np.array(keys, dtype=np.uint64), np.array(places, dtype=np.int64), np.array(which, dtype=np.int64)
-
-
-def _least_ids(found: Anchors, places, which, n: int):
+    which = numbered(lows, highs)
+    keys = np.empty(len(numbers), dtype=np.uint64)
+    keys[which] = found.hashes[chosen]
+    first, last = found.contexts_of(hot)
+    counts = np.maximum(last - first - length + 1, 0)
+    each = np.repeat(first, counts) + np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    strings = numbered(each, each + length)
+    contents = list(numbers)
+    own = [xxhash.xxh64_intdigest(c) for c in contents[len(keys):]]
+    return contents, np.concatenate([keys, np.array(own, dtype=np.uint64)]), np.concatenate([lows, each]), np.concatenate([which, strings])
+
+
+def _least_ids(found: Laid, places, which, n: int):
     import numpy as np
 
     owners = found.ids[np.searchsorted(found.ends, places, side="right")]
@@ -247,6 +257,8 @@ def _least_ids(found: Anchors, places, which, n: int):
 
 
 def _send_contexts(shards: int, length: int, gram: int):
+    """A block's different contexts, by shard; and for itself, under a number below zero, where they are."""
+
     def run(blocks, marks):
         import numpy as np
         import pandas as pd
@@ -267,6 +279,8 @@ def _send_contexts(shards: int, length: int, gram: int):
                     rows = [contents[i] for i in part.tolist()]
                     out.append((shard, int(blocks.block.iloc[0]), squeeze((
                         part.astype(np.uint32), keys[part], least[part], np.array([len(r) for r in rows], dtype=np.int32), b"".join(rows)))))
+            block, sizes = int(blocks.block.iloc[0]), np.array([len(c) for c in contents], dtype=np.uint32)
+            out.append((-1 - (block * 0x9E3779B1 >> 9) % (1 << 30), block, squeeze((places.astype(np.uint32), which.astype(np.uint32), sizes))))
         return pd.DataFrame(out, columns=["shard", "block", "contexts"])
 
     return run
@@ -392,6 +406,8 @@ def _search_shard(length: int, chunk: int):
         import numpy as np
         import pandas as pd
 
+        if rows["shard"].iloc[0] < 0:
+            return pd.DataFrame({"block": rows.block, "own": True, "found": rows.contexts})
         parts = [unsqueeze(c) for c in rows.contexts]
         contents = []
         for _, _, _, sizes, text in parts:
@@ -400,25 +416,26 @@ def _search_shard(length: int, chunk: int):
         bits = earlier_strings(contents, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), length, chunk)
         cuts = np.cumsum([0, *(len(p[0]) for p in parts)])
         return pd.DataFrame({
-            "block": rows.block,
+            "block": rows.block, "own": False,
             "found": [squeeze((p[0][got > 0], got[got > 0])) for p, a, b in zip(parts, cuts, cuts[1:]) for got in [bits[a:b]]]})
 
     return run
 
 
-def removed_bytes(found: Anchors, marks: dict, answers: list, shards: int):
-    """A flag for each byte of the block: some string over it starts in a document with a smaller doc_id."""
+def removed_bytes(found: Laid, places, which, sizes, answers: list):
+    """A flag for each byte of the block: some string over it starts in a document with a smaller doc_id.
+
+    Context ``which[i]`` of the block lies at ``places[i]`` and has ``sizes[which[i]]`` bytes.
+    """
     import numpy as np
 
-    contents, _, places, which = entries(found, marks, shards)
     n = len(found.text)
     change = np.zeros(n + 1, dtype=np.int64)
     if len(places):
-        owners, least = _least_ids(found, places, which, len(contents))
-        bits = np.zeros(len(contents), dtype=np.uint64)
+        owners, least = _least_ids(found, places, which, len(sizes))
+        bits = np.zeros(len(sizes), dtype=np.uint64)
         for numbers, got in answers:
             bits[numbers] |= got
-        sizes = np.array([len(c) for c in contents], dtype=np.int64)
         later = owners > least[which]  # another document of this block has the same context
         np.add.at(change, places[later], 1)
         np.add.at(change, places[later] + sizes[which[later]], -1)
@@ -433,18 +450,17 @@ def removed_bytes(found: Anchors, marks: dict, answers: list, shards: int):
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, extra string"
 
 
-def _apply(shards: int, length: int, gram: int, keep: str):
-    def run(blocks, marks):
+def _apply(length: int, keep: str):
+    def run(blocks, told):
         import numpy as np
         import pandas as pd
 
         out = []
         if len(blocks):
             ids, texts, extras = unsqueeze(blocks.body.iloc[0])
-            found = Anchors(ids, texts, length, gram)
-            shared = {int(s): unsqueeze(m) for s, m in zip(marks.shard, marks.marks, strict=True) if s >= 0}
-            answers = [unsqueeze(m) for s, m in zip(marks.shard, marks.marks, strict=True) if s < 0]
-            gone = removed_bytes(found, shared, answers, shards)
+            found = Laid(ids, texts, length)
+            places, which, sizes = (x.astype(np.int64) for x in unsqueeze(told.found[told.own].iloc[0]))
+            gone = removed_bytes(found, places, which, sizes, [unsqueeze(f) for f in told.found[~told.own]])
             text = np.frombuffer(found.text, dtype=np.uint8)
             for doc_id, lo, hi, more in zip(ids, found.starts.tolist(), found.ends.tolist(), extras, strict=True):
                 mine = gone[lo:hi]
@@ -484,11 +500,11 @@ def remove_repeats(docs: DataFrame, extra: str | None = None, keep: str = "bytes
     marks = spark.read.schema("shard int, block long, marks binary").parquet(marks_path)
     sent = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(
         _send_contexts(shards, length, gram), "shard int, block long, contexts binary")
-    sent.groupBy("shard").applyInPandas(_search_shard(length, chunk), "block long, found binary").write.parquet(found_path)
-    found = spark.read.schema("block long, found binary").parquet(found_path)
-    told = marks.select("block", "shard", "marks").unionByName(
-        found.select("block", F.lit(-1).alias("shard"), F.col("found").alias("marks")))
-    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_apply(shards, length, gram, keep), RESULT)
+    schema = "block long, own boolean, found binary"
+    sent.groupBy("shard").applyInPandas(_search_shard(length, chunk), schema).write.parquet(found_path)
+    drop_path(spark, marks_path)
+    told = spark.read.schema(schema).parquet(found_path)
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_apply(length, keep), RESULT)
 
 
 @query("op8_suffix_array_dedup")
