@@ -1,479 +1,533 @@
-"""Language-model scores by logistic mixing of hashed-context bit predictors.
-
-A text is coded bit by bit. Each predictor looks at the last two, three or five bytes, or at the word so far, and at
-the bits of the byte so far, finds its counters under a hash of both, and gives a probability. A gate (the bit, and the longest
-context that was seen) chooses the weights that mix them in the logistic domain; an adaptive map of the
-mixed probability and the bits so far refines the result. Counters come from all training documents.
-Weights and map are learned online on a bounded sample of them, with its own counts taken out.
-
-A text here is its words, lower-case, one space between, and one end byte, as for the word model beside it.
+"""Language-model scores by online logistic mixing of hashed-context bit predictors.
+
+A text is its words, lower-case, each ended by a space, and a closing byte. Words are coded byte by byte and
+bytes bit by bit. Five predictors look at the last one to four bytes of the word, or at all of it so far, under
+a hash of that context, and know how often each next byte followed there in the training words. A gate (the
+bit, the longest context that was seen, how often the word so far was) chooses the weights that mix them in
+the logistic domain, and an adaptive map refines the result. What is so priced is combined, for every text on
+its own and in its order, with the words the text had before, by several shares at once whose weights follow
+from how well they did so far.
+
+All different words lie in sorted shards. A shard is a tree of prefixes, so every byte under every prefix is
+learned and priced once, however many texts hold it. What its contexts counted in all other shards comes by a
+join, so nothing that grows with the corpus is broadcast.
 """
 
 from __future__ import annotations
 
-import functools
 import math
-import pickle
-from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.blocks import squeeze, unsqueeze, write_blocks
-from holdfast.llm.common import fold, map_rows, query, table, utf8
-from holdfast.llm.fitting import fit_in_task, unit_hash
-from holdfast.session import fresh_path, staged
+from holdfast.llm.common import map_rows, query, table
+from holdfast.session import drop_path, fresh_path, staged
 
-ORDERS = (2, 3, 5)
+ORDERS = (1, 2, 3, 4)
 WORD = len(ORDERS)  # the predictor that looks at the word so far comes after them
-BITS = (20, 21, 22, 22)  # of each predictor's table
-RANGE_BITS = 16
-PIECES = [(i, r) for i, bits in enumerate(BITS) for r in range(1 << (bits - RANGE_BITS))]
-FAN_IN = 64
-SAMPLE_DOCS = 400
-SAMPLE_WINDOWS = 250_000
-END = b"\n"
-PORTION = 1 << 20  # bytes of text whose windows are held at a time
+INPUTS = WORD + 1
+CROSSING = 7  # marks contexts that are whole prefixes, known to several shards
+GAP, END = b" ", b"\n"
+START = 10  # stands before a word
+BLOCK_BYTES = 16 << 20
+SHARD_WORDS = 200_000
+PORTION_TOKENS = 400_000
 LEVELS = (1, 2, 3, 4, 6, 9, 14, 22, 40)  # counts are told apart so far; larger ones speak for themselves
+FAR = 11.0  # largest stretched probability
 STEPS = 33  # of the adaptive map
-UNITS = ((1 << 24) - 1) / 18  # of a stretched probability, which is between -9 and 9
-GATES = 5 * (len(ORDERS) + 1)  # the longest context seen, and how often the word so far was
+OFTEN = (1, 3, 10, 100)  # how often the word so far was, for the gate
+GATES = (len(ORDERS) + 1) * (len(OFTEN) + 1)
+BATCH = 4_096
+#: How firmly the first weights are held, in passings, and the most a batch moves a weight.
+PRIOR = 20.0
+LARGEST_STEP = 0.05
+TRUST = (0.0, 0.3, 0.5, 0.8, 1.0)
+#: Shares of the words a text had before, each an expert of its own.
+SHARES = (0.0, 0.02, 0.1, 0.3)
+
+_LEVEL = np.searchsorted(LEVELS, np.arange(LEVELS[-1] + 1), side="right")
 
 
 def words_of(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
-def coded(words: list[bytes]) -> bytes:
-    return b" ".join(words) + END
+def coded(token: bytes) -> bytes:
+    """The bytes of a token; no token's bytes begin another's."""
+    return token if token == END else token + GAP
 
 
-def portions(texts: list[bytes], size: int):
-    """Texts one after another in lists of about ``size`` bytes, which bounds the arrays made of them."""
-    first = held = 0
-    for i, text in enumerate(texts, 1):
-        held += len(text)
-        if held >= size or i == len(texts):
-            yield texts[first:i]
-            first, held = i, 0
+def _fold_of(doc_id, modulus: int) -> int:
+    from zlib import crc32
 
+    return -1 if doc_id is None else crc32(str(doc_id).encode()) % modulus
 
-def byte_windows(texts: list[bytes]):
-    """For each byte of each text a row ``(window, word)``, and each text's number of bytes.
 
-    ``window`` is the byte and the five before it as one number; ``word`` hashes the word before the byte.
-    """
-    import numpy as np
-
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    out = np.empty((int(sizes.sum()), 2), dtype=np.uint64)
-    done = first = 0
-    for some in portions(texts, 1 << 19):
-        mine = sizes[first: first + len(some)]
-        _fill_windows(out[done: done + int(mine.sum())], some, mine)
-        done, first = done + int(mine.sum()), first + len(some)
-    return out, sizes
-
-
-def _fill_windows(out, texts: list[bytes], sizes) -> None:
-    import numpy as np
-
-    lead = END * 7
-    joined = np.frombuffer(lead + lead.join(texts), dtype=np.uint8)
-    every = len(joined)
-    inside = np.ones(every, dtype=bool)
-    inside[(np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes + 7)])[:-1, None] + np.arange(7)).ravel()] = False
-    eight = np.ndarray((every - 7,), dtype=">u8", buffer=joined.data, strides=(1,))
-    out[:, 0] = eight.astype(np.uint64)[inside[7:]] & np.uint64((1 << 48) - 1)
-    factor = 0x9E3779B97F4A7C15
-    until = np.zeros(every, dtype=np.uint64)  # of the bytes before each
-    np.cumsum((joined[:-1].astype(np.uint64) + np.uint64(1)) * np.cumprod(np.full(every - 1, factor, dtype=np.uint64)), out=until[1:])
-    gaps = np.flatnonzero((joined[:-1] == 32) | (joined[:-1] == 10))  # a word starts after each
-    starts = gaps + 1
-    back = np.cumprod(np.full(every, pow(factor, -1, 1 << 64), dtype=np.uint64))[gaps]
-    lengths = np.diff(starts, append=every)
-    word = (until[1:] - np.repeat(until[starts], lengths)) * np.repeat(back, lengths)
-    out[:, 1] = word[inside[1:]]
-
-
-def different(windows):
-    """Different rows of ``windows``, where each row is among them, and how often each occurs."""
-    import numpy as np
-    import pandas as pd
-
-    both = windows[:, 0] * np.uint64(0xD6E8FEB86659FD93) ^ windows[:, 1] * np.uint64(0xBF58476D1CE4E5B9)
-    inverse, kinds = pd.factorize(both)
-    first = np.empty(len(kinds), dtype=np.int64)
-    first[inverse[::-1]] = np.arange(len(both) - 1, -1, -1)
-    return windows[first], inverse, np.bincount(inverse, minlength=len(kinds))
-
-
-def contexts(windows) -> list[tuple]:
-    """For each predictor its hashed contexts, one for each slot it looks at; contexts of words have two slots."""
-    import numpy as np
-
-    out = []
-    for i in range(len(BITS)):
-        context = windows[:, 1] if i == WORD else (windows[:, 0] >> np.uint64(8)) & np.uint64((1 << (8 * ORDERS[i])) - 1)
-        spread = context * np.uint64(0x9E3779B97F4A7C15)
-        out.append(tuple(spread + np.uint64(i + 97 * salt) for salt in range(2 if i == WORD else 1)))
-    return out
+# ---- a shard of words ----------------------------------------------------------------------------
 
+def _common(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    x, y = np.frombuffer(a[:n], np.uint8), np.frombuffer(b[:n], np.uint8)
+    differ = np.flatnonzero(x != y)
+    return int(differ[0]) if len(differ) else n
 
-def slots(context, predictor: int, node):
-    """Where a predictor's counters for the bits so far (``node``, from 1) lie, under one of its ``contexts``."""
-    import numpy as np
 
-    mixed = context ^ (node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    mixed ^= mixed >> np.uint64(31)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    mixed >>= np.uint64(64 - BITS[predictor])
-    return mixed.view(np.int64)
+class Tree:
+    """The prefixes of sorted coded words: one edge for every byte under every prefix.
 
+    ``first`` is where an edge's byte first lies in the joined words, ``parent`` the edge before it (-1: none),
+    ``count`` how often the edge was passed in training, and ``path`` the edge of every byte of every word.
+    """
 
-def bit_path(windows):
-    """The nodes and bits of the last byte of each window, from the highest bit on."""
-    import numpy as np
+    def __init__(self, words: list[bytes], counts: np.ndarray):
+        self.flat = np.frombuffer(b"".join(words), np.uint8)
+        sizes = np.array([len(w) for w in words], np.int64)
+        self.starts = np.cumsum(sizes) - sizes
+        n, total = len(words), len(self.flat)
+        shared = np.zeros(n, np.int64)  # bytes each word has in common with the one before
+        same = np.flatnonzero(np.minimum(sizes[1:], sizes[:-1]) > 0) + 1
+        column = 0
+        while len(same):
+            same = same[(sizes[same] > column) & (sizes[same - 1] > column)]
+            same = same[self.flat[self.starts[same] + column] == self.flat[self.starts[same - 1] + column]]
+            column += 1
+            shared[same] = column
+        row = np.repeat(np.arange(n), sizes)
+        self.depth = np.arange(total) - self.starts[row]
+        new = self.depth >= shared[row]
+        self.path = np.cumsum(new) - 1
+        rows = np.arange(n)
+        for column in range(int(shared.max(initial=0))):  # a shared byte has the edge of the last word that brought it
+            rows = rows[sizes[rows] > column]
+            at = self.starts[rows] + column
+            brought = np.maximum.accumulate(np.where(shared[rows] <= column, np.arange(len(rows)), 0))
+            self.path[at] = self.path[at[brought]]
+        self.first = np.flatnonzero(new)
+        self.depth = self.depth[self.first]
+        before = self.path[np.maximum(self.first - 1, 0)]
+        self.parent = np.where(self.depth == 0, -1, before)
+        self.byte = self.flat[self.first].astype(np.int64)
+        self.count = np.bincount(self.path, weights=counts[row], minlength=len(self.first)).astype(np.int64)
+
+    def context(self, order: int) -> np.ndarray:
+        """The last ``order`` bytes before each edge, and the order, as one number."""
+        out = np.full(len(self.first), order << 52, np.int64)
+        for back in range(1, order + 1):
+            byte = np.where(self.depth >= back, self.flat[np.maximum(self.first - back, 0)], START).astype(np.int64)
+            out += byte << (8 * (back - 1))
+        return out
 
-    target = (windows[:, 0] & np.uint64(255)).astype(np.int64)
-    node = np.ones(len(windows), dtype=np.int64)
-    for shift in range(7, -1, -1):
-        bit = (target >> shift) & 1
-        yield node, bit
-        node = 2 * node + bit
+    def crossing(self, word: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first ``length`` + 1 prefixes of a word, as nodes (the edge before them, -1: none) and as contexts."""
+        start = self.starts[word]
+        nodes = np.concatenate([[-1], self.path[start:start + length]])
+        hashes, value = [0], 0
+        for byte in self.flat[start:start + length].tolist():
+            value = (value * 0x9E3779B97F4A7C15 + byte + 1) & ((1 << 64) - 1)
+            hashes.append((value ^ (value >> 29)) * 0xBF58476D1CE4E5B9 >> 12 & ((1 << 52) - 1))
+        return nodes, np.array(hashes, np.int64) + (CROSSING << 52)
+
+
+class Shard:
+    """A tree with, for every edge, the context of each predictor."""
+
+    def __init__(self, body: bytes, before: bytes | None, after: bytes | None):
+        self.tokens, self.counts = unsqueeze(body)
+        words = [coded(t) for t in self.tokens]
+        self.tree = tree = Tree(words, self.counts)
+        self.contexts = [tree.context(order) for order in ORDERS]
+        own = tree.parent + 1
+        for word, beside in ((0, before), (-1, after)):  # prefixes that words of the neighbours have too
+            if beside is not None:
+                nodes, names = tree.crossing(word, _common(words[word], coded(beside)))
+                order = np.argsort(nodes)
+                spot = np.minimum(np.searchsorted(nodes[order], tree.parent), len(nodes) - 1)
+                hit = nodes[order][spot] == tree.parent
+                own = np.where(hit, names[order][spot], own)
+        self.contexts.append(own)
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """Different ``(context, byte)`` of contexts that other shards may know, and their own counts."""
+        keys = np.concatenate([(c << 8) | self.tree.byte for c in self.contexts[:WORD]])
+        times = np.tile(self.tree.count, WORD)
+        shared = self.contexts[WORD] >= 1 << 52
+        keys = np.concatenate([keys, (self.contexts[WORD][shared] << 8) | self.tree.byte[shared]])
+        return _added_up(keys, np.concatenate([times, self.tree.count[shared]]))
+
+    def counted(self, keys: np.ndarray, times: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each predictor the place of every edge in its table, and the table.
+
+        ``keys`` and ``times`` are what all shards counted under the shared contexts. Row ``d`` of a table says
+        how often a byte came that has the first ``d`` bits of the edge's byte.
+        """
+        out = []
+        for i, context in enumerate(self.contexts):
+            mine = (context << 8) | self.tree.byte
+            tag = (keys >> 60) == (ORDERS[i] if i < WORD else CROSSING)
+            if i < WORD:
+                table_keys, table_times = _added_up(np.concatenate([keys[tag], mine]), np.concatenate([times[tag], np.zeros(len(mine), np.int64)]))
+            else:
+                alone = context < 1 << 52
+                known = np.concatenate([keys[tag], mine[alone], mine[~alone]])
+                table_keys, table_times = _added_up(known, np.concatenate([times[tag], self.tree.count[alone], np.zeros(int((~alone).sum()), np.int64)]))
+            rows = [_spread(table_keys >> (8 - bits), table_times) for bits in range(9)]
+            out.append((np.searchsorted(table_keys, mine), np.stack(rows)))
+        return out
 
 
-def empty_counts() -> list:
-    import numpy as np
+def _added_up(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, times = keys[order], times[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(times, first) if len(keys) else times
 
-    return [np.zeros((2, 1 << bits), dtype=np.uint32) for bits in BITS]
 
+def _spread(groups: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The sum of each run of equal groups, for every row of it."""
+    if not len(groups):
+        return times
+    first = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
+    return np.repeat(np.add.reduceat(times, first), np.diff(np.append(first, len(groups))))
 
-def count_windows(counts, windows, times) -> None:
-    """Add windows seen so many times to ``counts[predictor][bit, slot]``."""
-    import numpy as np
 
-    hashed = contexts(windows)
-    for node, bit in bit_path(windows):
-        for i, table_ in enumerate(counts):
-            for context in hashed[i]:
-                np.add.at(table_.reshape(-1), (bit << BITS[i]) + slots(context, i, node), times)
+# ---- the mixer -----------------------------------------------------------------------------------
 
+class Mixer:
+    """What small counts mean, gated weights and the adaptive map.
 
-def looked_up(counts, hashed, predictor: int, node, own=None):
-    """Counts of zeros and ones; of the two slots of a word's context the one that fewer others share."""
-    import numpy as np
+    Everything is seen from the bit that came: a predictor's two counts are those of this bit and of the
+    other. All tables answer the other bit with the opposite, so the two always share out all probability.
+    """
 
-    table_ = counts[predictor]
-    at = slots(hashed[predictor][0], predictor, node)
-    zero, one = table_[0][at].astype(np.float64), table_[1][at].astype(np.float64)
-    if predictor == WORD:
-        at = slots(hashed[predictor][1], predictor, node)
-        zero_, one_ = table_[0][at].astype(np.float64), table_[1][at].astype(np.float64)
-        other = zero_ + one_ < zero + one
-        zero, one = np.where(other, zero_, zero), np.where(other, one_, one)
-    if own is not None:
-        zero, one = np.maximum(zero - (own == 0), 0), np.maximum(one - own, 0)
-    return zero, one
+    def __init__(self):
+        few = np.arange(len(LEVELS) + 1) + 0.4
+        self.seen = np.tile(few[:, None] / (few[:, None] + few[None, :]), (INPUTS, 1, 1))  # by counts of this bit and the other
+        self.weights = np.zeros((8, len(ORDERS) + 1, len(OFTEN) + 1, INPUTS))  # at first the word so far, the more the oftener it was, and
+        self.weights[..., WORD] = TRUST  # the longest context that was seen
+        for longest in range(1, len(ORDERS) + 1):
+            self.weights[:, longest, :, longest - 1] = 1 - np.array(TRUST)
+        self.weights = self.weights.reshape(8, GATES, INPUTS)
+        self.sure = np.tile(PRIOR * np.eye(INPUTS), (8, GATES, 1, 1))  # how firmly each gate holds its weights
+        self.map = np.zeros((8 * (len(ORDERS) + 1), STEPS))
+
+    def inputs(self, counted, edges, bit: int, own: int):
+        """Stretched probabilities of the bit that came, levels of both counts, gate and map number; ``own`` is taken off first."""
+        x = np.empty((len(edges), INPUTS))
+        levels = []
+        longest = np.zeros(len(edges), np.int64)
+        for i, (place, rows) in enumerate(counted):
+            at = place[edges]
+            every, this = rows[bit][at] - own, rows[bit + 1][at] - own
+            other = every - this
+            a, b = _LEVEL[np.minimum(this, LEVELS[-1])], _LEVEL[np.minimum(other, LEVELS[-1])]
+            small = np.log(self.seen[i][a, b] / self.seen[i][b, a])
+            many = np.maximum(this, other) >= LEVELS[-1]
+            x[:, i] = np.where(many, np.log((this + 0.4) / (other + 0.4)), small)
+            levels.append((a, b))
+            if i < WORD:
+                longest = np.where(every >= 3, i + 1, longest)
+            else:
+                gate = longest * (len(OFTEN) + 1) + np.searchsorted(OFTEN, every, side="right")
+        return np.clip(x, -FAR, FAR), levels, gate, bit * (len(ORDERS) + 1) + longest
 
+    def mixed(self, x, bit: int, gate):
+        return np.clip(np.einsum("ij,ij->i", self.weights[bit][gate], x), -12, 12)
 
-def _count_pass(blocks: DataFrame, modulus: int, held: int) -> DataFrame:
-    """``(piece, part, body)``: a task's counters, cut into pieces of 2**RANGE_BITS slots."""
+    def refined(self, dot, number):
+        """The probability after the adaptive map, which is read between its two nearest steps."""
+        centre = 1 / (1 + np.exp(8 - 16 * np.arange(STEPS) / (STEPS - 1)))
+        mapped = (self.map + 8 * centre) / (self.map + self.map[:, ::-1] + 8)
+        step = (np.clip(dot, -8, 8) + 8) * ((STEPS - 1) / 16)
+        low = np.minimum(step.astype(np.int64), STEPS - 2)
+        part = step - low
+        here = mapped[number, low] * (1 - part) + mapped[number, low + 1] * part
+        return np.clip(0.5 * (1 / (1 + np.exp(-dot)) + here), 1e-7, 1 - 1e-7)
 
-    def run(rows):
-        import numpy as np
-        from pyspark import TaskContext
+    def learn(self, counted, count: np.ndarray, seed: int) -> None:
+        """Online over all edges of a shard in a random order: each batch is predicted with what was learned before it.
 
-        counts = empty_counts()
-        for _, body in rows:
-            ids, texts, _ = unsqueeze(body)
-            mine = [coded(words_of(t)) for i, t in zip(ids, texts, strict=True) if _fold_of(i, modulus) != held]
-            for some in portions(mine, PORTION):
-                windows, _, times = different(byte_windows(some)[0])
-                count_windows(counts, windows, times.astype(np.uint32))
-        for piece, (i, r) in enumerate(PIECES):
-            part = counts[i][:, r << RANGE_BITS: (r + 1) << RANGE_BITS]
-            if part.any():
-                yield piece, TaskContext.get().partitionId(), squeeze(part.copy())
+        An edge stands for all its passings in training, each predicted by the others. The weights of a gate move
+        by Newton steps: the further, the less it has seen that would speak against it.
+        """
+        order = np.random.default_rng(seed).permutation(np.flatnonzero(count > 0))
+        for lo in range(0, len(order), BATCH):
+            edges = order[lo:lo + BATCH]
+            times = count[edges].astype(np.float64)
+            for bit in range(8):
+                x, levels, gate, number = self.inputs(counted, edges, bit, own=1)
+                dot = self.mixed(x, bit, gate)
+                p = 1 / (1 + np.exp(-dot))
+                for i, (a, b) in enumerate(levels):
+                    np.add.at(self.seen[i], (a, b), times)
+                step = np.rint((np.clip(dot, -8, 8) + 8) * ((STEPS - 1) / 16)).astype(np.int64)
+                np.add.at(self.map, (number, step), times)
+                by = np.argsort(gate, kind="stable")
+                ends = np.searchsorted(gate[by], np.arange(GATES + 1))
+                for g in np.flatnonzero(np.diff(ends)):
+                    mine = by[ends[g]:ends[g + 1]]
+                    seen = x[mine] * times[mine, None]
+                    self.sure[bit, g] += (seen * (p * (1 - p))[mine, None]).T @ x[mine]
+                    step = np.linalg.solve(self.sure[bit, g], (1 - p[mine]) @ seen)
+                    self.weights[bit, g] += step * min(1, LARGEST_STEP / max(np.abs(step).max(), 1e-12))
+
+    def log_prices(self, counted, n: int, at_once: int = 100_000) -> np.ndarray:
+        """The natural log probability of every edge's byte after its prefix."""
+        out = np.zeros(n)
+        for lo in range(0, n, at_once):
+            edges = np.arange(lo, min(lo + at_once, n))
+            for bit in range(8):
+                x, _, gate, number = self.inputs(counted, edges, bit, own=0)
+                out[edges] += np.log(self.refined(self.mixed(x, bit, gate), number))
+        return out
 
-    return map_rows(blocks.select("block", "body"), "piece int, part int, body binary", run)
+    def numbers(self) -> np.ndarray:
+        """What is learned as one row of numbers that can be added up; weights count by how firmly they are held."""
+        fresh = Mixer()
+        firm = self.sure - fresh.sure
+        return np.concatenate([(self.seen - fresh.seen).ravel(), self.map.ravel(), firm.ravel(), np.einsum("bgij,bgj->bgi", firm, self.weights).ravel()])
 
+    @staticmethod
+    def of_numbers(numbers: np.ndarray) -> Mixer:
+        made = Mixer()
+        if len(numbers):
+            seen, mapped, firm, held = np.split(numbers, np.cumsum([made.seen.size, made.map.size, made.sure.size]))
+            made.seen += seen.reshape(made.seen.shape)
+            made.map += mapped.reshape(made.map.shape)
+            prior = np.einsum("bgij,bgj->bgi", made.sure, made.weights)
+            made.sure += firm.reshape(made.sure.shape)
+            made.weights = np.linalg.solve(made.sure, (prior + held.reshape(made.weights.shape))[..., None])[..., 0]
+        return made
 
-def _fold_of(doc_id, modulus: int) -> int:
-    from zlib import crc32
 
-    return -1 if doc_id is None else crc32(str(doc_id).encode()) % modulus
+# ---- words of the corpus, in shards -----------------------------------------------------------------
 
+def _block_tokens(blocks: DataFrame, modulus: int, held: int) -> DataFrame:
+    """``(block, token, n)``: the different tokens of each block, and how often its training documents have them."""
 
-def _add_up(rows):
-    import numpy as np
-    import pandas as pd
+    def run(batches):
+        for batch in batches:
+            for block, body in zip(batch.column("block").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                ids, texts, _ = unsqueeze(body)
+                times: dict[bytes, int] = {}
+                for doc_id, text in zip(ids, texts, strict=True):
+                    one = int(_fold_of(doc_id, modulus) != held)
+                    for token in words_of(text):
+                        times[token] = times.get(token, 0) + one
+                    times[END] = times.get(END, 0) + one
+                tokens = iter(times.items())
+                for lo in range(0, len(times), 20_000):
+                    some = [next(tokens) for _ in range(min(20_000, len(times) - lo))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block] * len(some), pa.int64()), pa.array([t for t, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())],
+                        names=["block", "token", "n"])
 
-    total = None
-    for body in rows.body:
-        part = unsqueeze(body).astype(np.uint64)
-        total = part if total is None else total + part
-    return pd.DataFrame({"piece": [int(rows.piece.iloc[0])], "part": [int(rows.part.iloc[0])], "body": [squeeze(total)]})
+    return blocks.select("block", "body").mapInArrow(run, "block bigint, token binary, n bigint")
 
 
-def _counters(blocks: DataFrame, modulus: int, held: int):
-    """All tasks' counters added up in a tree; the sum has a fixed size and comes to the driver, packed.
+def _word_shards(tokens: DataFrame, shard_words: int) -> DataFrame:
+    """``(part, body, before, after)``: sorted tokens with their counts, and the tokens next to the shard's two ends."""
+    spark = tokens.sparkSession
 
-    A pair of counts that needs more than 16 bits is halved until it fits, which keeps its ratio.
-    """
-    import numpy as np
-
-    schema = "piece int, part int, body binary"
-    state = staged(_count_pass(blocks, modulus, held), "counters")
-    top = state.agg(F.max("part")).first()[0]
-    while top:
-        top //= FAN_IN
-        grouped = state.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("piece", "part")
-        state = staged(grouped.applyInPandas(_add_up, schema), "counters")
-    counts = [table_.astype(np.uint16) for table_ in empty_counts()]
-    for row in state.collect():
-        i, r = PIECES[row.piece]
-        pair = unsqueeze(row.body).astype(np.uint64)
-        halvings = np.maximum(0, np.ceil(np.log2(pair.max(axis=0).astype(np.float64) + 1)).astype(np.int64) - 16)
-        counts[i][:, r << RANGE_BITS: (r + 1) << RANGE_BITS] = pair >> halvings.astype(np.uint64)
-    return [squeeze(table_) for table_ in counts]
+    def run(batches):
+        from pyspark import TaskContext
 
+        task, made = TaskContext.get().partitionId(), 0
+        held: tuple[list, list] = ([], [])
 
-class Mixer:
-    """What small counts mean, gated weights and the adaptive map; the counters are given with each call."""
+        def packed():
+            return pa.RecordBatch.from_pylist([{
+                "part": (task << 32) + made, "first": held[0][0], "last": held[0][-1],
+                "body": squeeze((held[0], np.array(held[1], np.int64)))}], schema)
 
-    def __init__(self):
-        import numpy as np
+        schema = pa.schema([("part", pa.int64()), ("first", pa.binary()), ("last", pa.binary()), ("body", pa.binary())])
+        for batch in batches:
+            for token, c in zip(batch.column("token").to_pylist(), batch.column("c").to_pylist(), strict=True):
+                held[0].append(token)
+                held[1].append(c)
+                if len(held[0]) >= 2 * shard_words:
+                    yield packed()
+                    held, made = ([], []), made + 1
+        if held[0]:
+            yield packed()
+
+    ranges = max(1, -(-tokens.count() // shard_words))
+    # coded tokens are in the order of the tokens with their ending; a space comes before all bytes of words but control bytes
+    ordered = tokens.withColumn("_coded", F.when(F.col("token") == F.lit(END), F.col("token")).otherwise(F.concat("token", F.lit(GAP))))
+    placed = ordered.repartitionByRange(ranges, "_coded").sortWithinPartitions("_coded").select("token", "c")
+    shards = staged(placed.mapInArrow(run, "part bigint, first binary, last binary, body binary"), "word-shards")
+    along = Window.orderBy("part")  # one short row a shard
+    ends = shards.select("part", F.lag("last").over(along).alias("before"), F.lead("first").over(along).alias("after"))
+    return staged(shards.select("part", "body").join(ends, "part"), "shards")
+
+
+def _contexts_asked(shards: DataFrame) -> DataFrame:
+    """``(part, context, byte, n)``: what each shard counted under contexts that others may know; 0 if it only asks."""
 
-        few = np.arange(len(LEVELS) + 1) + 0.4
-        self.states = np.empty((len(BITS), len(few), len(few), 2))  # zeros and ones seen under such counts
-        self.states[:] = np.stack(np.broadcast_arrays(few[:, None], few[None, :]), axis=-1) / (few[:, None] + few[None, :])[..., None]
-        self.weights = np.full((8, GATES, len(BITS) + 1), 0.3)
-        self.map = np.zeros((256, STEPS, 2))
-
-    def inputs(self, counts, hashed, node, own=None, learn: bool = False):
-        """Stretched probabilities with a constant, and the gate; ``own`` bits are taken out of the counts first."""
-        import numpy as np
-
-        x = np.empty((len(node), len(BITS) + 1))
-        longest = np.zeros(len(node), dtype=np.int64)
-        gate = longest
-        for i in range(len(BITS)):
-            zero, one = looked_up(counts, hashed, i, node, own)
-            state = np.searchsorted(LEVELS, zero, side="right"), np.searchsorted(LEVELS, one, side="right")
-            if learn:
-                np.add.at(self.states[i], (*state, own), 1)
-            many = np.maximum(zero, one) >= LEVELS[-1]
-            seen = self.states[i][state]
-            x[:, i] = np.where(many, np.log((one + 0.4) / (zero + 0.4)), np.log(seen[:, 1] / seen[:, 0]))
-            if i == WORD:
-                gate = 5 * longest + np.searchsorted([1, 3, 10, 100], zero + one, side="right")
-            else:
-                longest = np.where(zero + one >= 3, i + 1, longest)
-        x[:, -1] = 0.3
-        return np.clip(x, -9, 9), gate
+    def run(batches):
+        for batch in batches:
+            for part, body, before, after in zip(*(batch.column(c).to_pylist() for c in ("part", "body", "before", "after")), strict=True):
+                keys, times = Shard(body, before, after).asked()
+                for lo in range(0, len(keys), 100_000):
+                    some = keys[lo:lo + 100_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(some), part)), pa.array(some >> 8), pa.array((some & 255).astype(np.int32)), pa.array(times[lo:lo + 100_000])],
+                        names=["part", "context", "byte", "n"])
 
-    def mixed(self, x, depth: int, gate):
-        import numpy as np
+    return shards.mapInArrow(run, "part bigint, context bigint, byte int, n bigint")
 
-        dot = np.clip(np.einsum("ij,ij->i", self.weights[depth].astype(x.dtype)[gate], x).astype(np.float64), -12, 12)
-        return dot, 1 / (1 + np.exp(-dot))
 
-    def refined(self, dot, p, node):
-        import numpy as np
+def _with_counts(shards: DataFrame, told: DataFrame, each, ddl: str) -> DataFrame:
+    """``each(part, shard, counted)`` for every shard, with what all shards counted under its contexts."""
 
-        step = (np.clip(dot, -8, 8) + 8) * ((STEPS - 1) / 16)
-        low = np.minimum(step.astype(np.int64), STEPS - 2)
-        part = step - low
-        centre = 1 / (1 + np.exp(8 - 16 * np.arange(STEPS) / (STEPS - 1)))
-        table_ = (self.map[:, :, 1] + 8 * centre) / (self.map.sum(axis=2) + 8)
-        mapped = table_[node, low] * (1 - part) + table_[node, low + 1] * part
-        return np.clip(0.5 * (p + mapped), 1e-7, 1 - 1e-7)
+    def run(mine, rows):
+        if not len(mine):
+            return each(None, None, None)
+        one = mine.iloc[0]
+        shard = Shard(bytes(one.body), one.before, one.after)
+        keys = (rows.context.to_numpy(np.int64) << 8) | rows.byte.to_numpy(np.int64)
+        return each(int(one.part), shard, shard.counted(*_added_up(keys, rows.n.to_numpy(np.int64))))
 
-    def learn(self, counts, windows, rate: float = 0.5, batch: int = 1_000) -> None:
-        """Three times over the windows, in batches: what counts mean, then the weights, then the map.
+    return shards.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(run, ddl)
 
-        Each batch is predicted with what was learned before it. A gate moves by the mean of its rows.
-        """
-        import numpy as np
-
-        for turn in ("states", "weights", "map"):
-            for done, lo in enumerate(range(0, len(windows), batch)):
-                some = windows[lo: lo + batch]
-                hashed = contexts(some)
-                for depth, (node, bit) in enumerate(bit_path(some)):
-                    x, gate = self.inputs(counts, hashed, node, own=bit, learn=turn == "states")
-                    if turn == "states":
-                        continue
-                    dot, p = self.mixed(x, depth, gate)
-                    if turn == "map":
-                        step = np.rint((np.clip(dot, -8, 8) + 8) * ((STEPS - 1) / 16)).astype(np.int64)
-                        np.add.at(self.map, (node, step, bit), 1)
-                        continue
-                    moves = np.zeros((GATES, x.shape[1]))
-                    np.add.at(moves, gate, (bit - p)[:, None] * x)
-                    size = np.bincount(gate, minlength=GATES)[:, None]
-                    self.weights[depth] += rate / math.sqrt(1 + done / 20) * moves / np.maximum(size, 20)
-
-    def prepared(self, counts, at_once: int = 1 << 17) -> list:
-        """For each predictor and slot one number: the stretched probability in 24 bits, and how often it was seen
-        (8 log2(1 + n)) in 8, so that a look-up touches memory once."""
-        import numpy as np
 
-        out = []
-        for i, both in enumerate(counts):
-            packed = np.empty(both.shape[1], dtype=np.uint32)
-            for lo in range(0, len(packed), at_once):
-                zero, one = both[:, lo: lo + at_once]
-                state = self.states[i][np.searchsorted(LEVELS, zero, side="right"), np.searchsorted(LEVELS, one, side="right")]
-                many = np.maximum(zero, one) >= LEVELS[-1]
-                stretched = np.where(many, np.log((one + 0.4) / (zero + 0.4)), np.log(state[:, 1] / state[:, 0]))
-                seen = np.minimum(255, 8 * np.log2(1.0 + zero + one)).astype(np.uint8)
-                packed[lo: lo + at_once] = (np.rint((np.clip(stretched, -9, 9) + 9) * UNITS).astype(np.uint32) << np.uint32(8)) | seen
-            out.append(packed)
-        return out
+def _learned(shards: DataFrame, told: DataFrame) -> Mixer:
+    """One mixer from all shards: each learns online from its own words; sums are added up, weights averaged.
 
-    def log10(self, tables, windows):
-        """The base-10 log probability of each window's last byte after the others, by ``prepared`` tables."""
-        import numpy as np
-
-        chance = np.ones(len(windows))
-        x = np.full((len(windows), len(BITS) + 1), 0.3, dtype=np.float32)
-        hashed = contexts(windows)
-        word_gate = np.searchsorted([8, 16, 27, 53], np.arange(256), side="right")
-        for depth, (node, bit) in enumerate(bit_path(windows)):
-            longest = np.zeros(len(windows), dtype=np.int64)
-            for i, packed in enumerate(tables):
-                found = packed[slots(hashed[i][0], i, node)]
-                seen = found & np.uint32(255)
-                if i == WORD:
-                    other = packed[slots(hashed[i][1], i, node)]
-                    found = np.where((other & np.uint32(255)) < seen, other, found)
-                    gate = 5 * longest + word_gate[found & np.uint32(255)]
-                else:
-                    longest[seen >= 16] = i + 1
-                x[:, i] = (found >> np.uint32(8)) * np.float32(1 / UNITS) - np.float32(9)
-            p = self.refined(*self.mixed(x, depth, gate), node)
-            chance *= np.where(bit == 1, p, 1 - p)
-        return np.log10(chance)
-
-    def totals(self, tables, texts: list[bytes], at_once: int = 50_000) -> list[tuple]:
-        """The base-10 log probability and the bytes of each text; equal windows are priced once."""
-        import numpy as np
-
-        windows, sizes = byte_windows(texts)
-        unique, inverse, _ = different(windows)
-        del windows
-        price = np.concatenate([self.log10(tables, unique[lo: lo + at_once]) for lo in range(0, len(unique), at_once)])
-        until = np.cumsum(sizes)
-        return [(float(price[inverse[b - n: b]].sum()), n) for b, n in zip(until.tolist(), sizes.tolist(), strict=True)]
-
-
-@functools.lru_cache(maxsize=1)
-def _prepared(packed: tuple, learned: bytes) -> list:
-    """The tables for scoring, made once in each worker."""
-    mixer = Mixer()
-    mixer.states = pickle.loads(learned)[0]
-    return mixer.prepared(unsqueeze(table_) for table_ in packed)  # one at a time
-
-
-def _learned(docs: DataFrame, sent, sample_docs: int, sample_windows: int) -> Mixer:
-    """Weights and map from about ``sample_docs`` training documents and at most ``sample_windows`` bytes of them."""
-    total = docs.count()
-    chosen = docs.where("text is not null").where(unit_hash(23, "doc_id", "text") < sample_docs / max(total, 1))
-
-    def fit(rows):
-        import numpy as np
+    A shard gives a fixed number of values, which are reduced by their place before they come to the driver.
+    """
 
+    def each(part, shard, counted):
         mixer = Mixer()
-        windows = [byte_windows([coded(words_of(utf8(text)))])[0] for _, text in rows]
-        if windows:
-            every = np.concatenate(windows)
-            stride = -(-len(every) // sample_windows)
-            mixer.learn([unsqueeze(table_) for table_ in sent.value], np.random.default_rng(1).permutation(every)[::stride])
-        return (mixer.states, mixer.weights, mixer.map)
+        if shard is not None:
+            mixer.learn(counted, shard.tree.count, seed=part)
+        values = mixer.numbers()
+        return pd.DataFrame({"place": np.arange(len(values)), "value": values})
 
-    mixer = Mixer()
-    mixer.states, mixer.weights, mixer.map = fit_in_task(chosen.select("doc_id", "text").limit(4 * sample_docs), fit)
-    return mixer
+    values = _with_counts(shards, told, each, "place int, value double").groupBy("place").agg(F.sum("value").alias("value"))
+    return Mixer.of_numbers(np.array([r.value for r in sorted(values.collect())]))
 
 
-def _token_counts(blocks: DataFrame, modulus: int, held: int) -> DataFrame:
-    """``(block, token, c, n, head)`` for the different tokens of each block; ``c`` counts all training documents.
+def _priced(shards: DataFrame, told: DataFrame, sent) -> DataFrame:
+    """``(token, c, price)``: the natural log probability of every token as a whole."""
 
-    ``n`` is the block's own share of ``c`` and ``head`` is 1 for one row of each token.
-    """
+    def each(part, shard, counted):
+        if shard is None:
+            return pd.DataFrame({"token": [], "c": [], "price": []})
+        tree = shard.tree
+        edges = sent.value.log_prices(counted, len(tree.first))
+        return pd.DataFrame({"token": shard.tokens, "c": shard.counts, "price": np.add.reduceat(edges[tree.path], tree.starts)})
 
-    def run(batches):
-        import numpy as np
+    return _with_counts(shards, told, each, "token binary, c bigint, price double")
 
-        for batch in batches:
-            for block, body in zip(batch.column("block").to_pylist(), batch.column("body").to_pylist(), strict=True):
-                ids, texts, _ = unsqueeze(body)
-                others: Counter = Counter()
-                trained: Counter = Counter()
-                for doc_id, text in zip(ids, texts, strict=True):
-                    (others if _fold_of(doc_id, modulus) == held else trained).update([*words_of(text), END])
-                only = list(others.keys() - trained.keys())
-                tokens = pa.array([*trained.keys(), *only], pa.binary()).cast(pa.string())
-                times = np.concatenate([np.fromiter(trained.values(), np.int64, len(trained)), np.zeros(len(only), np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(times), block)), tokens, pa.array(times)], names=["block", "token", "n"])
 
-    seen = blocks.select("block", "body").mapInArrow(run, "block bigint, token string, n bigint")
-    of_token = Window.partitionBy("token").orderBy("block")
-    return seen.select(
-        "block", "token", "n", F.sum("n").over(of_token.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("c"),
-        F.when(F.row_number().over(of_token) == 1, 1).otherwise(0).alias("head"))
+# ---- texts ---------------------------------------------------------------------------------------
+
+def earlier_in_text(text_of: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """How often each token came before in its text; texts lie one after the other."""
+    order = np.lexsort((tokens, text_of))
+    text_of, tokens = text_of[order], tokens[order]
+    n = len(order)
+    first = np.append(True, (tokens[1:] != tokens[:-1]) | (text_of[1:] != text_of[:-1]))[:n]
+    out = np.empty(n, np.int64)
+    out[order] = np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    return out
+
+
+def text_scores(prices: np.ndarray, end_price: float, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Natural log probabilities of texts of ``sizes`` words each, given one after the other as numbers of ``prices``.
+
+    For each share, a word has that share of its probability from the words of the text before it, in
+    proportion, and the rest from its price. Whole texts are mixed over the shares, which is the same as
+    mixing every word with weights that follow from the words before.
+    """
+    text_of = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    before = earlier_in_text(text_of, tokens)
+    price = prices[tokens]
+    later, again = place > 0, np.flatnonzero(before > 0)
+    totals = np.empty((len(SHARES), len(sizes)))
+    for i, share in enumerate(SHARES):
+        mine = price + math.log1p(-share) * later
+        if share:
+            mine[again] = np.logaddexp(mine[again], np.log(share * before[again] / place[again]))
+        totals[i] = np.bincount(text_of, weights=mine, minlength=len(sizes)) + end_price + math.log1p(-share) * (sizes > 0)
+    top = totals.max(axis=0)
+    return top + np.log(np.exp(totals - top).mean(axis=0))
 
 
 SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint, "
           "bits_per_byte double")
 
 
-def _score_block(sent, learned, modulus: int, held: int, tokens: int, kinds: int):
-    def run(blocks, vocabulary):
-        import pandas as pd
+def _score_block(modulus: int, held: int, tokens: int, kinds: int):
+    below = math.log10(tokens + kinds + 1)  # one is added to each kind of token, and to one not seen
 
+    def run(blocks, vocabulary):
         out = []
         if len(blocks):
-            mixer = Mixer()
-            mixer.states, mixer.weights, mixer.map = pickle.loads(learned.value)
-            tables = _prepared(tuple(sent.value), learned.value)
             ids, texts, _ = unsqueeze(blocks.body.iloc[0])
-            logs = {utf8(t): math.log10(c + 1) for t, c in zip(vocabulary.token, vocabulary.c, strict=True)}
-            below = math.log10(tokens + kinds + 1)  # one is added to each kind of token, and to one not seen
-            texts = [words_of(t) for t in texts]
-            scores = [score for some in portions([coded(w) for w in texts], PORTION) for score in mixer.totals(tables, some)]
-            for doc_id, words, (score, size) in zip(ids, texts, scores, strict=True):
-                found = [logs[w] for w in [*words, END]]
-                out.append((doc_id, _fold_of(doc_id, modulus) == held, len(found), sum(v > 0 for v in found),
-                            math.fsum(found) - len(found) * below, score, size, -score / math.log10(2) / size))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in SCORES.split(", ")]).astype({"doc_id": "Int64"})
+            number = {bytes(t): i for i, t in enumerate(vocabulary.token)}
+            counts, prices = vocabulary.c.to_numpy(), vocabulary.price.to_numpy()
+            logs, end = np.log10(counts + 1.0), number[END]
+            lengths = np.array([len(t) for t in number], np.int64) + 1
+            lo = 0
+            while lo < len(ids):
+                rows, sizes, hi, many = [], [], lo, 0
+                while hi < len(ids) and (many < PORTION_TOKENS or hi == lo):
+                    words = words_of(texts[hi])
+                    rows.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+                    sizes.append(len(words))
+                    many += len(words)
+                    hi += 1
+                some, sizes = np.concatenate(rows), np.array(sizes, np.int64)
+                text_of = np.repeat(np.arange(len(sizes)), sizes)
+                add = lambda values, own: np.bincount(text_of, weights=values[some], minlength=len(sizes)) + own
+                n_bytes = add(lengths, 1).astype(np.int64)
+                scores = text_scores(prices, prices[end], some, sizes) / math.log(10)
+                out.append(pd.DataFrame({
+                    "doc_id": pd.array(ids[lo:hi], "Int64"), "held_out": [_fold_of(i, modulus) == held for i in ids[lo:hi]], "n_tokens": sizes + 1,
+                    "n_known": add(counts > 0, int(counts[end] > 0)).astype(np.int64), "base_score": add(logs, logs[end]) - (sizes + 1) * below,
+                    "score": scores, "n_bytes": n_bytes, "bits_per_byte": -scores / math.log10(2) / n_bytes}))
+                lo = hi
+        return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in SCORES.split(", ")})
 
     return run
 
 
-def score_texts(docs: DataFrame, modulus: int, held: int, sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS) -> DataFrame:
+def score_texts(docs: DataFrame, modulus: int, held: int, shard_words: int = SHARD_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Base and model scores of every row of ``docs``; rows of the fold ``held`` teach nothing.
 
     Columns are ``doc_id, held_out, n_tokens, n_known, base_score, score, n_bytes, bits_per_byte`` and
     ``train_tokens``. Null and empty texts are an end alone. Rows without a doc_id are training rows. Repeated
     rows count and score each. An empty table gives no rows. Texts are never joined row by row: blocks of
-    documents meet the counts of their own different words.
+    documents meet the counts and prices of their own different words.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = write_blocks(docs)
-    words = staged(_token_counts(blocks, modulus, held), "token-counts")
-    sums = words.agg(F.sum("n").alias("tokens"), F.sum(F.when(F.col("c") > 0, F.col("head")).otherwise(0)).alias("kinds")).first()
-    sent = spark.sparkContext.broadcast(_counters(blocks, modulus, held))
-    mixer = _learned(docs.where(fold(F.col("doc_id"), modulus) != held), sent, sample_docs, sample_windows)
-    learned = spark.sparkContext.broadcast(pickle.dumps((mixer.states, mixer.weights, mixer.map)))
-    tokens, kinds = sums.tokens or 0, sums.kinds or 0
-    scored = blocks.groupBy("block").cogroup(words.select("block", "token", "c").groupBy("block")).applyInPandas(
-        _score_block(sent, learned, modulus, held, tokens, kinds), SCORES)
-    return scored.withColumn("train_tokens", F.lit(tokens).cast("long"))
+    blocks = write_blocks(docs, block_bytes)
+    seen = staged(_block_tokens(blocks, modulus, held), "block-tokens")
+    tokens = staged(seen.groupBy("token").agg(F.sum("n").alias("c")), "tokens")
+    sums = tokens.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count_if(F.col("c") > 0).alias("kinds")).first()
+    shards = _word_shards(tokens, shard_words)
+    asked_path, told_path = fresh_path(spark, "asked"), fresh_path(spark, "told")
+    asked = _contexts_asked(shards)
+    asked.write.parquet(asked_path)
+    asked = spark.read.schema(asked.schema).parquet(asked_path)
+    counted = asked.where("n > 0").groupBy("context", "byte").agg(F.sum("n").alias("n"))
+    told = asked.select("part", "context").distinct().join(counted, "context").select("part", "context", "byte", "n")
+    told.write.parquet(told_path)
+    told = spark.read.schema(told.schema).parquet(told_path)
+    drop_path(spark, asked_path)
+    sent = spark.sparkContext.broadcast(_learned(shards, told))
+    priced = staged(_priced(shards, told, sent), "prices")
+    drop_path(spark, told_path)
+    vocabulary = seen.select("block", "token").join(priced, "token").select("block", "token", "c", "price")
+    scored = blocks.groupBy("block").cogroup(vocabulary.groupBy("block")).applyInPandas(_score_block(modulus, held, sums.tokens, sums.kinds), SCORES)
+    return scored.withColumn("train_tokens", F.lit(sums.tokens).cast("long"))
 
 
 @query("op7_context_mixing_lm")

@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-
-import pytest
-
-from holdfast.llm import common, language, mixing, quality
+from holdfast.llm import common, language, quality
 
 SF = "/root/testdata/sf0.01"
 
@@ -33,26 +28,3 @@ def test_quality(spark, odd_docs, no_docs):
     scores = quality.score_quality(odd_docs, model).collect()
     assert len(scores) == odd_docs.count() and {round(r.score, 6) for r in scores} == {0.5}
     assert quality.score_quality(no_docs, model).count() == 0
-
-
-def test_base_scores_by_brute_force(spark, odd_docs):
-    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
-    tokens = [(i, [*(t or "").encode().lower().split(), b"\n"]) for i, t in rows]
-    counts = Counter(w for i, t in tokens if mixing._fold_of(i, 7) != 2 for w in t)
-    n, v = sum(counts.values()), len(counts)
-    want = sorted((str(i), len(t), sum(counts[w] > 0 for w in t), round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t), 6)) for i, t in tokens)
-    got = mixing.score_texts(odd_docs, 7, 2).collect()
-    assert sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got) == want
-    assert {r.train_tokens for r in got} == {n} and all(r.score < 0 for r in got)
-
-
-def test_bytes_share_out_all_probability():
-    import numpy as np
-
-    mixer, counts = mixing.Mixer(), mixing.empty_counts()
-    windows, _, times = mixing.different(mixing.byte_windows([b"the cat sat on the mat\n"] * 3)[0])
-    mixing.count_windows(counts, windows, times.astype(np.uint32))
-    mixer.learn(counts, windows)
-    context = np.tile(windows[5], (256, 1))
-    context[:, 0] = (context[:, 0] & ~np.uint64(255)) | np.arange(256, dtype=np.uint64)
-    assert (10 ** mixer.log10(mixer.prepared(counts), context)).sum() == pytest.approx(1, abs=1e-6)
