@@ -1,28 +1,8 @@
-"""Links between documents whose sets of word shingles are similar, by rarest-first prefixes.
-
-Two sets of similarity ``s`` or more share one of the first ``n - ceil(s * n) + 1`` members of each, in any order
-that all sets keep. The order here is rarest first, by counts in a table of fixed size, so that passages of many
-documents come last. Sets that share such a member and are not linked yet are compared in full.
-"""
+"""Hashes of word shingles."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from holdfast.llm.blocks import squeeze, unsqueeze
-from holdfast.llm.common import map_rows, utf8
-from holdfast.llm.components import connected
-from holdfast.session import staged
-
 SEED = 42
-SLOT_BITS = 21
-PIECE_BITS = 17
-FAN_IN = 64
-CROWD = 8
-ROUNDS = 4
 
 
 def shingle_hashes(data: bytes, width: int):
@@ -39,149 +19,3 @@ def shingle_hashes(data: bytes, width: int):
     starts = np.cumsum(sizes + 1) - sizes - 1
     ends = (starts + sizes)[width - 1:].tolist()
     return np.array([digest(joined[s:e], SEED) for s, e in zip(starts.tolist(), ends)], dtype="<u8")
-
-
-def shingle_set(text: str | None, width: int):
-    """The different hashes, sorted."""
-    import numpy as np
-
-    return np.unique(shingle_hashes(utf8(text), width))
-
-
-def _slots(hashes):
-    import numpy as np
-
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def _add_up(rows):
-    import pandas as pd
-
-    total = None
-    for body in rows.body:
-        part = unsqueeze(body)
-        total = part if total is None else total + part
-    return pd.DataFrame({"piece": [int(rows.piece.iloc[0])], "part": [int(rows.part.iloc[0])], "body": [squeeze(total)]})
-
-
-def slot_counts(texts: DataFrame, width: int):
-    """How many sets have a member in each of ``2**SLOT_BITS`` slots: counted by task, added up in a tree."""
-    import numpy as np
-
-    def run(rows):
-        from pyspark import TaskContext
-
-        counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
-        for (text,) in rows:
-            np.add.at(counts, _slots(shingle_set(text, width)), 1)
-        for piece, part in enumerate(counts.reshape(-1, 1 << PIECE_BITS)):
-            if part.any():
-                yield piece, TaskContext.get().partitionId(), squeeze(part)
-
-    schema = "piece int, part int, body binary"
-    state = staged(map_rows(texts.select("text"), schema, run), "slots")
-    top = state.agg(F.max("part")).first()[0]
-    while top:
-        top //= FAN_IN
-        grouped = state.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("piece", "part")
-        state = staged(grouped.applyInPandas(_add_up, schema), "slots")
-    counts = np.zeros((1 << (SLOT_BITS - PIECE_BITS), 1 << PIECE_BITS), dtype=np.int64)
-    for row in state.collect():
-        counts[row.piece] = unsqueeze(row.body)
-    return counts.reshape(-1)
-
-
-def prefixes(texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """``(key, rep, part, n, pos)``: the rarest members of each set, as many as one of which a similar set must share.
-
-    ``pos`` is the member's place in the order, from 0, and ``n`` the size of the set.
-    """
-    import numpy as np
-
-    rare = np.minimum(slot_counts(texts, width), (1 << 32) - 1).astype(np.uint32)
-    counts = texts.sparkSession.sparkContext.broadcast(rare)
-
-    def run(rows):
-        for rep, part, text in rows:
-            hashes = shingle_set(text, width)
-            n = len(hashes)
-            if n:
-                first = np.lexsort((hashes, counts.value[_slots(hashes)]))[: n - math.ceil(similarity * n - 1e-9) + 1]
-                yield from ((key, rep, part, n, pos) for pos, key in enumerate(hashes[first].view("<i8").tolist()))
-
-    return map_rows(texts.select("rep", "part", "text"), "key bigint, rep bigint, part bigint, n int, pos int", run, chunk=20_000)
-
-
-def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets have the similarity; only texts of some pair are hashed."""
-    import numpy as np
-
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-
-    def hashed(rows):
-        for rep, text in rows:
-            yield rep, shingle_set(text, width).tobytes()
-
-    held = staged(map_rows(texts.join(wanted, "rep", "left_semi").select("rep", "text"), "rep bigint, hashes binary", hashed), "compared")
-    both = (
-        pairs.join(held.select(F.col("rep").alias("a"), F.col("hashes").alias("one")), "a")
-        .join(held.select(F.col("rep").alias("b"), F.col("hashes").alias("other")), "b")
-        .select("a", "b", "one", "other")
-    )
-
-    def run(rows):
-        for a, b, one, other in rows:
-            x, y = np.frombuffer(one, dtype="<u8"), np.frombuffer(other, dtype="<u8")
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            if shared >= similarity * (len(x) + len(y) - shared) - 1e-9:
-                yield a, b
-
-    return map_rows(both, "a bigint, b bigint", run)
-
-
-def _may_be_first(n: Column, pos: Column, n_: Column, pos_: Column, similarity: float) -> Column:
-    """Whether two similar sets may have their first common member at these places: enough is left in both."""
-    return F.least(n - pos, n_ - pos_) >= similarity / (1 + similarity) * (n + n_) - 1e-9
-
-
-def similar_links(texts: DataFrame, known: DataFrame, width: int, similarity: float, crowd: int = CROWD, rounds: int = ROUNDS) -> DataFrame:
-    """Links ``(a, b)`` that, with those ``known``, join exactly what pairs of this similarity would join.
-
-    ``texts`` has ``(rep, part, text)``; ``part`` is the component of ``rep`` by the known links. Members with at
-    most ``crowd`` texts compare those of different components with each other. Larger groups compare all with one
-    text of theirs a round, another one each round. Copies are one component after that; what is still apart
-    after ``rounds`` is compared in full. Pairs meet at their first common member: it must leave enough of both
-    sets, which texts that share one common passage fail. A member past that place in a text needs a smaller partner.
-    """
-    share = similarity / (1 + similarity)
-    lesser = F.col("n") - F.col("pos") >= 2 * share * F.col("n") - 1e-9
-    index = staged(prefixes(texts, width, similarity), "prefixes")
-    links = known.select("a", "b")
-    for turn in range(rounds + 1):
-        apart = staged(index.groupBy("key").agg(
-            F.min("part").alias("low"), F.max("part").alias("high"), F.min(F.when(lesser, F.col("n"))).alias("least_n"),
-        ).where("low < high").select("key", "least_n"), "apart")
-        partner = (F.col("n") - F.col("pos")) / share - F.col("n") + 1e-9
-        index = staged(index.join(apart, "key").where(lesser | (F.col("least_n") <= partner)).drop("least_n"), "open")
-        groups = index.groupBy("key").agg(
-            F.count("*").alias("size"), F.min_by(F.struct("rep", "n", "pos", "part"), F.struct(F.xxhash64(F.lit(turn), "rep"), "rep")).alias("hub"))
-        grouped = staged(index.join(groups, "key"), "groups")
-        crowded = grouped.where(F.col("size") > crowd)
-        small = grouped.where(F.col("size") <= crowd) if turn < rounds else grouped
-        a, b = small.alias("a"), small.alias("b")
-        pairs = a.join(
-            b,
-            (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.part") != F.col("b.part"))
-            & _may_be_first(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), similarity),
-        ).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
-        if turn < rounds:
-            spokes = crowded.where((F.col("part") != F.col("hub.part")) & _may_be_first(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), similarity))
-            pairs = pairs.unionByName(spokes.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")))
-        found = staged(verified(staged(pairs.distinct(), "pairs"), texts, width, similarity), "found")
-        links = links.unionByName(found)
-        if turn == rounds or crowded.isEmpty():
-            break
-        parts = staged(connected(links, "a", "b"), "parts")
-        left = crowded.select("key", "rep", "n", "pos").join(parts, F.col("rep") == F.col("node"), "left")
-        index = staged(left.select("key", "rep", F.coalesce("component", "rep").alias("part"), "n", "pos"), "crowded")
-    return links

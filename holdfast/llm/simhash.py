@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.common import map_rows, query, table, utf8
 from holdfast.llm.components import connected
-from holdfast.llm.shingles import shingle_hashes, similar_links
+from holdfast.llm.shingles import shingle_hashes
 from holdfast.session import staged
 
 BITS = 64
@@ -115,59 +115,50 @@ def links(fps: DataFrame, budget: int = BUDGET, segments: int = SEGMENTS, dense:
     return near.unionByName(met)
 
 
+def fingerprint_groups(prints: DataFrame, budget: int = BUDGET, segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
+    """``(fp, label)`` for different fingerprints ``fp``; those linked within ``budget`` bits have one label, the least of them."""
+    linked = connected(links(prints.select("fp", F.col("fp").alias("rep")), budget, segments, dense), "a", "b")
+    return prints.join(linked, prints.fp == linked.node, "left").select("fp", F.coalesce("component", "fp").alias("label"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, budget: int = BUDGET, segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
     """``(doc_id, fp, component_id)``: documents linked by fingerprints within ``budget`` bits.
 
-    Equal fingerprints count once, by their smallest doc_id, so exact copies never meet each other. Null and
-    empty texts have fingerprint zero and are linked like any other. Rows without a doc_id keep their
-    fingerprint and its component, but name no component. Repeated rows stay. An empty table gives no rows.
+    Equal fingerprints count once, so exact copies never meet each other. Null and empty texts have fingerprint
+    zero and are linked like any other. Rows without a doc_id keep their fingerprint and its component, but name
+    no component. Repeated rows stay. An empty table gives no rows.
     """
     marked = staged(fingerprints(docs, width), "fingerprints")
-    reps = marked.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    named = staged(reps, "representatives")
-    parts = connected(links(named.where("rep is not null"), budget, segments, dense), "a", "b")
-    classes = named.join(parts, named.rep == parts.node, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
+    prints = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "representatives")
+    groups = staged(prints.join(fingerprint_groups(prints.select("fp"), budget, segments, dense), "fp"), "groups")
+    least = groups.groupBy("label").agg(F.min("rep").alias("component_id"))
+    classes = groups.join(least, "label").select("fp", "component_id")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def set_digests(docs: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, fp, digest)``: the fingerprint, and a digest that is equal where the shingle sets are."""
+def first_of_each_group(docs: DataFrame, width: int = 3, budget: int = BUDGET) -> DataFrame:
+    """The rows of ``docs``, whatever their columns, that come first in their group of near duplicates.
 
-    def run(rows):
-        import numpy as np
-        import xxhash
+    First is the smallest doc_id, a missing one last; of several texts under it the one of least hash. Rows alike in
+    doc_id and text are one. Null and empty texts are one group. An empty table gives no rows.
+    """
+    digest = F.xxhash64("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", digest.alias("digest"))
 
+    def run(rows):
         ones = _byte_counts()
-        for doc_id, text in rows:
-            hashes = shingle_hashes(utf8(text), width)
-            value = majority_bits(hashes, ones)
-            yield doc_id, value - (1 << 64) if value >> 63 else value, xxhash.xxh3_128_digest(np.unique(hashes).tobytes())
-
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id bigint, fp bigint, digest binary", run)
-
-
-def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``(doc_id, component_id)``: documents linked by fingerprints within two bits or by similar shingle sets.
-
-    Fingerprints and pigeonring chains find the close copies, whatever the size of their groups. Sets of similarity
-    0.8 differ in ten bits of 64, where no chain is a usable key; ``similar_links`` finds what the chains left apart.
-    Documents with the same set count once, by their smallest doc_id. Null and empty texts have the empty set in
-    common. Rows without a doc_id get a component but name none. Repeated rows stay. An empty table gives no rows.
-    """
-    marked = staged(set_digests(docs, width), "digests")
-    classes = staged(marked.groupBy("digest", "fp").agg(F.min("doc_id").alias("rep")), "classes")
-    known = classes.where("rep is not null")
-    prints = staged(known.groupBy("fp").agg(F.min("rep").alias("first")), "prints")
-    same = known.join(prints, "fp").where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b"))
-    close = staged(links(prints.select("fp", F.col("first").alias("rep"))).unionByName(same), "close")
-    parts = connected(close, "a", "b")
-    reps = staged(known.select("rep").distinct().join(parts, F.col("rep") == F.col("node"), "left").select(
-        "rep", F.coalesce("component", "rep").alias("part")), "parts")
-    texts = staged(docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(reps, "rep").select("rep", "part", "text"), "class-texts")
-    parts = connected(similar_links(texts, close, width, similarity), "a", "b")
-    named = classes.join(parts, classes.rep == parts.node, "left").select("digest", "fp", F.coalesce("component", "rep").alias("component_id"))
-    return marked.join(named, ["digest", "fp"]).select("doc_id", "component_id")
+        for doc_id, text, name in rows:
+            value = fingerprint(utf8(text), width, ones)
+            yield doc_id, name, value - (1 << 64) if value >> 63 else value
+
+    marked = staged(map_rows(rows, "doc_id bigint, digest bigint, fp bigint", run), "fingerprints")
+    groups = fingerprint_groups(staged(marked.select("fp").distinct(), "prints"), budget)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "digest")
+    first = marked.join(groups, "fp").groupBy("label").agg(F.min(place).alias("first")).select("first.*")
+    held = docs.select(
+        F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), digest.alias("digest"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return held.join(first, ["none", "id", "digest"], "left_semi").dropDuplicates(["none", "id", "digest"]).select("row.*")
 
 
 @query("op2_simhash_near_dedup")

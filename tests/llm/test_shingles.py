@@ -1,76 +1,12 @@
-"""Similar shingle sets against all pairs by brute force."""
+"""Shingle hashes."""
 
 from __future__ import annotations
 
-import random
+import xxhash
 
-import pytest
+from holdfast.llm.shingles import shingle_hashes
 
-from holdfast.llm import simhash
-from holdfast.llm.shingles import similar_links
 
-
-def shingles(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def groups_by_brute_force(texts):
-    sets = {i: shingles(t) for i, t in texts.items()}
-    parent = {i: i for i in texts}
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for a in sets:
-        for b in sets:
-            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                low, high = sorted((root(a), root(b)))
-                parent[high] = low
-    return {i: root(i) for i in texts}
-
-
-def edited_texts():
-    """Texts of very different length, chains of copies with more and more edits, and a passage many share."""
-    rng = random.Random(11)
-    passage = [f"p{i}" for i in range(40)]
-    texts = {}
-    for group in range(12):
-        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(rng.choice([3, 6, 30, 100, 400]))] + passage * (group % 3 == 0)
-        for _ in range(rng.choice([1, 3, 14])):
-            texts[len(texts)] = " ".join(words)
-            words = list(words)
-            for _ in range(max(1, len(words) // rng.choice([40, 100]))):
-                words[rng.randrange(len(words))] = f"e{rng.randrange(10 ** 6)}"
-    texts[len(texts)] = texts[len(texts) - 1].upper()
-    texts[len(texts)] = ""
-    texts[len(texts)] = None
-    return texts
-
-
-def test_groups(spark):
-    texts = edited_texts()
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
-    assert got == groups_by_brute_force(texts)
-
-
-@pytest.mark.parametrize(("crowd", "rounds"), [(2, 0), (2, 2), (8, 1)])
-def test_no_link_is_lost_without_fingerprints(spark, crowd, rounds):
-    from holdfast.llm.components import connected
-
-    texts = {i: t for i, t in edited_texts().items() if t}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    texts_ = docs.selectExpr("doc_id as rep", "doc_id as part", "text")
-    none = spark.createDataFrame([], "a long, b long")
-    parts = {r.node: r.component for r in connected(similar_links(texts_, none, 5, 0.8, crowd, rounds), "a", "b").collect()}
-    assert {i: parts.get(i, i) for i in texts} == groups_by_brute_force(texts)
-
-
-def test_odd_and_empty(spark, odd_docs, no_docs):
-    got = simhash.similar_documents(odd_docs).collect()
-    assert len(got) == odd_docs.count()
-    assert {r.component_id for r in got if r.doc_id in (0, 1, 2)} == {0}
-    assert simhash.similar_documents(no_docs).count() == 0
+def test_hashes_of_all_shingles():
+    assert shingle_hashes(b"A b  c\nd", 3).tolist() == [xxhash.xxh64_intdigest(s, 42) for s in (b"a b c", b"b c d")]
+    assert shingle_hashes(b"a b", 3).tolist() == [xxhash.xxh64_intdigest(b"a b", 42)] and len(shingle_hashes(b" ", 3)) == 0
