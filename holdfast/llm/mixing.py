@@ -33,9 +33,9 @@ INPUTS = WORD + 1
 CROSSING = 7  # marks contexts that are whole prefixes, known to several shards
 GAP, END = b" ", b"\n"
 START = 10  # stands before a word
-BLOCK_BYTES = 16 << 20
-SHARD_WORDS = 200_000
-PORTION_TOKENS = 400_000
+BLOCK_BYTES = 8 << 20
+SHARD_WORDS = 60_000
+PORTION_TOKENS = 200_000
 LEVELS = (1, 2, 3, 4, 6, 9, 14, 22, 40)  # counts are told apart so far; larger ones speak for themselves
 FAR = 11.0  # largest stretched probability
 STEPS = 33  # of the adaptive map
@@ -174,8 +174,10 @@ class Shard:
                 alone = context < 1 << 52
                 known = np.concatenate([keys[tag], mine[alone], mine[~alone]])
                 table_keys, table_times = _added_up(known, np.concatenate([times[tag], self.tree.count[alone], np.zeros(int((~alone).sum()), np.int64)]))
-            rows = [_spread(table_keys >> (8 - bits), table_times) for bits in range(9)]
-            out.append((np.searchsorted(table_keys, mine), np.stack(rows)))
+            rows = np.empty((9, len(table_keys)), np.int64)
+            for bits in range(9):
+                rows[bits] = _spread(table_keys >> (8 - bits), table_times)
+            out.append((np.searchsorted(table_keys, mine).astype(np.int32), rows))
         return out
 
 
