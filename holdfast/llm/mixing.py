@@ -33,10 +33,11 @@ INPUTS = WORD + 1
 CROSSING = 7  # marks contexts that are whole prefixes, known to several shards
 GAP, END = b" ", b"\n"
 START = 10  # stands before a word
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 SHARD_WORDS = 60_000
 PORTION_TOKENS = 200_000
 LEVELS = (1, 2, 3, 4, 6, 9, 14, 22, 40)  # counts are told apart so far; larger ones speak for themselves
+FAN_IN = 64
 FAR = 11.0  # largest stretched probability
 STEPS = 33  # of the adaptive map
 OFTEN = (1, 3, 10, 100)  # how often the word so far was, for the gate
@@ -307,27 +308,34 @@ class Mixer:
 
 # ---- words of the corpus, in shards -----------------------------------------------------------------
 
+def _numbered(texts: list[bytes], number: dict[bytes, int]):
+    """For each text the numbers of its words and, last, of its end; tokens not met before are given the next number."""
+    for text in texts:
+        yield [number.setdefault(token, len(number)) for token in (*words_of(text), END)]
+
+
 def _block_tokens(blocks: DataFrame, modulus: int, held: int) -> DataFrame:
-    """``(block, token, n)``: the different tokens of each block, and how often its training documents have them."""
+    """``(block, i, token, n)``: the different tokens of each block by their number in it, and how often its training documents have them."""
 
     def run(batches):
         for batch in batches:
             for block, body in zip(batch.column("block").to_pylist(), batch.column("body").to_pylist(), strict=True):
                 ids, texts, _ = unsqueeze(body)
-                times: dict[bytes, int] = {}
-                for doc_id, text in zip(ids, texts, strict=True):
-                    one = int(_fold_of(doc_id, modulus) != held)
-                    for token in words_of(text):
-                        times[token] = times.get(token, 0) + one
-                    times[END] = times.get(END, 0) + one
-                tokens = iter(times.items())
-                for lo in range(0, len(times), 20_000):
-                    some = [next(tokens) for _ in range(min(20_000, len(times) - lo))]
+                number: dict[bytes, int] = {}
+                times = np.zeros(0, np.int64)
+                for doc_id, found in zip(ids, _numbered(texts, number), strict=True):
+                    if len(number) > len(times):
+                        times = np.concatenate([times, np.zeros(len(number), np.int64)])
+                    if _fold_of(doc_id, modulus) != held:
+                        np.add.at(times, found, 1)
+                tokens = list(number)
+                for lo in range(0, len(tokens), 20_000):
+                    some = tokens[lo:lo + 20_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([block] * len(some), pa.int64()), pa.array([t for t, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())],
-                        names=["block", "token", "n"])
+                        [pa.array([block] * len(some), pa.int64()), pa.array(np.arange(lo, lo + len(some), dtype=np.int32)), pa.array(some, pa.binary()),
+                         pa.array(times[lo:lo + len(some)])], names=["block", "i", "token", "n"])
 
-    return blocks.select("block", "body").mapInArrow(run, "block bigint, token binary, n bigint")
+    return blocks.select("block", "body").mapInArrow(run, "block bigint, i int, token binary, n bigint")
 
 
 def _word_shards(tokens: DataFrame, shard_words: int) -> DataFrame:
@@ -363,7 +371,7 @@ def _word_shards(tokens: DataFrame, shard_words: int) -> DataFrame:
     shards = staged(placed.mapInArrow(run, "part bigint, first binary, last binary, body binary"), "word-shards")
     along = Window.orderBy("part")  # one short row a shard
     ends = shards.select("part", F.lag("last").over(along).alias("before"), F.lead("first").over(along).alias("after"))
-    return staged(shards.select("part", "body").join(ends, "part"), "shards")
+    return shards.select("part", "body").join(ends, "part")
 
 
 def _contexts_asked(shards: DataFrame) -> DataFrame:
@@ -396,21 +404,32 @@ def _with_counts(shards: DataFrame, told: DataFrame, each, ddl: str) -> DataFram
     return shards.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(run, ddl)
 
 
+def _added_mixers(rows: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(body) for body in rows.body)
+    return pd.DataFrame({"place": [int(rows.place.iloc[0])], "body": [total.tobytes()]})
+
+
 def _learned(shards: DataFrame, told: DataFrame) -> Mixer:
-    """One mixer from all shards: each learns online from its own words; sums are added up, weights averaged.
+    """One mixer from all shards: each learns online from its own words; sums are added up, weights averaged by how firm they are.
 
-    A shard gives a fixed number of values, which are reduced by their place before they come to the driver.
+    A shard gives one row of fixed size. Rows are added up in a tree, ``FAN_IN`` at a time.
     """
 
     def each(part, shard, counted):
         mixer = Mixer()
         if shard is not None:
             mixer.learn(counted, shard.tree.count, seed=part)
-        values = mixer.numbers()
-        return pd.DataFrame({"place": np.arange(len(values)), "value": values})
+        return pd.DataFrame({"place": [part or 0], "body": [mixer.numbers().tobytes()]})
 
-    values = _with_counts(shards, told, each, "place int, value double").groupBy("place").agg(F.sum("value").alias("value"))
-    return Mixer.of_numbers(np.array([r.value for r in sorted(values.collect())]))
+    schema = "place bigint, body binary"
+    state = staged(_with_counts(shards, told, each, schema), "mixers")
+    places = state.count()
+    while places > 1:
+        places = -(-places // FAN_IN)
+        dealt = state.withColumn("place", F.pmod(F.xxhash64("place"), F.lit(places)))
+        state = staged(dealt.groupBy("place").applyInPandas(_added_mixers, schema), "mixers")
+    made = state.first()
+    return Mixer.of_numbers(np.frombuffer(made.body) if made else np.empty(0))
 
 
 def _priced(shards: DataFrame, told: DataFrame, sent) -> DataFrame:
@@ -472,23 +491,25 @@ def _score_block(modulus: int, held: int, tokens: int, kinds: int):
         out = []
         if len(blocks):
             ids, texts, _ = unsqueeze(blocks.body.iloc[0])
-            number = {bytes(t): i for i, t in enumerate(vocabulary.token)}
-            counts, prices = vocabulary.c.to_numpy(), vocabulary.price.to_numpy()
-            logs, end = np.log10(counts + 1.0), number[END]
-            lengths = np.array([len(t) for t in number], np.int64) + 1
+            counts, prices = np.empty(len(vocabulary), np.int64), np.empty(len(vocabulary))
+            counts[vocabulary.i], prices[vocabulary.i] = vocabulary.c, vocabulary.price
+            logs = np.log10(counts + 1.0)
+            number: dict[bytes, int] = {}
+            rows = _numbered(texts, number)
             lo = 0
             while lo < len(ids):
-                rows, sizes, hi, many = [], [], lo, 0
-                while hi < len(ids) and (many < PORTION_TOKENS or hi == lo):
-                    words = words_of(texts[hi])
-                    rows.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-                    sizes.append(len(words))
-                    many += len(words)
-                    hi += 1
-                some, sizes = np.concatenate(rows), np.array(sizes, np.int64)
+                some, sizes, many = [], [], 0
+                while lo + len(sizes) < len(ids) and many < PORTION_TOKENS:
+                    found = next(rows)
+                    some.append(np.array(found[:-1], np.int32))
+                    sizes.append(len(found) - 1)
+                    many += len(found)
+                hi, end = lo + len(sizes), number[END]
+                some, sizes = np.concatenate(some), np.array(sizes, np.int64)
                 text_of = np.repeat(np.arange(len(sizes)), sizes)
                 add = lambda values, own: np.bincount(text_of, weights=values[some], minlength=len(sizes)) + own
-                n_bytes = add(lengths, 1).astype(np.int64)
+                lengths = np.fromiter(map(len, number), np.int64, len(number))
+                n_bytes = add(lengths + 1, 1).astype(np.int64)
                 scores = text_scores(prices, prices[end], some, sizes) / math.log(10)
                 out.append(pd.DataFrame({
                     "doc_id": pd.array(ids[lo:hi], "Int64"), "held_out": [_fold_of(i, modulus) == held for i in ids[lo:hi]], "n_tokens": sizes + 1,
@@ -514,7 +535,7 @@ def score_texts(docs: DataFrame, modulus: int, held: int, shard_words: int = SHA
     seen = staged(_block_tokens(blocks, modulus, held), "block-tokens")
     tokens = staged(seen.groupBy("token").agg(F.sum("n").alias("c")), "tokens")
     sums = tokens.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count_if(F.col("c") > 0).alias("kinds")).first()
-    shards = _word_shards(tokens, shard_words)
+    shards = staged(_word_shards(tokens, shard_words), "shards")
     asked_path, told_path = fresh_path(spark, "asked"), fresh_path(spark, "told")
     asked = _contexts_asked(shards)
     asked.write.parquet(asked_path)
@@ -527,7 +548,7 @@ def score_texts(docs: DataFrame, modulus: int, held: int, shard_words: int = SHA
     sent = spark.sparkContext.broadcast(_learned(shards, told))
     priced = staged(_priced(shards, told, sent), "prices")
     drop_path(spark, told_path)
-    vocabulary = seen.select("block", "token").join(priced, "token").select("block", "token", "c", "price")
+    vocabulary = seen.select("block", "i", "token").join(priced, "token").select("block", "i", "c", "price")
     scored = blocks.groupBy("block").cogroup(vocabulary.groupBy("block")).applyInPandas(_score_block(modulus, held, sums.tokens, sums.kinds), SCORES)
     return scored.withColumn("train_tokens", F.lit(sums.tokens).cast("long"))
 
