@@ -42,11 +42,21 @@ NOTICES = {
 # Identifiers of licence expressions, with their label and how much they ask of a user
 # (0 nothing, 1 notice, 2 files stay open, 3 the work stays open).
 IDENTIFIERS = {
-    "mit": ("mit", 1), "isc": ("isc", 1), "0bsd": ("bsd", 0), "bsd-2-clause": ("bsd", 1), "bsd-3-clause": ("bsd", 1),
-    "apache-2.0": ("apache", 1), "cc0-1.0": ("cc0", 0), "unlicense": ("unlicense", 0), "cc-by-4.0": ("cc-by", 1),
-    "cc-by-sa-4.0": ("cc-by-sa", 3), "mpl-2.0": ("mpl", 2), "epl-2.0": ("epl", 2), "lgpl-2.1": ("lgpl", 2),
-    "lgpl-3.0": ("lgpl", 2), "gpl-2.0": ("gpl", 3), "gpl-3.0": ("gpl", 3), "agpl-3.0": ("agpl", 3),
+    "0bsd": ("bsd", 0), "agpl-3.0": ("agpl", 3), "apache-1.1": ("apache", 1), "apache-2.0": ("apache", 1),
+    "artistic-2.0": ("artistic", 1), "bsd-2-clause": ("bsd", 1), "bsd-3-clause": ("bsd", 1), "bsl-1.0": ("boost", 1),
+    "cc-by-3.0": ("cc-by", 1), "cc-by-4.0": ("cc-by", 1), "cc-by-nc-4.0": ("cc-by-nc", 3), "cc-by-nd-4.0": ("cc-by-nd", 3),
+    "cc-by-sa-3.0": ("cc-by-sa", 3), "cc-by-sa-4.0": ("cc-by-sa", 3), "cc0-1.0": ("cc0", 0), "cddl-1.0": ("cddl", 2),
+    "epl-1.0": ("epl", 2), "epl-2.0": ("epl", 2), "eupl-1.2": ("eupl", 3), "gfdl-1.3": ("gfdl", 3),
+    "gpl-1.0": ("gpl", 3), "gpl-2.0": ("gpl", 3), "gpl-3.0": ("gpl", 3), "isc": ("isc", 1),
+    "lgpl-2.0": ("lgpl", 2), "lgpl-2.1": ("lgpl", 2), "lgpl-3.0": ("lgpl", 2), "mit": ("mit", 1), "mit-0": ("mit", 0),
+    "mpl-1.1": ("mpl", 2), "mpl-2.0": ("mpl", 2), "ms-pl": ("ms-pl", 2), "ncsa": ("ncsa", 1), "ofl-1.1": ("ofl", 1),
+    "openssl": ("openssl", 1), "osl-3.0": ("osl", 3), "postgresql": ("postgresql", 1), "psf-2.0": ("psf", 1),
+    "python-2.0": ("psf", 1), "unicode-dfs-2016": ("unicode", 1), "unlicense": ("unlicense", 0), "upl-1.0": ("upl", 1),
+    "vim": ("vim", 1), "w3c": ("w3c", 1), "wtfpl": ("wtfpl", 0), "x11": ("x11", 1), "zlib": ("zlib", 1),
 }
+#: An identifier that is not listed: nothing is known of it, so it may ask for everything.
+OTHER = ("other", 3)
+OWN_TERMS = re.compile(r"(?:licenseref|documentref)-.+")
 
 TAG_WORDS = "spdx license identifier"
 TAG = re.compile(rb"spdx-license-identifier:[ \t]*")
@@ -70,23 +80,33 @@ def _machine():
 
 
 def _operand(name: str):
+    """Labels, what is asked, and whether the name is a licence for sure; None if it cannot be an identifier.
+
+    Words of prose have no digits, signs or dots inside, unlisted identifiers do.
+    """
     bare = name.removesuffix("-only").removesuffix("-or-later").removesuffix("+")
-    known = IDENTIFIERS.get(bare)
-    return (frozenset([known[0]]), float(known[1])) if known else None
+    if known := IDENTIFIERS.get(bare):
+        return frozenset([known[0]]), float(known[1]), True
+    if OWN_TERMS.fullmatch(name) or re.search(r"[0-9.+-]", bare):
+        return frozenset([OTHER[0]]), float(OTHER[1]), bool(OWN_TERMS.fullmatch(name))
+    return None
 
 
-def parse_expression(data: bytes) -> tuple[str, frozenset, float] | None:
-    """The longest licence expression that ``data`` starts with: its text, its labels, what it asks.
+def parse_expression(data: bytes, start: int = 0, stop: int | None = None) -> tuple[str, frozenset, float] | None:
+    """The longest licence expression at ``start``: its text, its labels, what it asks. It is read in place.
 
     Shunting-yard with WITH above AND above OR. AND asks for the most of its sides, OR lets the reader
-    take the lesser, and an exception takes half a step off. Reading stops at the first token that cannot
-    go on, at an unknown identifier, and at a bracket that was never opened. None if there is no expression
+    take the lesser, and an exception takes half a step off. An identifier that is not listed is an operand of
+    its own, with the label ``other``, and asks for everything; an expression of nothing else is none, unless it
+    names terms of its own (``licenseref-``). Dots that end a sentence are not part of a name. Reading stops at
+    the first token that cannot go on and at a bracket that was never opened. None if there is no expression
     or a bracket stays open.
     """
+    stop = len(data) if stop is None else stop
     output: list = []
     waiting: list[str] = []
-    want_operand, spot, end, depth = True, 0, 0, 0
-    exception = False
+    want_operand, spot, end, depth = True, start, start, 0
+    exception = sure = False
     texts: list[str] = []
 
     def reduce_top() -> None:
@@ -96,8 +116,9 @@ def parse_expression(data: bytes) -> tuple[str, frozenset, float] | None:
         else:
             output.append((left[0] | right[0], (max if operator == "and" else min)(left[1], right[1])))
 
-    while found := TOKEN.match(data, spot):
+    while found := TOKEN.match(data, spot, stop):
         token = found[1].decode("ascii")
+        token = token.rstrip(".") or token
         if want_operand:
             if token == "(" and not exception:
                 waiting.append("(")
@@ -106,7 +127,8 @@ def parse_expression(data: bytes) -> tuple[str, frozenset, float] | None:
                 output.append((frozenset(), 0.0))
                 want_operand = exception = False
             elif token not in PRECEDENCE and token != ")" and not exception and (value := _operand(token)):
-                output.append(value)
+                output.append(value[:2])
+                sure |= value[2]
                 want_operand = False
             else:
                 break
@@ -136,7 +158,7 @@ def parse_expression(data: bytes) -> tuple[str, frozenset, float] | None:
         return None
     while waiting:
         reduce_top()
-    return (" ".join(texts), *output[0]) if output and end else None
+    return (" ".join(texts), *output[0]) if output and end > start and sure else None
 
 
 def scan(text: str | None) -> tuple:
@@ -149,9 +171,12 @@ def scan(text: str | None) -> tuple:
     labels: set[str] = set()
     doubt = 1.0
     tagged = False
+    counted = before = 0  # words up to the last match that ended, which ends never go back behind
     for end, phrase in _machine().iter(line):
+        before += line.count(" ", counted, end)
+        counted = end
         if phrase in BASE:
-            places.append(line.count(" ", 0, end - len(phrase) - 1))
+            places.append(before - 1 - phrase.count(" "))
             base.add(BASE[phrase])
             doubt *= 1 - BASE_WEIGHT
         if phrase in NOTICES:
@@ -161,9 +186,11 @@ def scan(text: str | None) -> tuple:
     expressions: list[str] = []
     asked = None
     if tagged:
-        lower = data.lower()
+        lower, line_end = data.lower(), 0
         for tag in TAG.finditer(lower):
-            if parsed := parse_expression(lower[tag.end():].split(b"\n", 1)[0]):
+            if tag.end() >= line_end:
+                line_end = lower.find(b"\n", tag.end()) % (len(lower) + 1)  # none: the end of the text
+            if parsed := parse_expression(lower, tag.end(), line_end):
                 expressions.append(parsed[0])
                 labels |= parsed[1]
                 asked = parsed[2] if asked is None else max(asked, parsed[2])

@@ -56,3 +56,28 @@ def test_query_matches_brute_force(spark, sf_dir):
     for r in licenses.op3_license_scan(spark, sf_dir).collect():
         words, places, labels = slow_base(texts[r.doc_id])
         assert (r.n_words, r.n_base, r.base_labels) == (words, len(places), labels)
+
+
+@pytest.mark.parametrize(("data", "text", "labels", "asked"), [
+    (b"mit and licenseref-closed", "mit and licenseref-closed", {"mit", "other"}, 3.0),
+    (b"licenseref-closed or mit", "licenseref-closed or mit", {"mit", "other"}, 1.0),
+    (b"gpl-3.0 or zlib", "gpl-3.0 or zlib", {"gpl", "zlib"}, 1.0),
+    (b"mit and foo-1.0 or gpl-2.0", "mit and foo-1.0 or gpl-2.0", {"mit", "other", "gpl"}, 3.0),
+    (b"licenseref-own", "licenseref-own", {"other"}, 3.0),
+    (b"mit.", "mit", {"mit"}, 1.0),
+    (b"(mit or apache-2.0). more", "( mit or apache-2.0 )", {"mit", "apache"}, 1.0),
+    (b"mit and the rest", "mit", {"mit"}, 1.0),
+])
+def test_unlisted_identifiers_and_closing_dots(data, text, labels, asked):
+    assert licenses.parse_expression(b"tag: " + data, 5) == (text, frozenset(labels), asked)
+
+
+def test_many_phrases_and_tags_take_linear_time():
+    import time
+
+    began = time.time()
+    many = licenses.scan("mit license " * 80_000)
+    assert many[:4] == (160_000, 80_000, 0, 159_998)
+    tags = licenses.scan("SPDX-License-Identifier: MIT OR Foo-2 " * 80_000)
+    assert len(tags[7]) == 80_000 and tags[8] == 1.0
+    assert time.time() - began < 4
