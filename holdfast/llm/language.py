@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.common import fold, map_rows, query, table, utf8
 from holdfast.llm.fitting import fit_in_task, unit_hash
+from holdfast.session import staged
 
 BUCKETS = 1 << 15
 WIDTH = 16
 ROWS_PER_LANGUAGE = 1_500
+#: All rows a model is fitted on, and the most values of lang whose shares are broadcast.
+MOST_ROWS = 60_000
+MOST_LANGUAGES = 10_000
 KEPT_RIGHT = 0.995
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -135,14 +139,19 @@ def _calibrated(logits, right) -> tuple[float, float]:
     return heat, float(top[order][enough[-1]]) if len(enough) else 1.0
 
 
-def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> dict | None:
-    """A model from about ``rows_per_language`` rows of each value of ``lang``, chosen by a hash of doc_id.
+def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, most_rows: int = MOST_ROWS, most_languages: int = MOST_LANGUAGES) -> dict | None:
+    """A model from about ``rows_per_language`` rows of each value of ``lang``, chosen by a hash of doc_id and text.
 
-    Rows with a null language or no letters are left out. The values of ``lang`` are taken to be few, as
-    languages are. None if nothing can be learned.
+    All values of ``lang`` together have about ``most_rows`` rows at most, however many they are. Rows with a null
+    language or no letters are left out. Texts stay where they are: the shares of up to ``most_languages`` values
+    are sent to them; beyond that Spark chooses how to join. None if nothing can be learned.
     """
     usable = docs.select(F.col("doc_id").cast("long"), "text", "lang").where("lang is not null and text is not null")
-    shares = usable.groupBy("lang").agg((F.lit(float(rows_per_language)) / F.count("*")).alias("share"))
+    named = staged(usable.groupBy("lang").count(), "languages")
+    languages = named.count()
+    wanted = min(rows_per_language, most_rows / max(languages, 1))
+    shares = named.select("lang", (F.lit(float(wanted)) / F.col("count")).alias("share"))
+    shares = F.broadcast(shares) if languages <= most_languages else shares
     chosen = usable.join(shares, "lang").where(unit_hash(11, "doc_id", "text") < F.col("share"))
 
     def run(rows):
