@@ -116,7 +116,7 @@ def _pack_locally(docs: DataFrame, length: int, vocabulary: str, held: int) -> D
         "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, leaf bigint, at bigint, fill bigint", run)
 
 
-def _merge(length: int, nearly: int, most: int):
+def _merge(length: int, nearly: int):
     def run(rows):
         roots = rows.drop_duplicates("root")[["root", "fill"]].sort_values("root")
         names, sizes = roots.root.tolist(), roots.fill.tolist()
@@ -127,12 +127,10 @@ def _merge(length: int, nearly: int, most: int):
         to_root = {n: first[b] for n, b in zip(names, bins, strict=True)}
         to_offset = dict(zip(names, offsets, strict=True))
         to_fill = {n: fills[b] for n, b in zip(names, bins, strict=True)}
-        going_on = {b for b in sorted(range(len(fills)), key=lambda b: (fills[b], b)) if fills[b] < nearly}
-        if len(going_on) > most:
-            going_on = set(sorted(going_on, key=lambda b: (fills[b], b))[:most])
+        going_on = {b for b in range(len(fills)) if fills[b] < nearly}
         open_ = {n: b in going_on for n, b in zip(names, bins, strict=True)}
         old = rows.root
-        return rows.assign(offset=rows.offset + old.map(to_offset), fill=old.map(to_fill), open=old.map(open_), root=old.map(to_root))
+        return rows.drop(columns="hand").assign(offset=rows.offset + old.map(to_offset), fill=old.map(to_fill), open=old.map(open_), root=old.map(to_root))
 
     return run
 
@@ -143,9 +141,10 @@ def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, sl
 
     A document is its token ids and a closing 0; a null or empty text is the closing 0 alone. Only documents
     longer than ``length`` are cut. A task packs its pieces together, in lots of ``held``. Bins with more than
-    ``slack`` free places go on to be merged, ``fan_in`` groups at a time, until one group is left. A group
-    sends its ``most_open`` emptiest bins on and emits the fuller ones as they are, so no task grows with the
-    input. Repeated rows are packed each. An empty table gives no rows. Sequence numbers are only names.
+    ``slack`` free places go on to be merged, ``fan_in`` groups at a time, until one group is left. A group with
+    more than ``most_open`` bins is dealt by a hash of their names to several tasks, each with bins of all fills,
+    and all underfull bins go on, so no task grows with the input and no bin is closed early. Repeated rows are
+    packed each. An empty table gives no rows. Sequence numbers are only names.
     """
     spark = docs.sparkSession
     path = fresh_path(spark, "pieces")
@@ -163,7 +162,10 @@ def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, sl
         top //= fan_in
         step = fresh_path(spark, "bins")
         parents = state.withColumn("group", F.floor(F.col("group") / fan_in).cast("long"))
-        parents.groupBy("group").applyInPandas(_merge(length, nearly, most_open), schema).write.parquet(step)
+        hands = F.ceil(F.col("bins") / most_open)
+        sizes = parents.groupBy("group").agg(F.count_if(F.col("leaf") == F.col("root")).alias("bins"))  # each bin is named after one of its leaves
+        dealt = parents.join(sizes, "group").withColumn("hand", F.pmod(F.xxhash64(F.lit(top), "root"), hands)).drop("bins")
+        dealt.groupBy("group", "hand").applyInPandas(_merge(length, nearly), schema).write.parquet(step)
         merged = spark.read.schema(schema).parquet(step)
         settled = merged if top == 0 else merged.where("not open")
         done = settled if done is None else done.unionByName(settled)

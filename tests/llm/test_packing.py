@@ -56,3 +56,17 @@ def test_only_the_first_piece_is_short(n):
 
 def test_empty(no_docs):
     assert packing.pack(no_docs).count() == 0
+
+
+def test_bins_of_a_crowded_group_all_go_on(spark):
+    """Dealt to many hands, hundreds of half-full bins still end in about as few sequences as in one."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    docs = spark.createDataFrame([(i, " ".join(words[(i + k) % 10] for k in range(300 + i % 400))) for i in range(400)], "doc_id long, text string").repartition(40)
+    one, many = (packing.pack(docs, fan_in=4, most_open=most) for most in (20_000, 12))
+    rows = many.collect()
+    fills = collections.Counter()
+    for r in rows:
+        fills[r.sequence_id] += r.length
+    least = -(-sum(fills.values()) // 2_048)
+    assert len(rows) == 400 and max(fills.values()) <= 2_048
+    assert len({r.sequence_id for r in one.collect()}) <= least + 40 and len(fills) <= least + 60
