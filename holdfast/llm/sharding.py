@@ -39,7 +39,17 @@ def _ordered(seed: int, columns: list[str]):
     return F.xxhash64(F.lit(seed), *columns)
 
 
-def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 17, block_rows: int = BLOCK_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
+def _begins(rows: DataFrame, whole: str, part: str, parts: int) -> DataFrame:
+    """``rows`` with ``start``: how many rows of the same ``whole`` lie in the parts before."""
+    if parts == 1:
+        return rows.withColumn("start", F.lit(0))
+    before = Window.partitionBy(whole).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(whole, part).count().select(whole, part, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    return rows.join(starts, [whole, part])
+
+
+def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 17, block_rows: int = BLOCK_ROWS, part_rows: int = PART_ROWS,
+                        most_blocks: int = MOST_BLOCKS) -> DataFrame:
     """``df`` with ``shard`` (from 0) and ``slot`` (from 0, gapless in its shard); sizes differ by at most one.
 
     Every assignment of rows to slots is equally likely over seeds; a seed always gives the same one, also
@@ -47,15 +57,17 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 17, block_rows:
     interchangeable. Columns named ``shard`` or ``slot`` in ``df`` are replaced; map columns are not supported.
     Null values are allowed anywhere. An empty ``df`` gives no rows.
 
-    A block holds about ``block_rows`` rows, more once there are MOST_BLOCKS blocks. A shard is permuted in
-    parts of about ``part_rows`` rows, each a range of the random order, so no task holds a whole shard.
+    The matrix has at most ``most_blocks`` rows. Beyond ``most_blocks * block_rows`` rows a block is permuted in cuts
+    of about ``block_rows``, and a shard always in parts of about ``part_rows``, each a range of the random order;
+    counts of the cuts and parts before say where each begins. So tasks keep their size and become more.
     """
     spark = df.sparkSession
     columns = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("r"))
     whole = ["r"]
     total = rows.count()
-    blocks = max(1, min(MOST_BLOCKS, -(-total // block_rows)))
+    blocks = max(1, min(most_blocks, -(-total // block_rows)))
+    cuts = max(1, -(-total // (blocks * block_rows)))
     parts = max(1, -(-total // (shards * part_rows)))
     placed = rows.withColumn("block", F.pmod(_ordered(seed, whole), F.lit(blocks)).cast("int"))
     counted = {x.block: x["count"] for x in placed.groupBy("block").count().collect()}
@@ -69,21 +81,15 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 17, block_rows:
             line.append(reached)
         until.append(line)
     matrix = F.from_json(F.lit(json.dumps(until)), "array<array<bigint>>")
-    in_block = Window.partitionBy("block").orderBy(_ordered(seed + 1, whole))
-    dealt = placed.withColumn("n", F.row_number().over(in_block) - 1).select(
+    in_cut = Window.partitionBy("block", "cut").orderBy(_ordered(seed + 1, whole))
+    cut = placed.withColumn("cut", F.pmod(_ordered(seed + 4, whole), F.lit(cuts)).cast("int")) if cuts > 1 else placed.withColumn("cut", F.lit(0))
+    dealt = _begins(cut, "block", "cut", cuts).withColumn("n", F.col("start") + F.row_number().over(in_cut) - 1).select(
         "r",
         F.size(F.filter(F.get(matrix, F.col("block")), lambda end: end <= F.col("n"))).alias("shard"),
         F.pmod(_ordered(seed + 2, whole), F.lit(parts)).cast("int").alias("part"),
     )
     in_part = Window.partitionBy("shard", "part").orderBy(_ordered(seed + 3, whole))
-    if parts > 1:
-        dealt = staged(dealt, "dealt")
-        before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        starts = dealt.groupBy("shard", "part").count().select(
-            "shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-        dealt = dealt.join(starts, ["shard", "part"])
-    else:
-        dealt = dealt.withColumn("start", F.lit(0))
+    dealt = _begins(staged(dealt, "dealt") if parts > 1 else dealt, "shard", "part", parts)
     return dealt.select("r", "shard", (F.col("start") + F.row_number().over(in_part) - 1).cast("long").alias("slot")).select(
         *[F.col(f"r.`{c}`") for c in columns], "shard", "slot")
 
