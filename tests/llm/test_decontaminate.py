@@ -23,7 +23,7 @@ def test_slots_must_agree(spark):
     docs = spark.createDataFrame([(1, f"xx {QUESTION} yy"), (2, f"so {same} end"), (3, "nothing of that kind is here today"), (4, None), (5, ""), (6, "1 2 3 4 5 6 7"),
                                   (2, f"so {same} end"), (None, QUESTION)], "doc_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, item).collect()}
-    assert set(got) == {(1, 1), (2, 1)}
+    assert set(got) == {(1, 1), (2, 1), (6, 5)}  # the last one is the item word for word, though it has only numbers
     assert got[1, 1].kind == "verbatim" and got[2, 1].kind == "reworked" and got[2, 1].consistency == 1
     strict = decontaminate.contaminated(docs.where("doc_id = 3").unionByName(spark.createDataFrame([(9, mixed)], "doc_id long, text string")), item, consistency=0.99)
     assert strict.count() == 0
@@ -57,3 +57,26 @@ def test_odd_input_and_plain_join(spark, odd_docs, no_docs, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
     assert decontaminate.contaminated(docs, benchmark.where("false")).count() == 0
     assert sorted(map(str, decontaminate.contaminated(docs, benchmark, broadcast_rows=0).collect())) == sorted(map(str, decontaminate.contaminated(docs, benchmark).collect()))
+
+
+def test_runs_short_items_and_items_of_placeholders(spark):
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    item = spark.createDataFrame([(1, " ".join(words)), (2, "1 2 3 4 5 6 7"), (3, "Answer is forty-two"), (4, "Yes"), (5, "what now"), (6, " ".join(words[:10]))], "item_id long, text string")
+    docs = [
+        (1, "before " + " ".join(words[5:50]) + " behind"),  # 45 of 60 words
+        (2, "so 1 2 3 4 5 6 7 it counts"), (3, "we say: ANSWER is\nforty-two!"), (4, "yes."), (5, "well yes and what now then"),
+        (6, " ".join(words[20:36])),  # 12 windows
+        (7, "1 2 3 4 5 6 8"), (8, " ".join(words[20:37])), (9, "what now?"), (10, "is forty-two")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), item).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (4, 4), (8, 1), (9, 5)}
+    fewer = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), item, run=3).collect()}
+    assert fewer >= got | {(6, 1)} and (7, 2) not in fewer
+
+
+def test_a_run_goes_over_repeated_windows(spark):
+    """The item repeats a passage, so its later windows stand at earlier places too."""
+    part = "alpha beta gamma delta epsilon zeta"
+    text = " ".join([part] * 5) + " then an end that differs from all before it and goes on and on for many more words to come"
+    item = spark.createDataFrame([(1, text)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x " + " ".join([part] * 5)), (2, f"x {part} y")], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.contaminated(docs, item).collect()] == [1]
