@@ -507,7 +507,24 @@ def remove_repeats(docs: DataFrame, extra: str | None = None, keep: str = "bytes
     return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_apply(length, keep), RESULT)
 
 
-@query("op8_suffix_array_dedup")
+_SQL = """
+WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS data FROM documents),
+strings AS (SELECT doc_id, p, array_slice(data, p + 1, p + 50) AS s FROM docs, unnest(range(0, greatest(octet_length(data) - 49, 0))) AS t(p)),
+firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s),
+hits AS (SELECT doc_id, p, p > coalesce(lag(p) OVER w + 50, -1) AS starts FROM strings JOIN firsts USING (s) WHERE first < doc_id WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+numbered AS (SELECT doc_id, p, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM hits),
+spans AS (SELECT doc_id, span, min(p) AS lo, max(p) + 50 AS hi FROM numbered GROUP BY doc_id, span),
+gaps AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS kept_from FROM spans),
+cut AS (
+  SELECT doc_id, CAST(sum(hi - lo) AS BIGINT) AS n_removed, count(*) AS n_spans, max(hi) AS last,
+    string_agg(CASE WHEN lo > kept_from THEN hex(array_slice(data, kept_from + 1, lo)) ELSE '' END, '' ORDER BY lo) AS kept
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(octet_length(data) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || CASE WHEN octet_length(data) > coalesce(last, 0) THEN hex(array_slice(data, coalesce(last, 0) + 1, octet_length(data))) ELSE '' END)) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)"""
+
+
+@query("op8_suffix_array_dedup", _SQL)
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), keep="digest").select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").cast("string").alias("kept_sha256"))
