@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +29,8 @@ def build_session(app_name: str = "holdfast", cpus: str = "*", shuffle_partition
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder, named by ``spark.checkpoint.dir``.
 
-    A local session may leave it unset and gets a temporary folder. A cluster session may
-    not, because a machine-local folder is lost with its machine.
+    A local session may leave it unset and gets a folder in its warehouse. A cluster session must name one,
+    because a machine-local folder is lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -38,13 +39,31 @@ def shared_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="holdfast-"))
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return context.getCheckpointDir().rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def fresh_path(spark: SparkSession, purpose: str) -> str:
-    """A new path below the shared folder; nothing is created there yet."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, or below the innermost ``scratch`` folder; nothing is created there yet."""
+    return f"{_SCRATCH[-1] if _SCRATCH else shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Everything staged inside is removed at the end, so results must be written or collected before.
+
+    Queries return plans over tables they have staged; whoever runs one decides when those can go.
+    """
+    folder = fresh_path(spark, "scratch")
+    _SCRATCH.append(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(folder)
+        drop_path(spark, folder)
 
 
 def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
