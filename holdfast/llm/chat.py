@@ -210,5 +210,7 @@ FROM s GROUP BY conv_id"""
 @query("op12_chat_format", _SQL)
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(CONV_ID, turn, *said) for turn, said in enumerate(EXTRA)], "conv_id long, turn long, role string, text string")
+    said = [F.struct(F.lit(CONV_ID).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(text).alias("text"))
+            for turn, (role, text) in enumerate(EXTRA)]
+    extra = spark.range(1).select(F.inline(F.array(*said)))
     return digests(whole_conversations(format_conversations(rows.unionByName(extra))))
