@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm import decontaminate, packing, quality, simhash, substrings
 from holdfast.llm.common import query, table
-from holdfast.session import staged
+from holdfast.session import fresh_path, scratch
 
 
 #: Written times keep their microseconds.
@@ -88,7 +88,12 @@ ORACLE_SQL = None
 
 @query("pipeline")
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. What a stage stages is removed once its output is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = fresh_path(spark, f"stage-{name}")
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
     return docs
