@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.blocks import BLOCK_BYTES, squeeze, unsqueeze, write_blocks
 from holdfast.llm.common import map_rows, query, table
+from holdfast.llm.routes import DIRECT, Route
 from holdfast.session import drop_path, fresh_path
 
 LENGTH = 50
@@ -163,27 +164,29 @@ def _by_shard(distinct, shards: int):
     return order, np.searchsorted(shard[order], np.arange(shards + 1))
 
 
-def _count_anchors(blocks: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
-    def run(rows):
+def _count_anchors(blocks: DataFrame, shards: int, length: int, gram: int, route: Route) -> DataFrame:
+    def each(block, body):
         import numpy as np
 
+        ids, texts, _ = unsqueeze(body)
+        found = Anchors(ids, texts, length, gram)
+        distinct, inverse = found.distinct()
+        here = found.shared_here(len(distinct), inverse)
+        contexts = found.different_contexts(len(distinct), inverse).astype(np.uint32)
+        order, cuts = _by_shard(distinct, shards)
+        for shard in np.flatnonzero(np.diff(cuts)).tolist():
+            part = order[cuts[shard]: cuts[shard + 1]]
+            more = np.flatnonzero(contexts[part] > 1).astype(np.uint32)  # the others have one
+            yield shard, block, squeeze((_five(_short(distinct[part])), np.packbits(here[part]).tobytes(), more, contexts[part][more]))
+
+    def run(rows):
         for block, body in rows:
-            ids, texts, _ = unsqueeze(body)
-            found = Anchors(ids, texts, length, gram)
-            distinct, inverse = found.distinct()
-            here = found.shared_here(len(distinct), inverse)
-            contexts = found.different_contexts(len(distinct), inverse).astype(np.uint32)
-            order, cuts = _by_shard(distinct, shards)
-            for shard in range(shards):
-                part = order[cuts[shard]: cuts[shard + 1]]
-                if len(part):
-                    more = np.flatnonzero(contexts[part] > 1).astype(np.uint32)  # the others have one
-                    yield shard, block, _five(_short(distinct[part])), np.packbits(here[part]).tobytes(), squeeze((more, contexts[part][more]))
-
-    return map_rows(blocks.select("block", "body"), "shard int, block bigint, hashes binary, shared binary, contexts binary", run)
-
-
-def _shared_anchors(hot_blocks: int, hot_contexts: int):
+            yield from route.leaving(each(block, body))
+
+    return map_rows(blocks.select("block", "body"), route.schema, run)
+
+
+def _shared_anchors(hot_blocks: int, hot_contexts: int, back: Route):
     """For each block, which of its hashes in this shard several documents have (1) and which are hot (2).
 
     Hot are those that many blocks have, and those whose different contexts, added up over the blocks, are many.
@@ -191,23 +194,22 @@ def _shared_anchors(hot_blocks: int, hot_contexts: int):
 
     def run(rows):
         import numpy as np
-        import pandas as pd
 
-        lists = [_unfive(h) for h in rows.hashes]
+        sources, bodies = Route.arrived(rows)
+        parts = [unsqueeze(b) for b in bodies]
+        lists = [_unfive(h) for h, _, _, _ in parts]
         where = np.cumsum([0, *map(len, lists)])
         values = np.concatenate(lists)
-        here = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=len(x)) for s, x in zip(rows["shared"], lists, strict=True)])
+        here = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=len(x)) for (_, s, _, _), x in zip(parts, lists, strict=True)])
         _, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
         contexts = counts.copy()
-        for lo, packed in zip(where, rows.contexts):
-            more, times = unsqueeze(packed)
+        for lo, (_, _, more, times) in zip(where, parts):
             np.add.at(contexts, inverse[lo + more.astype(np.int64)], times.astype(np.int64) - 1)
         many = counts[inverse]
         shared = (many > 1) | (here > 0)
         mark = shared.astype(np.uint8) + (shared & ((many > hot_blocks) | (contexts[inverse] > hot_contexts)))
-        return pd.DataFrame({
-            "shard": rows.shard, "block": rows.block,
-            "marks": [squeeze(mark[a:b]) for a, b in zip(where, where[1:])]})
+        shard = int(rows.target.iloc[0])
+        return back.frame((block, shard, squeeze(mark[a:b])) for block, a, b in zip(sources, where, where[1:]))
 
     return run
 
@@ -256,32 +258,30 @@ def _least_ids(found: Laid, places, which, n: int):
     return owners, least
 
 
-def _send_contexts(shards: int, length: int, gram: int):
+def _send_contexts(shards: int, length: int, gram: int, route: Route):
     """A block's different contexts, by shard; and for itself, under a number below zero, where they are."""
 
-    def run(blocks, marks):
+    def each(blocks, marks):
         import numpy as np
-        import pandas as pd
 
-        out = []
-        if len(blocks):
-            ids, texts, _ = unsqueeze(blocks.body.iloc[0])
-            found = Anchors(ids, texts, length, gram)
-            got = {int(s): unsqueeze(m) for s, m in zip(marks.shard, marks.marks, strict=True)}
-            contents, keys, places, which = entries(found, got, shards)
-            _, least = _least_ids(found, places, which, len(contents))
-            target = (keys >> np.uint64(1)) % np.uint64(shards)
-            order = np.lexsort((keys, target))
-            cuts = np.searchsorted(target[order], np.arange(shards + 1))
-            for shard in range(shards):
-                part = order[cuts[shard]: cuts[shard + 1]]
-                if len(part):
-                    rows = [contents[i] for i in part.tolist()]
-                    out.append((shard, int(blocks.block.iloc[0]), squeeze((
-                        part.astype(np.uint32), keys[part], least[part], np.array([len(r) for r in rows], dtype=np.int32), b"".join(rows)))))
-            block, sizes = int(blocks.block.iloc[0]), np.array([len(c) for c in contents], dtype=np.uint32)
-            out.append((-1 - (block * 0x9E3779B1 >> 9) % (1 << 30), block, squeeze((places.astype(np.uint32), which.astype(np.uint32), sizes))))
-        return pd.DataFrame(out, columns=["shard", "block", "contexts"])
+        ids, texts, _ = unsqueeze(blocks.body.iloc[0])
+        found, block = Anchors(ids, texts, length, gram), int(blocks.block.iloc[0])
+        got = {shard: unsqueeze(mark) for shard, mark in zip(*Route.arrived(marks), strict=True)}
+        contents, keys, places, which = entries(found, got, shards)
+        _, least = _least_ids(found, places, which, len(contents))
+        target = (keys >> np.uint64(1)) % np.uint64(shards)
+        order = np.lexsort((keys, target))
+        cuts = np.searchsorted(target[order], np.arange(shards + 1))
+        for shard in np.flatnonzero(np.diff(cuts)).tolist():
+            part = order[cuts[shard]: cuts[shard + 1]]
+            rows = [contents[i] for i in part.tolist()]
+            yield shard, block, squeeze((
+                part.astype(np.uint32), keys[part], least[part], np.array([len(r) for r in rows], dtype=np.int32), b"".join(rows)))
+        sizes = np.array([len(c) for c in contents], dtype=np.uint32)
+        yield -1 - (block * 0x9E3779B1 >> 9) % (1 << 30), block, squeeze((places.astype(np.uint32), which.astype(np.uint32), sizes))
+
+    def run(blocks, marks):
+        return route.frame(each(blocks, marks) if len(blocks) else [])
 
     return run
 
@@ -401,23 +401,25 @@ def _earlier_among(contents: list[bytes], keys, ids, length: int, chunk: int):
     return bits
 
 
-def _search_shard(length: int, chunk: int):
+def _search_shard(length: int, chunk: int, back: Route):
+    """Bits of a shard's contexts, by block; rows under a number below zero go back to their block as they are."""
+
     def run(rows):
         import numpy as np
-        import pandas as pd
 
-        if rows["shard"].iloc[0] < 0:
-            return pd.DataFrame({"block": rows.block, "own": True, "found": rows.contexts})
-        parts = [unsqueeze(c) for c in rows.contexts]
+        target = int(rows.target.iloc[0])
+        sources, bodies = Route.arrived(rows)
+        if target < 0:
+            return back.frame((block, -1, body) for block, body in zip(sources, bodies, strict=True))
+        parts = [unsqueeze(c) for c in bodies]
         contents = []
         for _, _, _, sizes, text in parts:
             ends = np.cumsum(sizes)
             contents += [text[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
         bits = earlier_strings(contents, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), length, chunk)
         cuts = np.cumsum([0, *(len(p[0]) for p in parts)])
-        return pd.DataFrame({
-            "block": rows.block, "own": False,
-            "found": [squeeze((p[0][got > 0], got[got > 0])) for p, a, b in zip(parts, cuts, cuts[1:]) for got in [bits[a:b]]]})
+        answers = ((p[0], bits[a:b]) for p, a, b in zip(parts, cuts, cuts[1:]))
+        return back.frame((block, target, squeeze((names[got > 0], got[got > 0]))) for block, (names, got) in zip(sources, answers, strict=True))
 
     return run
 
@@ -459,8 +461,9 @@ def _apply(length: int, keep: str):
         if len(blocks):
             ids, texts, extras = unsqueeze(blocks.body.iloc[0])
             found = Laid(ids, texts, length)
-            places, which, sizes = (x.astype(np.int64) for x in unsqueeze(told.found[told.own].iloc[0]))
-            gone = removed_bytes(found, places, which, sizes, [unsqueeze(f) for f in told.found[~told.own]])
+            answers = [(source, unsqueeze(body)) for source, body in zip(*Route.arrived(told), strict=True)]
+            places, which, sizes = (x.astype(np.int64) for x in next(a for source, a in answers if source < 0))
+            gone = removed_bytes(found, places, which, sizes, [a for source, a in answers if source >= 0])
             text = np.frombuffer(found.text, dtype=np.uint8)
             for doc_id, lo, hi, more in zip(ids, found.starts.tolist(), found.ends.tolist(), extras, strict=True):
                 mine = gone[lo:hi]
@@ -479,7 +482,7 @@ def _apply(length: int, keep: str):
 
 def remove_repeats(docs: DataFrame, extra: str | None = None, keep: str = "bytes", length: int = LENGTH, block_bytes: int = BLOCK_BYTES,
                    shard_bytes: int = SHARD_BYTES, least_shards: int = LEAST_SHARDS, chunk: int = CHUNK, hot_blocks: int = HOT_BLOCKS,
-                   hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
+                   hot_contexts: int = HOT_CONTEXTS, direct: int = DIRECT) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept, extra)`` for every row of ``docs``.
 
     Each byte that lies in a string of ``length`` bytes which also starts in a row with a smaller doc_id is
@@ -488,23 +491,23 @@ def remove_repeats(docs: DataFrame, extra: str | None = None, keep: str = "bytes
     texts keep all. ``extra`` names a string column that is handed through. An empty table gives no rows.
 
     ``length`` is at least GRAM + 8. Anchors that more than ``hot_blocks`` blocks have, or that have more than
-    ``hot_contexts`` different contexts, are looked up string by string.
+    ``hot_contexts`` different contexts, are looked up string by string. Beyond ``direct`` shards or blocks rows are
+    packed on their way, so that they do not grow with the product of the two.
     """
     spark, gram = docs.sparkSession, GRAM
     blocks = write_blocks(docs, block_bytes, extra)
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(least_shards, -(-total // shard_bytes))
-    counted = _count_anchors(blocks, shards, length, gram)
+    there, back = Route.to(shards, direct), Route.to(max(1, -(-total // block_bytes)), direct)
+    counted = _count_anchors(blocks, shards, length, gram, there)
     marks_path, found_path = fresh_path(spark, "marks"), fresh_path(spark, "found")
-    counted.groupBy("shard").applyInPandas(_shared_anchors(hot_blocks, hot_contexts), "shard int, block long, marks binary").write.parquet(marks_path)
-    marks = spark.read.schema("shard int, block long, marks binary").parquet(marks_path)
-    sent = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(
-        _send_contexts(shards, length, gram), "shard int, block long, contexts binary")
-    schema = "block long, own boolean, found binary"
-    sent.groupBy("shard").applyInPandas(_search_shard(length, chunk), schema).write.parquet(found_path)
+    there.grouped(counted).applyInPandas(_shared_anchors(hot_blocks, hot_contexts, back), back.schema).write.parquet(marks_path)
+    marks = spark.read.schema(back.schema).parquet(marks_path)
+    sent = blocks.groupBy("block").cogroup(back.grouped(marks)).applyInPandas(_send_contexts(shards, length, gram, there), there.schema)
+    there.grouped(sent).applyInPandas(_search_shard(length, chunk, back), back.schema).write.parquet(found_path)
     drop_path(spark, marks_path)
-    told = spark.read.schema(schema).parquet(found_path)
-    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(_apply(length, keep), RESULT)
+    told = spark.read.schema(back.schema).parquet(found_path)
+    return blocks.groupBy("block").cogroup(back.grouped(told)).applyInPandas(_apply(length, keep), RESULT)
 
 
 _SQL = """

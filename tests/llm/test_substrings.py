@@ -10,6 +10,7 @@ import pytest
 
 from holdfast.llm import substrings, suffixes
 from holdfast.llm.blocks import write_blocks
+from holdfast.llm.routes import Route
 from holdfast.llm.substrings import remove_repeats
 
 
@@ -52,7 +53,7 @@ def rows():
 
 @pytest.mark.parametrize("sizes", [
     {}, {"block_bytes": 500, "least_shards": 3, "shard_bytes": 1_000}, {"block_bytes": 300, "hot_blocks": 2}, {"chunk": 2, "hot_blocks": 1, "block_bytes": 200},
-    {"chunk": 7, "block_bytes": 700}])
+    {"chunk": 7, "block_bytes": 700}, {"direct": 2, "least_shards": 40, "block_bytes": 300}, {"direct": 0, "least_shards": 5, "hot_blocks": 1, "block_bytes": 500}])
 def test_windows(spark, rows, sizes):
     assert fast(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), **sizes) == slow(rows)
 
@@ -70,12 +71,12 @@ def test_a_phrase_with_many_surroundings_is_spread(spark):
     for bound in (10, 1_000):
         shards = 2
         blocks = write_blocks(df, 1_000)
-        counted = substrings._count_anchors(blocks, shards, 50, 24).toPandas()
-        marks = [substrings._shared_anchors(4_096, bound)(part) for _, part in counted.groupby("shard")]
+        counted = substrings._count_anchors(blocks, shards, 50, 24, Route(0)).toPandas()
+        marks = [substrings._shared_anchors(4_096, bound, Route(0))(part) for _, part in counted.groupby("target")]
         held = {}
         for row in blocks.collect():
             ids, texts, _ = substrings.unsqueeze(row.body)
-            mine = {int(s): substrings.unsqueeze(m) for t in marks for s, b, m in t.itertuples(index=False) if b == row.block}
+            mine = {int(s): substrings.unsqueeze(m) for t in marks for b, s, m in t.itertuples(index=False) if b == row.block}
             contents, keys, _, _ = substrings.entries(substrings.Anchors(ids, texts), mine, shards)
             for content, key in zip(contents, keys.tolist(), strict=True):
                 held.setdefault(key, set()).add(content)
@@ -99,3 +100,19 @@ def test_suffix_arrays():
         for k in range(1, len(data)):
             a, b = data[order[k]:][:20], data[order[k - 1]:][:20]
             assert prefix[k] == next((j for j, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def test_routes_bring_everything_in_few_rows(spark):
+    """A hundred sources with a row for each of a hundred targets: ten rows a source, ten a target."""
+    import pandas as pd
+
+    for route, most in ((Route.to(100, direct=100), 10_000), (Route.to(100, direct=99), 1_000)):
+        sent = spark.range(100).repartition(5).mapInPandas(
+            lambda frames, route=route: (route.frame([(t, int(s), f"{s}-{t}".encode()) for t in range(100)]) for f in frames for s in f["id"]), route.schema)
+        assert sent.count() <= most
+        def told(rows):
+            sources, bodies = Route.arrived(rows)
+            return pd.DataFrame({"target": [int(rows.target.iloc[0])], "n": [len(set(zip(sources, bodies)))],
+                                 "right": [all(b == f"{s}-{rows.target.iloc[0]}".encode() for s, b in zip(sources, bodies))]})
+        got = route.grouped(sent).applyInPandas(told, "target long, n long, right boolean").collect()
+        assert {(r.n, r.right) for r in got} == {(100, True)} and len(got) == 100
