@@ -57,12 +57,16 @@ class _Reader(DataSourceReader):
         self.path, self.chunk_bytes, self.range_bytes = path, chunk_bytes, range_bytes
 
     def partitions(self) -> list[Ranges]:
-        """Files below the path that are not hidden; the list names files, their bytes stay where they are."""
+        """Files below the path that are not hidden, nor in a hidden folder; the list names files, their bytes stay where they are."""
         from pyarrow import fs
 
         store, root = _store(self.path)
-        found = store.get_file_info(fs.FileSelector(root, recursive=True)) if store.get_file_info(root).type == fs.FileType.Directory else [store.get_file_info(root)]
-        files = sorted((f.path, f.size) for f in found if f.type == fs.FileType.File and f.base_name[0] not in "._")
+        top = store.get_file_info(root)
+        if top.type == fs.FileType.NotFound:
+            raise FileNotFoundError(self.path)
+        found = store.get_file_info(fs.FileSelector(root, recursive=True)) if top.type == fs.FileType.Directory else [top]
+        shown = lambda path: not any(name[:1] in ("_", ".") for name in path.removeprefix(root).split("/"))
+        files = sorted((f.path, f.size) for f in found if f.type == fs.FileType.File and (f is top or shown(f.path)))
         return list(cut_ranges(files, self.chunk_bytes, self.range_bytes)) or [Ranges([])]
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:

@@ -15,11 +15,11 @@ from tests.test_plans import plan
 
 @pytest.fixture
 def folder(tmp_path):
-    bodies = {"a/big.bin": os.urandom(1_000_003), "b.bin": b"", "c.bin": b"x" * 4096, "a/d.bin": b"y", "_hidden": b"zz", "a/.crc": b"z"}
+    bodies = {"a/big.bin": os.urandom(1_000_003), "b.bin": b"", "c.bin": b"x" * 4096, "a/d.bin": b"y", "_hidden": b"zz", "a/.crc": b"z", "_temporary/part-0": b"q"}
     for name, body in bodies.items():
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_bytes(body)
-    return tmp_path, {n: b for n, b in bodies.items() if "hidden" not in n and ".crc" not in n}
+    return tmp_path, {n: b for n, b in bodies.items() if n in ("a/big.bin", "b.bin", "c.bin", "a/d.bin")}
 
 
 def test_ranges_give_every_chunk_once(spark, folder):
@@ -38,6 +38,11 @@ def test_ranges_give_every_chunk_once(spark, folder):
     assert sorted((r.chunk_no, len(r.data)) for r in one.collect()) == [(0, 1000), (1, 1000), (2, 1000), (3, 1000), (4, 96)]
 
 
+def test_a_missing_path_is_an_error(tmp_path):
+    with pytest.raises(FileNotFoundError):
+        byte_ranges._Reader(f"{tmp_path}/none", 1, 1).partitions()
+
+
 def test_a_file_beyond_two_gigabytes_is_cut(spark, tmp_path):
     size = (2 << 30) + 70_000
     with open(tmp_path / "huge", "wb") as file:
