@@ -30,3 +30,11 @@ def test_ties_odd_vectors_and_few_rows(spark, sizes):
     assert got == want
     assert topk.top_k(vectors.where("false"), vectors.where("false")).count() == 0
     assert topk.top_k(vectors.limit(1), vectors.limit(1)).count() == 0
+
+
+def test_repeated_ids_and_copies(spark):
+    """All rows of an id are candidates for others, none for itself; copies tie and go by id."""
+    rows = [(20, [2]), (20, [1]), (1, [5]), (1, [7]), (2, [7]), (3, [7]), (40, [1])]
+    vectors = spark.createDataFrame(rows, "vec_id long, vec array<long>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=4, shard_rows=2, query_rows=1).collect()}
+    assert got == {(20, 1): (1, 7), (20, 2): (2, 7), (20, 3): (3, 7), (20, 4): (1, 5), (40, 1): (1, 7), (40, 2): (2, 7), (40, 3): (3, 7), (40, 4): (1, 5)}
