@@ -99,7 +99,8 @@ def split_late(stream: DataFrame, moment: str, delay: str, path: str) -> None:
 
     A row is late if its ``moment`` lies more than ``delay`` before the latest one of all earlier batches, the
     rule by which a watermark of that delay would let it go. Both sides have a folder for each batch. A batch
-    is written aside and moved when it is whole, so one that is repeated neither adds nor loses rows.
+    is written aside and moved when it is whole, so one that is repeated neither adds nor loses rows. The
+    progress is kept below ``path`` too: called again, it goes on with what is new.
     """
     spark = stream.sparkSession
 
@@ -116,7 +117,7 @@ def split_late(stream: DataFrame, moment: str, delay: str, path: str) -> None:
             _move(spark, f"{aside}/_late={side}", f"{path}/{name}/batch={batch}")
         drop_path(spark, aside)
 
-    running = stream.writeStream.foreachBatch(take).option("checkpointLocation", fresh_path(spark, "split-state")).trigger(availableNow=True).start()
+    running = stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start()
     running.awaitTermination()
 
 

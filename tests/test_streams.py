@@ -152,3 +152,16 @@ def test_one_task_settles_all_but_one_request_of_a_node(spark):
     marked = rows.mapInArrow(registration._mark, registration._MARKED)
     assert {(r.node, r.seq) for r in marked.where("candidate").collect()} == {(n, min(5000 - i for i in range(1, 5000) if i % 5 == n)) for n in range(5)}
     assert marked.count() == 4999
+
+
+def test_splitting_goes_on_where_it_stopped(spark):
+    rows = beats(spark, [(1, 0, "minor", 1), (1, 500, "minor", 1)])
+    path, out = fresh_path(spark, "feed"), fresh_path(spark, "split")
+    feeds.write_feed(rows, "seq", path, 2)
+    stream = feeds.open_feed(spark, path, 1)
+    feeds.split_late(stream, "ts", "1 hour", out)
+    more = beats(spark, [(0, 0, "minor", 1), (0, 0, "minor", 1), (2, 100, "minor", 1), (2, 450, "minor", 1)]).where("seq > 1")
+    more.coalesce(1).write.mode("append").parquet(path)
+    feeds.split_late(feeds.open_feed(spark, path, 1), "ts", "1 hour", out)
+    late, kept = ({r.seq for r in feeds.read_side(spark, f"{out}/{side}", stream.schema).collect()} for side in ("late", "on-time"))
+    assert late == {2} and kept == {0, 1, 3}
