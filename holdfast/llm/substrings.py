@@ -21,9 +21,11 @@ from holdfast.session import drop_path, fresh_path
 
 LENGTH = 50
 GRAM = 24
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 LEAST_SHARDS = 64
-CHUNK = 16_384
+CHUNK = 8_192
+PORTION = 1 << 20
+FACTOR = 0x9E3779B97F4A7C15
 HOT_BLOCKS = 4_096
 HOT_CONTEXTS = 65_536
 LAST_ID = (1 << 63) - 1
@@ -58,23 +60,40 @@ class Anchors(Laid):
         import numpy as np
 
         super().__init__(ids, texts, length)
-        n = len(self.text)
-        self.places = np.zeros(0, dtype=np.int64)
-        self.hashes = np.zeros(0, dtype=np.uint64)
-        if n >= length:
-            hashes = _gram_hashes(self.text, gram)
-            whole = np.zeros(n - length + 1, dtype=bool)  # places where a string of the full length starts
-            for lo, hi in zip(self.starts.tolist(), self.ends.tolist(), strict=True):
-                if hi - lo >= length:
-                    whole[lo: hi - length + 1] = True
-            width = length - gram + 1
-            least = np.where(whole, _sliding(np.minimum, hashes, width), 0)
-            edge = np.zeros(width - 1, dtype=np.uint64)
-            reached = _sliding(np.maximum, np.concatenate([edge, least, edge]), width)
-            self.places = np.flatnonzero((reached == hashes) & (hashes > 0))
-            self.hashes = hashes[self.places]
+        found = [self._in(first, last, gram) for first, last in self.portions()]
+        self.places = np.concatenate([places for places, _ in found] + [np.zeros(0, np.int64)])
+        self.hashes = np.concatenate([hashes for _, hashes in found] + [np.zeros(0, np.uint64)])
         self.owner = np.searchsorted(self.ends, self.places, side="right")
 
+    def portions(self, size: int = PORTION):
+        """Documents, first and last exclusive, of about ``size`` bytes together, which bounds the arrays made of them."""
+        first = 0
+        for last in range(1, len(self.ids) + 1):
+            if last == len(self.ids) or self.ends[last] - self.starts[first] > size:
+                yield first, last
+                first = last
+
+    def _in(self, first: int, last: int, gram: int):
+        """Places and hashes of the anchors of some documents."""
+        import numpy as np
+
+        begin, length = int(self.starts[first]), self.length
+        text = self.text[begin: int(self.ends[last - 1])]
+        n = len(text)
+        if n < length:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        hashes = _gram_hashes(text, gram)
+        whole = np.zeros(n - length + 1, dtype=bool)  # places where a string of the full length starts
+        for lo, hi in zip((self.starts[first:last] - begin).tolist(), (self.ends[first:last] - begin).tolist(), strict=True):
+            if hi - lo >= length:
+                whole[lo: hi - length + 1] = True
+        width = length - gram + 1
+        least = np.where(whole, _sliding(np.minimum, hashes, width), 0)
+        edge = np.zeros(width - 1, dtype=np.uint64)
+        reached = _sliding(np.maximum, np.concatenate([edge, least, edge]), width)
+        places = np.flatnonzero((reached == hashes) & (hashes > 0))
+        return places + begin, hashes[places]
+
     def distinct(self):
         """Sorted different hashes, and for each anchor its place among them."""
         import numpy as np
@@ -105,14 +124,7 @@ class Anchors(Laid):
         counts = np.bincount(inverse, minlength=n)
         again = np.flatnonzero(counts[inverse] > 1)
         if len(again):
-            lows, highs = self.contexts_of(again)
-            powers = np.full(len(self.text), 0x9E3779B97F4A7C15, dtype=np.uint64)
-            np.cumprod(powers, out=powers)
-            until = np.zeros(len(self.text) + 1, dtype=np.uint64)
-            np.cumsum((np.frombuffer(self.text, dtype=np.uint8).astype(np.uint64) + np.uint64(1)) * powers, out=until[1:])
-            last = powers[-1]
-            sums = (until[highs] - until[lows]) * powers[len(powers) - 1 - lows]  # equal texts agree wherever they lie
-            mixed = (sums ^ (sums >> np.uint64(31))) * last + (highs - lows).astype(np.uint64)
+            mixed = np.concatenate([self._digests(first, last, again) for first, last in self.portions()])
             order = np.lexsort((mixed, inverse[again]))
             of, content = inverse[again][order], mixed[order]
             new = np.append(True, (of[1:] != of[:-1]) | (content[1:] != content[:-1]))
@@ -120,6 +132,22 @@ class Anchors(Laid):
         return counts
 
 
+    def _digests(self, first: int, last: int, chosen):
+        """Hashes of the contexts of those of the chosen anchors (in order) that lie in some documents; equal texts agree wherever they lie."""
+        import numpy as np
+
+        begin, end = int(self.starts[first]), int(self.ends[last - 1])
+        mine = chosen[np.searchsorted(self.places[chosen], begin): np.searchsorted(self.places[chosen], end)]
+        lows, highs = self.contexts_of(mine)
+        text = np.frombuffer(self.text, np.uint8, end - begin, begin) if end > begin else np.zeros(0, np.uint8)
+        powers = np.cumprod(np.full(len(text) + 1, FACTOR, dtype=np.uint64))
+        until = np.zeros(len(text) + 1, dtype=np.uint64)
+        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=until[1:])
+        back = np.cumprod(np.full(len(text) + 1, pow(FACTOR, -1, 1 << 64), dtype=np.uint64))
+        sums = (until[highs - begin] - until[lows - begin]) * back[lows - begin]
+        return (sums ^ (sums >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + (highs - lows).astype(np.uint64)
+
+
 def _gram_hashes(text: bytes, gram: int):
     import numpy as np
 
@@ -432,7 +460,7 @@ def removed_bytes(found: Laid, places, which, sizes, answers: list):
     import numpy as np
 
     n = len(found.text)
-    change = np.zeros(n + 1, dtype=np.int64)
+    change = np.zeros(n + 1, dtype=np.int32)
     if len(places):
         owners, least = _least_ids(found, places, which, len(sizes))
         bits = np.zeros(len(sizes), dtype=np.uint64)
@@ -446,7 +474,7 @@ def removed_bytes(found: Laid, places, which, sizes, answers: list):
             hit = places[mine[(bits[which[mine]] >> np.uint64(bit)) & np.uint64(1) > 0]] + bit
             np.add.at(change, hit, 1)
             np.add.at(change, hit + found.length, -1)
-    return np.cumsum(change[:n]) > 0
+    return np.cumsum(change[:n], out=change[:n]) > 0
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, extra string"
