@@ -29,7 +29,7 @@ def _heartbeat_feed(spark: SparkSession, sf: str, closed: bool) -> DataFrame:
     )
     feeds.write_feed(rows, "seq", path)
     if closed:
-        heartbeats.closing_tick(rows, "3 DAYS").write.mode("append").parquet(path)
+        heartbeats.clock_tick(rows, "3 DAYS").write.mode("append").parquet(path)
     return feeds.open_feed(spark, path)
 
 

@@ -99,9 +99,11 @@ def live_intervals(heartbeats: DataFrame, timeout: str, delay: str = LATENESS) -
     """Intervals in which a node kept reporting; the end is when it is declared dead.
 
     Reports more than ``delay`` behind the newest may be left out; ``feeds.split_late`` with the same delay
-    keeps them in a table of their own, and none of the others is left out then.
+    keeps them in a table of their own, and none of the others is left out then. Rows without a node are ticks
+    of the prober's clock: they move the time on, but belong to no interval.
     """
     timed = heartbeats.withWatermark("ts", delay)
+    timed = timed.where("node is not null or ts is null")  # with the time in it, so that ticks are left out behind the watermark only
     return timed.groupBy(F.session_window("ts", timeout).alias("live"), "node").agg(
         F.count("*").alias("reports")
     ).select("node", F.col("live.start").alias("live_from"), F.col("live.end").alias("dead_at"), "reports")
@@ -113,12 +115,12 @@ def latest_state(written: DataFrame, *columns: str) -> DataFrame:
     return written.groupBy("node").agg(values).select("node", *[F.col(f"last.{c}").alias(c) for c in columns])
 
 
-def closing_tick(heartbeats: DataFrame, after: str) -> DataFrame:
-    """One row of node -1 far enough behind the data to let every earlier window close."""
+def clock_tick(heartbeats: DataFrame, after: str) -> DataFrame:
+    """A tick of the clock, a row without a node, far enough behind the reports to let their intervals end."""
     end = heartbeats.agg(F.max("seq").alias("seq"), F.max("ts").alias("ts"))
     moved = (F.col("ts") + F.expr(f"INTERVAL {after}")).alias("ts")
-    rest = [F.lit(None).cast(t).alias(c) for c, t in heartbeats.dtypes if c not in ("node", "seq", "ts")]
-    return end.select(F.lit(-1).cast("bigint").alias("node"), (F.col("seq") + 1).alias("seq"), moved, *rest)
+    rest = [F.lit(None).cast(t).alias(c) for c, t in heartbeats.dtypes if c not in ("seq", "ts")]
+    return end.select((F.col("seq") + 1).alias("seq"), moved, *rest).select(*heartbeats.columns)
 
 
 @contextmanager

@@ -38,7 +38,7 @@ def test_liveness_intervals_close_after_the_timeout(spark):
     rows = beats(spark, [(1, 0, "minor", 1), (1, 20, "minor", 1), (2, 30, "minor", 1), (1, 120, "minor", 1)])
     path = fresh_path(spark, "feed")
     feeds.write_feed(rows, "seq", path, 2)
-    heartbeats.closing_tick(rows, "1 DAY").write.mode("append").parquet(path)
+    heartbeats.clock_tick(rows, "1 DAY").write.mode("append").parquet(path)
     with heartbeats.sessions_merged_early(spark):
         written = feeds.run_to_end(heartbeats.live_intervals(feeds.open_feed(spark, path, 1), "30 minutes"), "live")
     start = datetime(2024, 1, 1)
@@ -131,11 +131,12 @@ def test_on_time_reports_all_count(spark):
     stream = feeds.open_feed(spark, path, 1)
     feeds.split_late(stream, "ts", "20 minutes", out)
     kept = feeds.read_side(spark, f"{out}/on-time", stream.schema)
-    heartbeats.closing_tick(kept, "1 DAY").select(*stream.columns).write.parquet(f"{out}/on-time/batch=9")
+    heartbeats.clock_tick(kept, "1 DAY").select(*stream.columns).write.parquet(f"{out}/on-time/batch=9")
     side = spark.readStream.schema(stream.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{out}/on-time")
     written = feeds.run_to_end(heartbeats.live_intervals(side, "30 minutes", "20 minutes"), "live")
-    total = sum(r.reports for r in written.where("node >= 0").collect())
-    assert total == kept.where("node >= 0").count() and 0 < feeds.read_side(spark, f"{out}/late", stream.schema).count()
+    assert written.where("node is null").count() == 0
+    total = sum(r.reports for r in written.collect())
+    assert total == kept.where("node is not null").count() and 0 < feeds.read_side(spark, f"{out}/late", stream.schema).count()
 
 
 @pytest.mark.parametrize("slices", [1, 4])
