@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm.blocks import BLOCK_BYTES, squeeze, unsqueeze, write_blocks
-from holdfast.llm.common import map_rows, query, table
+from holdfast.llm.common import give_back, map_rows, query, table
 from holdfast.llm.routes import DIRECT, Route
 from holdfast.session import drop_path, fresh_path
 
@@ -210,6 +210,7 @@ def _count_anchors(blocks: DataFrame, shards: int, length: int, gram: int, route
     def run(rows):
         for block, body in rows:
             yield from route.leaving(each(block, body))
+            give_back()
 
     return map_rows(blocks.select("block", "body"), route.schema, run)
 
@@ -309,7 +310,9 @@ def _send_contexts(shards: int, length: int, gram: int, route: Route):
         yield -1 - (block * 0x9E3779B1 >> 9) % (1 << 30), block, squeeze((places.astype(np.uint32), which.astype(np.uint32), sizes))
 
     def run(blocks, marks):
-        return route.frame(each(blocks, marks) if len(blocks) else [])
+        made = route.frame(each(blocks, marks) if len(blocks) else [])
+        give_back()
+        return made
 
     return run
 
@@ -447,6 +450,8 @@ def _search_shard(length: int, chunk: int, back: Route):
         bits = earlier_strings(contents, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), length, chunk)
         cuts = np.cumsum([0, *(len(p[0]) for p in parts)])
         answers = ((p[0], bits[a:b]) for p, a, b in zip(parts, cuts, cuts[1:]))
+        del contents
+        give_back()
         return back.frame((block, target, squeeze((names[got > 0], got[got > 0]))) for block, (names, got) in zip(sources, answers, strict=True))
 
     return run
@@ -502,6 +507,7 @@ def _apply(length: int, keep: str):
                 elif keep == "text":
                     kept = kept.decode("utf-8", "ignore").encode()
                 out.append((doc_id, hi - lo, int(mine.sum()), spans, kept, more))
+        give_back()
         rows = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "extra"])
         return rows.astype({"doc_id": "Int64"})
 
