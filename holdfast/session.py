@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -87,3 +88,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a staged table that nothing reads any more."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that nothing refers to any more.
+
+    It waits for the driver to collect garbage, which a driver with little to do puts off while the disks fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
