@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.blocks import squeeze, unsqueeze, write_blocks
-from holdfast.llm.common import map_rows, query, table
-from holdfast.session import drop_path, fresh_path, staged
+from holdfast.llm.common import give_back, map_rows, query, table
+from holdfast.session import drop_path, fresh_path, release_shuffles, staged
 
 ORDERS = (1, 2, 3, 4)
 WORD = len(ORDERS)  # the predictor that looks at the word so far comes after them
@@ -399,7 +399,9 @@ def _with_counts(shards: DataFrame, told: DataFrame, each, ddl: str) -> DataFram
         one = mine.iloc[0]
         shard = Shard(bytes(one.body), one.before, one.after)
         keys = (rows.context.to_numpy(np.int64) << 8) | rows.byte.to_numpy(np.int64)
-        return each(int(one.part), shard, shard.counted(*_added_up(keys, rows.n.to_numpy(np.int64))))
+        made = each(int(one.part), shard, shard.counted(*_added_up(keys, rows.n.to_numpy(np.int64))))
+        give_back()
+        return made
 
     return shards.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(run, ddl)
 
@@ -544,10 +546,14 @@ def score_texts(docs: DataFrame, modulus: int, held: int, shard_words: int = SHA
     told = asked.select("part", "context").distinct().join(counted, "context").select("part", "context", "byte", "n")
     told.write.parquet(told_path)
     told = spark.read.schema(told.schema).parquet(told_path)
+    del asked, counted
     drop_path(spark, asked_path)
+    release_shuffles(spark)
     sent = spark.sparkContext.broadcast(_learned(shards, told))
     priced = staged(_priced(shards, told, sent), "prices")
+    del told, shards, tokens
     drop_path(spark, told_path)
+    release_shuffles(spark)
     vocabulary = seen.select("block", "i", "token").join(priced, "token").select("block", "i", "c", "price")
     scored = blocks.groupBy("block").cogroup(vocabulary.groupBy("block")).applyInPandas(_score_block(modulus, held, sums.tokens, sums.kinds), SCORES)
     return scored.withColumn("train_tokens", F.lit(sums.tokens).cast("long"))
