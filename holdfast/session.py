@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -73,6 +72,17 @@ def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_table(df: DataFrame, path: str) -> None:
+    """``df`` as Parquet at ``path``. The shuffle files of its plan go when it is written and not when the driver next collects garbage."""
+    name, conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", df.sparkSession.conf
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(name, before)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
@@ -80,7 +90,7 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     enough and shuffles it when it is not.
     """
     path = fresh_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    write_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -88,12 +98,3 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a staged table that nothing reads any more."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of plans that nothing refers to any more.
-
-    It waits for the driver to collect garbage, which a driver with little to do puts off while the disks fill.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
