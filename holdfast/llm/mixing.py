@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.blocks import squeeze, unsqueeze, write_blocks
 from holdfast.llm.common import give_back, map_rows, query, table
-from holdfast.session import drop_path, fresh_path, release_shuffles, staged
+from holdfast.session import drop_path, fresh_path, staged, write_table
 
 ORDERS = (1, 2, 3, 4)
 WORD = len(ORDERS)  # the predictor that looks at the word so far comes after them
@@ -540,20 +540,16 @@ def score_texts(docs: DataFrame, modulus: int, held: int, shard_words: int = SHA
     shards = staged(_word_shards(tokens, shard_words), "shards")
     asked_path, told_path = fresh_path(spark, "asked"), fresh_path(spark, "told")
     asked = _contexts_asked(shards)
-    asked.write.parquet(asked_path)
+    write_table(asked, asked_path)
     asked = spark.read.schema(asked.schema).parquet(asked_path)
     counted = asked.where("n > 0").groupBy("context", "byte").agg(F.sum("n").alias("n"))
     told = asked.select("part", "context").distinct().join(counted, "context").select("part", "context", "byte", "n")
-    told.write.parquet(told_path)
+    write_table(told, told_path)
     told = spark.read.schema(told.schema).parquet(told_path)
-    del asked, counted
     drop_path(spark, asked_path)
-    release_shuffles(spark)
     sent = spark.sparkContext.broadcast(_learned(shards, told))
     priced = staged(_priced(shards, told, sent), "prices")
-    del told, shards, tokens
     drop_path(spark, told_path)
-    release_shuffles(spark)
     vocabulary = seen.select("block", "i", "token").join(priced, "token").select("block", "i", "c", "price")
     scored = blocks.groupBy("block").cogroup(vocabulary.groupBy("block")).applyInPandas(_score_block(modulus, held, sums.tokens, sums.kinds), SCORES)
     return scored.withColumn("train_tokens", F.lit(sums.tokens).cast("long"))

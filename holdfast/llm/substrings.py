@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from holdfast.llm.blocks import BLOCK_BYTES, squeeze, unsqueeze, write_blocks
 from holdfast.llm.common import give_back, map_rows, query, table
 from holdfast.llm.routes import DIRECT, Route
-from holdfast.session import drop_path, fresh_path, release_shuffles
+from holdfast.session import drop_path, fresh_path, write_table
 
 LENGTH = 50
 GRAM = 24
@@ -535,15 +535,11 @@ def remove_repeats(docs: DataFrame, extra: str | None = None, keep: str = "bytes
     there, back = Route.to(shards, direct), Route.to(max(1, -(-total // block_bytes)), direct)
     counted = _count_anchors(blocks, shards, length, gram, there)
     marks_path, found_path = fresh_path(spark, "marks"), fresh_path(spark, "found")
-    there.grouped(counted).applyInPandas(_shared_anchors(hot_blocks, hot_contexts, back), back.schema).write.parquet(marks_path)
-    del counted
-    release_shuffles(spark)
+    write_table(there.grouped(counted).applyInPandas(_shared_anchors(hot_blocks, hot_contexts, back), back.schema), marks_path)
     marks = spark.read.schema(back.schema).parquet(marks_path)
     sent = blocks.groupBy("block").cogroup(back.grouped(marks)).applyInPandas(_send_contexts(shards, length, gram, there), there.schema)
-    there.grouped(sent).applyInPandas(_search_shard(length, chunk, back), back.schema).write.parquet(found_path)
-    del sent, marks
+    write_table(there.grouped(sent).applyInPandas(_search_shard(length, chunk, back), back.schema), found_path)
     drop_path(spark, marks_path)
-    release_shuffles(spark)
     told = spark.read.schema(back.schema).parquet(found_path)
     return blocks.groupBy("block").cogroup(back.grouped(told)).applyInPandas(_apply(length, keep), RESULT)
 
