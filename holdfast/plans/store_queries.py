@@ -47,6 +47,8 @@ def src_binary_files(spark: SparkSession, sf: str) -> DataFrame:
 
 #: Documents in one of the files that are read back by ranges, and the range sizes of that query.
 DOCS_PER_FILE, RANGE_CHUNK, RANGE_BYTES = 250, 4096, 65_536
+#: Tasks that read the ranges, for each core, while these have no more bytes than a task may have.
+TASKS_PER_CORE = 3
 
 
 @query("src_binary_chunks", f"""
@@ -61,10 +63,12 @@ def src_binary_chunks(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "ranged-files")
     docs = st.table(spark, sf, "documents").select("doc_id", "text")
     files = docs.agg(F.floor(F.max("doc_id") / DOCS_PER_FILE).cast("int") + 1).first()[0]
-    number = F.floor(F.col("doc_id") / DOCS_PER_FILE).cast("int")
-    docs.repartitionById(files, number).sortWithinPartitions("doc_id").select("text").write.text(path)
-    rows = byte_ranges.read_chunks(spark, path, RANGE_CHUNK, RANGE_BYTES)
-    file_no = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("bigint").alias("file_no")
+    number = F.coalesce(F.pmod(F.floor(F.col("doc_id") / DOCS_PER_FILE).cast("int"), F.lit(files)), F.lit(0)).alias("file_no")
+    # a task writes many files, one after the other: all rows of a file are in one task and in order
+    placed = docs.select(number, "doc_id", "text").repartition("file_no").sortWithinPartitions("file_no", "doc_id")
+    placed.select("file_no", "text").write.partitionBy("file_no").text(path)
+    rows = byte_ranges.read_chunks(spark, path, RANGE_CHUNK, RANGE_BYTES, tasks=TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    file_no = F.regexp_extract("path", r"/file_no=(\d+)/[^/]*$", 1).cast("bigint").alias("file_no")
     return _digest(rows.select(file_no, "file_bytes", "chunk_no", "data"), "file_no", "file_bytes", "chunk_no")
 
 

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -52,9 +52,23 @@ def cut_ranges(files: list[tuple[str, int]], chunk_bytes: int, range_bytes: int)
         yield Ranges(held)
 
 
+def share_out(ranges: Iterable[Ranges], task_bytes: int) -> Iterator[Ranges]:
+    """The same ranges, as many to a task as have ``task_bytes`` together (one ``Ranges`` at least)."""
+    held, size = [], 0
+    for one in ranges:
+        more = sum(stop - start for _, _, start, stop in one.parts)
+        if held and size + more > task_bytes:
+            yield Ranges(held)
+            held, size = [], 0
+        held.extend(one.parts)
+        size += more
+    if held:
+        yield Ranges(held)
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, chunk_bytes: int, range_bytes: int):
-        self.path, self.chunk_bytes, self.range_bytes = path, chunk_bytes, range_bytes
+    def __init__(self, path: str, chunk_bytes: int, range_bytes: int, tasks: int = 0):
+        self.path, self.chunk_bytes, self.range_bytes, self.tasks = path, chunk_bytes, range_bytes, tasks
 
     def partitions(self) -> list[Ranges]:
         """Files below the path that are not hidden, nor in a hidden folder; the list names files, their bytes stay where they are."""
@@ -67,7 +81,10 @@ class _Reader(DataSourceReader):
         found = store.get_file_info(fs.FileSelector(root, recursive=True)) if top.type == fs.FileType.Directory else [top]
         shown = lambda path: not any(name[:1] in ("_", ".") for name in path.removeprefix(root).split("/"))
         files = sorted((f.path, f.size) for f in found if f.type == fs.FileType.File and (f is top or shown(f.path)))
-        return list(cut_ranges(files, self.chunk_bytes, self.range_bytes)) or [Ranges([])]
+        ranges = cut_ranges(files, self.chunk_bytes, self.range_bytes)
+        if self.tasks:
+            ranges = share_out(ranges, min(RANGE_BYTES, -(-sum(size for _, size in files) // self.tasks)))
+        return list(ranges) or [Ranges([])]
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         store, _ = _store(self.path)
@@ -88,7 +105,7 @@ class _Reader(DataSourceReader):
 
 
 class ChunkSource(DataSource):
-    """``spark.read.format("chunks")`` with ``path`` and, in bytes, ``chunkBytes`` and ``rangeBytes``."""
+    """``spark.read.format("chunks")`` with ``path`` and, in bytes, ``chunkBytes`` and ``rangeBytes``; ``tasks`` as in ``read_chunks``."""
 
     @classmethod
     def name(cls) -> str:
@@ -98,13 +115,19 @@ class ChunkSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> _Reader:
-        return _Reader(self.options["path"], int(self.options.get("chunkBytes", CHUNK_BYTES)), int(self.options.get("rangeBytes", RANGE_BYTES)))
+        return _Reader(self.options["path"], int(self.options.get("chunkBytes", CHUNK_BYTES)), int(self.options.get("rangeBytes", RANGE_BYTES)),
+                       int(self.options.get("tasks", 0)))
 
 
-def read_chunks(spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def read_chunks(
+    spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES, tasks: int = 0,
+) -> DataFrame:
     """``path, file_bytes, chunk_no, data`` for every chunk of every file below ``path``; empty files have none.
 
     A task reads ranges of ``range_bytes`` in batches of ``BATCH_BYTES``. The path may be on any store Arrow opens.
+    With ``tasks``, a task takes several ranges one after the other: about that many tasks, or more if one would
+    have over ``RANGE_BYTES`` in all.
     """
     spark.dataSource.register(ChunkSource)
-    return spark.read.format("chunks").option("chunkBytes", chunk_bytes).option("rangeBytes", range_bytes).load(path)
+    options = {"chunkBytes": chunk_bytes, "rangeBytes": range_bytes, "tasks": tasks}
+    return spark.read.format("chunks").options(**options).load(path)

@@ -62,6 +62,16 @@ def test_small_files_share_a_task():
     assert len(parts) == 13 and sum(len(p.parts) for p in parts) == 103
 
 
+def test_many_ranges_share_a_task(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"f{i:02d}").write_bytes(os.urandom(1_000 + i))
+    whole = byte_ranges.read_chunks(spark, str(tmp_path), 100, 300)
+    few = byte_ranges.read_chunks(spark, str(tmp_path), 100, 300, tasks=5)
+    assert whole.rdd.getNumPartitions() >= 40 and 5 <= few.rdd.getNumPartitions() <= 6
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, whole.collect()))
+    assert all(stop - start <= 300 for p in byte_ranges._Reader(str(tmp_path), 100, 300, 5).partitions() for _, _, start, stop in p.parts)
+
+
 def test_line_files_are_bounded_by_bytes(spark):
     texts = spark.createDataFrame([("s" * (i % 7),) for i in range(3000)] + [("m" * 2_000,) for _ in range(300)] + [("l" * 150_000,), (None,)], "text string")
     path = fresh_path(spark, "lines")
