@@ -14,6 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.conversion import ArrowTableToRowsConversion, LocalDataToArrowConversion
+
+#: Rows of reducers that a task holds before it hands them on.
+OUT_ROWS = 10_000
 
 #: Keys whose partial states a task holds before it hands them on.
 HELD_KEYS = 100_000
@@ -48,41 +53,49 @@ class StateAggregate(Protocol):
 def map_lines(lines: DataFrame, mapper: type[Mapper], ddl: str, line: str = "line") -> DataFrame:
     """All rows the mapper makes of all lines, as columns ``ddl``. Runs where the lines are, in Arrow batches; no shuffle.
 
-    One mapper is made for each task. Null lines are skipped.
+    One mapper is made for each task. Null lines are skipped. The rows of a line travel together, as one array.
     """
+    made: list[Mapper] = []
 
-    class MapLines:
-        def __init__(self):
-            self.mapper = mapper()
-
-        def eval(self, text):
-            if text is not None:
-                yield from self.mapper.map(text)
+    def map_line(text):
+        if text is None:
+            return []
+        if not made:
+            made.append(mapper())
+        return list(made[0].map(text))
 
-    made = F.udtf(MapLines, returnType=ddl, useArrow=True)
-    return lines.select(F.col(line).alias("_line")).lateralJoin(made(F.col("_line").outer())).drop("_line")
+    rows = F.udf(map_line, T.ArrayType(T.StructType.fromDDL(ddl)), useArrow=True)
+    return lines.select(F.inline(rows(F.col(line))))
 
 
 def reduce_rows(rows: DataFrame, key: str, reducer: type[Reducer], ddl: str, order: str | None = None) -> DataFrame:
     """What the reducer makes of the rows of each ``key``, given one after the other, in ``order`` if it is named.
 
-    The rows of a key stream through one reducer, which holds only what it wants to. A key with very many rows
-    keeps its task busy; code that can be split should be a ``StateAggregate``.
+    The rows of a key stream through one reducer, which holds only what it wants to; they reach it in Arrow
+    batches, sorted by Spark. A key with very many rows keeps its task busy; code that can be split should be
+    a ``StateAggregate``.
     """
+    given, made, at = rows.schema, T.StructType.fromDDL(ddl), rows.columns.index(key)
 
-    class ReduceRows:
-        def __init__(self):
-            self.reducer = reducer()
-
-        def eval(self, row):
-            self.reducer.reduce(row)
-
-        def terminate(self):
-            yield from self.reducer.finish()
-
-    made = F.udtf(ReduceRows, returnType=ddl, useArrow=True)
-    argument = rows.asTable().partitionBy(key)
-    return made(argument.orderBy(order) if order else argument)
+    def reduce_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, current, out = None, None, []
+        for batch in batches:
+            for row in ArrowTableToRowsConversion.convert(pa.Table.from_batches([batch]), given):
+                if current is None or row[at] != here:
+                    if current is not None:
+                        out.extend(current.finish() or [])
+                    here, current = row[at], reducer()
+                current.reduce(row)
+                if len(out) >= OUT_ROWS:
+                    yield from LocalDataToArrowConversion.convert(out, made, False).to_batches()
+                    out = []
+        if current is not None:
+            out.extend(current.finish() or [])
+        if out:
+            yield from LocalDataToArrowConversion.convert(out, made, False).to_batches()
+
+    together = rows.repartition(F.col(key)).sortWithinPartitions(key, *([order] if order else []))
+    return together.mapInArrow(reduce_keys, made)
 
 
 def aggregate(rows: DataFrame, key: str, user: StateAggregate, ddl: str, held_keys: int = HELD_KEYS) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdfast.operators import delays, user_code
+from tests.test_plans import plan
 
 
 class Words:
@@ -60,6 +61,31 @@ def test_reducer_sees_the_rows_of_a_key_in_order(spark):
     assert {r.k: (r.seen, r.last) for r in got} == {k: (100, v) for k, v in want.items()}
 
 
+class Shout:
+    """One mapper a task; gives its mappings so far beside each line, and nothing for some."""
+
+    def __init__(self):
+        self.seen = 0
+
+    def map(self, line):
+        self.seen += 1
+        if line != "none":
+            yield line.upper(), None, {"n": self.seen}
+
+
+def test_user_rows_travel_in_batches(spark):
+    """No Arrow table is made for each line or row, as a table function would."""
+    lines = spark.createDataFrame([("a",), ("none",), (None,), ("b",)], "line string").coalesce(1)
+    mapped = user_code.map_lines(lines, Shout, "word string, size bigint, seen map<string,bigint>")
+    assert [tuple(r) for r in mapped.collect()] == [("A", None, {"n": 1}), ("B", None, {"n": 3})]
+    rows = spark.createDataFrame([("a", 1, None), (None, 2, None), (None, 5, None), ("a", 3, None)], "k string, v bigint, t timestamp")
+    reduced = user_code.reduce_rows(rows, "k", Latest, "k string, seen bigint, last bigint", order="v")
+    assert sorted(map(tuple, reduced.collect()), key=str) == [("a", 2, 3), (None, 2, 5)]
+    assert user_code.reduce_rows(rows.where("false"), "k", Latest, "k string, seen bigint, last bigint").count() == 0
+    for df in (mapped, reduced):
+        assert "PythonUDTF" not in plan(df)
+
+
 @pytest.mark.parametrize("held", [1, 100_000])
 def test_aggregate_on_state(spark, held):
     rows = spark.range(5000).selectExpr("IF(id % 3 = 0, 'hot', CAST(id % 50 AS STRING)) AS k", "id AS v").unionByName(
