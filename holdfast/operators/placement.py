@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -16,24 +17,37 @@ from holdfast.session import staged
 _CARRIED, _REPORT, _REQUEST = 0, 1, 2
 
 
+#: Rows that a task holds before it hands them on.
+OUT_ROWS = 50_000
+
+
 def _placer(k: int):
-    """Walk one block in arrival order, keeping the nodes sorted by the space they last reported."""
+    """Walk each block in arrival order, keeping the nodes sorted by the space they last reported.
+
+    Rows come sorted by block and arrival; a task holds one block's nodes and a batch of rows, not its history.
+    """
 
-    def place(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["seq", "kind"])
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here: int | None = None
         space: dict[int, int] = {}
         order: list[tuple[int, int]] = []
         out: list[tuple[int, int, int]] = []
-        for kind, seq, node, free in zip(block["kind"], block["seq"], block["node"], block["free_space"]):
-            if kind == _REQUEST:
-                if len(order) >= k:
-                    out += [(seq, rank, order[rank - 1][1]) for rank in range(1, k + 1)]
-                continue
-            if node in space:
-                del order[bisect_left(order, (-space[node], node))]
-            space[node] = free
-            insort(order, (-free, node))
-        return pd.DataFrame(out, columns=["seq", "rank", "node"], dtype="int64")
+        for batch in batches:
+            for block, kind, seq, node, free in zip(batch["block"], batch["kind"], batch["seq"], batch["node"], batch["free_space"]):
+                if block != here and (block == block or here == here):  # NaN: rows without an arrival number are one block
+                    here, space, order = block, {}, []
+                if kind == _REQUEST:
+                    if len(order) >= k:
+                        out += [(seq, rank, order[rank - 1][1]) for rank in range(1, k + 1)]
+                        if len(out) >= OUT_ROWS:
+                            yield pd.DataFrame(out, columns=["seq", "rank", "node"], dtype="int64")
+                            out = []
+                    continue
+                if node in space:
+                    del order[bisect_left(order, (-space[node], node))]
+                space[node] = free
+                insort(order, (-free, node))
+        yield pd.DataFrame(out, columns=["seq", "rank", "node"], dtype="int64")
 
     return place
 
@@ -83,7 +97,8 @@ def place(requests: DataFrame, reports: DataFrame, k: int, block_rows: int = BLO
     steps = carried.unionByName(seen.withColumn("kind", F.lit(_REPORT))).unionByName(
         asked.select("block", "seq", F.lit(_REQUEST).alias("kind"), none.alias("node"), none.alias("free_space"))
     )
-    return steps.groupBy("block").applyInPandas(_placer(k), "seq bigint, rank bigint, node bigint")
+    walked = steps.repartition("block").sortWithinPartitions("block", "seq", "kind")
+    return walked.select("block", "kind", "seq", "node", "free_space").mapInPandas(_placer(k), "seq bigint, rank bigint, node bigint")
 
 
 def place_rejections(requests: DataFrame, reports: DataFrame, k: int) -> DataFrame:
