@@ -33,7 +33,8 @@ _OUT = "chunk bigint, seq bigint, nodes array<bigint>"
 class _Deaths(StatefulProcessor):
     """Rows without a chunk are deaths of the node; they hit every chunk named since the death before.
 
-    Each chunk is an entry of its own in the state, so a batch touches only what it names.
+    Each chunk is an entry of its own in the state, so a batch touches only what it names. All deaths of a batch
+    give one table of hits.
     """
 
     def init(self, handle) -> None:
@@ -44,15 +45,18 @@ class _Deaths(StatefulProcessor):
         died = batch["chunk"].isna().to_numpy()
         chunks = batch["chunk"].fillna(-1).astype("int64").to_numpy()
         seqs = batch["seq"].astype("int64").to_numpy()
-        last = 0
-        for at in np.flatnonzero(died):
-            before = [k[0] for k in self.held.keys()] if not last else []
+        deaths = np.flatnonzero(died)
+        last = deaths[-1] + 1 if len(deaths) else 0
+        if len(deaths):
+            before = [k[0] for k in self.held.keys()]
             if before:
                 self.held.clear()
-            hit = np.union1d(np.array(before, np.int64), chunks[last:at])
-            last = at + 1
+            # each naming before the last death is hit by the first death after it; what is held, by the first of all
+            named = np.flatnonzero(~died[:last])
+            death = np.concatenate([np.zeros(len(before), np.int64), np.searchsorted(deaths, named)])
+            hit = pd.DataFrame({"death": death, "chunk": np.concatenate([np.array(before, np.int64), chunks[named]])}).drop_duplicates()
             if len(hit):
-                yield pd.DataFrame({"chunk": hit, "seq": seqs[at], "node": int(key[0])})
+                yield pd.DataFrame({"chunk": hit["chunk"].to_numpy(), "seq": seqs[deaths[hit["death"]]], "node": int(key[0])})
         for chunk in np.unique(chunks[last:]):
             self.held.updateValue((int(chunk),), (int(seqs[-1]),))
 
