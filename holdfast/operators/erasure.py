@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -59,17 +61,12 @@ def _portions(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa
 
 
 def _encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parity for each chunk; chunks of one shard size are multiplied together."""
+    """Parity for each chunk; the chunks of a portion are multiplied together, whatever their sizes."""
     for batch in _portions(batches):
-        frames, steps = batch.column("frame"), batch.column("step").to_numpy()
-        parity: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
-        for step in np.unique(steps):
-            rows = np.flatnonzero(steps == step)
-            block = np.stack([np.frombuffer(frames[int(r)].as_buffer(), np.uint8).reshape(DATA_SHARDS, step) for r in rows])
-            stacked = block.transpose(1, 0, 2).reshape(DATA_SHARDS, -1)
-            out = galois.multiply(galois.coding_matrix()[DATA_SHARDS:], stacked).reshape(PARITY_SHARDS, len(rows), step)
-            for at, row in enumerate(rows):
-                parity[row] = [out[p, at].tobytes() for p in range(PARITY_SHARDS)]
+        steps = batch.column("step").to_pylist()
+        frames = [np.frombuffer(f.as_buffer(), np.uint8).reshape(DATA_SHARDS, step) for f, step in zip(batch.column("frame"), steps, strict=True)]
+        out = galois.multiply(galois.coding_matrix()[DATA_SHARDS:], np.concatenate(frames, axis=1))
+        parity = [[row[end - step:end].tobytes() for row in out] for step, end in zip(steps, accumulate(steps), strict=True)]
         kept = ["filename", "chunk_no", "frame", "step"]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in kept), pa.array(parity, pa.list_(pa.binary()))], names=[*kept, "parity"]
@@ -84,28 +81,31 @@ def encode(chunks: DataFrame) -> DataFrame:
     return _numbered(coded, F.concat(_cut(), F.col("parity")))
 
 
+@lru_cache(maxsize=128)
+def _inverse(rows: bytes) -> np.ndarray:
+    """Inverse of six coding rows; of nine there are 84 choices."""
+    return galois.invert(np.frombuffer(rows, np.uint8).reshape(DATA_SHARDS, DATA_SHARDS))
+
+
 def _agreeing(matrix: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Data rebuilt from the first six rows of ``block``, and where the other rows are what that data gives.
 
     ``block`` is (shards, members, bytes) and ``matrix`` has the coding row of each shard.
     """
     n, members, step = block.shape
-    first = galois.multiply(galois.invert(matrix[:DATA_SHARDS]), block[:DATA_SHARDS].reshape(DATA_SHARDS, -1))
+    first = galois.multiply(_inverse(matrix[:DATA_SHARDS].tobytes()), block[:DATA_SHARDS].reshape(DATA_SHARDS, -1))
     spare = galois.multiply(matrix[DATA_SHARDS:], first).reshape(n - DATA_SHARDS, members, step)
     return first.reshape(DATA_SHARDS, members, step), (spare == block[DATA_SHARDS:]).all(axis=(0, 2))
 
 
 def _settle(numbers: tuple[int, ...], proven: int, block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, str, int | None]]:
-    """``(members, data, proof, wrong shard)`` for chunks that hold the same shards, the ``proven`` ones first.
+    """``(members, data, proof, wrong shard)`` for chunks that hold the same shards, the ``proven`` ones first, fewer than six.
 
     Nine shards of which six are data have distance four: seven shards show that one is wrong, eight or nine
     also show which. Members that cannot be settled are not given.
     """
     matrix = galois.coding_matrix()[[n - 1 for n in numbers]]
     everyone = np.arange(block.shape[1])
-    if proven >= DATA_SHARDS:
-        yield everyone, _agreeing(matrix[:DATA_SHARDS], block[:DATA_SHARDS])[0], "digest", None
-        return
     data, agree = _agreeing(matrix, block)
     agree &= _plausible(data)
     if agree.any():
@@ -133,27 +133,48 @@ def _plausible(data: np.ndarray) -> np.ndarray:
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rebuild chunks from the shards that are left; chunks with the same shards and sizes are worked on together."""
+    """Rebuild chunks from the shards that are left.
+
+    Chunks with the same six proven shards are multiplied together, whatever their sizes; others with those of the same shards and sizes.
+    """
     for batch in _portions(batches):
+        sound: dict[tuple, list[tuple[int, list[bytes]]]] = {}
         groups: dict[tuple, list[tuple[int, list[bytes]]]] = {}
-        for at, shards in enumerate(batch.column("shards").to_pylist()):
-            sizes = [len(s["data"]) for s in shards]
-            proven = [len(s["data"]) for s in shards if not s["unproven"]]
+        lists = batch.column("shards")
+        unproven, shard_no, data = (column.to_pylist() for column in lists.flatten().flatten())
+        lengths = lists.value_lengths().to_pylist()
+        for at, (n, end) in enumerate(zip(lengths, accumulate(lengths), strict=True)):
+            shards = list(zip(unproven[end - n:end], shard_no[end - n:end], data[end - n:end], strict=True))
+            sizes = [len(d) for _, _, d in shards]
+            proven = [len(d) for open_, _, d in shards if not open_]
             step = proven[0] if proven else max(set(sizes), key=lambda size: (sizes.count(size), size))
-            used = [s for s in shards if len(s["data"]) == step]
-            if len(used) >= DATA_SHARDS and step:
-                shape = (tuple(s["shard_no"] for s in used), sum(not s["unproven"] for s in used), step)
-                groups.setdefault(shape, []).append((at, [s["data"] for s in used]))
+            used = [s for s in shards if len(s[2]) == step]
+            if len(used) < DATA_SHARDS or not step:
+                continue
+            numbers, known = tuple(s[1] for s in used), sum(not s[0] for s in used)
+            if known >= DATA_SHARDS:
+                sound.setdefault(numbers[:DATA_SHARDS], []).append((at, [s[2] for s in used[:DATA_SHARDS]]))
+            else:
+                groups.setdefault((numbers, known, step), []).append((at, [s[2] for s in used]))
         rows, out, proofs, wrong = [], [], [], []
+
+        def found(row: int, data: np.ndarray, proof: str, suspect: int | None) -> None:
+            frame = data.tobytes()
+            rows.append(row)
+            out.append(frame[HEADER_BYTES:HEADER_BYTES + int.from_bytes(frame[:HEADER_BYTES], "big")])
+            proofs.append(proof)
+            wrong.append(suspect)
+
+        for numbers, members in sound.items():
+            block = np.concatenate([np.frombuffer(b"".join(held), np.uint8).reshape(DATA_SHARDS, -1) for _, held in members], axis=1)
+            data = galois.multiply(_inverse(galois.coding_matrix()[[n - 1 for n in numbers]].tobytes()), block)
+            for (row, held), end in zip(members, accumulate(len(held[0]) for _, held in members), strict=True):
+                found(row, data[:, end - len(held[0]):end], "digest", None)
         for (numbers, proven, _), members in groups.items():
             block = np.stack([np.stack([np.frombuffer(d, np.uint8) for d in held]) for _, held in members]).transpose(1, 0, 2)
             for settled, data, proof, suspect in _settle(numbers, proven, block):
                 for i, member in enumerate(settled):
-                    frame = data[:, i].tobytes()
-                    rows.append(members[member][0])
-                    out.append(frame[HEADER_BYTES:HEADER_BYTES + int.from_bytes(frame[:HEADER_BYTES], "big")])
-                    proofs.append(proof)
-                    wrong.append(suspect)
+                    found(members[member][0], data[:, i], proof, suspect)
         taken = batch.select(CHUNK_KEY).take(pa.array(rows, pa.int64()))
         yield pa.RecordBatch.from_arrays(
             [*taken.columns, pa.array(out, pa.binary()), pa.array(proofs, pa.string()), pa.array(wrong, pa.int64())],

@@ -97,9 +97,9 @@ def shard_store(spark: SparkSession, sf: str) -> DataFrame:
     size = F.length("data")
     altered = F.concat(F.unhex(F.lpad(F.hex(255 - F.conv(F.hex(F.substring("data", 1, 1)), 16, 10).cast("int")), 2, "0")),
                        F.col("data").substr(F.lit(2), size))
-    held = kept.withColumn("data", F.when(turn % 7 == 0, altered).otherwise(F.col("data")))
-    again = kept.where(turn % 14 == 0)  # a sound copy beside the altered one
-    return held.unionByName(again).drop("doc_id")
+    # the altered bytes, and every other time a sound copy beside them
+    copies = F.when(turn % 14 == 0, F.array(altered, F.col("data"))).when(turn % 7 == 0, F.array(altered)).otherwise(F.array("data"))
+    return kept.select(*[F.explode(copies).alias(c) if c == "data" else c for c in kept.columns if c != "doc_id"])
 
 
 def heartbeats(spark: SparkSession, sf: str) -> DataFrame:

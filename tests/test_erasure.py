@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from holdfast.functions import galois
@@ -121,6 +122,30 @@ def test_digests_known_for_some_shards_only(spark):
     assert {(r.chunk_no, r.proof) for r in cut} == {(c, "spare") for c in range(3, 6)}
 
 
+def test_chunks_of_all_sizes_are_multiplied_together(spark, monkeypatch):
+    """A portion of chunks takes one product, and one more for each choice of six proven shards."""
+    frames = [bytes([0, 0, 0, n, *range(1, n + 1), *[0] * (-(n + 4) % 6)]) for n in range(1, 61)]
+    batch = pa.RecordBatch.from_pydict({"filename": ["f"] * 60, "chunk_no": list(range(60)), "frame": frames, "step": pa.array([len(f) // 6 for f in frames], pa.int32())})
+    products, multiply = [], galois.multiply
+    monkeypatch.setattr(galois, "multiply", lambda matrix, block: products.append(1) or multiply(matrix, block))
+    galois.coding_matrix()
+    products.clear()
+    (coded,) = erasure._encode_batches(iter([batch]))
+    assert len(products) == 1
+    rows = []
+    for frame, parity in zip(frames, coded.column("parity").to_pylist(), strict=True):
+        step = len(frame) // 6
+        every = [frame[i * step:(i + 1) * step] for i in range(6)] + parity
+        lost = {1, 5, 9} if len(rows) % 2 else {2, 7, 8}
+        rows.append([{"unproven": False, "shard_no": n, "data": every[n - 1]} for n in range(1, 10) if n not in lost])
+    shards = pa.array(rows, pa.list_(pa.struct([("unproven", pa.bool_()), ("shard_no", pa.int64()), ("data", pa.binary())])))
+    held = pa.RecordBatch.from_arrays([batch.column("filename"), batch.column("chunk_no"), shards], names=["filename", "chunk_no", "shards"])
+    products.clear()
+    (back,) = erasure._decode_batches(iter([held]))
+    assert len(products) == 2
+    assert dict(zip(back.column("chunk_no").to_pylist(), back.column("data").to_pylist(), strict=True)) == {n - 1: bytes(range(1, n + 1)) for n in range(1, 61)}
+
+
 def test_two_wrong_shards_are_never_served(spark):
     data = sample(spark).where("chunk_no > 2")
     shards = erasure.encode(data).cache()
