@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 LATENESS = "1 hour"
+#: Shares that the nodes are divided into; those of a share have one state together.
+SHARES = 1024
 
 _REDUCED = "node bigint, restart bigint, seqs array<bigint>, entries array<bigint>, free_space bigint"
 _REDUCED_ARROW = pa.schema([("node", pa.int64()), ("restart", pa.int64()), ("seqs", pa.list_(pa.int64())),
                             ("entries", pa.list_(pa.int64())), ("free_space", pa.int64())])
-_STATE = "restart bigint, seqs array<bigint>, entries array<bigint>, free_space bigint"
+_STATE = "nodes array<bigint>, restarts array<bigint>, counts array<bigint>, seqs array<bigint>, entries array<bigint>, free_spaces array<bigint>"
 _OUT = "node bigint, seq bigint, free_space bigint, entries array<bigint>"
 
 
@@ -62,13 +65,29 @@ def merge_summaries(parts: Iterable[tuple]) -> tuple[int, list[int], list[int],
     return int(restart), [int(s) for s, _ in kept], [int(e) for _, e in kept], int(newest[3])
 
 
+def _held(state: GroupState) -> dict[int, tuple]:
+    """The summaries of a share's nodes."""
+    if not state.exists:
+        return {}
+    nodes, restarts, counts, seqs, entries, spaces = state.get
+    ends = list(accumulate(counts))
+    return {node: (restart, seqs[end - n:end], entries[end - n:end], free)
+            for node, restart, n, end, free in zip(nodes, restarts, counts, ends, spaces, strict=True)}
+
+
 def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A major report replaces the node's entries, a minor one puts its entry before them."""
-    rows = pd.concat(list(batches))
-    parts = [*rows[["restart", "seqs", "entries", "free_space"]].itertuples(index=False, name=None), *([state.get] if state.exists else [])]
-    merged = merge_summaries(parts)
-    state.update(merged)
-    yield pd.DataFrame([{"node": int(key[0]), "seq": merged[1][0], "free_space": merged[3], "entries": merged[2]}])
+    """A major report replaces the node's entries, a minor one puts its entry before them; one call for all nodes of a share."""
+    held, new = _held(state), {}
+    for rows in batches:
+        for node, *part in zip(*(rows[c].tolist() for c in ("node", "restart", "seqs", "entries", "free_space")), strict=True):
+            new.setdefault(node, []).append(part)
+    for node, parts in new.items():
+        held[node] = merge_summaries([*parts, *([held[node]] if node in held else [])])
+    every = list(held.values())
+    state.update((list(held), [p[0] for p in every], [len(p[1]) for p in every],
+                  [s for p in every for s in p[1]], [e for p in every for e in p[2]], [p[3] for p in every]))
+    told = [held[node] for node in new]
+    yield pd.DataFrame({"node": list(new), "seq": [p[1][0] for p in told], "free_space": [p[3] for p in told], "entries": [p[2] for p in told]})
 
 
 def reduce_reports(heartbeats: DataFrame) -> DataFrame:
@@ -76,13 +95,15 @@ def reduce_reports(heartbeats: DataFrame) -> DataFrame:
     return heartbeats.select("node", "seq", "kind", "entry", "free_space").mapInArrow(_reduce, _REDUCED)
 
 
-def fold_reports(heartbeats: DataFrame) -> DataFrame:
+def fold_reports(heartbeats: DataFrame, shares: int = SHARES) -> DataFrame:
     """The state of each node after each batch that touched it.
 
     Reports are reduced in each task first, so a node with a third of all reports sends one row a task. Summaries
-    merge in any order. State is one row per node, and its list restarts with every major report.
+    merge in any order. Nodes are folded by shares, many in one call; state is one row per share, and a node's list
+    in it restarts with every major report.
     """
-    return reduce_reports(heartbeats).groupBy("node").applyInPandasWithState(
+    share = F.pmod(F.xxhash64("node"), F.lit(shares)).cast("int")
+    return reduce_reports(heartbeats).withColumn("share", share).groupBy("share").applyInPandasWithState(
         _fold, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 
 from holdfast.operators import replica_lists
@@ -34,6 +35,49 @@ def test_fold_restarts_at_major_reports(spark, slices):
     assert {r.node: (r.seq, r.free_space, r.entries) for r in got} == {1: (3, 12, [3, 2]), 2: (4, 21, [4, 1])}
 
 
+@pytest.mark.parametrize("shares", [1, 3])
+def test_nodes_of_a_share_are_folded_together(spark, shares):
+    """One call of the fold for a share and batch, however many nodes it has; only the nodes of the batch are sent."""
+    rng = random.Random(shares)
+    data = [(rng.randrange(40), s, rng.choice(["major", "minor", "minor"]), rng.randrange(1000)) for s in range(600)] + [(99, 600, "minor", 5)]
+    rows = beats(spark, [(n, m, k, f) for n, m, k, f in data])
+    written = feeds.run_to_end(heartbeats.fold_reports(feed(spark, rows, 4), shares), "fold")
+    want = {}
+    for node, seq, kind, free in data:
+        want[node] = (seq, free, [seq, *([] if kind == "major" else want[node][2] if node in want else [])])
+    got = heartbeats.latest_state(written, "seq", "free_space", "entries").collect()
+    assert {r.node: (r.seq, r.free_space, r.entries) for r in got} == want
+    assert written.where("node = 99").count() == 1 and written.groupBy("node", "seq").count().where("count > 1").count() == 0
+
+
+class _Held:
+    """The map state of a node, for its processor alone."""
+
+    def __init__(self):
+        self.kept = {}
+
+    def keys(self):
+        return iter(list(self.kept))
+
+    def clear(self):
+        self.kept.clear()
+
+    def updateValue(self, key, value):
+        self.kept[key] = value
+
+
+def test_all_deaths_of_a_batch_are_one_table():
+    deaths = replica_stream._Deaths()
+    deaths.held = _Held()
+    none = float("nan")
+    first = pd.DataFrame({"seq": range(1, 9), "chunk": [4, 4, none, none, 5, 4, none, 6]})
+    out = list(deaths.handleInputRows((3,), iter([first[4:], first[:4]]), None))
+    assert len(out) == 1 and sorted(map(tuple, out[0].to_numpy().tolist())) == [(4, 3, 3), (4, 7, 3), (5, 7, 3)]
+    assert list(deaths.held.kept) == [(6,)]
+    out = list(deaths.handleInputRows((3,), iter([pd.DataFrame({"seq": [9, 10], "chunk": [none, none]})]), None))
+    assert [tuple(r) for t in out for r in t.to_numpy().tolist()] == [(6, 9, 3)] and not deaths.held.kept
+
+
 def test_liveness_intervals_close_after_the_timeout(spark):
     rows = beats(spark, [(1, 0, "minor", 1), (1, 20, "minor", 1), (2, 30, "minor", 1), (1, 120, "minor", 1)])
     path = fresh_path(spark, "feed")
