@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as hs
@@ -214,3 +215,21 @@ def test_replica_map_with_deaths(spark, block):
     df = spark.createDataFrame(events, "seq bigint, kind string, chunk bigint, nodes array<bigint>")
     got = {r.chunk: r.nodes for r in replica_lists.replica_map(df, block).collect()}
     assert got == {c: brute(h) for c, h in per_chunk.items()}
+
+
+def test_a_block_is_placed_batch_by_batch(monkeypatch):
+    """Rows go out before the block has ended, and the next block starts from nothing."""
+    monkeypatch.setattr(placement, "OUT_ROWS", 4)
+    asked = []
+
+    def batches():
+        for block in (0, 1):
+            steps = [(1, 1, 5, 10), (1, 2, 6, 20), *((2, seq, 0, 0) for seq in range(3, 7)), (1, 7, 5, 30), (2, 8, 0, 0)]
+            for kind, seq, node, free in steps:
+                asked.append((block, seq))
+                yield pd.DataFrame({"block": [block], "kind": [kind], "seq": [10 * block + seq], "node": [node], "free_space": [free]})
+
+    made = placement._placer(2)(batches())
+    assert next(made).to_numpy().tolist() == [[3, 1, 6], [3, 2, 5], [4, 1, 6], [4, 2, 5]] and asked[-1] == (0, 4)
+    rest = [tuple(r) for table in made for r in table.to_numpy().tolist()]
+    assert rest[4:6] == [(8, 1, 5), (8, 2, 6)] and rest[6:8] == [(13, 1, 6), (13, 2, 5)] and len(rest) == 16
